@@ -204,3 +204,167 @@ ORACLE["latest_states"] = with_frames(
     "SELECT entity_id, domain, state_bool, state_text, state_double, state_long, state_time, "
     "last_updated, seq FROM chg QUALIFY row_number() OVER "
     "(PARTITION BY entity_id ORDER BY last_updated DESC, seq DESC) = 1")
+
+
+# -- counters and time series ---------------------------------------------------------
+H = 3600
+W6 = 6 * H
+
+
+def _step(ts: str = "ts", s: int = H) -> str:
+    return f"(((epoch_us({ts}) + {s * 1000000 - 1}) // {s * 1000000}) * {s})"
+
+
+def _tstamp(sec: str) -> str:
+    return f"make_timestamp(({sec}) * 1000000)"
+
+
+# Events per (event_type, step bucket) and the 6 h slide.
+RATE_CTE = f"""
+b AS (SELECT event_type, {_step()} AS tb, count(*) AS n FROM events GROUP BY ALL),
+sl AS (SELECT event_type, tb + k * {H} AS t_sec, sum(n) AS n
+       FROM b, range(0, 6) r(k) GROUP BY ALL)
+"""
+
+ORACLE["rate_events"] = "WITH " + RATE_CTE.strip() + f"""
+SELECT event_type, {_tstamp('t_sec')} AS t, n / {float(W6)} AS value FROM sl"""
+
+SAMPLES_CTE = f"""
+b AS (SELECT event_type, {_step()} AS t_sec, count(*) AS n FROM events GROUP BY ALL),
+b2 AS (SELECT *, CAST(floor((t_sec - 1) / 86400) AS BIGINT) AS ep FROM b),
+span AS (SELECT event_type, ep, unnest(range(lo, hi + {H}, {H})) AS t_sec
+         FROM (SELECT event_type, ep, min(t_sec) AS lo, max(t_sec) AS hi FROM b2 GROUP BY ALL)),
+dense AS (SELECT s.event_type, s.ep, s.t_sec, coalesce(b2.n, 0) AS n
+          FROM span s LEFT JOIN b2 USING (event_type, ep, t_sec)),
+samp AS (SELECT event_type, t_sec, CAST(sum(n) OVER (PARTITION BY event_type, ep ORDER BY t_sec
+           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS value FROM dense),
+pairs AS (SELECT event_type, t_sec AS cur, lag(t_sec) OVER w AS prev,
+            CASE WHEN value >= lag(value) OVER w THEN value - lag(value) OVER w ELSE value END AS d
+          FROM samp WINDOW w AS (PARTITION BY event_type ORDER BY t_sec)),
+cand AS (SELECT DISTINCT event_type, cur + k * {H} AS t FROM pairs, range(0, 7) r(k)
+         WHERE prev IS NOT NULL),
+inc AS (SELECT c.event_type, c.t, sum(p.d) AS value FROM cand c JOIN pairs p
+          ON p.event_type = c.event_type AND p.prev IS NOT NULL
+         AND p.prev > c.t - {W6} AND p.cur <= c.t GROUP BY ALL)
+"""
+
+ORACLE["counter_samples"] = "WITH " + SAMPLES_CTE.strip() + f"""
+SELECT event_type, {_tstamp('t_sec')} AS t, value FROM samp"""
+ORACLE["increase"] = "WITH " + SAMPLES_CTE.strip() + f"""
+SELECT event_type, {_tstamp('t')} AS t, value FROM inc"""
+ORACLE["rate_samples"] = "WITH " + SAMPLES_CTE.strip() + f"""
+SELECT event_type, {_tstamp('t')} AS t, value / {float(W6)} AS value FROM inc"""
+ORACLE["sum_by"] = "WITH " + SAMPLES_CTE.strip() + f"""
+SELECT {_tstamp('t_sec')} AS t, sum(value) AS value FROM samp GROUP BY t_sec"""
+ORACLE["max_by_label"] = "WITH " + SAMPLES_CTE.strip() + f"""
+SELECT 'events_total' AS metric, {_tstamp('t_sec')} AS t, max(value) AS value FROM samp GROUP BY t_sec"""
+ORACLE["select_series"] = "WITH " + SAMPLES_CTE.strip() + f"""
+SELECT {_tstamp('t_sec')} AS t, value FROM samp WHERE event_type = 'click'"""
+
+_BOUNDS = [10.0 + 100.0 * i for i in range(10)]
+
+
+def _hist_sql(by: str) -> str:
+    sel = f"{by}, " if by else ""
+    grp = f"GROUP BY {by}" if by else ""
+    cols = ", ".join(f"count(*) FILTER (WHERE value <= {b}) AS b{i}" for i, b in enumerate(_BOUNDS))
+    arms = " UNION ALL ".join(
+        f"SELECT {sel}{b} AS le, b{i} AS bucket, sum, count FROM a" for i, b in enumerate(_BOUNDS))
+    return (f"WITH a AS (SELECT {sel}{cols}, count(value) AS count, sum(value) AS sum FROM events {grp}) "
+            f"{arms} UNION ALL SELECT {sel}'inf'::DOUBLE AS le, count AS bucket, sum, count FROM a")
+
+
+ORACLE["histogram"] = _hist_sql("")
+ORACLE["histogram_by"] = _hist_sql("event_type")
+
+
+def _quantile_sql(q: float) -> str:
+    idx = "CASE " + " ".join(f"WHEN value <= {b} THEN {i}" for i, b in enumerate(_BOUNDS)) + \
+          f" ELSE {len(_BOUNDS)} END"
+    le = "CASE " + " ".join(f"WHEN j = {i} THEN {b}" for i, b in enumerate(_BOUNDS)) + \
+         " ELSE 'inf'::DOUBLE END"
+    return f"""
+SELECT * FROM (
+WITH e AS (SELECT {_step()} AS tb, {idx} AS i FROM events),
+bk AS (SELECT tb, i, count(*) AS n FROM e GROUP BY ALL),
+sl AS (SELECT tb + k * {H} AS t_sec, i, sum(n) AS n FROM bk, range(0, 6) r(k) GROUP BY ALL),
+steps AS (SELECT DISTINCT t_sec FROM sl),
+grid AS (SELECT t_sec, j FROM steps, range(0, {len(_BOUNDS) + 1}) r(j)),
+cum AS (SELECT g.t_sec, g.j, coalesce(sum(sl.n), 0) AS c FROM grid g
+        LEFT JOIN sl ON sl.t_sec = g.t_sec AND sl.i <= g.j GROUP BY ALL),
+h AS (SELECT t_sec, {le} AS le, c / {float(W6)} AS c FROM cum),
+h2 AS (SELECT *, lag(le) OVER w AS ple, coalesce(lag(c) OVER w, 0.0) AS pc,
+         max(CASE WHEN le = 'inf'::DOUBLE THEN c END) OVER (PARTITION BY t_sec) AS total
+       FROM h WINDOW w AS (PARTITION BY t_sec ORDER BY le)),
+hit AS (SELECT *, row_number() OVER (PARTITION BY t_sec ORDER BY le) AS rn FROM h2
+        WHERE c >= {q} * total AND total > 0)
+SELECT {_tstamp('t_sec')} AS t,
+  CASE WHEN le = 'inf'::DOUBLE THEN {_BOUNDS[-1]}
+       WHEN ple IS NULL AND le <= 0 THEN le
+       ELSE coalesce(ple, CASE WHEN le > 0 THEN 0.0 ELSE le END)
+            + (le - coalesce(ple, CASE WHEN le > 0 THEN 0.0 ELSE le END))
+            * CASE WHEN c - pc > 0 THEN ({q} * total - pc) / (c - pc) ELSE 0.0 END END AS value,
+  CAST({q} AS DOUBLE) AS q
+FROM hit WHERE rn = 1)"""
+
+
+ORACLE["bucket_quantile"] = _quantile_sql(0.95) + " UNION ALL " + _quantile_sql(0.5)
+
+_ALL_ERR = f"""
+a AS (SELECT tb + k * {H} AS t_sec, sum(n) AS n FROM
+        (SELECT {_step()} AS tb, count(*) AS n FROM events GROUP BY ALL), range(0, 6) r(k) GROUP BY ALL),
+e AS (SELECT tb + k * {H} AS t_sec, sum(n) AS n FROM
+        (SELECT {_step()} AS tb, count(*) AS n FROM events WHERE event_type = 'error' GROUP BY ALL),
+        range(0, 6) r(k) GROUP BY ALL),
+ar AS (SELECT t_sec, n / {float(W6)} AS v FROM a),
+er AS (SELECT t_sec, n / {float(W6)} AS v FROM e)
+"""
+
+ORACLE["vector_ratio"] = "WITH " + _ALL_ERR.strip() + f"""
+SELECT {_tstamp('t_sec')} AS t, CASE WHEN ar.v <> 0 THEN er.v / ar.v END AS value
+FROM er JOIN ar USING (t_sec)"""
+ORACLE["vector_diff"] = "WITH " + _ALL_ERR.strip() + f"""
+SELECT {_tstamp('t_sec')} AS t, ar.v - er.v AS value FROM ar JOIN er USING (t_sec)"""
+ORACLE["band"] = "WITH " + _ALL_ERR.strip() + f""",
+ok AS (SELECT t_sec, ar.v - er.v AS v FROM ar JOIN er USING (t_sec)),
+sh AS (SELECT t_sec, CASE WHEN ar.v <> 0 THEN ok.v / ar.v END AS value FROM ok JOIN ar USING (t_sec))
+SELECT {_tstamp('t_sec')} AS t, value,
+  CASE WHEN value < 0.5 THEN 'red' WHEN value < 0.8 THEN 'yellow' ELSE 'green' END AS band FROM sh"""
+
+ORACLE["vector_or"] = "WITH " + RATE_CTE.strip() + f""",
+a AS (SELECT event_type, t_sec, n / {float(W6)} AS value FROM sl WHERE event_type IN ('click', 'view')),
+bb AS (SELECT event_type, t_sec, CAST(n AS DOUBLE) AS value FROM sl)
+SELECT event_type, {_tstamp('t_sec')} AS t, value FROM a
+UNION ALL
+SELECT event_type, {_tstamp('t_sec')} AS t, value FROM bb
+WHERE NOT EXISTS (SELECT 1 FROM a WHERE a.event_type = bb.event_type AND a.t_sec = bb.t_sec)"""
+
+_LIMIT = 3 / 3600
+ORACLE["compare"] = "WITH " + RATE_CTE.strip() + f"""
+SELECT event_type, {_tstamp('t_sec')} AS t, n / {float(W6)} AS value FROM sl
+WHERE n / {float(W6)} > {_LIMIT!r}"""
+ORACLE["alert"] = "WITH " + RATE_CTE.strip() + f""",
+c AS (SELECT event_type, t_sec FROM sl WHERE n / {float(W6)} > {_LIMIT!r}),
+i AS (SELECT *, t_sec // {H} - row_number() OVER (PARTITION BY event_type ORDER BY t_sec) AS isl
+      FROM c),
+j AS (SELECT *, min(t_sec) OVER (PARTITION BY event_type, isl) AS since FROM i)
+SELECT event_type, {_tstamp('t_sec')} AS t,
+  CASE WHEN t_sec - since >= {3 * H} THEN 'firing' ELSE 'pending' END AS state,
+  {_tstamp('since')} AS active_since FROM j"""
+
+ORACLE["time_range"] = """
+SELECT event_id, ts FROM events
+WHERE epoch_us(ts) > (SELECT max(epoch_us(ts)) FROM events) - 21600000000"""
+
+ORACLE["ingest_counters"] = with_frames("""
+SELECT 'received' AS counter, count(*) AS value FROM rs
+UNION ALL SELECT 'filtered', count(*) FILTER (WHERE reason = 'event_type') FROM rs
+UNION ALL SELECT 'processed', count(*) FILTER (WHERE reason IS NULL) FROM rs
+""" + "".join(f"UNION ALL SELECT 'rejected_{r}', count(*) FILTER (WHERE reason = '{r}') FROM rs\n"
+             for r in ("bad_frame", "unknown_type", "not_event", "no_id", "event_type",
+                       "no_new_state", "no_entity_id", "no_old_state", "skipped_state",
+                       "bad_domain", "cast_failed")))
+ORACLE["labelled_counter"] = with_frames("""
+SELECT ha_type AS event_type, CASE WHEN reason IS NULL THEN 'success' ELSE 'error' END AS status,
+  count(*) AS value FROM rs GROUP BY ALL""")
+ORACLE["route_counts"] = with_frames("SELECT domain, count(*) AS rows FROM chg GROUP BY domain")

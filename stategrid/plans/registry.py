@@ -200,3 +200,167 @@ def q_latest_states(spark, sf_dir):
     return for_driver(latest.select(
         "entity_id", "domain", "state_bool", "state_text", "state_double", "state_long",
         "state_time", "last_updated", "seq"))
+
+
+# -- counters and time series (events as the sample source) ------------------------
+# The driver tables hold ~14 events an hour at sf0.01, so the series queries
+# use a 6 h window on a 1 h grid (the operators take any window / step).
+
+from stategrid.operators import counters as ct  # noqa: E402
+from stategrid.operators import series as ts  # noqa: E402
+
+WINDOW, STEP = "6h", "1h"
+VALUE_BOUNDS = ts.linear_bounds(10, 100, 10)     # 10, 110, .. 910
+
+
+def events(spark, sf_dir):
+    return table(spark, sf_dir, "events")
+
+
+@register("rate_events")
+def q_rate_events(spark, sf_dir):
+    return for_driver(ts.rate_events(events(spark, sf_dir), "ts", ["event_type"], WINDOW, STEP))
+
+
+def event_counter_samples(spark, sf_dir):
+    """Counter samples per event type on the 1 h grid, restarted daily."""
+    return ts.counter_samples(events(spark, sf_dir), "ts", ["event_type"], STEP,
+                              restart_every="1d")
+
+
+@register("counter_samples")
+def q_counter_samples(spark, sf_dir):
+    return for_driver(event_counter_samples(spark, sf_dir))
+
+
+@register("rate_samples")
+def q_rate_samples(spark, sf_dir):
+    s = event_counter_samples(spark, sf_dir)
+    return for_driver(ts.rate_samples(s, ["event_type"], WINDOW, STEP))
+
+
+@register("increase")
+def q_increase(spark, sf_dir):
+    s = event_counter_samples(spark, sf_dir)
+    return for_driver(ts.increase_samples(s, ["event_type"], WINDOW, STEP))
+
+
+@register("histogram")
+def q_histogram(spark, sf_dir):
+    return ts.histogram(events(spark, sf_dir), "value", VALUE_BOUNDS)
+
+
+@register("histogram_by")
+def q_histogram_by(spark, sf_dir):
+    return ct.histogram_by_label(events(spark, sf_dir), "value", VALUE_BOUNDS, "event_type")
+
+
+def _value_quantile(spark, sf_dir, q):
+    h = ts.bucket_rates(events(spark, sf_dir), "ts", "value", VALUE_BOUNDS, [], WINDOW, STEP)
+    return ts.bucket_quantile(h, q, by=["t"]).withColumn("q", F.lit(q))
+
+
+@register("bucket_quantile")
+def q_bucket_quantile(spark, sf_dir):
+    return for_driver(_value_quantile(spark, sf_dir, 0.95)
+                      .unionByName(_value_quantile(spark, sf_dir, 0.5)))
+
+
+def _all_and_error_rates(spark, sf_dir):
+    ev = events(spark, sf_dir)
+    allr = ts.rate_events(ev, "ts", [], WINDOW, STEP)
+    err = ts.rate_events(ev.where(F.col("event_type") == "error"), "ts", [], WINDOW, STEP)
+    return allr, err
+
+
+@register("vector_ratio")
+def q_vector_ratio(spark, sf_dir):
+    allr, err = _all_and_error_rates(spark, sf_dir)
+    return for_driver(ts.vector_binary(err, allr, ["t"], "/"))
+
+
+@register("vector_diff")
+def q_vector_diff(spark, sf_dir):
+    allr, err = _all_and_error_rates(spark, sf_dir)
+    return for_driver(ts.vector_binary(allr, err, ["t"], "-"))
+
+
+@register("vector_or")
+def q_vector_or(spark, sf_dir):
+    ev = events(spark, sf_dir)
+    a = ts.rate_events(ev.where(F.col("event_type").isin("click", "view")), "ts",
+                       ["event_type"], WINDOW, STEP)
+    b = ts.increase_events(ev, "ts", ["event_type"], WINDOW, STEP)
+    return for_driver(ts.vector_or(a, b, ["event_type", "t"]))
+
+
+RATE_LIMIT = 3 / 3600          # more than 3 events an hour, averaged over the window
+
+
+@register("compare")
+def q_compare(spark, sf_dir):
+    r = ts.rate_events(events(spark, sf_dir), "ts", ["event_type"], WINDOW, STEP)
+    return for_driver(ts.compare(r, ">", RATE_LIMIT))
+
+
+@register("alert")
+def q_alert(spark, sf_dir):
+    r = ts.rate_events(events(spark, sf_dir), "ts", ["event_type"], WINDOW, STEP)
+    return for_driver(ts.alert(ts.compare(r, ">", RATE_LIMIT), "3h", STEP, ["event_type"]))
+
+
+@register("band")
+def q_band(spark, sf_dir):
+    allr, err = _all_and_error_rates(spark, sf_dir)
+    ok_share = ts.vector_binary(allr, err, ["t"], "-")
+    share = ts.vector_binary(ok_share, allr, ["t"], "/")
+    return for_driver(share.select("t", "value", ts.band("value").alias("band")))
+
+
+@register("time_range")
+def q_time_range(spark, sf_dir):
+    return for_driver(ts.time_range(events(spark, sf_dir), "ts", "6h")
+                      .select("event_id", F.col("ts").cast("timestamp").alias("ts")))
+
+
+def metric_samples(spark, sf_dir):
+    """Counter samples as generic metric samples (labels as a map)."""
+    s = event_counter_samples(spark, sf_dir)
+    return s.select("t", F.lit("events_total").alias("metric"),
+                    F.create_map(F.lit("event_type"), F.col("event_type")).alias("labels"),
+                    "value")
+
+
+@register("select_series")
+def q_select_series(spark, sf_dir):
+    s = ts.select_series(metric_samples(spark, sf_dir), "events_total", event_type="click")
+    return for_driver(s.select("t", "value"))
+
+
+@register("sum_by")
+def q_sum_by(spark, sf_dir):
+    return for_driver(ts.sum_by(event_counter_samples(spark, sf_dir), []))
+
+
+@register("max_by_label")
+def q_max_by_label(spark, sf_dir):
+    s = metric_samples(spark, sf_dir).withColumn("event_type", F.col("labels")["event_type"])
+    return for_driver(ts.max_by_label(s.drop("labels"), ["metric"]))
+
+
+@register("ingest_counters")
+def q_ingest_counters(spark, sf_dir):
+    return ct.ingest_counters(st.with_reason(frames(spark, sf_dir)))
+
+
+@register("labelled_counter")
+def q_labelled_counter(spark, sf_dir):
+    staged = st.with_reason(frames(spark, sf_dir)).select(
+        F.col("event.event_type").alias("event_type"),
+        F.when(F.col("reason").isNull(), "success").otherwise("error").alias("status"))
+    return ct.labelled_counter(staged, ["event_type", "status"])
+
+
+@register("route_counts")
+def q_route_counts(spark, sf_dir):
+    return ct.labelled_counter(changes(spark, sf_dir), ["domain"]).withColumnRenamed("value", "rows")
