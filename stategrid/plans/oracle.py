@@ -368,3 +368,28 @@ ORACLE["labelled_counter"] = with_frames("""
 SELECT ha_type AS event_type, CASE WHEN reason IS NULL THEN 'success' ELSE 'error' END AS status,
   count(*) AS value FROM rs GROUP BY ALL""")
 ORACLE["route_counts"] = with_frames("SELECT domain, count(*) AS rows FROM chg GROUP BY domain")
+
+
+# -- batching ------------------------------------------------------------------------------
+ORACLE["batch_by_count"] = with_frames(
+    "SELECT seq, domain, CAST(floor((row_number() OVER (PARTITION BY domain "
+    "ORDER BY last_updated, seq) - 1) / 100) AS BIGINT) AS batch_no FROM chg")
+ORACLE["batch_counters"] = with_frames("""
+, bb AS (SELECT domain, floor((row_number() OVER (PARTITION BY domain ORDER BY last_updated, seq) - 1)
+           / 100) AS b FROM chg),
+sz AS (SELECT domain, b, count(*) AS n FROM bb GROUP BY ALL)
+SELECT domain, count(*) AS batches, sum(n) AS rows, min(n) AS min_size, max(n) AS max_size
+FROM sz GROUP BY domain""".replace("\n, bb AS", ", bb AS", 1))
+# Anchored wait batches: each batch opens at the first row at or after the
+# previous open + 2 h (recursive), rows take the latest open at or before them.
+ORACLE["batch_by_wait"] = """
+WITH RECURSIVE opens(event_type, t, k) AS (
+  SELECT event_type, min(ts), 0 FROM events GROUP BY event_type
+  UNION ALL
+  SELECT o.event_type,
+         (SELECT min(e.ts) FROM events e
+           WHERE e.event_type = o.event_type AND e.ts >= o.t + INTERVAL 2 HOUR), o.k + 1
+  FROM opens o WHERE o.t IS NOT NULL)
+SELECT e.event_id, e.event_type, CAST(o.k AS BIGINT) AS batch_no, o.t AS batch_start
+FROM events e ASOF JOIN (SELECT * FROM opens WHERE t IS NOT NULL) o
+  ON e.event_type = o.event_type AND e.ts >= o.t"""

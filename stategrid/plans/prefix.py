@@ -64,3 +64,23 @@ def index_across(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     return (staged.join(offsets, [*keys, "_bkt"], "left")
                   .withColumn(out, F.col("_off") + F.col("_rn_in"))
                   .drop("_bkt", "_rn_in", "_off"))
+
+
+def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                value: Column, bucket: Column, out: str) -> DataFrame:
+    """``out`` = sum of ``value`` over the key's rows up to and including this
+    one, like ``sum(value) over (partition by keys order by order rows
+    unbounded preceding)``."""
+    keys = list(keys)
+    w_in = (Window.partitionBy(*keys, "_bkt").orderBy(*_cols(order))
+            .rowsBetween(Window.unboundedPreceding, 0))
+    staged = (df.withColumn("_bkt", bucket).withColumn("_x", value)
+                .withColumn("_rs_in", F.sum("_x").over(w_in)))
+    totals = staged.groupBy(*keys, "_bkt").agg(F.sum("_x").alias("_n"))
+    offsets = (totals.withColumn("_off", F.coalesce(F.sum("_n").over(
+                   Window.partitionBy(*keys).orderBy("_bkt")
+                   .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+                     .select(*keys, "_bkt", "_off"))
+    return (staged.join(offsets, [*keys, "_bkt"], "left")
+                  .withColumn(out, F.col("_off") + F.col("_rs_in"))
+                  .drop("_bkt", "_x", "_rs_in", "_off"))

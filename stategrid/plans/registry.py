@@ -364,3 +364,38 @@ def q_labelled_counter(spark, sf_dir):
 @register("route_counts")
 def q_route_counts(spark, sf_dir):
     return ct.labelled_counter(changes(spark, sf_dir), ["domain"]).withColumnRenamed("value", "rows")
+
+
+# -- batching ---------------------------------------------------------------------------
+
+from stategrid.operators import batching as bt  # noqa: E402
+
+BATCH_SIZE = 100          # the batcher's default size
+BATCH_WAIT = "2h"         # sf0.01 has ~14 events an hour
+
+
+def count_batches(spark, sf_dir):
+    return bt.batch_by_count(changes(spark, sf_dir), "domain", ["last_updated", "seq"], BATCH_SIZE)
+
+
+@register("batch_by_count")
+def q_batch_by_count(spark, sf_dir):
+    return count_batches(spark, sf_dir).select("seq", "domain", "batch_no")
+
+
+@register("batch_counters")
+def q_batch_counters(spark, sf_dir):
+    return ct.batch_counters(count_batches(spark, sf_dir), ["domain"], "batch_no")
+
+
+@register("batch_by_wait")
+def q_batch_by_wait(spark, sf_dir):
+    b = bt.batch_by_wait(events(spark, sf_dir), "event_type", "ts", BATCH_WAIT, ["ts", "event_id"])
+    return for_driver(b.select("event_id", "event_type", "batch_no", "batch_start"))
+
+
+@register("batch_rows")
+def q_batch_rows(spark, sf_dir):
+    """Size 20 or 2 h, whichever first (no SQL oracle: golden tests)."""
+    b = bt.batch_rows(events(spark, sf_dir), "event_type", "ts", ["ts", "event_id"], 20, BATCH_WAIT)
+    return for_driver(b.select("event_id", "event_type", "batch_no", "batch_start"))
