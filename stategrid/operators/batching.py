@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from stategrid.operators.series import seconds
+from stategrid.operators.series import micros
 from stategrid.plans.prefix import index_across, lag_across, running_sum
 
 DEFAULT_MAX_SIZE = 100
@@ -102,7 +102,7 @@ def batch_rows(df: DataFrame, key: str | None, ts: str, order: Sequence[str] | N
     """
     if max_size is not None and max_size < 1:
         raise ValueError("max_size must be >= 1")
-    wait_us = seconds(max_wait) * 1_000_000 if max_wait is not None else None
+    wait_us = micros(max_wait) if max_wait is not None else None
     order = list(order or [ts])
     src = (df.withColumn("_k", F.col(key).cast("string") if key else F.lit(""))
              .withColumn("_us", F.unix_micros(F.col(ts).cast("timestamp")))

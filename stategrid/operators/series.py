@@ -47,6 +47,15 @@ def seconds(d) -> int:
     return n * _UNITS[u[0]]
 
 
+def micros(d) -> int:
+    """Like ``seconds`` but in microseconds, and also accepts 'ms' / 'us'."""
+    if isinstance(d, str):
+        m = re.fullmatch(r"\s*(\d+)\s*(ms|us)\s*", d)
+        if m:
+            return int(m.group(1)) * (1000 if m.group(2) == "ms" else 1)
+    return seconds(d) * 1_000_000
+
+
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

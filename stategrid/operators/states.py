@@ -173,29 +173,45 @@ def with_reason(frames: DataFrame, database: str = "hass") -> DataFrame:
     return _stage(frames).withColumn("reason", _reason())
 
 
-def to_change(df: DataFrame, database: str = "hass", absent_ts: str = "epoch") -> DataFrame:
-    """Project the stored record from the new state (entity id of the new state)."""
-    if "_grp" not in df.columns:
-        df = _stage(df)
+def _record(database: str, absent_ts: str) -> list[Column]:
+    """Columns of the stored record over staged frames."""
     ns = new_state()
     reported = parse_ts(ns.last_reported)
     if absent_ts == "epoch":
         reported = F.coalesce(reported, _epoch())
     elif absent_ts != "null":
         raise ValueError("absent_ts must be 'epoch' or 'null'")
-    df = df.withColumn("_updated", parse_ts(ns.last_updated))
-    return df.select(
+    updated = parse_ts(ns.last_updated)
+    return [
         F.lit(database).alias("database"), F.col("_domain").alias("domain"),
         state_type("_domain").alias("state_type"), F.col("_grp").alias("type_group"),
         F.col("_ent").alias("entity_id"),
-        *TYPED_COLUMNS,
+        *[F.col(c) for c in TYPED_COLUMNS],
         ns.attributes.alias("attributes"),
         F.to_json(ns.context, {"ignoreNullFields": "false"}).alias("context"),
         parse_ts(ns.last_changed).alias("last_changed"),
-        F.col("_updated").alias("last_updated"),
+        updated.alias("last_updated"),
         reported.alias("last_reported"),
-        month_of("_updated").alias("month"),
-        F.col("seq"))
+        month_of(updated).alias("month"),
+        F.col("seq"),
+    ]
+
+
+def to_change(df: DataFrame, database: str = "hass", absent_ts: str = "epoch") -> DataFrame:
+    """Project the stored record from the new state (entity id of the new state)."""
+    if "_grp" not in df.columns:
+        df = _stage(df)
+    return df.select(*_record(database, absent_ts))
+
+
+def _rows_where(df: DataFrame, cond: Column, cols: list[Column]) -> DataFrame:
+    """Rows of df where cond holds, projected to cols, as a generator.
+
+    A plain ``where`` on ``reason`` would be pushed below the projection
+    that computes it, so every rule would be evaluated twice (and the fused
+    code outgrows the JVM method limit); predicates do not cross a
+    generator, so each rule is computed once per row."""
+    return df.select(F.inline(F.when(cond, F.array(F.struct(*cols)))))
 
 
 def split_changes(frames: DataFrame, database: str = "hass",
@@ -206,9 +222,10 @@ def split_changes(frames: DataFrame, database: str = "hass",
     the streaming writer, which does) so that frames are decoded once.
     """
     r = with_reason(frames, database)
-    kept = to_change(r.where(F.col("reason").isNull()), database, absent_ts)
-    rejects = r.where(F.col("reason").isNotNull()).select(
-        "seq", "id", "type", F.col("event.event_type").alias("event_type"), "reason")
+    kept = _rows_where(r, F.col("reason").isNull(), _record(database, absent_ts))
+    rejects = _rows_where(r, F.col("reason").isNotNull(), [
+        F.col("seq"), F.col("id"), F.col("type"),
+        F.col("event.event_type").alias("event_type"), F.col("reason")])
     return kept, rejects
 
 

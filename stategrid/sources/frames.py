@@ -43,7 +43,7 @@ def _kind(v: Column, path: str) -> Column:
 def _kind_in(v: Column, path: str, *kinds: str) -> Column:
     """Absent, JSON null, or a value whose type name starts with one of kinds."""
     k = _kind(v, path)
-    ok = k.isNull() | (k == "NULL")
+    ok = k.isNull() | k.isin("NULL", "VOID")
     for kind in kinds:
         ok = ok | k.startswith(kind)
     return ok
