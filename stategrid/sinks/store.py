@@ -19,7 +19,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stategrid.functions.values import format_rfc3339
-from stategrid.schema import DOMAIN_PATTERN, GROUP_SPARK_TYPE, TYPE_GROUPS, domains_of_group
+from stategrid.schema import DOMAIN_PATTERN, TYPE_GROUPS, domains_of_group
 
 _GROUP_STATE = {
     "bool": ("state_bool", "old_state_bool"),
@@ -103,24 +103,20 @@ def read_group(spark: SparkSession, root: str, group: str, months: list[int] | N
 
 
 def ensure_table(spark: SparkSession, database: str, domain: str, root: str) -> str:
-    """Create (if absent) the database, the dataset table of the domain's type
-    group and a view named after the domain over it. Returns the view name.
+    """Create (if absent) the database and a view named after the domain over
+    its type-group dataset (read by path, so partitions - including replayed
+    batches - are discovered at read time). Returns the view name.
 
     Names are checked (no SQL pasted from data)."""
     if not re.fullmatch(DOMAIN_PATTERN.strip("^$"), domain) or not re.fullmatch(r"[a-z0-9_]+", database):
         raise ValueError(f"bad name {database}.{domain}")
     group = next((g for g in TYPE_GROUPS if domain in domains_of_group(g)), "string")
-    st = GROUP_SPARK_TYPE[group].simpleString()
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    table = f"{database}.changes_{group}"
-    if not spark.catalog.tableExists(table):
-        spark.sql(f"""CREATE TABLE IF NOT EXISTS {table} (
-            entity_id STRING, state {st}, old_state {st}, attributes STRING, context STRING,
-            last_changed TIMESTAMP, last_updated TIMESTAMP, last_reported TIMESTAMP,
-            received_at TIMESTAMP, domain STRING, month INT)
-            USING parquet PARTITIONED BY (domain, month) LOCATION '{root}/{group}'""")
     view = f"{database}.{domain}"
-    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {table} WHERE domain = '{domain}'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    if not spark.catalog.tableExists(view):
+        path = f"{root}/{group}".replace("`", "")
+        spark.sql(f"CREATE VIEW IF NOT EXISTS {view} AS "
+                  f"SELECT * FROM parquet.`{path}` WHERE domain = '{domain}'")
     return view
 
 
