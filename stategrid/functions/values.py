@@ -6,6 +6,8 @@ Python UDF.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 from stategrid.schema import (
@@ -67,20 +69,38 @@ def classify_domain(entity_id, state) -> Column:
              .otherwise(dom))
 
 
-def _map_literal(d: dict) -> Column:
-    return F.create_map(*[x for k, v in d.items() for x in (F.lit(k), F.lit(v))])
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _case_of(mapping: dict, default: str):
+    """``CASE <arg> WHEN k THEN v ... ELSE default END`` over one argument,
+    built as one SQL expression (one JVM call instead of one per literal)."""
+    arms = " ".join(f"WHEN {_sql_str(k)} THEN {_sql_str(v)}" for k, v in mapping.items())
+
+    def apply(arg) -> Column:
+        if isinstance(arg, str) and re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*", arg):
+            return F.expr(f"CASE `{arg}` {arms} ELSE {_sql_str(default)} END")
+        # A Column: compare it against each key (one call per literal).
+        c = _c(arg)
+        return F.coalesce(*[F.when(c == F.lit(k), F.lit(v)) for k, v in mapping.items()],
+                          F.lit(default))
+    return apply
+
+
+_STATE_TYPE = _case_of(DOMAIN_TYPES, DEFAULT_STORE_TYPE)
+_TYPE_GROUP = _case_of({d: STORE_TO_GROUP[t] for d, t in DOMAIN_TYPES.items()},
+                       STORE_TO_GROUP[DEFAULT_STORE_TYPE])
 
 
 def state_type(domain) -> Column:
     """Store type name of a domain's state column; unlisted -> String."""
-    return F.coalesce(_map_literal(DOMAIN_TYPES)[_c(domain)], F.lit(DEFAULT_STORE_TYPE))
+    return _STATE_TYPE(domain)
 
 
 def type_group(domain) -> Column:
     """Spark type group of a domain: bool, string, double, bigint, timestamp."""
-    groups = {d: STORE_TO_GROUP[t] for d, t in DOMAIN_TYPES.items()}
-    return F.coalesce(_map_literal(groups)[_c(domain)],
-                      F.lit(STORE_TO_GROUP[DEFAULT_STORE_TYPE]))
+    return _TYPE_GROUP(domain)
 
 
 def normalize_bool(state) -> Column:

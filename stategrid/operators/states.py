@@ -112,8 +112,9 @@ def _stage(frames: DataFrame) -> DataFrame:
     ns, os_ = new_state(), old_state()
     s = frames.select("*", ns.entity_id.alias("_ent"), ns.state.alias("_new"),
                       os_.state.alias("_old"))
-    s = s.withColumn("_domain", classify_domain("_ent", "_new"))
-    s = s.withColumn("_grp", type_group("_domain")).withColumn("_old_txt", blank_skipped("_old"))
+    s = s.withColumns({"_domain": classify_domain("_ent", "_new"),
+                       "_old_txt": blank_skipped("_old")})
+    s = s.withColumn("_grp", type_group("_domain"))
     grp, new_txt, old_txt = F.col("_grp"), F.col("_new"), F.col("_old_txt")
     in_g = lambda g, c: F.when(grp == g, c)
     typed = {

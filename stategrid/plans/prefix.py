@@ -7,9 +7,11 @@ Both helpers here work in two levels instead:
 1. rows are windowed per ``(key, bucket)`` where ``bucket`` is a coarse
    ordering column (e.g. the day of the timestamp), so a hot key is spread
    over as many tasks as it has buckets;
-2. a one-row-per-``(key, bucket)`` summary (partial aggregation, tiny) is
-   windowed per key to carry values / offsets across bucket edges, and
-   joined back on ``(key, bucket)``.
+2. the last row of each ``(key, bucket)`` (found by ``lead`` in the same
+   window, so the shuffled rows are reused, not re-read) forms a summary of
+   one row per bucket; it is windowed per key to carry values / offsets
+   across bucket edges and joined back on ``(key, bucket)`` (AQE broadcasts
+   it when its measured size is small).
 
 The bucket must be monotone in the order: every row of bucket b sorts before
 every row of bucket b' > b inside a key.
@@ -26,44 +28,34 @@ def _cols(cs) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cs]
 
 
+def _two_level(df: DataFrame, keys: list[str], order, bucket: Column, inner: dict,
+               carry: dict, out: Column, out_name: str, drop: list[str]) -> DataFrame:
+    """Shared plan: window per (key, bucket) computing ``inner`` columns, a
+    summary of each bucket's last row carrying ``carry`` columns to later
+    buckets of the key, and a join back."""
+    w_in = Window.partitionBy(*keys, "_bkt").orderBy(*_cols(order))
+    staged = df.withColumn("_bkt", bucket)
+    staged = staged.select("*", *[c.over(w_in).alias(n) for n, c in inner.items()],
+                           F.lead(F.lit(1)).over(w_in).isNull().alias("_is_last"))
+    w_key = Window.partitionBy(*keys).orderBy("_bkt")
+    summary = (staged.where(F.col("_is_last"))
+                     .select(*keys, "_bkt", *[c(w_key).alias(n) for n, c in carry.items()]))
+    return (staged.join(summary, [*keys, "_bkt"], "left")
+                  .withColumn(out_name, out)
+                  .drop("_bkt", "_is_last", *inner, *carry, *drop))
+
+
 def lag_across(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                value: Column, bucket: Column, out: str) -> DataFrame:
     """``out`` = ``value`` of the previous row of the same key (NULL for the
     first row), like ``lag(value) over (partition by keys order by order)``."""
-    keys = list(keys)
-    w_in = Window.partitionBy(*keys, "_bkt").orderBy(*_cols(order))
-    staged = (df.withColumn("_bkt", bucket)
-                .withColumn("_val", value)
-                .withColumn("_lag_in", F.lag("_val").over(w_in))
-                .withColumn("_first", F.row_number().over(w_in) == 1))
-    # Last value of each (key, bucket), carried to the next bucket of the key.
-    last = (staged.groupBy(*keys, "_bkt")
-                  .agg(F.max_by("_val", F.struct(*_cols(order))).alias("_last")))
-    carry = (last.withColumn("_carry", F.lag("_last").over(
-                 Window.partitionBy(*keys).orderBy("_bkt")))
-                 .select(*keys, "_bkt", "_carry"))
-    return (staged.join(carry, [*keys, "_bkt"], "left")
-                  .withColumn(out, F.when(F.col("_first"), F.col("_carry"))
-                                    .otherwise(F.col("_lag_in")))
-                  .drop("_bkt", "_val", "_lag_in", "_first", "_carry"))
-
-
-def index_across(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                 bucket: Column, out: str) -> DataFrame:
-    """``out`` = 1-based position of the row inside its key, like
-    ``row_number() over (partition by keys order by order)``."""
-    keys = list(keys)
-    w_in = Window.partitionBy(*keys, "_bkt").orderBy(*_cols(order))
-    staged = (df.withColumn("_bkt", bucket)
-                .withColumn("_rn_in", F.row_number().over(w_in)))
-    counts = staged.groupBy(*keys, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = (counts.withColumn("_off", F.coalesce(F.sum("_n").over(
-                   Window.partitionBy(*keys).orderBy("_bkt")
-                   .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-                     .select(*keys, "_bkt", "_off"))
-    return (staged.join(offsets, [*keys, "_bkt"], "left")
-                  .withColumn(out, F.col("_off") + F.col("_rn_in"))
-                  .drop("_bkt", "_rn_in", "_off"))
+    staged = df.withColumn("_val", value)
+    return _two_level(
+        staged, list(keys), order, bucket,
+        inner={"_lag_in": F.lag("_val"), "_rn_in": F.row_number()},
+        carry={"_carry": lambda w: F.lag("_val").over(w)},
+        out=F.when(F.col("_rn_in") == 1, F.col("_carry")).otherwise(F.col("_lag_in")),
+        out_name=out, drop=["_val"])
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -71,16 +63,24 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     """``out`` = sum of ``value`` over the key's rows up to and including this
     one, like ``sum(value) over (partition by keys order by order rows
     unbounded preceding)``."""
-    keys = list(keys)
-    w_in = (Window.partitionBy(*keys, "_bkt").orderBy(*_cols(order))
-            .rowsBetween(Window.unboundedPreceding, 0))
-    staged = (df.withColumn("_bkt", bucket).withColumn("_x", value)
-                .withColumn("_rs_in", F.sum("_x").over(w_in)))
-    totals = staged.groupBy(*keys, "_bkt").agg(F.sum("_x").alias("_n"))
-    offsets = (totals.withColumn("_off", F.coalesce(F.sum("_n").over(
-                   Window.partitionBy(*keys).orderBy("_bkt")
-                   .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-                     .select(*keys, "_bkt", "_off"))
-    return (staged.join(offsets, [*keys, "_bkt"], "left")
-                  .withColumn(out, F.col("_off") + F.col("_rs_in"))
-                  .drop("_bkt", "_x", "_rs_in", "_off"))
+    staged = df.withColumn("_x", value)
+    return _two_level(
+        staged, list(keys), order, bucket,
+        inner={"_rs_in": F.sum("_x")},
+        carry={"_off": lambda w: F.coalesce(F.sum("_rs_in").over(
+            w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))},
+        out=F.coalesce(F.col("_off"), F.lit(0)) + F.col("_rs_in"),
+        out_name=out, drop=["_x"])
+
+
+def index_across(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                 bucket: Column, out: str) -> DataFrame:
+    """``out`` = 1-based position of the row inside its key, like
+    ``row_number() over (partition by keys order by order)``."""
+    return _two_level(
+        df, list(keys), order, bucket,
+        inner={"_rn_in": F.row_number()},
+        carry={"_off": lambda w: F.coalesce(F.sum("_rn_in").over(
+            w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))},
+        out=F.coalesce(F.col("_off"), F.lit(0)) + F.col("_rn_in"),
+        out_name=out, drop=[])

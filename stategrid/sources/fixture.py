@@ -32,24 +32,29 @@ def rfc3339_text(ts) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
 
 
-def _new_raw(kind: Column, eid: Column, value: Column, event_type: Column) -> Column:
-    low = value < 20
-    vtext = value.cast("string")
-    by_kind = (F.when(kind.isin(0, 2), F.when(low, "on").otherwise("off"))
-                .when(kind == 1, F.when(low, "true").otherwise("open"))
-                .when(kind == 3, F.when(low, "heat").otherwise("cool"))
-                .when(kind == 4, F.floor(value).cast("bigint").cast("string"))
-                .when(kind.isin(5, 8), vtext)
-                .when(kind == 6, F.lit("2024-01-02 03:04:05"))
-                .when(kind == 7, F.when(low, "locked").otherwise("unlocked"))
-                .when(kind == 9, F.when(low, "on").otherwise("false"))
-                .when(kind == 10, F.concat(F.lit("mode_"), event_type))
-                .otherwise(F.when(eid % 3 == 0, vtext)
-                            .when(eid % 3 == 1, "on").otherwise("idle")))
-    return (F.when(eid % 23 == 0, "unknown")
-             .when(eid % 29 == 0, "unavailable")
-             .when(eid % 31 == 0, "")
-             .otherwise(by_kind))
+# The mapping of FIXTURE rows to entity ids and state texts, as SQL (one
+# expression each, evaluated on the JVM).
+_ENTITY_SQL = ("concat(element_at(array(" + ", ".join(f"'{p}'" for p in KIND_PREFIX)
+               + "), CAST(user_id % 12 AS INT) + 1), '.u', CAST(user_id AS STRING))")
+_NEW_RAW_SQL = """
+CASE WHEN event_id % 23 = 0 THEN 'unknown'
+     WHEN event_id % 29 = 0 THEN 'unavailable'
+     WHEN event_id % 31 = 0 THEN ''
+     ELSE CASE user_id % 12
+       WHEN 0 THEN IF(value < 20, 'on', 'off')
+       WHEN 1 THEN IF(value < 20, 'true', 'open')
+       WHEN 2 THEN IF(value < 20, 'on', 'off')
+       WHEN 3 THEN IF(value < 20, 'heat', 'cool')
+       WHEN 4 THEN CAST(CAST(floor(value) AS BIGINT) AS STRING)
+       WHEN 5 THEN CAST(value AS STRING)
+       WHEN 6 THEN '2024-01-02 03:04:05'
+       WHEN 7 THEN IF(value < 20, 'locked', 'unlocked')
+       WHEN 8 THEN CAST(value AS STRING)
+       WHEN 9 THEN IF(value < 20, 'on', 'false')
+       WHEN 10 THEN concat('mode_', event_type)
+       ELSE CASE event_id % 3 WHEN 0 THEN CAST(value AS STRING) WHEN 1 THEN 'on' ELSE 'idle' END
+     END
+END"""
 
 
 def _state(entity: Column, raw: Column, ts_text: Column, reported: Column,
@@ -62,13 +67,9 @@ def _state(entity: Column, raw: Column, ts_text: Column, reported: Column,
 
 def event_frames(events: DataFrame) -> DataFrame:
     """``events`` -> decoded frames (schema ``stategrid.schema.FRAME``)."""
-    kind = F.col("user_id") % 12
-    prefixes = F.array(*[F.lit(p) for p in KIND_PREFIX])
     base = events.select(
         "event_id", "ts", "user_id", "event_type", "value", "props",
-        F.concat(F.element_at(prefixes, (kind + 1).cast("int")), F.lit(".u"),
-                 F.col("user_id").cast("string")).alias("entity"),
-        _new_raw(kind, F.col("event_id"), F.col("value"), F.col("event_type")).alias("new_raw"),
+        F.expr(_ENTITY_SQL).alias("entity"), F.expr(_NEW_RAW_SQL).alias("new_raw"),
         (F.col("event_id") % 97 == 0).alias("removed"))
     # Old state = previous new state of the entity; two-level so that a hot
     # entity is spread over its days.
