@@ -117,10 +117,22 @@ def batch_rows(df: DataFrame, key: str | None, ts: str, order: Sequence[str] | N
     else:
         seg = batch_by_count(src, "_k", ["_us", "_ord"], max_size, _day(ts)) \
             .withColumnRenamed("batch_no", "_seg")
-    seg = seg.withColumn("_rn", F.row_number().over(
-        Window.partitionBy("_k", "_seg").orderBy("_us", "_ord")))
-    cuts = (seg.select("_k", "_seg", "_rn", "_us")
-               .groupBy("_k", "_seg").applyInPandas(_cutter(max_size, wait_us), _CUT_SCHEMA))
+    w_seg = Window.partitionBy("_k", "_seg")
+    seg = seg.select("*", F.row_number().over(w_seg.orderBy("_us", "_ord")).alias("_rn"),
+                     (F.max("_us").over(w_seg) - F.min("_us").over(w_seg)).alias("_span"))
+    # Fast path in Spark: a segment shorter than max_wait is never cut by
+    # time, only by size, so its cuts are positions. Only segments spanning
+    # max_wait or more need the sequential walk in pandas.
+    walk = F.lit(False) if wait_us is None else F.col("_span") >= F.lit(wait_us)
+    local = F.floor((F.col("_rn") - 1) / F.lit(max_size)).cast("long") if max_size \
+        else F.lit(0).cast("long")
+    simple = (seg.where(~walk).select("_k", "_seg", "_rn", "_us", local.alias("_local"))
+                 .withColumn("_start_us", F.min("_us").over(
+                     Window.partitionBy("_k", "_seg", "_local")))
+                 .drop("_us"))
+    walked = (seg.where(walk).select("_k", "_seg", "_rn", "_us")
+                 .groupBy("_k", "_seg").applyInPandas(_cutter(max_size, wait_us), _CUT_SCHEMA))
+    cuts = simple.unionByName(walked)
     # Global batch number per key: batches of earlier segments + local number.
     per_seg = cuts.groupBy("_k", "_seg").agg((F.max("_local") + 1).alias("_nb"),
                                               F.min("_start_us").alias("_seg_us"))
@@ -131,7 +143,7 @@ def batch_rows(df: DataFrame, key: str | None, ts: str, order: Sequence[str] | N
         "_k", "_seg", "_rn", (F.col("_off") + F.col("_local")).alias("batch_no"),
         F.timestamp_micros("_start_us").alias("batch_start"))
     return (seg.join(numbered, ["_k", "_seg", "_rn"])
-               .drop("_k", "_seg", "_rn", "_us", "_ord"))
+               .drop("_k", "_seg", "_rn", "_us", "_ord", "_span"))
 
 
 def batch_by_wait(df: DataFrame, key: str | None, ts: str, max_wait=DEFAULT_MAX_WAIT,

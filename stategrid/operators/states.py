@@ -169,7 +169,7 @@ def _reason() -> Column:
     return out
 
 
-def with_reason(frames: DataFrame, database: str = "hass") -> DataFrame:
+def with_reason(frames: DataFrame, database: str = "home") -> DataFrame:
     """Staged frames plus ``reason`` (NULL = stored)."""
     return _stage(frames).withColumn("reason", _reason())
 
@@ -198,7 +198,7 @@ def _record(database: str, absent_ts: str) -> list[Column]:
     ]
 
 
-def to_change(df: DataFrame, database: str = "hass", absent_ts: str = "epoch") -> DataFrame:
+def to_change(df: DataFrame, database: str = "home", absent_ts: str = "epoch") -> DataFrame:
     """Project the stored record from the new state (entity id of the new state)."""
     if "_grp" not in df.columns:
         df = _stage(df)
@@ -215,7 +215,7 @@ def _rows_where(df: DataFrame, cond: Column, cols: list[Column]) -> DataFrame:
     return df.select(F.inline(F.when(cond, F.array(F.struct(*cols)))))
 
 
-def split_changes(frames: DataFrame, database: str = "hass",
+def split_changes(frames: DataFrame, database: str = "home",
                   absent_ts: str = "epoch") -> tuple[DataFrame, DataFrame]:
     """(stored changes, rejects) from one reason column.
 
@@ -230,13 +230,13 @@ def split_changes(frames: DataFrame, database: str = "hass",
     return kept, rejects
 
 
-def state_changes(frames: DataFrame, database: str = "hass",
+def state_changes(frames: DataFrame, database: str = "home",
                   absent_ts: str = "epoch") -> DataFrame:
     """The flagship operator: frames -> stored state changes."""
     return split_changes(frames, database, absent_ts)[0]
 
 
-def rejects(frames: DataFrame, database: str = "hass") -> DataFrame:
+def rejects(frames: DataFrame, database: str = "home") -> DataFrame:
     """Frames that are not stored, with the first reason that applies."""
     return split_changes(frames, database)[1]
 

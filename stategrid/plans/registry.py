@@ -17,7 +17,7 @@ from stategrid.functions.values import (
     normalize_bool, parse_ts, state_type,
 )
 from stategrid.operators import states as st
-from stategrid.session import ensure_utc
+from stategrid.session import checkpoint_dir, ensure_utc
 from stategrid.sources import fixture
 from stategrid.sources.frames import (
     decode_frames, latest_states, require_frame_id, select_events,
@@ -399,3 +399,49 @@ def q_batch_rows(spark, sf_dir):
     """Size 20 or 2 h, whichever first (no SQL oracle: golden tests)."""
     b = bt.batch_rows(events(spark, sf_dir), "event_type", "ts", ["ts", "event_id"], 20, BATCH_WAIT)
     return for_driver(b.select("event_id", "event_type", "batch_no", "batch_start"))
+
+
+# -- the pipeline's own metrics, alerts and panels ----------------------------------
+
+from stategrid.plans import alerts as al  # noqa: E402
+
+# The deployment scrapes every 30 s; the registered queries use 1 min, the
+# coarsest step that still leaves two samples in each 5 min rate window
+# (the fixture spans 30 days, so the step sets the size of every series).
+SCRAPE = "1m"
+
+
+def pipeline_samples(spark, sf_dir):
+    """Metric samples of an ingest run over the fixture frames: the job's
+    counters and batch-size histogram, batches cut like the job does
+    (per domain, 100,000 rows or 1 s).
+
+    The samples feed a dozen rule / panel branches, so the run is cut from
+    its lineage with reliable checkpoints (in ``spark.checkpoint.dir``)
+    instead of being recomputed per branch."""
+    checkpoint_dir(spark)
+    staged = st.with_reason(frames(spark, sf_dir))
+    kept = st.to_change(staged.where(F.col("reason").isNull())).checkpoint()
+    ev = staged.select("type", "event", "reason").checkpoint()
+    batches = bt.batch_rows(kept, "domain", "last_updated", ["last_updated", "seq"],
+                            100_000, "1s")
+    return al.pipeline_metrics(ev, batches, SCRAPE).checkpoint()
+
+
+@register("pipeline_metrics")
+def q_pipeline_metrics(spark, sf_dir):
+    """Per series: number of samples, first / last time and last value."""
+    s = pipeline_samples(spark, sf_dir)
+    return for_driver(s.groupBy("metric", al.series_key(F.col("labels")).alias("labels")).agg(
+        F.count(F.lit(1)).alias("samples"), F.min("ts").alias("first_ts"),
+        F.max("ts").alias("last_ts"), F.max_by("value", "ts").alias("last_value")))
+
+
+@register("alert_rules")
+def q_alert_rules(spark, sf_dir):
+    return for_driver(al.alert_rules(pipeline_samples(spark, sf_dir), SCRAPE))
+
+
+@register("panels")
+def q_panels(spark, sf_dir):
+    return for_driver(al.panels(pipeline_samples(spark, sf_dir), SCRAPE))

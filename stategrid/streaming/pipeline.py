@@ -19,7 +19,7 @@ from stategrid.sources.frames import decode_frames, event_log, read_frames
 
 
 def process_batch(frames_text: DataFrame, batch_id: int, out_root: str,
-                  database: str = "hass", absent_ts: str = "epoch") -> None:
+                  database: str = "home", absent_ts: str = "epoch") -> None:
     """One micro-batch (also usable on a static DataFrame of text frames)."""
     seq = F.lit(int(batch_id)).cast("long") * F.lit(1 << 40) + F.monotonically_increasing_id()
     frames = decode_frames(frames_text.select(F.col("raw"), seq.alias("seq")))
@@ -37,7 +37,7 @@ def process_batch(frames_text: DataFrame, batch_id: int, out_root: str,
 
 
 def stream_changes(spark: SparkSession, in_path: str, out_root: str, checkpoint: str,
-                   trigger: str = "availableNow", database: str = "hass",
+                   trigger: str = "availableNow", database: str = "home",
                    max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the continuous pipeline. ``trigger`` is 'availableNow' (drain and
     stop) or a processing-time interval such as '1 second'."""

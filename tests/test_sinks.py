@@ -55,7 +55,7 @@ def test_write_groups_idempotent_and_view(spark, tmp_dir):
     b = read_group(spark, root, "bool", months=[202408]).first()
     assert b.domain == "switch" and b.state is True and b.batch == 7 and b.received_at is not None
     assert dict(read_group(spark, root, "bigint").dtypes)["state"] == "bigint"
-    view = ensure_table(spark, "hass", "light", root)
+    view = ensure_table(spark, "home", "light", root)
     got = spark.sql(f"SELECT entity_id, state FROM {view}").collect()
     assert [(r.entity_id, r.state) for r in got] == [("light.a", "on")]
 
