@@ -66,35 +66,48 @@ def as_samples(df: DataFrame, metric: str, label_cols: Sequence[str] = (),
                      F.col(value).cast("double").alias("value"))
 
 
+_LABELS = ("operation", "status", "le")
+
+
 def pipeline_metrics(staged_frames: DataFrame, batches: DataFrame, step="30s") -> DataFrame:
     """Counters the ingest job exports, computed from what it read and wrote.
 
     ``staged_frames``: frames with ``reason`` (``operators.states.with_reason``);
     ``batches``: stored changes with ``domain``, ``batch_no``, ``batch_start``
     (``operators.batching.batch_rows``). Times are event times.
+
+    All counters come from one union of tagged rows and one
+    ``counter_samples`` over (metric, labels): one aggregate, one
+    densification and one running sum for every series together.
     """
+    def tag(df: DataFrame, t: str, metric: str, **labels) -> DataFrame:
+        return df.select(F.col(t).alias("t_obs"), F.lit(metric).alias("metric"),
+                         *[F.lit(labels.get(k, "")).alias(k) for k in _LABELS])
+
     ev = staged_frames.where(F.col("type") == "event").select(
         parse_ts(F.col("event.time_fired")).alias("t_ev"), "reason")
-    rec = ts.counter_samples(ev, "t_ev", [], step)
-    fil = ts.counter_samples(ev.where(F.col("reason") == "event_type"), "t_ev", [], step)
-    pro = ts.counter_samples(ev.where(F.col("reason").isNull()), "t_ev", [], step)
     per_batch = batches.groupBy("domain", "batch_no").agg(
         F.min("batch_start").alias("t_b"), F.count(F.lit(1)).alias("size"))
-    nb = ts.counter_samples(per_batch, "t_b", [], step)
-    ops = ts.counter_samples(per_batch.withColumn("operation", F.lit("insert"))
-                                      .withColumn("status", F.lit("success")),
-                             "t_b", ["operation", "status"], step)
-    # Batch-size histogram as cumulative bucket counters (le as a label).
     bounds = BATCH_SIZE_BOUNDS + [float("inf")]
-    sized = per_batch.withColumn("le", F.explode(F.array(*[F.lit(b) for b in bounds]))) \
-        .where(F.col("size") <= F.col("le")) \
-        .withColumn("le", F.when(F.col("le") == float("inf"), "+Inf")
-                    .otherwise(F.regexp_replace(F.col("le").cast("string"), r"\.0$", "")))
-    hist = ts.counter_samples(sized, "t_b", ["le"], step)
-    return (as_samples(rec, M_RECEIVED).unionByName(as_samples(fil, M_FILTERED))
-            .unionByName(as_samples(pro, M_PROCESSED)).unionByName(as_samples(nb, M_BATCHES))
-            .unionByName(as_samples(ops, M_DB_OPS, ["operation", "status"]))
-            .unionByName(as_samples(hist, M_BATCH_SIZE + "_bucket", ["le"])))
+    le_text = F.when(F.col("_le") == float("inf"), "+Inf") \
+        .otherwise(F.regexp_replace(F.col("_le").cast("string"), r"\.0$", ""))
+    sized = (per_batch.withColumn("_le", F.explode(F.array(*[F.lit(b) for b in bounds])))
+                      .where(F.col("size") <= F.col("_le"))
+                      .select(F.col("t_b").alias("t_obs"),
+                              F.lit(M_BATCH_SIZE + "_bucket").alias("metric"),
+                              F.lit("").alias("operation"), F.lit("").alias("status"),
+                              le_text.alias("le")))
+    rows = (tag(ev, "t_ev", M_RECEIVED)
+            .unionByName(tag(ev.where(F.col("reason") == "event_type"), "t_ev", M_FILTERED))
+            .unionByName(tag(ev.where(F.col("reason").isNull()), "t_ev", M_PROCESSED))
+            .unionByName(tag(per_batch, "t_b", M_BATCHES))
+            .unionByName(tag(per_batch, "t_b", M_DB_OPS, operation="insert", status="success"))
+            .unionByName(sized))
+    c = ts.counter_samples(rows, "t_obs", ["metric", *_LABELS], step)
+    labels = F.map_filter(F.create_map(*[x for k in _LABELS for x in (F.lit(k), F.col(k))]),
+                          lambda k, v: v != "")
+    return c.select(F.col("t").alias("ts"), "metric", labels.alias("labels"),
+                    F.col("value").cast("double").alias("value"))
 
 
 # -- PromQL building blocks over samples --------------------------------------------

@@ -420,11 +420,11 @@ def pipeline_samples(spark, sf_dir):
     its lineage with reliable checkpoints (in ``spark.checkpoint.dir``)
     instead of being recomputed per branch."""
     checkpoint_dir(spark)
-    staged = st.with_reason(frames(spark, sf_dir))
-    kept = st.to_change(staged.where(F.col("reason").isNull())).checkpoint()
-    ev = staged.select("type", "event", "reason").checkpoint()
+    staged = st.with_reason(frames(spark, sf_dir)).checkpoint()
+    kept = st.to_change(staged.where(F.col("reason").isNull()))
+    ev = staged.select("type", "event", "reason")
     batches = bt.batch_rows(kept, "domain", "last_updated", ["last_updated", "seq"],
-                            100_000, "1s")
+                            100_000, "1s").select("domain", "batch_no", "batch_start").checkpoint()
     return al.pipeline_metrics(ev, batches, SCRAPE).checkpoint()
 
 
