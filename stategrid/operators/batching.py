@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from stategrid.operators.series import micros
 from stategrid.plans.prefix import index_across, lag_across, running_sum
+from stategrid.session import materialize
 
 DEFAULT_MAX_SIZE = 100
 DEFAULT_MAX_WAIT = "60s"
@@ -120,6 +121,9 @@ def batch_rows(df: DataFrame, key: str | None, ts: str, order: Sequence[str] | N
     w_seg = Window.partitionBy("_k", "_seg")
     seg = seg.select("*", F.row_number().over(w_seg.orderBy("_us", "_ord")).alias("_rn"),
                      (F.max("_us").over(w_seg) - F.min("_us").over(w_seg)).alias("_span"))
+    # The segmented rows feed the fast path, the walk and the final join;
+    # written once so that the plan above is not re-run for each branch.
+    seg = materialize(seg, "batch-segments")
     # Fast path in Spark: a segment shorter than max_wait is never cut by
     # time, only by size, so its cuts are positions. Only segments spanning
     # max_wait or more need the sequential walk in pandas.
@@ -132,7 +136,8 @@ def batch_rows(df: DataFrame, key: str | None, ts: str, order: Sequence[str] | N
                  .drop("_us"))
     walked = (seg.where(walk).select("_k", "_seg", "_rn", "_us")
                  .groupBy("_k", "_seg").applyInPandas(_cutter(max_size, wait_us), _CUT_SCHEMA))
-    cuts = simple.unionByName(walked)
+    # Narrow (5 columns); read twice below, so written once.
+    cuts = materialize(simple.unionByName(walked), "batch-cuts")
     # Global batch number per key: batches of earlier segments + local number.
     per_seg = cuts.groupBy("_k", "_seg").agg((F.max("_local") + 1).alias("_nb"),
                                               F.min("_start_us").alias("_seg_us"))

@@ -234,44 +234,47 @@ def bucket_rates(df: DataFrame, ts: str, value: str, bounds: Sequence[float],
     return out.select(*by, _t(), "le", (F.col("value") / F.lit(div)).alias("value"))
 
 
-def bucket_quantile(hist: DataFrame, q: float, by: Sequence[str] = (), le: str = "le",
+def bucket_quantile(hist: DataFrame, q, by: Sequence[str] = (), le: str = "le",
                     value: str = "value") -> DataFrame:
-    """Quantile from cumulative buckets (one row per ``le`` incl. +Inf).
+    """Quantile(s) from cumulative buckets (one row per ``le`` incl. +Inf).
 
     rank = q * total; the first bucket whose count reaches rank is
     interpolated linearly between its lower bound (0 for the first bucket)
     and its upper bound; a rank in the +Inf bucket gives the last finite
-    bound; an empty histogram gives NULL. Groups are one histogram each
-    (a dozen rows), so the window per group is small.
+    bound; an empty histogram gives NULL. ``q`` may be a list: the
+    histogram rows are repeated per q, so every quantile comes from one pass.
+    Output: ``by..., q, value`` (``q`` only when a list is given).
+    Groups are one histogram each (a dozen rows), so the windows are small.
     """
-    w = Window.partitionBy(*by).orderBy("_le")
-    h = (hist.select(*by, F.col(le).alias("_le"), F.col(value).cast("double").alias("_c"))
-             .withColumn("_prev_le", F.lag("_le").over(w))
-             .withColumn("_prev_c", F.coalesce(F.lag("_c").over(w), F.lit(0.0)))
-             .withColumn("_total", F.max(F.when(F.col("_le") == float("inf"), F.col("_c")))
-                         .over(Window.partitionBy(*by)))
-             .withColumn("_last_finite", F.max(F.when(F.col("_le") != float("inf"), F.col("_le")))
-                         .over(Window.partitionBy(*by))))
-    rank = F.lit(q) * F.col("_total")
-    hit = h.where((F.col("_c") >= rank) & (F.col("_total") > 0))
-    first = hit.groupBy(*by).agg(F.min_by(F.struct("_le", "_prev_le", "_c", "_prev_c",
-                                                   "_total", "_last_finite"), "_le").alias("b"))
+    qs = list(q) if isinstance(q, (list, tuple)) else [q]
+    keys = [*by, "_q"]
+    w = Window.partitionBy(*keys).orderBy("_le")
+    w_all = Window.partitionBy(*keys)
+    h = (hist.select(*by, F.col(le).alias("_le"), F.col(value).cast("double").alias("_c"),
+                     F.explode(F.array(*[F.lit(float(x)) for x in qs])).alias("_q"))
+             .select("*", F.lag("_le").over(w).alias("_prev_le"),
+                     F.coalesce(F.lag("_c").over(w), F.lit(0.0)).alias("_prev_c"),
+                     F.max(F.when(F.col("_le") == float("inf"), F.col("_c"))).over(w_all)
+                     .alias("_total"),
+                     F.max(F.when(F.col("_le") != float("inf"), F.col("_le"))).over(w_all)
+                     .alias("_last_finite")))
+    hit = (F.col("_c") >= F.col("_q") * F.col("_total")) & (F.col("_total") > 0)
+    # One aggregate per histogram: the first bucket reaching the rank (NULL
+    # ordering for the others, so an empty histogram gets NULL).
+    first = h.groupBy(*keys).agg(F.min_by(
+        F.struct("_le", "_prev_le", "_c", "_prev_c", "_total", "_last_finite"),
+        F.when(hit, F.col("_le"))).alias("b"))
     lower = F.when(F.col("b._prev_le").isNull(),
                    F.when(F.col("b._le") > 0, F.lit(0.0)).otherwise(F.col("b._le"))) \
              .otherwise(F.col("b._prev_le"))
     width = F.col("b._c") - F.col("b._prev_c")
-    frac = F.when(width > 0, (F.lit(q) * F.col("b._total") - F.col("b._prev_c")) / width) \
+    frac = F.when(width > 0, (F.col("_q") * F.col("b._total") - F.col("b._prev_c")) / width) \
             .otherwise(F.lit(0.0))
     qv = (F.when(F.col("b._le") == float("inf"), F.col("b._last_finite"))
            .when(F.col("b._prev_le").isNull() & (F.col("b._le") <= 0), F.col("b._le"))
            .otherwise(lower + (F.col("b._le") - lower) * frac))
-    found = first.select(*by, qv.alias("value"))
-    # Histograms with no observations: NULL.
-    empty = (hist.groupBy(*by).agg(F.max(F.when(F.col(le) == float("inf"), F.col(value)))
-                                   .alias("_total"))
-                 .where(F.coalesce(F.col("_total"), F.lit(0)) <= 0)
-                 .select(*by, F.lit(None).cast("double").alias("value")))
-    return found.unionByName(empty)
+    cols = [*by, F.col("_q").alias("q")] if isinstance(q, (list, tuple)) else list(by)
+    return first.select(*cols, qv.alias("value"))
 
 
 # -- vector matching ------------------------------------------------------------------

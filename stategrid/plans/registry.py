@@ -255,15 +255,10 @@ def q_histogram_by(spark, sf_dir):
     return ct.histogram_by_label(events(spark, sf_dir), "value", VALUE_BOUNDS, "event_type")
 
 
-def _value_quantile(spark, sf_dir, q):
-    h = ts.bucket_rates(events(spark, sf_dir), "ts", "value", VALUE_BOUNDS, [], WINDOW, STEP)
-    return ts.bucket_quantile(h, q, by=["t"]).withColumn("q", F.lit(q))
-
-
 @register("bucket_quantile")
 def q_bucket_quantile(spark, sf_dir):
-    return for_driver(_value_quantile(spark, sf_dir, 0.95)
-                      .unionByName(_value_quantile(spark, sf_dir, 0.5)))
+    h = ts.bucket_rates(events(spark, sf_dir), "ts", "value", VALUE_BOUNDS, [], WINDOW, STEP)
+    return for_driver(ts.bucket_quantile(h, [0.95, 0.5], by=["t"]))
 
 
 def _all_and_error_rates(spark, sf_dir):

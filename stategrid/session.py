@@ -58,3 +58,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint dir for intermediate tables."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def materialize(df, name: str):
+    """Write ``df`` as a Parquet table under the shared checkpoint folder and
+    read it back: cuts the lineage (a lost executor re-reads the table
+    instead of recomputing the plan), and later narrow reads prune columns.
+    Used where one intermediate feeds several branches of a plan."""
+    import uuid
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
