@@ -158,3 +158,31 @@ def test_read_states_snapshot(spark):
     assert [(r.id, r.pos, r.entity_id, r.state) for r in states.orderBy("pos").collect()] == \
         [(5, 0, "light.a", "on"), (5, 1, "sensor.b", "3")]
     assert [(r.id, r.code) for r in failures.collect()] == [(6, "unauthorized")]
+
+
+def test_fill_defaults_and_destination_check(spark):
+    from stategrid.operators.batching import batch_by_count
+    from stategrid.operators.states import check_destination, fill_defaults, state_changes
+    df = spark.createDataFrame([(frame(state("light.a", "on", reported=False), state("light.a", "off")), 0),
+                                (frame(state("light.b", "on"), state("light.b", "off")), 1)],
+                               "raw string, seq long")
+    c = state_changes(decode_frames(df), database="home", absent_ts="null")
+    assert c.where("last_reported IS NULL").count() == 1
+    filled = fill_defaults(c).collect()
+    assert all(r.received_at is not None for r in filled)
+    assert {r.last_reported for r in filled} >= {dt.datetime(1970, 1, 1)}
+    b = batch_by_count(c, "domain", ["last_updated", "seq"], 10)
+    assert check_destination(b, "home").count() == 0          # one table, right database
+    assert check_destination(b, "other").count() == 1
+
+
+def test_event_log_lists_every_event(spark):
+    from stategrid.sources.frames import event_log
+    df = spark.createDataFrame([(SAMPLE, 0), (frame(None, state("light.a", "on"),
+                                                    event_type="call_service"), 1)],
+                               "raw string, seq long")
+    rows = {r.seq: r for r in event_log(decode_frames(df)).collect()}
+    assert rows[0].event_type == "state_changed" and rows[0].entity_id == "sensor.temperature"
+    assert rows[1].event_type == "call_service"
+    assert json.loads(rows[0].event_json)["data"]["new_state"]["state"] == "24"
+    assert "\n" in rows[0].event_json                          # indented
