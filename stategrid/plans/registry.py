@@ -440,3 +440,22 @@ def q_alert_rules(spark, sf_dir):
 @register("panels")
 def q_panels(spark, sf_dir):
     return for_driver(al.panels(pipeline_samples(spark, sf_dir), SCRAPE))
+
+
+# -- sinks and listings (rows-only: formatted text) -------------------------------------
+
+from stategrid.sinks.store import json_row_column  # noqa: E402
+from stategrid.sources.frames import event_log  # noqa: E402
+
+
+@register("json_rows")
+def q_json_rows(spark, sf_dir):
+    """Stored changes as JSON lines (an absent last_reported is left out)."""
+    c = st.state_changes(frames(spark, sf_dir), absent_ts="null")
+    return c.select("seq", json_row_column().alias("value"))
+
+
+@register("event_log")
+def q_event_log(spark, sf_dir):
+    """Every event: type, entity and the event as indented JSON."""
+    return event_log(frames(spark, sf_dir))

@@ -39,18 +39,15 @@ def with_month(df: DataFrame, ts: str = "last_updated") -> DataFrame:
     return df.withColumn("month", (F.year(c) * 100 + F.month(c)).cast("int"))
 
 
-def cluster_changes(df: DataFrame, salt_buckets: int = 1) -> DataFrame:
-    """Rows clustered by (domain, month) and sorted by (entity_id,
-    last_updated) inside each task, so each output file is ordered like the
-    store's sort key and Parquet min/max statistics skip well.
-
-    ``salt_buckets`` > 1 spreads a hot (domain, month) over that many tasks by
-    a hash of the entity id (each entity stays in one task, so the per-file
-    order is kept)."""
-    keys = [F.col("domain"), F.col("month")]
-    if salt_buckets > 1:
-        keys.append(F.pmod(F.hash("entity_id"), F.lit(salt_buckets)))
-    return df.repartition(*keys).sortWithinPartitions("entity_id", "last_updated")
+def cluster_changes(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Rows range-partitioned and sorted by (domain, month, entity_id,
+    last_updated): each output file holds a sorted slice of the store's sort
+    key, so Parquet min/max statistics skip well. Range bounds come from a
+    sample, so a hot domain - or one hot entity - is split over many tasks
+    instead of landing in one."""
+    keys = ["domain", "month", "entity_id", "last_updated"]
+    out = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    return out.sortWithinPartitions(*keys)
 
 
 def group_rows(changes: DataFrame, group: str) -> DataFrame:
@@ -66,7 +63,7 @@ def group_rows(changes: DataFrame, group: str) -> DataFrame:
 
 
 def write_changes(changes: DataFrame, root: str, batch_id: int | None = None,
-                  salt_buckets: int = 1, max_records_per_file: int = 5_000_000) -> None:
+                  partitions: int | None = None, max_records_per_file: int = 5_000_000) -> None:
     """Append stored changes to the type-group datasets under ``root``.
 
     Empty input writes nothing. The input is persisted once for the five
@@ -77,7 +74,7 @@ def write_changes(changes: DataFrame, root: str, batch_id: int | None = None,
         df = df.withColumn("received_at", F.date_trunc("millisecond", F.current_timestamp()))
     if batch_id is not None:
         df = df.withColumn("batch", F.lit(int(batch_id)).cast("long"))
-    df = cluster_changes(df, salt_buckets).persist()
+    df = cluster_changes(df, partitions).persist()
     try:
         present = {r[0] for r in df.select("type_group").distinct().collect()}  # <= 5 values
         parts = ["domain", "month"] + (["batch"] if batch_id is not None else [])
@@ -124,6 +121,11 @@ def to_json_rows(changes: DataFrame) -> DataFrame:
     """One JSON object per row (column ``value``) in the stored field order;
     nulls are written, ``last_reported`` is left out when absent. Times are
     RFC 3339 text; the state is a JSON bool / number / string by its type."""
+    return changes.select(json_row_column().alias("value"))
+
+
+def json_row_column() -> Column:
+    """The JSON line of a stored-change row (see ``to_json_rows``)."""
     grp = F.col("type_group")
 
     def typed(kind: str) -> Column:
@@ -160,7 +162,7 @@ def to_json_rows(changes: DataFrame) -> DataFrame:
         F.when(F.col("last_reported").isNotNull(),
                F.concat(F.lit(',"last_reported":'), ts("last_reported"))).otherwise(F.lit("")),
         F.lit("}"))
-    return changes.select(body.alias("value"))
+    return body
 
 
 def write_json_rows(changes: DataFrame, path: str) -> None:
