@@ -27,6 +27,7 @@ from stategrid.functions.values import (
     state_type, type_group,
 )
 from stategrid.schema import DOMAIN_PATTERN, FRAME_KINDS, STATE_CHANGED
+from stategrid.session import session_cached
 
 
 def _epoch() -> Column:
@@ -105,16 +106,13 @@ def _required_times_ok() -> Column:
 
 # -- the whole chain -----------------------------------------------------------
 
-def _stage(frames: DataFrame) -> DataFrame:
-    """Add the intermediate columns once (flat texts, domain, type group, typed
-    values) so that later rules refer to columns instead of repeating the
-    expression trees they come from."""
+@session_cached
+def _stage_columns():
+    """(flat texts, domain / blanked old text, type group, typed values)."""
     ns, os_ = new_state(), old_state()
-    s = frames.select("*", ns.entity_id.alias("_ent"), ns.state.alias("_new"),
-                      os_.state.alias("_old"))
-    s = s.withColumns({"_domain": classify_domain("_ent", "_new"),
-                       "_old_txt": blank_skipped("_old")})
-    s = s.withColumn("_grp", type_group("_domain"))
+    flat = [ns.entity_id.alias("_ent"), ns.state.alias("_new"), os_.state.alias("_old")]
+    second = {"_domain": classify_domain("_ent", "_new"), "_old_txt": blank_skipped("_old")}
+    grp_col = type_group("_domain")
     grp, new_txt, old_txt = F.col("_grp"), F.col("_new"), F.col("_old_txt")
     in_g = lambda g, c: F.when(grp == g, c)
     typed = {
@@ -129,7 +127,16 @@ def _stage(frames: DataFrame) -> DataFrame:
         "state_time": in_g("timestamp", parse_datetime_state(new_txt)),
         "old_state_time": in_g("timestamp", parse_datetime_state(old_txt)),
     }
-    return s.select("*", *[c.alias(n) for n, c in typed.items()])
+    return flat, second, grp_col, [c.alias(n) for n, c in typed.items()]
+
+
+def _stage(frames: DataFrame) -> DataFrame:
+    """Add the intermediate columns once (flat texts, domain, type group, typed
+    values) so that later rules refer to columns instead of repeating the
+    expression trees they come from."""
+    flat, second, grp_col, typed = _stage_columns()
+    s = frames.select("*", *flat).withColumns(second).withColumn("_grp", grp_col)
+    return s.select("*", *typed)
 
 
 TYPED_COLUMNS = [
@@ -139,6 +146,7 @@ TYPED_COLUMNS = [
 ]
 
 
+@session_cached
 def _reason() -> Column:
     """First rule a staged frame breaks, NULL when it is stored."""
     ns, d = new_state(), _data()
@@ -174,6 +182,7 @@ def with_reason(frames: DataFrame, database: str = "home") -> DataFrame:
     return _stage(frames).withColumn("reason", _reason())
 
 
+@session_cached
 def _record(database: str, absent_ts: str) -> list[Column]:
     """Columns of the stored record over staged frames."""
     ns = new_state()

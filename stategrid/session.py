@@ -73,3 +73,24 @@ def materialize(df, name: str):
     path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def session_cached(fn):
+    """Cache a Column-building function per Spark application.
+
+    Column expressions that refer to columns by name do not depend on a
+    DataFrame; building them costs one JVM round trip per literal and
+    operator, so rule sets are built once per application and reused."""
+    import functools
+
+    cache: dict = {}
+
+    @functools.wraps(fn)
+    def wrapper(*args):
+        from pyspark import SparkContext
+        sc = SparkContext._active_spark_context
+        key = (sc.applicationId if sc is not None else None, args)
+        if key not in cache:
+            cache[key] = fn(*args)
+        return cache[key]
+    return wrapper

@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stategrid.plans.prefix import lag_across
+from stategrid.session import session_cached
 
 # Fixture definition: entity prefix per kind (user_id % 12).
 KIND_PREFIX = ("switch", "binary_sensor", "light", "climate", "counter",
@@ -65,17 +66,8 @@ def _state(entity: Column, raw: Column, ts_text: Column, reported: Column,
                     ctx.alias("context"))
 
 
-def event_frames(events: DataFrame) -> DataFrame:
-    """``events`` -> decoded frames (schema ``stategrid.schema.FRAME``)."""
-    base = events.select(
-        "event_id", "ts", "user_id", "event_type", "value", "props",
-        F.expr(_ENTITY_SQL).alias("entity"), F.expr(_NEW_RAW_SQL).alias("new_raw"),
-        (F.col("event_id") % 97 == 0).alias("removed"))
-    # Old state = previous new state of the entity; two-level so that a hot
-    # entity is spread over its days.
-    base = lag_across(base, ["entity"], ["ts", "event_id"],
-                      F.when(~F.col("removed"), F.col("new_raw")),
-                      F.date_trunc("day", F.col("ts")), "old_raw")
+@session_cached
+def _frame_columns() -> list[Column]:
     ts_text = rfc3339_text(F.col("ts"))
     reported = F.when(F.col("event_id") % 2 == 0, ts_text)
     ctx = F.struct(F.col("event_id").cast("string").alias("id"),
@@ -92,13 +84,27 @@ def event_frames(events: DataFrame) -> DataFrame:
         ts_text.alias("time_fired"), F.lit("LOCAL").alias("origin"), ctx.alias("context"),
         F.struct(entity.alias("entity_id"), old_state.alias("old_state"),
                  new_state.alias("new_state")).alias("data"))
-    return base.select(
+    return [
         F.col("event_id").alias("seq"), F.lit(True).alias("valid"),
         F.lit("event").alias("type"), (F.col("event_id") + 1).alias("id"),
         F.lit(None).cast("boolean").alias("success"),
         F.lit(None).cast("string").alias("result"),
         F.lit(None).cast("struct<code:string,message:string>").alias("error"),
-        event.alias("event"))
+        event.alias("event")]
+
+
+def event_frames(events: DataFrame) -> DataFrame:
+    """``events`` -> decoded frames (schema ``stategrid.schema.FRAME``)."""
+    base = events.select(
+        "event_id", "ts", "user_id", "event_type", "value", "props",
+        F.expr(_ENTITY_SQL).alias("entity"), F.expr(_NEW_RAW_SQL).alias("new_raw"),
+        (F.col("event_id") % 97 == 0).alias("removed"))
+    # Old state = previous new state of the entity; two-level so that a hot
+    # entity is spread over its days.
+    base = lag_across(base, ["entity"], ["ts", "event_id"],
+                      F.when(~F.col("removed"), F.col("new_raw")),
+                      F.date_trunc("day", F.col("ts")), "old_raw")
+    return base.select(*_frame_columns())
 
 
 def event_frame_text(events: DataFrame) -> DataFrame:
