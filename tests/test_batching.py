@@ -93,3 +93,36 @@ def test_size_cut_restarts_wait(spark):
     df = rows_df(spark, list("abcde"))
     out = batch_rows(df, None, "ts", ["ts", "i"], 2, "25ms")
     assert [r.batch_no for r in out.orderBy("i").collect()] == [0, 0, 1, 1, 2]
+
+
+def _walk(rows, size, wait_us):
+    """Reference batcher: rows sorted by (ts, id); returns id -> batch number."""
+    out, anchor, count, b = {}, None, 0, -1
+    for t, i in rows:
+        if anchor is None or (size and count >= size) or (wait_us and t >= anchor + wait_us):
+            anchor, count, b = t, 0, b + 1
+        count += 1
+        out[i] = b
+    return out
+
+
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("key,size,wait", [(None, 25, "2h"), ("event_type", None, "2h"),
+                                           ("event_type", 7, "30m"), (None, None, "10m")])
+def test_batch_rows_equals_walk_on_events(spark, key, size, wait):
+    import os
+    from conftest import SF
+    from stategrid.operators.series import micros
+    ev = spark.read.parquet(os.path.join(SF["0.01"], "events.parquet"))
+    got = {(r.event_type if key else "", r.event_id): r.batch_no for r in
+           batch_rows(ev, key, "ts", ["ts", "event_id"], size, wait).collect()}
+    rows = sorted((r.event_type if key else "", r.ts, r.event_id) for r in
+                  ev.select("event_type", "ts", "event_id").collect())
+    exp = {}
+    for k in sorted({k for k, _, _ in rows}):
+        walked = _walk([(int(t.timestamp() * 1e6), i) for kk, t, i in rows if kk == k],
+                       size, micros(wait))
+        exp.update({(k, i): b for i, b in walked.items()})
+    assert got == exp
