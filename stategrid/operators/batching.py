@@ -12,9 +12,13 @@ row.
 * wait (``batch_by_wait``, ``batch_rows``): the cut points form a chain (each
   batch's end depends on where it opened). A gap >= ``max_wait`` always starts
   a new batch, so rows are first split into *segments* at such gaps (two-level
-  lag + running sum, all Spark); each (key, segment) is then cut by a
-  vectorised walk (``numpy.searchsorted``, one step per batch) in
-  ``applyInPandas``. A segment is one key's continuous busy period.
+  lag + running sum, all Spark). A segment shorter than the wait is cut by
+  position in Spark. Longer segments are walked in ``applyInPandas``
+  (``numpy.searchsorted``, one step per batch): in one task when the segment
+  holds at most ``max_segment_rows`` rows, else per (key, segment, day), each
+  day from the exit state of the day before, in rounds until no entry state
+  changes - so no group, however busy its key, is larger than that bound or
+  one day of one key.
 * no key: all rows form one stream (constant key '').
 * a row whose key is NULL cannot be routed: ``split_by_key`` returns it as an
   error row, the other rows go on.
@@ -34,6 +38,8 @@ from stategrid.session import materialize
 
 DEFAULT_MAX_SIZE = 100
 DEFAULT_MAX_WAIT = "60s"
+# A segment up to this many rows is walked in one task; larger ones by day.
+MAX_SEGMENT_ROWS = 1_000_000
 
 
 def _day(ts: str) -> Column:
@@ -92,8 +98,103 @@ _CUT_SCHEMA = T.StructType([
     T.StructField("_start_us", T.LongType())])
 
 
+CHUNK_US = 86_400 * 1_000_000          # walk long segments one day at a time
+
+_CHUNK_SCHEMA = T.StructType([
+    T.StructField("_k", T.StringType()), T.StructField("_seg", T.LongType()),
+    T.StructField("_chunk", T.LongType()), T.StructField("_rn", T.IntegerType()),
+    T.StructField("_local", T.LongType()), T.StructField("_start_us", T.LongType()),
+    T.StructField("_exit_a", T.LongType()), T.StructField("_exit_n", T.LongType()),
+    T.StructField("_nb", T.LongType())])
+
+
+def _chunk_walker(max_size: int | None, wait_us: int | None):
+    """Walk one day of a segment from an entry state (open batch anchor and
+    its row count; anchor -1 = nothing open). Rows still inside the open
+    batch get ``_local = -1``; new batches are numbered from 0. Every row
+    also carries the chunk's exit state and its number of new batches."""
+    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_rn", kind="stable")
+        t = pdf["_us"].to_numpy(np.int64)
+        n = len(t)
+        a0, c0 = int(pdf["_a0"].iloc[0]), int(pdf["_c0"].iloc[0])
+        local = np.full(n, -1, dtype=np.int64)
+        start = np.full(n, a0, dtype=np.int64)
+        i = 0
+        if a0 >= 0:
+            j = int(np.searchsorted(t, a0 + wait_us, side="left")) if wait_us is not None else n
+            if max_size is not None:
+                j = min(j, max(max_size - c0, 0))
+            i = j
+        exit_a, exit_n, b = a0, c0 + i, 0
+        while i < n:
+            j = n
+            if wait_us is not None:
+                j = int(np.searchsorted(t, t[i] + wait_us, side="left"))
+            if max_size is not None:
+                j = min(j, i + max_size)
+            local[i:j] = b
+            start[i:j] = t[i]
+            exit_a, exit_n = int(t[i]), j - i
+            b += 1
+            i = j
+        return pd.DataFrame({"_k": pdf["_k"].to_numpy(), "_seg": pdf["_seg"].to_numpy(),
+                             "_chunk": pdf["_chunk"].to_numpy(), "_rn": pdf["_rn"].to_numpy(),
+                             "_local": local, "_start_us": start, "_exit_a": exit_a,
+                             "_exit_n": exit_n, "_nb": b})
+    return walk
+
+
+def _walk_long_segments(rows: DataFrame, max_size: int | None, wait_us: int | None) -> DataFrame:
+    """Exact cuts of segments that span the wait, in parallel by day.
+
+    Round 1 walks every day from "nothing open". Each round then gives every
+    day the exit state of the previous day of its segment and walks again;
+    when no day's entry state changes the cuts are those of one sequential
+    walk. Chains from different entries merge at the first shared batch
+    start, so few rounds are needed; each round is one distributed pass.
+    Returns ``_k, _seg, _rn, _local`` (index in the segment) and ``_start_us``.
+    """
+    rows = rows.withColumn("_chunk", F.floor(F.col("_us") / F.lit(CHUNK_US)).cast("long"))
+    keys = ["_k", "_seg", "_chunk"]
+    state = rows.select(*keys).distinct().select(
+        *keys, F.lit(-1).cast("long").alias("_a0"), F.lit(0).cast("long").alias("_c0"))
+    state = materialize(state, "batch-chunk-state")
+    w_chunks = Window.partitionBy("_k", "_seg").orderBy("_chunk")
+    walker = _chunk_walker(max_size, wait_us)
+    todo = state                       # chunks to (re)walk this round
+    walked = None
+    while True:
+        fresh = (rows.join(todo, keys)
+                     .groupBy(*keys).applyInPandas(walker, _CHUNK_SCHEMA))
+        if walked is not None:         # keep the chunks whose entry did not change
+            fresh = walked.join(todo.select(*keys), keys, "left_anti").unionByName(fresh)
+        walked = materialize(fresh, "batch-chunk-walk")
+        exits = walked.groupBy(*keys).agg(F.first("_exit_a").alias("_exit_a"),
+                                          F.first("_exit_n").alias("_exit_n"),
+                                          F.first("_nb").alias("_nb"))
+        new_state = exits.select(
+            *keys, F.coalesce(F.lag("_exit_a").over(w_chunks), F.lit(-1)).alias("_a0"),
+            F.coalesce(F.lag("_exit_n").over(w_chunks), F.lit(0)).alias("_c0"))
+        todo = materialize(
+            new_state.join(state.withColumnsRenamed({"_a0": "_pa", "_c0": "_pc"}), keys)
+                     .where((F.col("_a0") != F.col("_pa")) | (F.col("_c0") != F.col("_pc")))
+                     .select(*keys, "_a0", "_c0"), "batch-chunk-todo")
+        if todo.isEmpty():
+            break
+        state = materialize(new_state, "batch-chunk-state")
+    # Number batches inside the segment: new batches of earlier days first.
+    offs = exits.select(*keys, F.coalesce(F.sum("_nb").over(
+        w_chunks.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    local = F.when(F.col("_local") >= 0, F.col("_off") + F.col("_local")) \
+             .otherwise(F.col("_off") - 1)
+    return walked.join(offs, keys).select("_k", "_seg", "_rn", local.alias("_local"),
+                                          "_start_us")
+
+
 def batch_rows(df: DataFrame, key: str | None, ts: str, order: Sequence[str] | None = None,
-               max_size: int | None = DEFAULT_MAX_SIZE, max_wait=DEFAULT_MAX_WAIT) -> DataFrame:
+               max_size: int | None = DEFAULT_MAX_SIZE, max_wait=DEFAULT_MAX_WAIT,
+               max_segment_rows: int = MAX_SEGMENT_ROWS) -> DataFrame:
     """Batches closed by size or by wait, whichever comes first.
 
     ``order`` (default: ``ts``) must order the rows of a key totally; rows are
@@ -120,7 +221,8 @@ def batch_rows(df: DataFrame, key: str | None, ts: str, order: Sequence[str] | N
             .withColumnRenamed("batch_no", "_seg")
     w_seg = Window.partitionBy("_k", "_seg")
     seg = seg.select("*", F.row_number().over(w_seg.orderBy("_us", "_ord")).alias("_rn"),
-                     (F.max("_us").over(w_seg) - F.min("_us").over(w_seg)).alias("_span"))
+                     (F.max("_us").over(w_seg) - F.min("_us").over(w_seg)).alias("_span"),
+                     F.count(F.lit(1)).over(w_seg).alias("_rows"))
     # The segmented rows feed the fast path, the walk and the final join;
     # written once so that the plan above is not re-run for each branch.
     seg = materialize(seg, "batch-segments")
@@ -134,8 +236,12 @@ def batch_rows(df: DataFrame, key: str | None, ts: str, order: Sequence[str] | N
                  .withColumn("_start_us", F.min("_us").over(
                      Window.partitionBy("_k", "_seg", "_local")))
                  .drop("_us"))
-    walked = (seg.where(walk).select("_k", "_seg", "_rn", "_us")
-                 .groupBy("_k", "_seg").applyInPandas(_cutter(max_size, wait_us), _CUT_SCHEMA))
+    big = F.col("_rows") > F.lit(max_segment_rows)
+    one_task = (seg.where(walk & ~big).select("_k", "_seg", "_rn", "_us")
+                   .groupBy("_k", "_seg").applyInPandas(_cutter(max_size, wait_us), _CUT_SCHEMA))
+    by_day = _walk_long_segments(seg.where(walk & big).select("_k", "_seg", "_rn", "_us"),
+                                 max_size, wait_us)
+    walked = one_task.unionByName(by_day)
     # Narrow (5 columns); read twice below, so written once.
     cuts = materialize(simple.unionByName(walked), "batch-cuts")
     # Global batch number per key: batches of earlier segments + local number.
@@ -148,7 +254,7 @@ def batch_rows(df: DataFrame, key: str | None, ts: str, order: Sequence[str] | N
         "_k", "_seg", "_rn", (F.col("_off") + F.col("_local")).alias("batch_no"),
         F.timestamp_micros("_start_us").alias("batch_start"))
     return (seg.join(numbered, ["_k", "_seg", "_rn"])
-               .drop("_k", "_seg", "_rn", "_us", "_ord", "_span"))
+               .drop("_k", "_seg", "_rn", "_us", "_ord", "_span", "_rows"))
 
 
 def batch_by_wait(df: DataFrame, key: str | None, ts: str, max_wait=DEFAULT_MAX_WAIT,

@@ -109,15 +109,17 @@ def _walk(rows, size, wait_us):
 import pytest  # noqa: E402
 
 
-@pytest.mark.parametrize("key,size,wait", [(None, 25, "2h"), ("event_type", None, "2h"),
-                                           ("event_type", 7, "30m"), (None, None, "10m")])
-def test_batch_rows_equals_walk_on_events(spark, key, size, wait):
+@pytest.mark.parametrize("key,size,wait,seg_rows", [
+    (None, 25, "2h", 1_000_000), ("event_type", None, "2h", 1_000_000),
+    ("event_type", 7, "30m", 1), (None, None, "10m", 1), (None, 25, "2h", 1)])
+def test_batch_rows_equals_walk_on_events(spark, key, size, wait, seg_rows):
+    # seg_rows = 1 sends every long segment through the by-day rounds
     import os
     from conftest import SF
     from stategrid.operators.series import micros
     ev = spark.read.parquet(os.path.join(SF["0.01"], "events.parquet"))
     got = {(r.event_type if key else "", r.event_id): r.batch_no for r in
-           batch_rows(ev, key, "ts", ["ts", "event_id"], size, wait).collect()}
+           batch_rows(ev, key, "ts", ["ts", "event_id"], size, wait, seg_rows).collect()}
     rows = sorted((r.event_type if key else "", r.ts, r.event_id) for r in
                   ev.select("event_type", "ts", "event_id").collect())
     exp = {}
