@@ -239,9 +239,9 @@ def batch_rows(df: DataFrame, key: str | None, ts: str, order: Sequence[str] | N
     big = F.col("_rows") > F.lit(max_segment_rows)
     one_task = (seg.where(walk & ~big).select("_k", "_seg", "_rn", "_us")
                    .groupBy("_k", "_seg").applyInPandas(_cutter(max_size, wait_us), _CUT_SCHEMA))
-    by_day = _walk_long_segments(seg.where(walk & big).select("_k", "_seg", "_rn", "_us"),
-                                 max_size, wait_us)
-    walked = one_task.unionByName(by_day)
+    big_rows = seg.where(walk & big).select("_k", "_seg", "_rn", "_us")
+    walked = one_task if big_rows.isEmpty() else \
+        one_task.unionByName(_walk_long_segments(big_rows, max_size, wait_us))
     # Narrow (5 columns); read twice below, so written once.
     cuts = materialize(simple.unionByName(walked), "batch-cuts")
     # Global batch number per key: batches of earlier segments + local number.
