@@ -37,8 +37,7 @@ def main():
         print(f"{name:26s} exchanges={count(r'Exchange hashpartitioning|Exchange SinglePartition|Exchange rangepartitioning'):2d} "
               f"broadcasts={count(r'BroadcastExchange'):2d} reused={count(r'ReusedExchange'):2d} "
               f"scans={count(r'FileScan parquet'):2d} smj={count(r'SortMergeJoin'):2d} "
-              f"bhj={count(r'BroadcastHashJoin'):2d} python={count(r'FlatMapGroupsInPandas|ArrowEvalPython'):2d} "
-              f"codegen_stages={count(r'WholeStageCodegen|\\*\\(\\d+\\)'):2d}")
+              f"bhj={count(r'BroadcastHashJoin'):2d} python={count(r'FlatMapGroupsInPandas|ArrowEvalPython'):2d}")
 
 
 if __name__ == "__main__":
