@@ -62,3 +62,15 @@ def test_batch_stream_equals_batch(spark, tmp_dir):
         sizes[(k, b)] = sizes.get((k, b), 0) + 1
     for r in closes:
         assert sizes[(r.key, r.batch_no)] == r.size
+
+
+def test_dump_events_console_stream(spark, tmp_dir):
+    from stategrid.streaming.pipeline import dump_events
+    from frames import SAMPLE, frame, state
+    src = f"{tmp_dir}/dump"
+    spark.createDataFrame([(SAMPLE,), (frame(state("light.a", "on"), None),)], "value string") \
+        .coalesce(1).write.text(src)
+    q = dump_events(spark, src, f"{tmp_dir}/dump_ckpt")
+    q.awaitTermination(120)
+    assert q.exception() is None
+    assert q.lastProgress["numInputRows"] == 2
