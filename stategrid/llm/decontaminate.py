@@ -75,10 +75,10 @@ def window_hashes(th: Column, size: int) -> Column:
     return build(None, 0, th, 1, size)
 
 
-def windows(text: Column, sizes: list[int]) -> Column:
+def windows(templates: Column, sizes: list[int]) -> Column:
     """array<struct<size, hs>>: of each of ``sizes`` the hashes of all windows
-    of so many template tokens of a text, in order."""
-    return let(token_hashes(tokens(text, False)), lambda th: F.array(*[
+    of so many template tokens, in order."""
+    return let(token_hashes(templates), lambda th: F.array(*[
         F.struct(F.lit(s).alias("size"), window_hashes(th, s).alias("hs")) for s in sizes]))
 
 
@@ -88,17 +88,24 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, literals: int
     item, a row for each such document id and item."""
     own_items = benchmark.where(F.col("item_id").isNotNull()).select(
         F.col("item_id").cast("long").alias("item_id"), "text").distinct()
-    tpl = tokens(F.col("text"), False)
-    items = materialize(own_items.select(
-        "item_id", "text", F.xxhash64("item_id", "text").alias("item_row"), tpl.alias("tpl"),
-        tokens(F.col("text"), True).alias("item_values"),
-        F.least(F.lit(window), F.size(tpl)).alias("size"))
+    # an item also stands inside sentences, where its first word looks like a name
+    def tokenised(inside: bool, values: bool) -> Column:
+        if not inside:
+            return tokens(F.col("text"), values)
+        return let(tokens(F.concat(F.lit("a "), "text"), values),
+                   lambda t: F.slice(t, 2, F.greatest(F.size(t) - 1, F.lit(0))))
+    both = own_items.select("item_id", F.explode(F.array(*[F.struct(
+        F.lit(i).alias("inside"), tokenised(i, False).alias("tpl"),
+        tokenised(i, True).alias("item_values")) for i in (False, True)])).alias("x"), "text")
+    items = materialize(both.select(
+        "item_id", F.xxhash64("item_id", "text", "x.inside").alias("item_row"), "x.tpl",
+        "x.item_values", F.least(F.lit(window), F.size("x.tpl")).alias("size"))
         .where(F.col("size") >= literals), "items")
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect())  # at most ``window``
     part = F.slice("tpl", F.col("item_at") + 1, F.col("size"))
     flat = materialize(
         items.select("item_id", "item_row", "tpl", F.col("size").alias("own_size"),
-                     F.inline(windows(F.col("text"), sizes or [window])))
+                     F.inline(windows(F.col("tpl"), sizes or [window])))
         .where(F.col("size") == F.col("own_size"))
         .select("item_id", "item_row", "tpl", "size", F.posexplode("hs").alias("item_at", "h"))
         .where(F.size(F.filter(part, lambda t: ~F.startswith(t, F.lit(MARK)))) >= literals)
@@ -107,7 +114,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, literals: int
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     t1, t2 = key128(F.coalesce("text", F.lit("")))
     found = own.select("doc_id", t1.alias("t1"), t2.alias("t2"),
-                       F.inline(windows(F.col("text"), sizes or [window]))).select(
+                       F.inline(windows(tokens(F.col("text"), False),
+                                        sizes or [window]))).select(
         "doc_id", "t1", "t2", "size", F.posexplode("hs").alias("at", "h"))
     small = n <= MAX_BROADCAST
     hits = materialize(

@@ -3,9 +3,9 @@
 Documents of equal text are linked. The state of the propagation is the table
 of cells ``(group, shard, documents)`` - members of a group in one shard are
 alike - so a group of any size is at most one row per shard. It starts evenly
-dealt; in every round a group's documents move towards the shard where most of
-them are, as far as the quota of that shard (its capacity less what it holds)
-allows; the quota is dealt to buckets of groups by what they ask for, so no
+dealt; in every round a group's documents move from shards where it is weaker to
+the shard that can take in most of them, as far as the quota of that shard (its
+capacity less what it holds) allows; the quota is dealt to buckets of groups by what they ask for, so no
 task sees all movers. Rounds end when nothing moves, or after ``rounds``. At
 last the unlinked documents fill the shards up, so that shard counts differ by
 one at most (law ``rows``).
@@ -42,14 +42,19 @@ def propagate(cells: DataFrame, capacity: dict[int, int], shards: int, rounds: i
                 cells.groupBy("shard").agg(F.sum("docs").alias("n")).collect()}  # a row per shard
         free = {s: capacity[s] - held.get(s, 0) for s in range(shards)}
         room = _by_shard(free, shards, F.col("shard"))
-        # where a group wants to be: most of its documents, among the shards that have
-        # room for more - or that hold it whole already
-        best = (cells.where((room > 0) | (F.col("docs") == F.col("members")))
-                .groupBy(*G).agg(F.max(F.struct("docs", room.alias("room"), "shard")).alias("w"))
+        # where a group wants to be: the shard that can take in most of its documents from
+        # shards where it is weaker
+        weaker = Window.partitionBy(*G).orderBy("docs", "shard").rowsBetween(
+            Window.unboundedPreceding, -1)
+        able = cells.withColumn("able", F.least(room, F.coalesce(F.sum("docs").over(weaker),
+                                                                 F.lit(0))))
+        best = (able.where("able > 0").groupBy(*G).agg(F.max(F.struct("able", "docs", "shard"))
+                                                       .alias("w"))
                 .select(*G, F.col("w.shard").alias("want"), F.col("w.docs").alias("strong")))
         asks = (cells.join(best, G, "left")
-                .withColumn("moves", F.coalesce((F.col("shard") != F.col("want"))
-                                                & (F.col("docs") <= F.col("strong")), F.lit(False)))
+                .withColumn("moves", F.coalesce(F.struct("docs", "shard") < F.struct(
+                    F.col("strong").alias("docs"), F.col("want").alias("shard")), F.lit(False))
+                    & F.col("want").isNotNull())
                 .withColumn("bucket", F.pmod(F.xxhash64(*G), F.lit(buckets)).cast("int")))
         asked = (asks.where("moves").groupBy("want", "bucket").agg(F.sum("docs").alias("n")))
         total = asked.groupBy("want").agg(F.sum("n").alias("total"))

@@ -118,7 +118,7 @@ def train(docs: DataFrame, labels: DataFrame, keep=lambda i: F.lit(True), label:
 
 class Scorer:
     def __init__(self, model: dict[str, float]):
-        self.model, self.bias, self.known = model, model.get("", -50.0), {}
+        self.model, self.bias, self.known = model, model.get("", -np.inf), {}
 
     def weight(self, word: str) -> float:
         w = self.known.get(word)

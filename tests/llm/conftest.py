@@ -1,0 +1,17 @@
+import duckdb
+import pytest
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def duck():
+    con = duckdb.connect()
+    for t in ("documents", "embeddings", "benchmark", "labels", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    return con
+
+
+@pytest.fixture(scope="session")
+def texts(duck):
+    return dict(duck.execute("SELECT doc_id, text FROM documents").fetchall())
