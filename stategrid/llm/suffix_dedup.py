@@ -12,8 +12,8 @@ its contexts into one string and builds its suffix array
 are sorted by induction and named, the reduced string is sorted recursively,
 all suffixes are induced from it, and permuted common prefixes tell which
 neighbours agree in ``length`` bytes. Suffixes that agree so and lie at the
-same distance from their anchors are repeats. Hashes decide what meets, bytes
-decide what goes.
+same distance from their anchors are repeats. The hashes of grams only decide
+what meets; equal texts and equal contexts are told by 128-bit hashes.
 
 Copies of a text are collapsed before (copies of ``length`` bytes or more go
 whole), equal contexts are collapsed before the shards. An anchor with more
@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,8 +36,8 @@ from stategrid.llm.common import key128
 from stategrid.llm.suffix_array import common_prefixes, suffix_array
 from stategrid.session import materialize
 
-GRAM = 64
-SHARD_BYTES = 3_000_000
+GRAM = 80
+SHARD_BYTES = 2_000_000
 HOT = 20_000
 T, C = ["t1", "t2"], ["c1", "c2"]
 
@@ -48,10 +49,11 @@ def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     h, width = data.astype(np.uint64) + np.uint64(1), 1
     factor = np.uint64(0x9E3779B97F4A7C15)
-    while width < GRAM:             # hashes of 2, 4, 8 ... bytes from two halves
-        h = (h[:-width] * factor + h[width:]) * np.uint64(0xBF58476D1CE4E5B9)
+    while width < GRAM:             # hashes of 2, 4, 8 ... bytes from two parts
+        step = min(width, GRAM - width)
+        h = (h[:-step] * factor + h[step:]) * np.uint64(0xBF58476D1CE4E5B9)
         h ^= h >> np.uint64(29)
-        width *= 2
+        width += step
     span = length - GRAM + 1
     low = _sliding(h, span, np.minimum)
     rim = np.zeros(span - 1, np.uint64)
@@ -81,7 +83,8 @@ def _anchor_rows(length: int):
     return run
 
 
-def _context_rows(length: int):
+def _found_rows(length: int):
+    """The different contexts of each text, without their bytes."""
     def run(batches):
         for b in batches:
             out = []
@@ -91,15 +94,30 @@ def _context_rows(length: int):
                     p = x["p"]
                     a = max(0, p - (length - GRAM))
                     made.setdefault((x["h"], p - a, data[a:p + length]), []).append(p)
-                out += [(t1, t2, n, h, left, c, ps) for (h, left, c), ps in made.items()]
-                if len(out) > 20_000:
-                    yield pd.DataFrame(out, columns=_CONTEXT)
-                    out = []
-            yield pd.DataFrame(out, columns=_CONTEXT)
+                out += [(t1, t2, n, h, left, len(c), ps, xxhash.xxh64_intdigest(c, h & _LOW),
+                         xxhash.xxh64_intdigest(c, (h ^ left) & _LOW)) for (h, left, c), ps
+                        in made.items()]
+            out = pd.DataFrame(out, columns=["t1", "t2", "n", "h", "left", "size", "places", *C])
+            yield out.astype({"c1": "uint64", "c2": "uint64"}).astype({"c1": "int64", "c2": "int64"})
     return run
 
 
-_CONTEXT = ["t1", "t2", "n", "h", "left", "context", "places"]
+_LOW = (1 << 63) - 1
+_FOUND = ("t1 long, t2 long, n long, h long, left int, size int, places array<int>, c1 long, "
+          "c2 long")
+
+
+def _context_rows(batches):
+    for b in batches:
+        out = []
+        for text, at in zip(b["text"], b["at"]):
+            data = text.encode("utf-8", "surrogatepass")
+            out += [(x["h"], x["left"], x["weight"], x["c1"], x["c2"],
+                     data[x["p"] - x["left"]:x["p"] - x["left"] + x["size"]]) for x in at]
+        yield pd.DataFrame(out, columns=["h", "left", "weight", "c1", "c2", "context"])
+
+
+_CONTEXT = "h long, left int, weight long, c1 long, c2 long, context binary"
 
 
 def repeated_parts(contexts: list[bytes], left: np.ndarray, weight: np.ndarray,
@@ -214,31 +232,41 @@ def changed_texts(docs: DataFrame, length: int = 200, hot: int = HOT,
     texts = materialize(
         own.join(some, (F.col("t1") == F.col("k1")) & (F.col("t2") == F.col("k2"))
                  & F.col("doc_id").eqNullSafe(F.col("rep"))).select(*T, "n", "text", "at"), "texts")
-    found = texts.mapInPandas(
-        _context_rows(length), "t1 long, t2 long, n long, h long, left int, context binary, "
-                               "places array<int>")
-    c1, c2 = F.xxhash64("h", "left", "context"), F.xxhash64(F.lit(1), "h", "left", "context")
-    found = materialize(found.select(*T, "n", "h", "left", "context", "places", c1.alias("c1"),
-                                     c2.alias("c2")), "contexts")
-    contexts = found.groupBy("h", "left", "context").agg(
-        F.sum(F.col("n") * F.size("places")).alias("weight")).select(
-        "h", "left", "context", "weight", c1.alias("c1"), c2.alias("c2"))
-    many = (found.groupBy("h").agg(F.count("*").alias("m")).where(F.col("m") > hot)).select("h")
-    reach = 2 * length - GRAM
-    shards = max(1, -(-found.count() * reach // shard_bytes))
-    array_rows = contexts
-    some_hot = bool(many.limit(1).count())
-    if some_hot:
-        many = materialize(many, "hot")
-        array_rows = contexts.join(many, "h", "left_anti")
-    parts = (array_rows.withColumn("shard", F.pmod(F.xxhash64(F.col("h")), F.lit(shards)))
+    found = materialize(texts.mapInPandas(_found_rows(length), _FOUND), "contexts")
+    # an anchor whose contexts are all equal has nothing to be sorted against
+    kinds = materialize(found.groupBy("h").agg(
+        F.count("*").alias("m"), F.sum(F.col("n") * F.size("places")).alias("weight"),
+        ((F.min("c1") == F.max("c1")) & (F.min("c2") == F.max("c2"))).alias("alike")), "kinds")
+    alike = kinds.where("alike and weight > 1").select("h")
+    mixed = kinds.where("not alike")
+    n_mixed, most = mixed.agg(F.coalesce(F.sum("m"), F.lit(0)), F.coalesce(F.max("m"), F.lit(0))
+                              ).first()
+
+    def contexts(of: DataFrame) -> DataFrame:
+        """Each different context once, with its bytes."""
+        once = (found.join(of.select("h"), "h").groupBy("h", "left", *C)
+                .agg(F.sum(F.col("n") * F.size("places")).alias("weight"), F.min(F.struct(
+                    *T, F.col("places")[0].alias("p"), "size")).alias("rep")))
+        at = (once.groupBy(F.col("rep.t1").alias("t1"), F.col("rep.t2").alias("t2"))
+              .agg(F.collect_list(F.struct("h", "left", "weight", *C, "rep.p", "rep.size"))
+                   .alias("at")))
+        return texts.select(*T, "text").join(at, T).select("text", "at").mapInPandas(
+            _context_rows, _CONTEXT)
+
+    shards = max(1, -(-n_mixed * (2 * length - GRAM) // shard_bytes))
+    parts = (contexts(mixed.where(F.col("m") <= hot))
+             .withColumn("shard", F.pmod(F.xxhash64(F.col("h")), F.lit(shards)))
              .groupBy("shard").applyInPandas(
                  _shard_rows(length), "c1 long, c2 long, lo long, hi long"))
-    if some_hot:
-        parts = parts.unionByName(_hot_parts(contexts.join(many, "h", "left_semi"), length).select(
+    if most > hot:
+        parts = parts.unionByName(_hot_parts(contexts(mixed.where(F.col("m") > hot)), length).select(
             *C, F.col("lo").cast("long").alias("lo"), F.col("hi").cast("long").alias("hi")))
-    single = found.where("n = 1").select(*T, "places", *C).join(parts, C).select(
-        *T, F.explode("places").alias("p"), "lo", "hi")
+    mine = found.where("n = 1")
+    covered = mine.join(alike, "h", "left_semi").select(
+        *T, F.explode("places").alias("p"), (-F.col("left")).cast("long").alias("lo"),
+        (F.col("size") - F.col("left")).cast("long").alias("hi"))
+    single = mine.select(*T, "places", *C).join(parts, C).select(
+        *T, F.explode("places").alias("p"), "lo", "hi").unionByName(covered)
     spans = single.groupBy(*T).agg(F.collect_list(F.struct(
         (F.col("p") + F.col("lo")).alias("a"), (F.col("p") + F.col("hi")).alias("b"))).alias("parts"))
     cut = (texts.where("n = 1").select(*T, "text").join(spans, T)
