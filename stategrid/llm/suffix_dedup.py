@@ -175,8 +175,9 @@ def _hot_parts(contexts: DataFrame, length: int) -> DataFrame:
                 s2.alias("s2")))
     twice = (each.groupBy("h", "lo", "s1", "s2").agg(F.sum("weight").alias("w"))
              .where("w > 1").drop("w"))
-    return each.join(twice, ["h", "lo", "s1", "s2"]).select(
-        *C, "lo", (F.col("lo") + length).alias("hi"))
+    # the strings of a context all hold its anchor, so what they cover is one run
+    return each.join(twice, ["h", "lo", "s1", "s2"]).groupBy(*C).agg(
+        F.min("lo").alias("lo"), (F.max("lo") + length).alias("hi"))
 
 
 def _keep_rows(batches):
@@ -233,10 +234,12 @@ def changed_texts(docs: DataFrame, length: int = 200, hot: int = HOT,
         own.join(some, (F.col("t1") == F.col("k1")) & (F.col("t2") == F.col("k2"))
                  & F.col("doc_id").eqNullSafe(F.col("rep"))).select(*T, "n", "text", "at"), "texts")
     found = materialize(texts.mapInPandas(_found_rows(length), _FOUND), "contexts")
+    once = materialize(found.groupBy("h", "left", *C).agg(
+        F.sum(F.col("n") * F.size("places")).alias("weight"),
+        F.min(F.struct(*T, F.col("places")[0].alias("p"), "size")).alias("rep")), "different")
     # an anchor whose contexts are all equal has nothing to be sorted against
-    kinds = materialize(found.groupBy("h").agg(
-        F.count("*").alias("m"), F.sum(F.col("n") * F.size("places")).alias("weight"),
-        ((F.min("c1") == F.max("c1")) & (F.min("c2") == F.max("c2"))).alias("alike")), "kinds")
+    kinds = materialize(once.groupBy("h").agg(F.count("*").alias("m"), F.sum("weight").alias(
+        "weight")).withColumn("alike", F.col("m") == 1), "kinds")
     alike = kinds.where("alike and weight > 1").select("h")
     mixed = kinds.where("not alike")
     n_mixed, most = mixed.agg(F.coalesce(F.sum("m"), F.lit(0)), F.coalesce(F.max("m"), F.lit(0))
@@ -244,10 +247,7 @@ def changed_texts(docs: DataFrame, length: int = 200, hot: int = HOT,
 
     def contexts(of: DataFrame) -> DataFrame:
         """Each different context once, with its bytes."""
-        once = (found.join(of.select("h"), "h").groupBy("h", "left", *C)
-                .agg(F.sum(F.col("n") * F.size("places")).alias("weight"), F.min(F.struct(
-                    *T, F.col("places")[0].alias("p"), "size")).alias("rep")))
-        at = (once.groupBy(F.col("rep.t1").alias("t1"), F.col("rep.t2").alias("t2"))
+        at = (once.join(of.select("h"), "h").groupBy(F.col("rep.t1").alias("t1"), F.col("rep.t2").alias("t2"))
               .agg(F.collect_list(F.struct("h", "left", "weight", *C, "rep.p", "rep.size"))
                    .alias("at")))
         return texts.select(*T, "text").join(at, T).select("text", "at").mapInPandas(
