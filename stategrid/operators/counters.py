@@ -7,17 +7,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stategrid.operators.series import histogram
 from stategrid.schema import REJECT_REASONS
 
 
+#: Reasons of frames that never reach the received counter.
+NOT_RECEIVED = ["bad_frame", "unknown_type", "not_event", "no_id"]
+
+
+def is_received() -> Column:
+    """Event frames that decode and carry an id (columns ``type``, ``reason``)."""
+    return (F.col("type") == "event") & ~F.coalesce(F.col("reason").isin(NOT_RECEIVED),
+                                                    F.lit(False))
+
+
 def ingest_counters(staged: DataFrame) -> DataFrame:
     """received, filtered, processed and rejected-by-reason from frames that
     carry ``reason`` (``operators.states.with_reason``): one aggregate pass,
     long output ``(counter, value)``."""
-    is_event = F.col("type") == "event"
+    is_event = is_received()
     r = F.col("reason")
     aggs = [F.count_if(is_event).alias("received"),
             F.count_if(is_event & (r == "event_type")).alias("filtered"),

@@ -310,14 +310,15 @@ def alert(cond_true: DataFrame, hold, step, by: Sequence[str] = (), t: str = "t"
     """Alert state per step from the steps where the condition holds.
 
     ``cond_true`` has one row per (series, step) where the condition is true;
-    a missing step is false and resets the hold. Consecutive true steps form
+    rows that repeat one count once; a missing step is false and resets the
+    hold. Consecutive true steps form
     an island (gaps-and-islands: step index minus row number is constant);
     a step is ``firing`` once ``t - island start >= hold``, else ``pending``.
     Output: ``by..., t, state, active_since``.
     """
     s, h = seconds(step), seconds(hold)
     w = Window.partitionBy(*by).orderBy("_ts")
-    x = (cond_true.select(*by, F.unix_seconds(F.col(t).cast("timestamp")).alias("_ts"))
+    x = (cond_true.select(*by, F.unix_seconds(F.col(t).cast("timestamp")).alias("_ts")).distinct()
                   .withColumn("_isl", (F.col("_ts") / F.lit(s)).cast("long") - F.row_number().over(w)))
     x = x.withColumn("_since", F.min("_ts").over(Window.partitionBy(*by, "_isl")))
     state = F.when(F.col("_ts") - F.col("_since") >= F.lit(h), "firing").otherwise("pending")

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stategrid.functions.values import parse_ts
+from stategrid.operators.counters import is_received
 from stategrid.operators import series as ts
 
 # ---------------------------------------------------------------------------
@@ -84,7 +85,7 @@ def pipeline_metrics(staged_frames: DataFrame, batches: DataFrame, step="30s") -
         return df.select(F.col(t).alias("t_obs"), F.lit(metric).alias("metric"),
                          *[F.lit(labels.get(k, "")).alias(k) for k in _LABELS])
 
-    ev = staged_frames.where(F.col("type") == "event").select(
+    ev = staged_frames.where(is_received()).select(
         parse_ts(F.col("event.time_fired")).alias("t_ev"), "reason")
     per_batch = batches.groupBy("domain", "batch_no").agg(
         F.min("batch_start").alias("t_b"), F.count(F.lit(1)).alias("size"))
@@ -168,8 +169,8 @@ def alert_rules(samples: DataFrame, step="30s", replicas: int = 1,
 
     running = total(instant(samples, "kube_pod_container_status_running", step, container=container))
     add("PodNotRunning", ts.compare(running, "<", float(replicas)))
-    down = ts.compare(instant(samples, M_SOURCE_UP, step), "==", 0.0).unionByName(
-        ts.compare(instant(samples, M_STORE_UP, step), "==", 0.0))
+    down = ts.vector_or(ts.compare(instant(samples, M_SOURCE_UP, step), "==", 0.0),
+                        ts.compare(instant(samples, M_STORE_UP, step), "==", 0.0), ["sk", "t"])
     add("ConnectionDown", down)
     add("NoEventsReceived", ts.compare(rate(samples, M_RECEIVED, "30m", step), "==", 0.0))
     share = ts.vector_binary(rate(samples, M_FILTERED, "5m", step).select("sk", "t", "value"),

@@ -49,7 +49,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
         master = spark.sparkContext.master or ""
-        if not master.startswith("local"):
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder of the cluster")
         d = tempfile.mkdtemp(prefix="stategrid-ckpt-")      # local runs and tests only
         spark.conf.set("spark.checkpoint.dir", d)
