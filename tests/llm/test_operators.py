@@ -7,6 +7,7 @@ import math
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -24,6 +25,19 @@ DOC = ("doc_id long, text string, lang string, source string, n_chars long, n lo
 TOKENIZER = __import__("public_tokenizers").path("word_bpe_49k.json")
 
 
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for t in ("documents", "embeddings", "benchmark", "labels", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    return con
+
+
+@pytest.fixture(scope="module")
+def texts(duck):
+    return dict(duck.execute("SELECT doc_id, text FROM documents").fetchall())
+
+
 def docs(spark, rows):
     """rows (doc_id, text), with extra columns whose names operators use inside."""
     return spark.createDataFrame([(i, t, None, None, None, 1, "x", "y", "z", "s")
