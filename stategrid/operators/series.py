@@ -348,15 +348,13 @@ def value_text(value, mapping: dict = {0: "Disconnected", 1: "Connected"}) -> Co
 
 def time_range(df: DataFrame, ts: str, last="6h", now=None) -> DataFrame:
     """Rows with ts in (now - last, now]; ``now`` defaults to the latest ts
-    (a scalar aggregate joined back, no collect to the driver)."""
-    us = seconds(last) * 1_000_000
+    (a scalar subquery: one value, evaluated once, no join). The bare column
+    is compared in its own type, so the filter reaches the scan."""
+    span = F.expr(f"INTERVAL {seconds(last)} SECONDS")
     if now is not None:
         end = F.lit(now).cast("timestamp")
-        return df.where((F.col(ts) > end - F.expr(f"INTERVAL {seconds(last)} SECONDS"))
-                        & (F.col(ts) <= end))
-    # Latest time as a scalar subquery: one value, evaluated once, no join.
-    mx = df.select(F.max(F.unix_micros(F.col(ts).cast("timestamp")))).scalar()
-    return df.where(F.unix_micros(F.col(ts).cast("timestamp")) > mx - F.lit(us))
+        return df.where((F.col(ts) > end - span) & (F.col(ts) <= end))
+    return df.where(F.col(ts) > df.select(F.max(ts) - span).scalar())
 
 
 def select_series(samples: DataFrame, metric: str, **labels: str) -> DataFrame:

@@ -245,6 +245,26 @@ def state_changes(frames: DataFrame, database: str = "home",
     return split_changes(frames, database, absent_ts)[0]
 
 
+def wire_changes(frames: DataFrame) -> DataFrame:
+    """Stored rows as they travel on the wire (``sinks.store.to_json_rows``):
+    the state pair as normalised text, ``is_bool`` for the boolean domains,
+    times with their whole fraction, an absent ``last_reported`` NULL."""
+    ns = new_state()
+    is_bool = F.col("_grp") == "bool"
+
+    def text(bool_col: str, plain: str) -> Column:
+        return F.when(is_bool, F.col(bool_col).cast("string")).otherwise(F.col(plain))
+
+    cols = [F.col("seq"), F.col("_ent").alias("entity_id"), is_bool.alias("is_bool"),
+            text("state_bool", "_new").alias("state"),
+            text("old_state_bool", "_old_txt").alias("old_state"),
+            ns.attributes.alias("attributes"),
+            F.to_json(ns.context, {"ignoreNullFields": "false"}).alias("context"),
+            *[F.try_to_timestamp(ns[c]).alias(c)
+              for c in ("last_changed", "last_updated", "last_reported")]]
+    return _rows_where(with_reason(frames), F.col("reason").isNull(), cols)
+
+
 def rejects(frames: DataFrame, database: str = "home") -> DataFrame:
     """Frames that are not stored, with the first reason that applies."""
     return split_changes(frames, database)[1]

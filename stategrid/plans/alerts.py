@@ -74,7 +74,7 @@ def pipeline_metrics(staged_frames: DataFrame, batches: DataFrame, step="30s") -
     """Counters the ingest job exports, computed from what it read and wrote.
 
     ``staged_frames``: frames with ``reason`` (``operators.states.with_reason``);
-    ``batches``: stored changes with ``domain``, ``batch_no``, ``batch_start``
+    ``batches``: the batched events with ``domain``, ``batch_no``, ``batch_start``
     (``operators.batching.batch_rows``). Times are event times.
 
     All counters come from one union of tagged rows and one
@@ -154,6 +154,22 @@ def quantile_of_rates(samples: DataFrame, metric: str, q: float, window, step, *
     return ts.bucket_quantile(h, q, ["sk", "t"])
 
 
+def quantile_over_all(samples: DataFrame, metric: str, q: float, window, step, **labels) -> DataFrame:
+    """histogram_quantile(q, sum by (le) (rate(metric_bucket[w]))): one histogram
+    per step over all series."""
+    r = rate(samples, metric + "_bucket", window, step, **labels)
+    h = (r.groupBy("t", F.col("labels")["le"].alias("_le")).agg(F.sum("value").alias("value"))
+          .select(F.lit("[]").alias("sk"), "t", "value",
+                  F.when(F.col("_le") == "+Inf", F.lit(float("inf")))
+                   .otherwise(F.col("_le").cast("double")).alias("le")))
+    return ts.bucket_quantile(h, q, ["sk", "t"])
+
+
+def max_by_service(v: DataFrame) -> DataFrame:
+    """max by (service) (v)."""
+    return _by_label(v, "service", F.max("value"))
+
+
 def alert_rules(samples: DataFrame, step="30s", replicas: int = 1,
                 container: str = "ingest") -> DataFrame:
     """The ten alert rules: ``alertname, severity, sk (series), t, state,
@@ -178,7 +194,8 @@ def alert_rules(samples: DataFrame, step="30s", replicas: int = 1,
                              ["sk", "t"], "/")
     add("HighEventFilterRate", ts.compare(share, ">", r["HighEventFilterRate"][2]))
     add("SlowBatchProcessing", ts.compare(
-        quantile_of_rates(samples, M_BATCH_DURATION, 0.95, "5m", step), ">", 5.0))
+        quantile_of_rates(samples, M_BATCH_DURATION, 0.95, "5m", step), ">",
+        r["SlowBatchProcessing"][2]))
     add("DatabaseErrors", ts.compare(
         rate(samples, M_DB_OPS, "5m", step, status="error"), ">", 0.0))
     add("HighRetryRate", ts.compare(rate(samples, M_RETRY, "5m", step), ">", 1.0))
@@ -202,23 +219,24 @@ def alert_rules(samples: DataFrame, step="30s", replicas: int = 1,
 
 
 def panels(samples: DataFrame, step="30s") -> DataFrame:
-    """The dashboards' panels as one long table ``panel, series, t, value``."""
+    """The dashboards' panels as one long table ``panel, series, sk, t, value``;
+    ``series`` is the legend, ``sk`` the labels that the expression keeps."""
     def p(panel: str, series: str, df: DataFrame) -> DataFrame:
-        return df.select(F.lit(panel).alias("panel"), F.lit(series).alias("series"), "t",
+        return df.select(F.lit(panel).alias("panel"), F.lit(series).alias("series"), "sk", "t",
                          F.col("value").cast("double").alias("value"))
 
     def by_label(panel: str, fmt_label: str, suffix: str, df: DataFrame) -> DataFrame:
         return df.select(F.lit(panel).alias("panel"),
                          F.concat(F.coalesce(F.col("labels")[fmt_label], F.lit("")), F.lit(suffix))
-                         .alias("series"), "t", F.col("value").cast("double").alias("value"))
+                         .alias("series"), "sk", "t", F.col("value").cast("double").alias("value"))
 
     recv = total(rate(samples, M_RECEIVED, "5m", step))
     filt = total(rate(samples, M_FILTERED, "5m", step))
     parts = [
         p("Connection Status", "Source Connection",
-          instant(samples, M_SOURCE_UP, step).groupBy("t").agg(F.max("value").alias("value"))),
+          max_by_service(instant(samples, M_SOURCE_UP, step))),
         p("Connection Status", "Store Connection",
-          instant(samples, M_STORE_UP, step).groupBy("t").agg(F.max("value").alias("value"))),
+          max_by_service(instant(samples, M_STORE_UP, step))),
         p("Event Rates", "Receive Rate", recv),
         p("Event Rates", "Process Rate", ts.vector_binary(recv, filt, ["sk", "t"], "-")),
         p("Event Rates", "Filter Rate", filt),
@@ -226,19 +244,21 @@ def panels(samples: DataFrame, step="30s") -> DataFrame:
         p("Event Processing Rate", "Events Processed", rate(samples, M_PROCESSED, "5m", step)),
         p("Batch Processing Rate", "Batches Processed", rate(samples, M_BATCHES, "5m", step)),
         p("Batch Processing Duration", "Batch Processing (p95)",
-          quantile_of_rates(samples, M_BATCH_DURATION, 0.95, "5m", step)),
+          quantile_over_all(samples, M_BATCH_DURATION, 0.95, "5m", step)),
         p("Batch Processing Duration", "Batch Processing (p50)",
-          quantile_of_rates(samples, M_BATCH_DURATION, 0.50, "5m", step)),
-        p("Batch Size", "Batch Size (p95)", quantile_of_rates(samples, M_BATCH_SIZE, 0.95, "5m", step)),
-        p("Batch Size", "Batch Size (p50)", quantile_of_rates(samples, M_BATCH_SIZE, 0.50, "5m", step)),
+          quantile_over_all(samples, M_BATCH_DURATION, 0.50, "5m", step)),
+        p("Batch Size", "Batch Size (p95)", quantile_over_all(samples, M_BATCH_SIZE, 0.95, "5m", step)),
+        p("Batch Size", "Batch Size (p50)", quantile_over_all(samples, M_BATCH_SIZE, 0.50, "5m", step)),
         by_label("Database Operations", "operation", " - success",
-                 _sum_by_label(rate(samples, M_DB_OPS, "5m", step, status="success"), "operation")),
+                 _by_label(rate(samples, M_DB_OPS, "5m", step, status="success"), "operation", F.sum("value"))),
         by_label("Database Operations", "operation", " - error",
-                 _sum_by_label(rate(samples, M_DB_OPS, "5m", step, status="error"), "operation")),
+                 _by_label(rate(samples, M_DB_OPS, "5m", step, status="error"), "operation", F.sum("value"))),
         p("Database Query Duration", "Insert Queries (p95)",
-          quantile_of_rates(samples, M_QUERY_DURATION, 0.95, "5m", step, query_type="insert")),
+          quantile_over_all(samples, M_QUERY_DURATION, 0.95, "5m", step, query_type="insert")),
         p("Database Query Duration", "Insert Queries (p50)",
-          quantile_of_rates(samples, M_QUERY_DURATION, 0.50, "5m", step, query_type="insert")),
+          quantile_over_all(samples, M_QUERY_DURATION, 0.50, "5m", step, query_type="insert")),
+        p("Store Query Duration", "Insert Query Duration (p95)",
+          quantile_over_all(samples, M_QUERY_DURATION, 0.95, "5m", step, query_type="insert")),
         p("Retry Rate", "Retry Attempts", rate(samples, M_RETRY, "5m", step)),
         p("Retry Rate", "Successful Retries", rate(samples, M_RETRY_OK, "5m", step)),
     ]
@@ -254,9 +274,13 @@ def panels(samples: DataFrame, step="30s") -> DataFrame:
     return res
 
 
-def _sum_by_label(df: DataFrame, label: str) -> DataFrame:
-    return (df.groupBy(F.col("labels")[label].alias("_l"), "t").agg(F.sum("value").alias("value"))
-              .select(F.create_map(F.lit(label), F.col("_l")).alias("labels"), "t", "value"))
+def _by_label(df: DataFrame, label: str, value: Column) -> DataFrame:
+    """An aggregate by one label; a series without it has no labels left."""
+    labels = F.when(F.col("_l").isNull(), F.create_map().cast("map<string,string>")) \
+              .otherwise(F.create_map(F.lit(label), F.col("_l")))
+    return (df.groupBy(F.col("labels")[label].alias("_l"), "t").agg(value.alias("value"))
+              .select(labels.alias("labels"), "t", "value")
+              .select("*", series_key(F.col("labels")).alias("sk")))
 
 
 def _increase(samples: DataFrame, metric: str, window, step) -> DataFrame:

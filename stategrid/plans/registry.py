@@ -408,19 +408,25 @@ SCRAPE = "1m"
 
 def pipeline_samples(spark, sf_dir):
     """Metric samples of an ingest run over the fixture frames: the job's
-    counters and batch-size histogram, batches cut like the job does
-    (per domain, 100,000 rows or 1 s).
+    counters and batch-size histogram. Batches are cut like the job does: of
+    the state_changed events with a routing key, before validation, per
+    domain of the new state's entity, 100,000 rows or 1 s.
 
     The samples feed a dozen rule / panel branches, so the run is cut from
     its lineage with reliable checkpoints (in ``spark.checkpoint.dir``)
     instead of being recomputed per branch."""
     checkpoint_dir(spark)
-    staged = st.with_reason(frames(spark, sf_dir)).checkpoint()
-    kept = st.to_change(staged.where(F.col("reason").isNull()))
-    ev = staged.select("type", "event", "reason")
-    batches = bt.batch_rows(kept, "domain", "last_updated", ["last_updated", "seq"],
-                            100_000, "1s").select("domain", "batch_no", "batch_start").checkpoint()
-    return al.pipeline_metrics(ev, batches, SCRAPE).checkpoint()
+    fired = F.col("event.time_fired")
+    received = F.coalesce(ct.is_received(), F.lit(False))
+    routed = received & st.is_state_changed() & st.has_routing_key()
+    staged = st.with_reason(frames(spark, sf_dir)).select(
+        "type", "reason", "seq", F.struct(fired.alias("time_fired")).alias("event"),
+        parse_ts(fired).alias("fired"), routed.alias("routed"),
+        entity_domain(st.new_state().entity_id).alias("domain")).checkpoint()
+    batches = bt.batch_rows(staged.where("routed").select("seq", "domain", "fired"),
+                            "domain", "fired", ["fired", "seq"], 100_000, "1s") \
+        .select("domain", "batch_no", "batch_start").checkpoint()
+    return al.pipeline_metrics(staged, batches, SCRAPE).checkpoint()
 
 
 @register("pipeline_metrics")
@@ -451,7 +457,7 @@ from stategrid.sources.frames import event_log  # noqa: E402
 @register("json_rows")
 def q_json_rows(spark, sf_dir):
     """Stored changes as JSON lines (an absent last_reported is left out)."""
-    c = st.state_changes(frames(spark, sf_dir), absent_ts="null")
+    c = st.wire_changes(frames(spark, sf_dir))
     return c.select("seq", json_row_column().alias("value"))
 
 

@@ -30,7 +30,7 @@ _GROUP_STATE = {
 }
 
 STORED_COLUMNS = ["entity_id", "state", "old_state", "attributes", "context",
-                  "last_changed", "last_updated", "last_reported", "received_at"]
+                  "last_changed", "last_updated", "last_reported", "seq", "received_at"]
 
 
 def with_month(df: DataFrame, ts: str = "last_updated") -> DataFrame:
@@ -58,7 +58,7 @@ def group_rows(changes: DataFrame, group: str) -> DataFrame:
         F.date_trunc("millisecond", F.current_timestamp())
     return changes.where(F.col("type_group") == group).select(
         "entity_id", F.col(new).alias("state"), F.col(old).alias("old_state"),
-        "attributes", "context", "last_changed", "last_updated", "last_reported",
+        "attributes", "context", "last_changed", "last_updated", "last_reported", "seq",
         received.alias("received_at"), "domain", "month", *extra)
 
 
@@ -118,26 +118,18 @@ def ensure_table(spark: SparkSession, database: str, domain: str, root: str) ->
 
 
 def to_json_rows(changes: DataFrame) -> DataFrame:
-    """One JSON object per row (column ``value``) in the stored field order;
-    nulls are written, ``last_reported`` is left out when absent. Times are
-    RFC 3339 text; the state is a JSON bool / number / string by its type."""
+    """One JSON object per row (column ``value``) of
+    ``operators.states.wire_changes``, fields in the stored order; nulls are
+    written, ``last_reported`` is left out when absent. Times are RFC 3339
+    text; the state is a JSON bool in the boolean domains, else a string."""
     return changes.select(json_row_column().alias("value"))
 
 
 def json_row_column() -> Column:
-    """The JSON line of a stored-change row (see ``to_json_rows``)."""
-    grp = F.col("type_group")
+    """The JSON line of a wire row (see ``to_json_rows``)."""
 
-    def typed(kind: str) -> Column:
-        pairs = {g: F.col(_GROUP_STATE[g][0 if kind == "new" else 1]) for g in TYPE_GROUPS}
-        # to_json of a struct keeps the JSON kind of each value; pick by group.
-        return F.coalesce(*[F.when(grp == g, F.to_json(F.struct(v.alias("v")),
-                                                        {"ignoreNullFields": "false"}))
-                            for g, v in pairs.items()])
-
-    def raw_field(js: Column) -> Column:
-        # '{"v":X}' -> X (the JSON text of the value)
-        return F.regexp_extract(js, r'^\{"v":(.*)\}$', 1)
+    def state(c: str) -> Column:
+        return F.when(F.col("is_bool"), js(c)).otherwise(q(F.col(c)))
 
     def q(c: Column) -> Column:
         # JSON string literal of c: to_json of a one-element array, brackets cut.
@@ -153,8 +145,8 @@ def json_row_column() -> Column:
 
     body = F.concat(
         F.lit('{"entity_id":'), q(F.col("entity_id")),
-        F.lit(',"state":'), raw_field(typed("new")),
-        F.lit(',"old_state":'), raw_field(typed("old")),
+        F.lit(',"state":'), state("state"),
+        F.lit(',"old_state":'), state("old_state"),
         F.lit(',"attributes":'), js("attributes"),
         F.lit(',"context":'), js("context"),
         F.lit(',"last_changed":'), ts("last_changed"),

@@ -136,12 +136,14 @@ def read_states(frames: DataFrame) -> tuple[DataFrame, DataFrame]:
 def latest_states(changes: DataFrame) -> DataFrame:
     """Latest stored state per entity ("all states" from the change log).
 
-    Ties on ``last_updated`` go to the later frame (``seq``). A hash aggregate
-    with partial aggregation: each task keeps one row per entity before the
-    shuffle, so a hot entity costs one row per task, not a skewed partition.
+    Ties on ``last_updated`` go to the later frame (``batch`` of the store, if
+    there, then ``seq``). Aggregated partially: each task keeps one row per
+    entity before the shuffle, so a hot entity costs one row per task, not a
+    skewed partition. The struct is no hash-aggregate buffer, so each task
+    sorts its rows by entity first.
     """
     cols = [c for c in changes.columns if c != "entity_id"]
-    best = F.max_by(F.struct(*cols), F.struct("last_updated", "seq"))
+    best = F.max_by(F.struct(*cols), F.struct("last_updated", *[c for c in ("batch", "seq") if c in cols]))
     return changes.groupBy("entity_id").agg(best.alias("_s")).select("entity_id", "_s.*")
 
 

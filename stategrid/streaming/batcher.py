@@ -89,13 +89,13 @@ def _processor(max_size: int | None, wait_us: int | None):
     return fn
 
 
-def batch_stream(sdf: DataFrame, key: str | None, ts: str, seq: str,
-                 max_size: int | None = 100, max_wait="60s",
-                 watermark: str = "0 seconds") -> DataFrame:
+def batch_stream(sdf: DataFrame, key: str | None, ts: str, seq: str, *, watermark: str,
+                 max_size: int | None = 100, max_wait="60s") -> DataFrame:
     """Stream of row assignments and batch close records (schema ``OUTPUT``).
 
     ``seq`` identifies a row (and breaks ties of equal ``ts``); the watermark
-    delay bounds how late a row may be, and closes open batches."""
+    delay bounds how late a row may be (Spark leaves out later ones, so there
+    is no default: the caller states the bound), and closes open batches."""
     wait_us = micros(max_wait) if max_wait is not None else None
     src = (sdf.withWatermark(ts, watermark)
               .select(F.col(key).cast("string").alias("_key") if key else F.lit("").alias("_key"),

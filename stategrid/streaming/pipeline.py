@@ -21,8 +21,9 @@ from stategrid.sources.frames import decode_frames, event_log, read_frames
 def process_batch(frames_text: DataFrame, batch_id: int, out_root: str,
                   database: str = "home", absent_ts: str = "epoch") -> None:
     """One micro-batch (also usable on a static DataFrame of text frames)."""
-    seq = F.lit(int(batch_id)).cast("long") * F.lit(1 << 40) + F.monotonically_increasing_id()
-    frames = decode_frames(frames_text.select(F.col("raw"), seq.alias("seq")))
+    # Arrival order: (batch, seq); both are stored, so they never collide.
+    frames = decode_frames(frames_text.select(
+        F.col("raw"), F.monotonically_increasing_id().alias("seq")))
     staged = with_reason(frames, database).persist()
     try:
         kept = to_change(staged.where(F.col("reason").isNull()), database, absent_ts)

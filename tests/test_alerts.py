@@ -60,3 +60,32 @@ def test_panels_rates_and_quantiles(spark):
     assert abs(at10[("Event Rates", "Process Rate")] - 0.4) < 1e-9
     assert abs(at10[("Batch Size", "Batch Size (p50)")] - 10.0) < 1e-9
     assert abs(at10[("Batch Size", "Batch Size (p95)")] - 100.0) < 1e-9   # 10 + 100 * (380-200)/200
+
+
+def test_both_connections_down_fire_once_per_step(spark):
+    rows = [(m, name, {}, 0) for m in range(11) for name in (al.M_SOURCE_UP, al.M_STORE_UP)]
+    out = al.alert_rules(samples(spark, rows), "1m").where(F.col("alertname") == "ConnectionDown")
+    states = [(r.t, r.state) for r in out.orderBy("t").collect()]
+    assert len(states) == len({t for t, _ in states})
+    got = dict(states)
+    assert got[T0 + dt.timedelta(minutes=4)] == "pending"
+    assert got[T0 + dt.timedelta(minutes=5)] == "firing"
+
+
+def test_panels_join_instances_in_quantiles_and_keep_series(spark):
+    rows = []
+    for m in range(0, 11):
+        for who, low in (("a", 1.0), ("b", 0.0)):             # a: all <= 10, b: all in (10, 110]
+            for le, share in (("10", low), ("110", 1.0), ("+Inf", 1.0)):
+                rows.append((m, al.M_BATCH_SIZE + "_bucket", {"le": le, "instance": who}, share * 60 * m))
+            rows.append((m, al.M_RECEIVED, {"instance": who}, 60 * m))
+        rows += [(m, al.M_SOURCE_UP, {"service": s, "instance": i}, v)
+                 for s, i, v in (("x", "a", 0), ("x", "b", 1), ("y", "a", 0))]
+    p = al.panels(samples(spark, rows), "1m").where(F.col("t") == T0 + dt.timedelta(minutes=10))
+    got = {}
+    for r in p.collect():
+        got.setdefault((r.panel, r.series), {})[r.sk] = r.value
+    assert got[("Batch Size", "Batch Size (p50)")] == {"[]": 10.0}
+    assert sorted(got[("Connection Status", "Source Connection")].values()) == [0.0, 1.0]
+    assert len(got[("Event Processing Rate", "Events Received")]) == 2
+    assert list(got[("Event Rates", "Receive Rate")]) == ["[]"]

@@ -36,9 +36,11 @@ def duck():
 
 def test_every_query_has_oracle_or_golden():
     no_sql = set(QUERIES) - set(SQL)
-    # golden-tested: batch_rows in test_batching, the rest in test_alerts
+    # golden-tested: batch_rows in test_batching, alert_rules and panels in
+    # test_alerts, json_rows in test_sinks, event_log in test_rules;
+    # pipeline_metrics below
     assert no_sql <= {"batch_rows", "pipeline_metrics", "alert_rules", "panels",
-                      "json_rows", "event_log"}      # the last two in test_sinks / test_rules
+                      "json_rows", "event_log"}
 
 
 def test_entry_runs(spark):
@@ -57,3 +59,13 @@ def test_query_matches_oracle(spark, duck, name):
     idx = [ocols.index(c) for c in sorted(cols)]
     exp = sorted(repr(tuple(norm(r[i]) for i in idx)) for r in cur.fetchall())
     assert got == exp
+
+
+def test_pipeline_metrics_agree_with_counters(spark):
+    """Last values of the pipeline's counters = the counters of the same frames."""
+    last = {r.metric: r.last_value for r in QUERIES["pipeline_metrics"](spark, SF["0.001"]).collect()
+            if r.labels == "[]"}
+    counted = {r.counter: r.value for r in QUERIES["ingest_counters"](spark, SF["0.001"]).collect()}
+    for name in ("received", "filtered", "processed"):
+        assert last.get(f"ingest_events_{name}_total", 0) == counted[name]
+    assert last["ingest_batches_processed_total"] > 0

@@ -25,17 +25,17 @@ def test_sample_frame(spark):
     assert rej == {}
     (r,) = kept
     assert r["domain"] == "numeric_sensor" and r["type_group"] == "double"
-    assert r["entity_id"] == "sensor.reku_power_device_temperature"      # S1
-    assert r["state_double"] == 24.0 and r["old_state_double"] == 24.0
-    assert r["last_changed"] == dt.datetime(2024, 8, 20, 19, 28, 8, 555000)
-    assert r["last_updated"] == dt.datetime(2024, 8, 20, 20, 32, 5, 699000)
+    assert r["entity_id"] == "sensor.boiler_return"      # S1
+    assert r["state_double"] == 31.0 and r["old_state_double"] == 31.0
+    assert r["last_changed"] == dt.datetime(2023, 3, 7, 5, 2, 11, 130000)
+    assert r["last_updated"] == dt.datetime(2023, 3, 7, 6, 15, 42, 481000)
     assert r["last_reported"] == r["last_updated"]
-    assert r["month"] == 202408
+    assert r["month"] == 202303
     assert json.loads(r["context"]) == {"id": "new", "parent_id": None, "user_id": None}
     a = spark.createDataFrame([(r["attributes"],)], "a string").select(
-        attribute("a", "$.power", "double").alias("p"),
-        attribute("a", "$.device.model").alias("m")).first()
-    assert a.p == 16.5 and a.m == "SP-EUC01"
+        attribute("a", "$.load", "double").alias("p"),
+        attribute("a", "$.maker.name").alias("m")).first()
+    assert a.p == 7.25 and a.m == "TX-40"
 
 
 def test_domain_split(spark):
@@ -105,7 +105,7 @@ def test_absent_last_reported_is_epoch(spark):
 def test_strict_decode(spark):                                                       # S13
     num_state = json.loads(frame(state("light.a", "on"), state("light.a", "off")))
     num_state["event"]["data"]["new_state"]["state"] = 24
-    bad_time = frame(state("light.a", "on", updated="2024-08-20 20:32:05"), state("light.a", "off"))
+    bad_time = frame(state("light.a", "on", updated="2023-03-07 06:15:42"), state("light.a", "off"))
     _, rej = run(spark, json.dumps(num_state), "{not json", bad_time,
                  json.dumps({"id": 3}))
     assert rej == {0: "bad_frame", 1: "bad_frame", 2: "bad_frame", 3: "bad_frame"}
@@ -182,7 +182,7 @@ def test_event_log_lists_every_event(spark):
                                                     event_type="call_service"), 1)],
                                "raw string, seq long")
     rows = {r.seq: r for r in event_log(decode_frames(df)).collect()}
-    assert rows[0].event_type == "state_changed" and rows[0].entity_id == "sensor.temperature"
+    assert rows[0].event_type == "state_changed" and rows[0].entity_id == "sensor.boiler"
     assert rows[1].event_type == "call_service"
-    assert json.loads(rows[0].event_json)["data"]["new_state"]["state"] == "24"
+    assert json.loads(rows[0].event_json)["data"]["new_state"]["state"] == "31"
     assert "\n" in rows[0].event_json                          # indented

@@ -47,7 +47,8 @@ def test_batch_stream_equals_batch(spark, tmp_dir):
     events.where(F.unix_micros("ts") > mid).coalesce(1).write.parquet(f"{src}/p2")
     stream = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
               .parquet(f"{src}/*"))
-    out = batch_stream(stream, "event_type", "ts", "event_id", max_size=20, max_wait="2h")
+    out = batch_stream(stream, "event_type", "ts", "event_id", max_size=20, max_wait="2h",
+                       watermark="0 seconds")
     q = (out.writeStream.format("memory").queryName("batched").outputMode("append")
          .option("checkpointLocation", f"{tmp_dir}/ck2").trigger(availableNow=True).start())
     q.awaitTermination(300)
