@@ -18,6 +18,7 @@ kinds there is no evidence and every score is 0.
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -56,35 +57,52 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, keep: Column,
         "y", "text")
 
 
+def _indexed(texts):
+    """Feature names; the document of every sentence that has words; and the
+    (sentence, feature) pairs, each once, as two arrays. A word's features are
+    found once, so that memory follows the vocabulary and not the words."""
+    ids: dict[str, int] = {}
+    of_word: dict[str, list[int]] = {}
+    doc, sentence, feature = array("i"), array("i"), array("i")
+    for d, text in enumerate(texts):
+        for s in _SENTENCE.finditer(text.lower()):
+            words = set(_WORD.findall(s[0]))
+            if not words:
+                continue
+            for w in words:
+                if w not in of_word:
+                    of_word[w] = [ids.setdefault(f, len(ids)) for f in word_features(w)]
+            held = sorted({f for w in words for f in of_word[w]})
+            feature.extend(held)
+            sentence.extend([len(doc)] * len(held))
+            doc.append(d)
+    return (list(ids), *(np.frombuffer(x, np.int32) if x else np.zeros(0, np.int32)
+                         for x in (doc, sentence, feature)))
+
+
 def fit_noisy_or(texts, labels, max_features: int = MAX_FEATURES, steps: int = 250,
                  rate: float = 0.1, ridge: float = 1e-4) -> list[tuple[str, float]]:
     """Weights of features, and the bias under the empty name."""
     y = np.asarray(labels, np.float64)
     if len(set(labels)) < 2:
         return []
-    bags = [[{f for w in _WORD.findall(s) for f in word_features(w)}
-             for s in _SENTENCE.findall(t.lower()) if _WORD.search(s)] for t in texts]
-    seen: dict[str, list[int]] = {}
-    for bag, label in zip(bags, labels):
-        for f in set().union(*bag):
-            seen.setdefault(f, [0, 0])[label] += 1
+    names, doc, sentence, feature = _indexed(texts)
+    seen = np.zeros((2, len(names)), np.int64)
+    starts = np.searchsorted(doc, np.arange(len(y) + 1))      # sentences of a document
+    ends = np.searchsorted(sentence, starts)                  # and their features
+    for label, i, j in zip(labels, ends[:-1], ends[1:]):
+        seen[label, np.unique(feature[i:j])] += 1
     n1, n0 = y.sum(), len(y) - y.sum()
-
-    def evidence(c):
-        p, q, m = c[1] / n1, c[0] / n0, (c[1] + c[0]) / (n1 + n0)
-        return abs(p - q) / np.sqrt(m * (1 - m) * (1 / n1 + 1 / n0) + 1e-12)
-
-    strong = sorted((f for f, c in seen.items() if sum(c) >= 4 and evidence(c) >= 2.5),
-                    key=lambda f: (-evidence(seen[f]), f))[:max_features]
-    index = {f: i for i, f in enumerate(strong)}
-    feature, sentence, doc = [], [], []
-    for d, bag in enumerate(bags):
-        for s in bag:
-            hits = [index[f] for f in s if f in index]
-            feature += hits
-            sentence += [len(doc)] * len(hits)
-            doc.append(d)
-    feature, sentence, doc = (np.array(x, np.int64) for x in (feature, sentence, doc))
+    p, q, both = seen[1] / n1, seen[0] / n0, seen.sum(axis=0)
+    m = both / (n1 + n0)
+    evidence = np.abs(p - q) / np.sqrt(m * (1 - m) * (1 / n1 + 1 / n0) + 1e-12)
+    picked = sorted(np.flatnonzero((both >= 4) & (evidence >= 2.5)).tolist(),
+                    key=lambda f: (-evidence[f], names[f]))[:max_features]
+    strong = [names[f] for f in picked]
+    index = np.full(len(names), -1, np.int64)
+    index[picked] = np.arange(len(picked))
+    hit = index[feature] >= 0
+    feature, sentence = index[feature[hit]], sentence[hit]
     w, b = np.zeros(len(strong)), -5.0
     m, v = np.zeros(len(strong) + 1), np.zeros(len(strong) + 1)
     balance = np.where(y > 0, 0.5 / n1, 0.5 / n0) * len(y)
