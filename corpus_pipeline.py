@@ -9,11 +9,11 @@ toxic, repeated or leaked); rows with a null doc_id are kept like others.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stategrid.llm import decontaminate, line_dedup, packing, simhash, toxicity
-from stategrid.llm.common import read
+from stategrid.llm.common import key128, read
 from stategrid.session import materialize
 
 
@@ -36,23 +36,39 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.select(*docs.columns)
 
 
+def with_key(docs: DataFrame) -> DataFrame:
+    """``docs`` with the 128-bit key of the text: next to the doc_id, which may
+    be null or repeated, it tells rows apart."""
+    t1, t2 = key128(F.coalesce("text", F.lit("")))
+    return docs.withColumn("_t1", t1).withColumn("_t2", t2)
+
+
+def same_row() -> Column:
+    """Joins ``with_key`` to ids and keys (_id, _k1, _k2)."""
+    return (F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
+            & (F.col("_t1") == F.col("_k1")) & (F.col("_t2") == F.col("_k2")))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents that SimHash links, the smallest doc_id
-    stays; of rows that repeat it, one."""
-    near = simhash.near_duplicates(docs, shingle=3, max_bits=2)
-    keep = materialize(near.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-                       .groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_rows")), "keep")
-    out = docs.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_semi")
+    """Of each group of documents that SimHash links one row stays: the
+    smallest doc_id (a null one if none there has an id), of different texts
+    with that id the one with the smallest key, of equal rows any one."""
+    keep = materialize(simhash.representatives(docs, shingle=3, max_bits=2).select(
+        F.col("doc_id").alias("_id"), F.col("t1").alias("_k1"), F.col("t2").alias("_k2"),
+        F.col("rows").alias("_rows")), "keep")
+    out = with_key(docs).join(keep, same_row())
     if keep.where("_rows > 1").limit(1).count():
-        out = out.dropDuplicates(["doc_id"])
-    return out
+        out = out.where("_rows = 1").unionByName(
+            out.where("_rows > 1").dropDuplicates(["_id", "_k1", "_k2"]))
+    return out.select(*docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that hold a benchmark item."""
-    leaks = materialize(decontaminate.leaks(docs, read(spark, sf_dir, "benchmark"))
-                        .select(F.col("doc_id").alias("_id")).distinct(), "leaks")
-    return docs.join(leaks, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_anti")
+    """Without the rows that hold a benchmark item."""
+    leaks = materialize(decontaminate.leaking_rows(docs, read(spark, sf_dir, "benchmark")).select(
+        F.col("doc_id").alias("_id"), F.col("t1").alias("_k1"), F.col("t2").alias("_k2"))
+        .distinct(), "leaks")
+    return with_key(docs).join(leaks, same_row(), "left_anti").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

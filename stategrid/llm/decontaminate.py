@@ -86,6 +86,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, literals: int
           least: float = 0.5) -> DataFrame:
     """(doc_id, item_id, n_windows, n_matched): the documents that hold an
     item, a row for each such document id and item."""
+    return (leaking_rows(docs, benchmark, window, literals, least).groupBy("doc_id", "item_id")
+            .agg(F.max("n_windows").cast("long").alias("n_windows"),
+                 F.max("n_matched").cast("long").alias("n_matched")))
+
+
+def leaking_rows(docs: DataFrame, benchmark: DataFrame, window: int = 8, literals: int = 4,
+                 least: float = 0.5) -> DataFrame:
+    """(doc_id, t1, t2, item_id, item_row, n_windows, n_matched): the different
+    rows, told by id and 128-bit text key, that hold an item."""
     own_items = benchmark.where(F.col("item_id").isNotNull()).select(
         F.col("item_id").cast("long").alias("item_id"), "text").distinct()
     # an item also stands inside sentences, where its first word looks like a name
@@ -146,6 +155,4 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, literals: int
     return (good.groupBy("doc_id", "t1", "t2", "item_id", "item_row")
             .agg(F.size(F.array_distinct(F.flatten(F.collect_set("ats")))).alias("n_matched"),
                  F.max("n_windows").alias("n_windows"))
-            .where(F.col("n_matched") >= least * F.col("n_windows"))
-            .groupBy("doc_id", "item_id").agg(F.max("n_windows").cast("long").alias("n_windows"),
-                                              F.max("n_matched").cast("long").alias("n_matched")))
+            .where(F.col("n_matched") >= least * F.col("n_windows")))

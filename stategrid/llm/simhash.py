@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stategrid.llm.common import LOWER, UPPER
+from stategrid.llm.common import LOWER, UPPER, key128
 from stategrid.llm.graph import components
 from stategrid.session import materialize
 
@@ -99,12 +99,30 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> Dat
     marked = materialize(fingerprints(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                                                   "text"), shingle)
                          .select("doc_id", "_fp"), "fingerprints")
-    classes = marked.groupBy("_fp").agg(F.min("doc_id").alias("_least"))
-    parts = components(links(classes.select("_fp"), max_bits))
-    whole = materialize(
-        classes.join(parts, F.col("_fp") == F.col("node"), "left")
-        .select("_fp", "_least", F.coalesce("component", "_fp").alias("_part")), "classes")
+    whole = classes(marked.groupBy("_fp").agg(F.min("doc_id").alias("_least")), max_bits)
     least = whole.groupBy("_part").agg(F.min("_least").alias("component_id"))
     ids = whole.join(least, "_part").select("_fp", "component_id")
     return marked.join(ids, "_fp").select(
         "doc_id", F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def classes(fps: DataFrame, max_bits: int) -> DataFrame:
+    """``fps`` (a row per ``_fp``) with ``_part``, the same for all that links join."""
+    parts = components(links(fps.select("_fp"), max_bits))
+    return materialize(fps.join(parts, F.col("_fp") == F.col("node"), "left").select(
+        *fps.columns, F.coalesce("component", "_fp").alias("_part")), "classes")
+
+
+def representatives(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
+    """(doc_id, t1, t2, rows), a row per component: the document that stands
+    for it, told by id and 128-bit text key, and how many rows are equal in
+    both. It has the smallest doc_id (null only if none there has an id), of
+    several texts with that id the one with the smallest key."""
+    t1, t2 = key128(F.coalesce("text", F.lit("")))
+    marked = fingerprints(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), shingle)
+    rows = (marked.select("_fp", "doc_id", t1.alias("t1"), t2.alias("t2"))
+            .groupBy("_fp", "doc_id", "t1", "t2").agg(F.count("*").alias("rows")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t1", "t2", "rows"))
+    fps = materialize(rows.groupBy("_fp").agg(first.alias("_least")), "fingerprints")
+    return (classes(fps, max_bits).groupBy("_part").agg(F.min("_least").alias("_least"))
+            .select("_least.doc_id", "_least.t1", "_least.t2", "_least.rows"))

@@ -482,3 +482,27 @@ def test_pipeline_odd_rows(spark):
     for name, stage in P.STAGES:
         now = P.materialize(stage(spark, now, SF), "odd-stage")
     assert now.count() > 0
+
+
+def test_pipeline_null_and_repeated_ids(spark, duck):
+    import corpus_pipeline as P
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("abcdefghij"), 7)) for _ in range(400)]
+    clean = [" ".join(rng.choice(words, 60)) for _ in range(6)]
+    item = duck.execute("SELECT text FROM benchmark ORDER BY item_id LIMIT 1").fetchone()[0]
+    rows = [(None, clean[0]), (None, clean[1]), (None, clean[1]),      # null ids, the last repeated
+            (7, clean[2]), (7, clean[3]),                              # different texts of one id
+            (3, clean[4]), (9, clean[4]), (9, clean[5]),   # 9 is a copy of 3, and a row of its own
+            (None, clean[3]),                                          # a copy without an id
+            (None, item), (7, item + " end")]
+    cols = ["doc_id", "text", "lang", "source", "n_chars"]
+    now = docs(spark, rows).select(*cols)
+    near = P.materialize(P.drop_near_duplicates(spark, now, SF), "test-near")
+    want = [(None, clean[0]), (None, clean[1]), (7, clean[2]), (7, clean[3]), (3, clean[4]),
+            (9, clean[5])]
+    told = collections.Counter((r.doc_id, r.text) for r in near.collect() if item not in r.text)
+    assert near.columns == cols and told == collections.Counter(want)
+    kept = P.drop_leaks(spark, now, SF)
+    assert kept.columns == cols
+    assert collections.Counter((r.doc_id, r.text) for r in kept.collect()) == collections.Counter(
+        (i, t) for i, t in rows if item not in t)
