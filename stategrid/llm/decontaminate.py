@@ -5,7 +5,9 @@ names (capitalised words inside a sentence) are replaced by typed
 placeholders, other words that begin with a capital or a letter beyond ASCII
 are lower-cased, punctuation goes. Windows of
 ``window`` template tokens are hash-joined with the windows of the benchmark
-items that hold at least ``literals`` literal tokens. Matched windows of one alignment are then held against the slots: an
+items that hold at least ``literals`` literal tokens. A second form of items
+and texts, folded to one case, has names as words: copies in another case
+match there. Matched windows of one alignment are then held against the slots: an
 item's value must stand for one value of the document wherever it occurs, else
 the alignment is not the same question with other values. A document leaks an
 item if consistent windows cover at least ``least`` of the item's windows.
@@ -41,16 +43,26 @@ _CUT = r"[^\p{L}\p{M}\p{N}\x01]+"
 MAX_BROADCAST = 1_000_000
 
 
-def tokens(text: Column, values: bool) -> Column:
+def tokens(text: Column, values: bool, names: bool = True) -> Column:
     """The words and numbers of a text, typed ones as placeholders; with
-    ``values`` a placeholder is followed by what it stands for."""
+    ``values`` a placeholder is followed by what it stands for. Without
+    ``names`` the text is folded to lower case and names are words."""
     c = F.replace(F.coalesce(text, F.lit("")), F.lit(MARK), F.lit(" "))
-    c = F.regexp_replace(c, _NAME, f"$1{MARK}p" + ("$2" if values else ""))
+    if names:
+        c = F.regexp_replace(c, _NAME, f"$1{MARK}p" + ("$2" if values else ""))
+    else:
+        c = F.lower(F.upper(c))
     c = F.regexp_replace(c, "([0-9]+)", f" {MARK}n" + ("$1" if values else ""))
     c = F.regexp_replace(c, f"{MARK}n" + _UNIT, f"{MARK}n$1 {MARK}u" + ("$2" if values else ""))
     return F.array_remove(F.split(c, _CUT, -1), "")
 
 
+def bare(tk: Column) -> Column:
+    """Tokens with values as tokens without."""
+    return F.transform(tk, lambda t: F.when(F.startswith(t, F.lit(MARK)), F.substring(t, 1, 2))
+                       .otherwise(t))
+
+
 def token_hashes(tk: Column) -> Column:
     def one(t):
         first = F.substring(t, 1, 1)
@@ -75,11 +87,28 @@ def window_hashes(th: Column, size: int) -> Column:
     return build(None, 0, th, 1, size)
 
 
-def windows(templates: Column, sizes: list[int]) -> Column:
-    """array<struct<size, hs>>: of each of ``sizes`` the hashes of all windows
-    of so many template tokens, in order."""
-    return let(token_hashes(templates), lambda th: F.array(*[
-        F.struct(F.lit(s).alias("size"), window_hashes(th, s).alias("hs")) for s in sizes]))
+#: Forms of a window: names as placeholders, names as words, and the exact tokens.
+NAMED, WORDS, EXACT = 0, 1, 2
+
+
+def windows(tk: Column, form: int, sizes: list[int]) -> Column:
+    """array<struct<form, size, hs>>: of each of ``sizes`` the hashes of all
+    windows of so many tokens, in order."""
+    return let(token_hashes(tk), lambda th: F.array(*[
+        F.struct(F.lit(form).alias("form"), F.lit(s).alias("size"),
+                 window_hashes(th, s).alias("hs")) for s in sizes]))
+
+
+def all_windows(text: Column, sizes: dict[int, list[int]]) -> Column:
+    """The windows of a text in every form that has sizes."""
+    named, words, exact = (sizes.get(f, []) for f in (NAMED, WORDS, EXACT))
+    parts = [windows(tokens(text, False), NAMED, named)] if named else []
+    if exact:
+        parts.append(let(tokens(text, True, False), lambda v: F.concat(
+            *([windows(bare(v), WORDS, words)] if words else []), windows(v, EXACT, exact))))
+    elif words:
+        parts.append(windows(tokens(text, False, False), WORDS, words))
+    return F.concat(*parts)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, literals: int = 4,
@@ -103,32 +132,46 @@ def leaking_rows(docs: DataFrame, benchmark: DataFrame, window: int = 8, literal
             return tokens(F.col("text"), values)
         return let(tokens(F.concat(F.lit("a "), "text"), values),
                    lambda t: F.slice(t, 2, F.greatest(F.size(t) - 1, F.lit(0))))
-    both = own_items.select("item_id", F.explode(F.array(*[F.struct(
-        F.lit(i).alias("inside"), tokenised(i, False).alias("tpl"),
-        tokenised(i, True).alias("item_values")) for i in (False, True)])).alias("x"), "text")
+    kinds = [F.struct(F.lit(i).alias("kind"), F.lit(NAMED).alias("own_form"),
+                      tokenised(i == 1, False).alias("tpl"),
+                      tokenised(i == 1, True).alias("item_values")) for i in (0, 1)]
+    # and in another case, where names do not show
+    kinds.append(F.struct(F.lit(2).alias("kind"), F.lit(WORDS).alias("own_form"),
+                          tokens(F.col("text"), False, False).alias("tpl"),
+                          tokens(F.col("text"), True, False).alias("item_values")))
+    both = own_items.select("item_id", F.explode(F.array(*kinds)).alias("x"), "text")
     items = materialize(both.select(
-        "item_id", F.xxhash64("item_id", "text", "x.inside").alias("item_row"), "x.tpl",
+        "item_id", F.xxhash64("item_id", "text", "x.kind").alias("item_row"), "x.own_form", "x.tpl",
         "x.item_values", F.least(F.lit(window), F.size("x.tpl")).alias("size"))
         .where(F.col("size") >= literals), "items")
-    sizes = sorted(r["size"] for r in items.select("size").distinct().collect())  # at most ``window``
+    own_sizes = sorted(r["size"] for r in items.select("size").distinct().collect())  # at most ``window``
     part = F.slice("tpl", F.col("item_at") + 1, F.col("size"))
+    few = F.size(F.filter(part, lambda t: ~F.startswith(t, F.lit(MARK)))) < literals
+    form = F.when(~few, F.col("own_form"))
+    both_forms = F.concat(windows(F.col("tpl"), 0, own_sizes or [window]),
+                          windows(F.col("item_values"), EXACT, own_sizes or [window]))
     flat = materialize(
-        items.select("item_id", "item_row", "tpl", F.col("size").alias("own_size"),
-                     F.inline(windows(F.col("tpl"), sizes or [window])))
+        items.select("item_id", "item_row", "own_form", "tpl", F.col("size").alias("own_size"),
+                     F.inline(both_forms))
         .where(F.col("size") == F.col("own_size"))
-        .select("item_id", "item_row", "tpl", "size", F.posexplode("hs").alias("item_at", "h"))
-        .where(F.size(F.filter(part, lambda t: ~F.startswith(t, F.lit(MARK)))) >= literals)
-        .drop("tpl"), "windows")
+        .select("item_id", "item_row", "own_form", F.col("form").alias("hashed"), "tpl", "size",
+                F.posexplode("hs").alias("item_at", "h"))
+        .withColumn("form", form)
+        .where((F.col("hashed") == EXACT) == (F.col("form") == EXACT))   # null: not usable
+        .drop("tpl", "own_form", "hashed"), "windows")
+    sizes = {f: [] for f in (NAMED, WORDS, EXACT)}
+    for r in sorted(flat.select("form", "size").distinct().collect()):   # at most 3 x ``window``
+        sizes[r["form"]].append(r["size"])
     n = flat.count()
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     t1, t2 = key128(F.coalesce("text", F.lit("")))
     found = own.select("doc_id", t1.alias("t1"), t2.alias("t2"),
-                       F.inline(windows(tokens(F.col("text"), False),
-                                        sizes or [window]))).select(
-        "doc_id", "t1", "t2", "size", F.posexplode("hs").alias("at", "h"))
+                       F.inline(all_windows(F.col("text"), sizes if n else {NAMED: [window]}))
+                       ).select("doc_id", "t1", "t2", "form", "size",
+                                F.posexplode("hs").alias("at", "h"))
     small = n <= MAX_BROADCAST
     hits = materialize(
-        found.join(F.broadcast(flat) if small else flat, ["size", "h"])
+        found.join(F.broadcast(flat) if small else flat, ["form", "size", "h"])
         .withColumn("shift", F.col("at") - F.col("item_at"))
         .groupBy("doc_id", "t1", "t2", "item_id", "item_row", "size", "shift")
         .agg(F.array_sort(F.collect_set("item_at")).alias("ats")), "hits")
@@ -137,13 +180,17 @@ def leaking_rows(docs: DataFrame, benchmark: DataFrame, window: int = 8, literal
     raw = (own.select("doc_id", "text", t1.alias("t1"), t2.alias("t2"))
            .join(texts, ["t1", "t2"]).where(F.col("doc_id").eqNullSafe(F.col("rep")))
            .groupBy(F.col("t1").alias("x1"), F.col("t2").alias("x2"))
-           .agg(F.max(tokens(F.col("text"), True)).alias("values")))
-    told = items.select(F.col("item_row").alias("r"), "item_values")
+           .agg(F.max("text").alias("raw"))
+           .select("x1", "x2", tokens(F.col("raw"), True).alias("named_values"),
+                   tokens(F.col("raw"), True, False).alias("word_values")))
+    told = items.select(F.col("item_row").alias("r"), "own_form", "item_values")
     total = flat.groupBy("item_row").agg(F.count("*").alias("n_windows")).withColumnRenamed(
         "item_row", "w")
     full = (hits.join(raw, (F.col("t1") == F.col("x1")) & (F.col("t2") == F.col("x2")))
             .join(F.broadcast(told) if small else told, F.col("item_row") == F.col("r"))
-            .join(F.broadcast(total) if small else total, F.col("item_row") == F.col("w")))
+            .join(F.broadcast(total) if small else total, F.col("item_row") == F.col("w"))
+            .withColumn("values", F.when(F.col("own_form") == NAMED, F.col("named_values"))
+                        .otherwise(F.col("word_values"))))
     places = F.array_distinct(F.flatten(F.transform("ats", lambda a: F.sequence(
         a, a + F.col("size") - 1))))
     slots = F.array_distinct(F.filter(F.transform(places, lambda p: F.struct(

@@ -212,6 +212,22 @@ def test_decontaminate_templates(spark):
     assert decontaminate.leaks(docs(spark, rows), bench.limit(0)).count() == 0
 
 
+def leaked(spark, items, rows):
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    return {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs(spark, rows), bench).collect()}
+
+
+def test_decontaminate_other_case(spark):
+    item = ("Yesterday the clever farmer Alice carried 12 kg of apples and 12 pears to market "
+            "where Alice sold them for 30 dollars.")
+    river = "Which river flows through Paris and Rouen before Le Havre"
+    street = "In der Straße wohnt Frau Weiß mit ihrem Hund neben Herrn Groß"
+    rows = [(23, item.upper()), (24, "So " + river.lower() + "?"), (25, river.title()),
+            (26, street.upper()), (27, "which river flows through them and before the sea")]
+    assert leaked(spark, [(1, item), (2, river), (3, street)], rows) == {
+        (23, 1), (24, 2), (25, 2), (26, 3)}
+
+
 def test_decontaminate_brute_force(spark, duck, texts):
     items = duck.execute("SELECT item_id, text FROM benchmark").fetchall()
     want = {(i, k) for i, t in texts.items() for k, x in items if x in t}
