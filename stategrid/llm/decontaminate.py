@@ -7,13 +7,14 @@ are lower-cased, punctuation goes. Windows of
 ``window`` template tokens are hash-joined with the windows of the benchmark
 items that hold at least ``literals`` literal tokens. A second form of items
 and texts, folded to one case, has names as words: copies in another case
-match there. Matched windows of one alignment are then held against the slots: an
+match there. Items and windows below ``literals`` match by their exact tokens
+in that form, numbers and units with their values. Matched windows of one alignment are then held against the slots: an
 item's value must stand for one value of the document wherever it occurs, else
 the alignment is not the same question with other values. A document leaks an
 item if consistent windows cover at least ``least`` of the item's windows.
 
 Rules: null texts are empty. An item shorter than ``window`` is
-one window of all its tokens. Items without a usable window never match. Rows
+one window of all its tokens. Items without words and numbers never match. Rows
 that repeat an item_id are windows of one item. A row is a document; leaks are
 told by doc_id, so rows that share an id share the verdict. Empty tables give
 an empty result.
@@ -51,7 +52,7 @@ def tokens(text: Column, values: bool, names: bool = True) -> Column:
     if names:
         c = F.regexp_replace(c, _NAME, f"$1{MARK}p" + ("$2" if values else ""))
     else:
-        c = F.lower(F.upper(c))
+        c = F.replace(F.lower(c), F.lit("ß"), F.lit("ss"))      # as it stands in capitals
     c = F.regexp_replace(c, "([0-9]+)", f" {MARK}n" + ("$1" if values else ""))
     c = F.regexp_replace(c, f"{MARK}n" + _UNIT, f"{MARK}n$1 {MARK}u" + ("$2" if values else ""))
     return F.array_remove(F.split(c, _CUT, -1), "")
@@ -143,11 +144,12 @@ def leaking_rows(docs: DataFrame, benchmark: DataFrame, window: int = 8, literal
     items = materialize(both.select(
         "item_id", F.xxhash64("item_id", "text", "x.kind").alias("item_row"), "x.own_form", "x.tpl",
         "x.item_values", F.least(F.lit(window), F.size("x.tpl")).alias("size"))
-        .where(F.col("size") >= literals), "items")
+        .where(F.col("size") >= 1), "items")
     own_sizes = sorted(r["size"] for r in items.select("size").distinct().collect())  # at most ``window``
+    # windows with too few literals match as they are, with their values
     part = F.slice("tpl", F.col("item_at") + 1, F.col("size"))
     few = F.size(F.filter(part, lambda t: ~F.startswith(t, F.lit(MARK)))) < literals
-    form = F.when(~few, F.col("own_form"))
+    form = F.when(~few, F.col("own_form")).when(F.col("own_form") == WORDS, F.lit(EXACT))
     both_forms = F.concat(windows(F.col("tpl"), 0, own_sizes or [window]),
                           windows(F.col("item_values"), EXACT, own_sizes or [window]))
     flat = materialize(

@@ -228,6 +228,17 @@ def test_decontaminate_other_case(spark):
         (23, 1), (24, 2), (25, 2), (26, 3)}
 
 
+def test_decontaminate_few_literals(spark):
+    short, sums, one = "What is 17 times 23?", "Compute 3 + 5 * 7 - 2 + 9", "Compute 3 + 5"
+    rows = [(1, "He asked: " + short + " Nobody knew."), (2, "WHAT IS 17 TIMES 23"),
+            (3, "What is 17 times 24?"), (4, "then " + sums + " quickly"),
+            (5, "Compute 3 + 5 * 7 - 2 + 8"), (6, "Name the capital"), (7, "?!"),
+            (8, "numbers 1 2 3 4 5 6 7 8 9 10 11 12 13 and more")]
+    items = [(1, short), (2, sums), (3, one), (4, "the capital"), (5, "?!"),
+             (6, "1 2 3 4 5 6 7 8 9 10 11 12")]
+    assert leaked(spark, items, rows) == {(1, 1), (2, 1), (4, 2), (4, 3), (5, 3), (6, 4), (8, 6)}
+
+
 def test_decontaminate_brute_force(spark, duck, texts):
     items = duck.execute("SELECT item_id, text FROM benchmark").fetchall()
     want = {(i, k) for i, t in texts.items() for k, x in items if x in t}
