@@ -8,10 +8,12 @@ are lower-cased, punctuation goes. Windows of
 items that hold at least ``literals`` literal tokens. A second form of items
 and texts, folded to one case, has names as words: copies in another case
 match there. Items and windows below ``literals`` match by their exact tokens
-in that form, numbers and units with their values. Matched windows of one alignment are then held against the slots: an
-item's value must stand for one value of the document wherever it occurs, else
-the alignment is not the same question with other values. A document leaks an
-item if consistent windows cover at least ``least`` of the item's windows.
+in that form, numbers and units with their values. Matched windows of one alignment are then held against the slots: in a window an
+item's value must stand for one value of the document, and a value that the
+document keeps in one place and changes in another is not the same question
+with other values, so windows that touch it go; equal values that are all
+changed may be parameters of their own. A document leaks an item if the
+windows left cover at least ``least`` of the item's windows.
 
 Rules: null texts are empty. An item shorter than ``window`` is
 one window of all its tokens. Items without words and numbers never match. Rows
@@ -112,6 +114,25 @@ def all_windows(text: Column, sizes: dict[int, list[int]]) -> Column:
     return F.concat(*parts)
 
 
+def one_to_one(slots: Column) -> Column:
+    """Whether every item value among slots (place, item, doc) has one document value."""
+    pairs = F.transform(slots, lambda s: F.struct(s["item"], s["doc"]))
+    return F.size(F.array_distinct(pairs)) == F.size(F.array_distinct(slots["item"]))
+
+
+def consistent(ats: Column, slots: Column, size: Column) -> Column:
+    """The windows (their starts) of an alignment that hold no item value with
+    two document values and none that the document keeps in one place and
+    changes in another."""
+    torn = F.array_distinct(F.transform(F.filter(slots, lambda s: (s["item"] == s["doc"]) & F.exists(
+        slots, lambda o: (o["item"] == s["item"]) & (o["doc"] != s["item"]))), lambda s: s["item"]))
+
+    def fits(at: Column, torn: Column) -> Column:
+        inside = F.filter(slots, lambda s: (s["place"] >= at) & (s["place"] < at + size))
+        return let(inside, lambda w: one_to_one(w) & ~F.arrays_overlap(w["item"], torn))
+    return let(torn, lambda t: F.filter(ats, lambda at: fits(at, t)))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, literals: int = 4,
           least: float = 0.5) -> DataFrame:
     """(doc_id, item_id, n_windows, n_matched): the documents that hold an
@@ -195,12 +216,13 @@ def leaking_rows(docs: DataFrame, benchmark: DataFrame, window: int = 8, literal
                         .otherwise(F.col("word_values"))))
     places = F.array_distinct(F.flatten(F.transform("ats", lambda a: F.sequence(
         a, a + F.col("size") - 1))))
-    slots = F.array_distinct(F.filter(F.transform(places, lambda p: F.struct(
-        F.element_at("item_values", p + 1).alias("item"),
+    slots = F.filter(F.transform(places, lambda p: F.struct(
+        p.alias("place"), F.element_at("item_values", p + 1).alias("item"),
         F.element_at("values", p + F.col("shift") + 1).alias("doc"))),
-        lambda s: F.startswith(s["item"], F.lit(MARK))))
-    consistent = let(slots, lambda s: F.size(s) == F.size(F.array_distinct(s["item"])))
-    good = full.where(consistent)
+        lambda s: F.startswith(s["item"], F.lit(MARK)))
+    good = (full.withColumn("ats", let(slots, lambda s: F.when(one_to_one(s), F.col("ats"))
+                                       .otherwise(consistent(F.col("ats"), s, F.col("size")))))
+            .where(F.size("ats") > 0))
     return (good.groupBy("doc_id", "t1", "t2", "item_id", "item_row")
             .agg(F.size(F.array_distinct(F.flatten(F.collect_set("ats")))).alias("n_matched"),
                  F.max("n_windows").alias("n_windows"))

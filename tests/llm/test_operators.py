@@ -239,6 +239,18 @@ def test_decontaminate_few_literals(spark):
     assert leaked(spark, items, rows) == {(1, 1), (2, 1), (4, 2), (4, 3), (5, 3), (6, 4), (8, 6)}
 
 
+def test_decontaminate_conflicting_slots(spark):
+    boxes = ("Tom has 2 boxes with 2 apples in each and wonders how many apples he has in total "
+             "before his sister takes some away")
+    long = ("On Monday the baker sold 12 loaves and 12 rolls to the first customer of the day who "
+            "carried them home in a large basket and shared them with the neighbours from the "
+            "house across the street because they had baked a cake for the children")
+    rows = [(1, boxes.replace("2 boxes", "3 boxes").replace("2 apples", "5 apples")),
+            (2, long.replace("12 loaves", "15 loaves")), (3, boxes), (4, long),
+            (5, "Tom has 3 boxes with 2 apples in each")]
+    assert leaked(spark, [(1, boxes), (2, long)], rows) == {(1, 1), (2, 2), (3, 1), (4, 2)}
+
+
 def test_decontaminate_brute_force(spark, duck, texts):
     items = duck.execute("SELECT item_id, text FROM benchmark").fetchall()
     want = {(i, k) for i, t in texts.items() for k, x in items if x in t}
