@@ -461,6 +461,26 @@ def test_sharding_law_and_groups(spark):
     assert sum(len(s) > 1 for s in small) <= 2
 
 
+def test_sharding_without_room(spark):
+    pairs = [(i, f"pair {i // 2}") for i in range(800)]        # 10 whole pairs to a shard
+    tight = [(i, f"triple {i // 3}") for i in range(1176)] + [(2000 + i, f"one {i}") for i in range(24)]
+    for rows, most in ((pairs, 0), (tight, 39)):
+        out = sharding.shard(docs(spark, rows), shards=40).collect()
+        counts = collections.Counter(r.shard for r in out)
+        assert len(out) == len(rows) and len(counts) == 40
+        assert max(counts.values()) - min(counts.values()) <= 1
+        homes, text = collections.defaultdict(set), dict(rows)
+        for r in out:
+            homes[text[r.doc_id]].add(r.shard)
+        assert sum(len(s) > 1 for s in homes.values()) <= most
+
+
+def test_sharding_quotas():
+    assert sharding.quotas({(0, 1): 3, (1, 0): 2, (2, 1): 1}, {0: 0, 1: 0, 2: 0}) == {
+        (0, 1): 2, (1, 0): 2, (2, 1): 0}
+    assert sharding.quotas({(0, 1): 5, (2, 1): 4}, {0: 0, 1: 6, 2: 0}) == {(0, 1): 5, (2, 1): 1}
+
+
 # --- 9: chat
 
 def test_chat_events(spark):
