@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stategrid.plans.prefix import index_across
+
 TURN, TEXT, END = "<turn>", "<text>", "</turn>\n"
 
 
@@ -36,46 +38,48 @@ def unescape(c: Column) -> Column:
 
 
 def events_from_turns(rows: DataFrame) -> DataFrame:
-    """A table of finished turns (conv_id, turn, role, text) as a log. Rows of
-    equal conv_id and turn are messages of their own, ordered by role and
-    text; equal rows stay as often as they occur."""
-    return rows.select("conv_id", F.col("turn").cast("long").alias("seq"),
-                       F.col("turn").cast("long").alias("msg"),
-                       F.lit("message").alias("kind"), "role", "text")
+    """A table of finished turns (conv_id, turn, role, text) as a log in which
+    every row is an event that starts a message of its own: ``msg`` and ``seq``
+    are its position in the conversation, ordered by turn, role and text (null
+    turns first); equal rows stay as often as they occur."""
+    own = rows.select("conv_id", F.col("turn").cast("long").alias("turn"),
+                      F.coalesce("role", F.lit("")).alias("role"),
+                      F.coalesce("text", F.lit("")).alias("text"))
+    # joined by values that are never null
+    keyed = (own.withColumn("_none", F.col("conv_id").isNull())
+             .withColumn("_conv", F.coalesce(F.col("conv_id").cast("string"), F.lit(""))))
+    some = F.coalesce(F.floor(F.col("turn") / 1000), F.lit(-2**63)).cast("long")
+    return index_across(keyed, ["_none", "_conv"], ["turn", "role", "text"], some, "msg").select(
+        "conv_id", F.col("msg").alias("seq"), "msg", F.lit("message").alias("kind"), "role", "text")
 
 
 def reconstruct(events: DataFrame, once: bool = True) -> DataFrame:
     """(conv_id, turns array<struct<role, text>>): the final messages in
-    order. ``once=False``: the log is a table of finished messages; every row
-    is a message."""
+    order. ``once=False``: nothing arrives twice, equal events count as often
+    as they are there."""
     e = events.select(
         "conv_id", F.col("msg").cast("long").alias("msg"), F.col("seq").cast("long").alias("seq"),
         F.when(F.col("kind").isin("delta", "edit", "regenerate"), F.col("kind"))
         .otherwise("message").alias("kind"),
         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    if once:
-        folded = F.array_sort(F.collect_set(F.struct("seq", "kind", "role", "text")))
-        resets = F.filter(F.transform("log", lambda x, i: F.when(x["kind"] != "delta", i)),
-                          lambda i: i.isNotNull())
-        last = F.coalesce(F.element_at(F.when(F.size("resets") > 0, F.col("resets")), -1),
-                          F.lit(0))
-        named = F.filter(F.col("log.role"), lambda r: r != "")
-        regenerated = F.array_max(F.transform(F.filter(
-            "log", lambda x: x["kind"] == "regenerate"), lambda x: x["seq"]))
-        messages = (e.groupBy("conv_id", "msg").agg(folded.alias("log"))
-                    .withColumn("resets", resets)
-                    .withColumn("last", last)
-                    .select("conv_id", F.struct(
-                        "msg", F.col("log.seq").getItem(0).alias("begun"),
-                        regenerated.alias("again"),
-                        F.coalesce(F.element_at(F.when(F.size(named) > 0, named), 1),
-                                   F.lit("")).alias("role"),
-                        F.array_join(F.slice("log.text", F.col("last") + 1, F.size("log")),
-                                     "").alias("text")).alias("m")))
-    else:
-        messages = e.select("conv_id", F.struct(
-            "msg", F.col("seq").alias("begun"), F.lit(None).cast("long").alias("again"),
-            "role", "text").alias("m"))
+    event = F.struct("seq", "kind", "role", "text")
+    folded = F.array_sort(F.collect_set(event) if once else F.collect_list(event))
+    resets = F.filter(F.transform("log", lambda x, i: F.when(x["kind"] != "delta", i)),
+                      lambda i: i.isNotNull())
+    last = F.coalesce(F.element_at(F.when(F.size("resets") > 0, F.col("resets")), -1), F.lit(0))
+    named = F.filter(F.col("log.role"), lambda r: r != "")
+    regenerated = F.array_max(F.transform(F.filter(
+        "log", lambda x: x["kind"] == "regenerate"), lambda x: x["seq"]))
+    messages = (e.groupBy("conv_id", "msg").agg(folded.alias("log"))
+                .withColumn("resets", resets)
+                .withColumn("last", last)
+                .select("conv_id", F.struct(
+                    "msg", F.col("log.seq").getItem(0).alias("begun"),
+                    regenerated.alias("again"),
+                    F.coalesce(F.element_at(F.when(F.size(named) > 0, named), 1),
+                               F.lit("")).alias("role"),
+                    F.array_join(F.slice("log.text", F.col("last") + 1, F.size("log")),
+                                 "").alias("text")).alias("m")))
     whole = messages.groupBy("conv_id").agg(F.array_sort(F.collect_list("m")).alias("ms"))
     again = F.filter("ms", lambda x: x["again"].isNotNull())
     kept = F.filter("ms", lambda x: ~F.exists(F.col("again"), lambda r: (

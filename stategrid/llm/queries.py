@@ -93,7 +93,7 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit(CONTROL_TEXT).alias("text"))
     events = chat.events_from_turns(rows.unionByName(control))
-    back = chat.parse(chat.render(chat.reconstruct(events, once=False)))
+    back = chat.parse(chat.render(chat.reconstruct(events)))
     return back.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"),
         F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(

@@ -511,6 +511,18 @@ def test_chat_repeated_turns(spark):
     assert r.learnt == "\\b\\l<\n"
 
 
+def test_chat_turns_go_through_the_fold(spark):
+    rows = spark.createDataFrame([(1, 0, "user", "a"), (1, 0, "user", "a"), (1, 5000, "user", "c"),
+                                  (None, 0, "user", "x"), (None, 3000, None, None)],
+                                 "conv_id long, turn long, role string, text string")
+    log = chat.events_from_turns(rows)
+    edit = spark.createDataFrame([(1, 9, 2, "edit", "", "b"), (1, 10, 3, "delta", "", "!")], log.schema)
+    told = {r.conv_id: [(t.role, t.text) for t in r.turns]
+            for r in chat.reconstruct(log.unionByName(edit)).collect()}
+    assert told == {1: [("user", "a"), ("user", "b"), ("user", "c!")],
+                    None: [("user", "x"), ("", "")]}
+
+
 # --- the pipeline
 
 def test_pipeline_stages(spark, duck, texts):
