@@ -94,7 +94,7 @@ def _cutter(max_size: int | None, wait_us: int | None):
 
 _CUT_SCHEMA = T.StructType([
     T.StructField("_k", T.StringType()), T.StructField("_seg", T.LongType()),
-    T.StructField("_rn", T.IntegerType()), T.StructField("_local", T.LongType()),
+    T.StructField("_rn", T.LongType()), T.StructField("_local", T.LongType()),
     T.StructField("_start_us", T.LongType())])
 
 
@@ -102,7 +102,7 @@ CHUNK_US = 86_400 * 1_000_000          # walk long segments one day at a time
 
 _CHUNK_SCHEMA = T.StructType([
     T.StructField("_k", T.StringType()), T.StructField("_seg", T.LongType()),
-    T.StructField("_chunk", T.LongType()), T.StructField("_rn", T.IntegerType()),
+    T.StructField("_chunk", T.LongType()), T.StructField("_rn", T.LongType()),
     T.StructField("_local", T.LongType()), T.StructField("_start_us", T.LongType()),
     T.StructField("_exit_a", T.LongType()), T.StructField("_exit_n", T.LongType()),
     T.StructField("_nb", T.LongType())])
@@ -219,10 +219,14 @@ def batch_rows(df: DataFrame, key: str | None, ts: str, order: Sequence[str] | N
     else:
         seg = batch_by_count(src, "_k", ["_us", "_ord"], max_size, _day(ts)) \
             .withColumnRenamed("batch_no", "_seg")
-    w_seg = Window.partitionBy("_k", "_seg")
-    seg = seg.select("*", F.row_number().over(w_seg.orderBy("_us", "_ord")).alias("_rn"),
-                     (F.max("_us").over(w_seg) - F.min("_us").over(w_seg)).alias("_span"),
-                     F.count(F.lit(1)).over(w_seg).alias("_rows"))
+    # Written once before it is read by the numbering and its summaries.
+    seg = materialize(seg, "batch-rows")
+    # Position by day, span and size from partial aggregates: no window covers a segment.
+    stats = seg.groupBy("_k", "_seg").agg(
+        F.min("_us").alias("_first_us"), (F.max("_us") - F.min("_us")).alias("_span"),
+        F.count(F.lit(1)).alias("_rows"))
+    seg = index_across(seg, ["_k", "_seg"], ["_us", "_ord"], _day(ts), "_rn").join(
+        stats, ["_k", "_seg"])
     # The segmented rows feed the fast path, the walk and the final join;
     # written once so that the plan above is not re-run for each branch.
     seg = materialize(seg, "batch-segments")
@@ -232,10 +236,10 @@ def batch_rows(df: DataFrame, key: str | None, ts: str, order: Sequence[str] | N
     walk = F.lit(False) if wait_us is None else F.col("_span") >= F.lit(wait_us)
     local = F.floor((F.col("_rn") - 1) / F.lit(max_size)).cast("long") if max_size \
         else F.lit(0).cast("long")
-    simple = (seg.where(~walk).select("_k", "_seg", "_rn", "_us", local.alias("_local"))
-                 .withColumn("_start_us", F.min("_us").over(
-                     Window.partitionBy("_k", "_seg", "_local")))
-                 .drop("_us"))
+    first = F.min("_us").over(Window.partitionBy("_k", "_seg", "_local")) if max_size \
+        else F.col("_first_us")
+    simple = (seg.where(~walk).select("_k", "_seg", "_rn", "_us", "_first_us", local.alias("_local"))
+                 .withColumn("_start_us", first).drop("_us", "_first_us"))
     big = F.col("_rows") > F.lit(max_segment_rows)
     one_task = (seg.where(walk & ~big).select("_k", "_seg", "_rn", "_us")
                    .groupBy("_k", "_seg").applyInPandas(_cutter(max_size, wait_us), _CUT_SCHEMA))
@@ -254,7 +258,7 @@ def batch_rows(df: DataFrame, key: str | None, ts: str, order: Sequence[str] | N
         "_k", "_seg", "_rn", (F.col("_off") + F.col("_local")).alias("batch_no"),
         F.timestamp_micros("_start_us").alias("batch_start"))
     return (seg.join(numbered, ["_k", "_seg", "_rn"])
-               .drop("_k", "_seg", "_rn", "_us", "_ord", "_span", "_rows"))
+               .drop("_k", "_seg", "_rn", "_us", "_ord", "_first_us", "_span", "_rows"))
 
 
 def batch_by_wait(df: DataFrame, key: str | None, ts: str, max_wait=DEFAULT_MAX_WAIT,

@@ -1,6 +1,7 @@
 """The batcher's cases: rows are strings, key = first letter, rows 10 ms apart."""
 
 import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
@@ -128,3 +129,21 @@ def test_batch_rows_equals_walk_on_events(spark, key, size, wait, seg_rows):
                        size, micros(wait))
         exp.update({(k, i): b for i, b in walked.items()})
     assert got == exp
+
+
+def test_no_window_covers_a_segment(spark, monkeypatch):
+    from stategrid.operators import batching
+    plans, write = [], batching.materialize
+
+    def note(df, name):
+        plans.append(df._jdf.queryExecution().analyzed().toString())
+        return write(df, name)
+    monkeypatch.setattr(batching, "materialize", note)
+    names = [f"a{i}" for i in range(300)]
+    for size, wait in ((None, "60s"), (7, "60s"), (7, "1s")):
+        out = batch_rows(rows_df(spark, names), None, "ts", ["ts", "i"], size, wait)
+        plans.append(out._jdf.queryExecution().analyzed().toString())
+        got = [(r.i, r.batch_no) for r in out.collect()]
+        assert sorted(got) == [(i, i // size if size else 0) for i in range(300)]
+    whole = re.compile(r"windowspecdefinition\(_k#\d+, _seg#\d+L?, (_us|_ord|specified)")
+    assert not any(whole.search(p) for p in plans)
