@@ -4,10 +4,11 @@ A document's fingerprint is the bitwise majority of the 64-bit hashes of its
 word shingles. Two fingerprints link if they differ in at most ``max_bits``
 (0, 1 or 2) bits. A fingerprint is filed under itself and its 64 neighbours at
 one flipped bit; an entry's key is all 64 bits, ``SEGMENTS`` only groups the
-flips (the README says why no table is keyed by a segment). Two
-fingerprints within two bits meet in an entry: each moves by one bit at most. An entry holds at most 65
-different fingerprints, whatever the size of a group of copies, so nothing
-needs a cap; neighbours in an entry are verified by their complete distance.
+flips (the README says why no table is keyed by a segment). Two fingerprints
+within two bits meet in an entry: each moves by one bit at most. An entry holds
+at most 65 different fingerprints, whatever the size of a group of copies, so
+nothing needs a cap; neighbours in an entry are verified by their complete
+distance.
 Only different fingerprints are indexed, copies are collapsed before.
 
 Rules: null text is empty; a text without words has fingerprint zero and is
