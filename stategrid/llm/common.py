@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stategrid.session import checkpoint_dir
+
 #: ASCII white space, and the ASCII case mapping.
 WHITE = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -15,6 +20,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder's path under the shared checkpoint folder."""
+    return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+
 def key128(c: Column) -> tuple[Column, Column]:
     """Two independent 64-bit hashes of one value: together a 128-bit key, so
     that distinct values of even 10^12 rows do not meet by chance."""

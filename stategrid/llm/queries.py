@@ -7,9 +7,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stategrid.llm import (ann, chat, decontaminate, line_dedup, packing, quality, sharding,
-                           simhash, suffix_dedup, toxicity)
-from stategrid.llm.common import key128, read
+from stategrid.llm import (align, ann, audit, chat, decontaminate, line_dedup, packing, quality, sharding,
+                           simhash, suffix_dedup, toxicity, warc)
+from stategrid.llm.common import key128, read, scratch
+from stategrid.session import materialize
 
 
 def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,9 +111,36 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(docs, _remainder(F.col("doc_id"), 3) == 1, quality.score(F.col("text"), model))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    aligned = align.align(read(spark, sf_dir, "documents"),
+                          public_tokenizers.path("byte_bpe_50k.json"),
+                          public_tokenizers.path("piece_bpe_32k.model"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return align.score(aligned.withColumn("groups_sha256", digest).drop("groups"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages go into legacy archives first, half of them in each version."""
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    arcs = []
+    for version in warc.FIELDS:
+        arcs.append(scratch(spark, f"arc-{version}"))
+        own = F.pmod(F.xxhash64("page_id", "url"), F.lit(2)) == int(version) - 1
+        warc.write_archives(warc.arc_rows(pages.where(own), version), arcs[-1], warc.ARC_END)
+    out = scratch(spark, "warc")
+    warc.convert(spark, arcs, out, min_bytes=0)
+    return warc.resolve(materialize(warc.read_warc(spark, out), "warc-records").where("intact"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_nearest, op2_suffix_dedup, op3_line_dedup, op4_decontaminate, op5_simhash, op6_packing,
-    op7_toxicity, op8_sharding, op9_chat, op10_quality)}
+    op7_toxicity, op8_sharding, op9_chat, op10_quality, op11_alignment, op12_filter_audit,
+    op13_warc)}
 
 _ROWS = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents)"""
@@ -147,5 +175,52 @@ SELECT conv_id, count(*) AS n_turns,
                        FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(length(er) + length(et) + 20) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id""",
+    "op12_filter_audit": r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
+             min(doc_id) OVER (PARTITION BY t) AS smallest FROM d),
+f AS (SELECT part, doc_id, len(ws) < 200 AS a, 100 * len(list_distinct(ws)) < 50 * len(ws) AS b,
+             100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t) AS c,
+             regexp_matches(t, '[#$%&*|]') AS d, coalesce(smallest < doc_id, false) AS e FROM w),
+m AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+             max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+x AS (SELECT f.part, (CASE WHEN a THEN 'A' ELSE '' END) || (CASE WHEN b THEN 'B' ELSE '' END)
+             || (CASE WHEN c THEN 'C' ELSE '' END) || (CASE WHEN d THEN 'D' ELSE '' END)
+             || (CASE WHEN e THEN 'E' ELSE '' END) AS fails, count(*) AS n,
+             sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+      FROM f LEFT JOIN m ON f.doc_id = m.doc_id GROUP BY 1, 2),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM l a, l b, l c, l d, l e
+      WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT filter_order, step, filter_order[step] AS own,
+             CASE WHEN step > 1 THEN filter_order[1:step - 1] ELSE '' END AS before
+      FROM o, range(1, 6) r(step)),
+k AS (SELECT part, filter_order, step, any_value(own) AS own,
+       sum(CASE WHEN NOT hit AND NOT fail THEN n ELSE 0 END) AS kept,
+       sum(CASE WHEN NOT hit AND fail THEN n ELSE 0 END) AS removed,
+       sum(CASE WHEN hit AND fail THEN n ELSE 0 END) AS redundant,
+       sum(CASE WHEN fails = own THEN n ELSE 0 END) AS unique_fails,
+       sum(CASE WHEN NOT hit AND fail THEN good ELSE 0 END) AS good_lost,
+       sum(CASE WHEN NOT hit AND fail THEN toxic ELSE 0 END) AS toxic_lost
+      FROM (SELECT *, contains(fails, own) AS fail,
+                   before <> '' AND regexp_matches(fails, '[' || before || '_]') AS hit FROM x, s)
+      GROUP BY part, filter_order, step)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept,
+       CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM k""",
+    "op13_warc": r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, strlen(coalesce(html, '')) AS payload_bytes,
+                  sha1(coalesce(html, '')) AS x FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY x, payload_bytes) AS first FROM p)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda i:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((
+           CAST('0x' || substr(x, CAST(i // 4 AS INTEGER) * 5 + 1, 5) AS BIGINT)
+           >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31 AS INTEGER), 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM f""",
 }
-
