@@ -13,8 +13,10 @@ as rows of their own. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -27,7 +29,11 @@ _UNSURE = re.compile("[^\t\n\r\x20-\x7e¡-©«¬®-±´¶-¸"
                      "»¿-įı-ňŊ-ž–—‘’"
                      "“”…€]|<\\|")
 _SAFE = bytes(b for b in range(256) if not _UNSURE.search(chr(b)))
-_MEMORY = 600_000
+#: The rules of tokenizers whose words ``_WORDS`` cuts (the normaliser's type, what it
+#: replaces, and the pattern of its words); texts of any other tokenizer are encoded whole.
+_RULES = ("Lowercase", "\\s+", r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: Estimated bytes of a generation of what an encoder remembers.
+_MEMORY = 80 << 20
 
 
 def _certain(text: str) -> bool:
@@ -37,48 +43,101 @@ def _certain(text: str) -> bool:
         return not _UNSURE.search(text)
 
 
+class Memory:
+    """Ids by string, in two generations: when the young one is full it becomes
+    the old one, whose strings come back when they occur again."""
+
+    def __init__(self):
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.held = 0
+
+    def find(self, keys: list[str], learn) -> list[bytes]:
+        """The ids of ``keys``; ``learn(new)`` gives those of unknown ones."""
+        parts = list(map(self.young.get, keys))
+        if None not in parts:
+            return parts
+        missing = {k for k, p in zip(keys, parts) if p is None}
+        got = {k: self.old[k] for k in missing if k in self.old}
+        new = [k for k in missing if k not in got]
+        got.update(zip(new, learn(new)))
+        if self.held > _MEMORY:
+            self.old, self.young, self.held = self.young, {}, 0
+        self.young.update(got)
+        self.held += sum(200 + 2 * len(k) + len(i) for k, i in got.items())
+        return [got[k] if p is None else p for k, p in zip(keys, parts)]
+
+
 class Encoder:
     """Ids of whole texts. The tokenizer's words never span white space, so the
-    ids of every run of other characters are found once and remembered; texts
-    with characters whose class or case is not certain here go through the
-    tokenizer whole."""
+    ids of every run of other characters, and of every word in a run, are found
+    once and remembered. Texts with characters whose class or case is not
+    certain here, and all texts if the tokenizer has other rules than
+    ``_RULES``, go through the tokenizer whole."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
-        self.runs: dict[str, bytes] = {}
+        self.by_words = self._rules() == _RULES
+        self.runs, self.words = Memory(), Memory()
+
+    def _rules(self) -> tuple | None:
+        rules = json.loads(self.tokenizer.to_str())
+        normal = (rules["normalizer"] or {}).get("normalizers", [])
+        cut = (rules["pre_tokenizer"] or {}).get("pretokenizers", [])
+        if [n["type"] for n in normal] != ["NFC", "Replace", "Lowercase"] \
+                or [c["type"] for c in cut] != ["Split", "ByteLevel"] or cut[1]["add_prefix_space"] \
+                or cut[0]["behavior"] != "Removed" or not cut[0]["invert"]:
+            return None
+        return normal[2]["type"], normal[1]["pattern"].get("Regex"), cut[0]["pattern"].get("Regex")
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, runs: list[str]) -> None:
+    def _of_words(self, words: list[str]) -> list[bytes]:
+        """One call; a word of the joined text is a word of its own."""
+        e = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        of = np.array(e.word_ids, np.int64)
+        ends = (4 * np.searchsorted(of, np.arange(len(words)), "right")).tolist()
+        raw = np.array(e.ids, "<u4").tobytes()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _of_runs(self, runs: list[str]) -> list[bytes]:
         cut = [_WORDS.findall(r.lower()) for r in runs]
-        new = sorted({w for ws in cut for w in ws if w not in self.words})
-        if new:                 # one call; a word of the joined text is a word of its own
-            e = self.tokenizer.encode(" ".join(new), add_special_tokens=False)
-            ids, of = np.array(e.ids, "<u4"), np.array(e.word_ids, np.int64)
-            ends = np.searchsorted(of, np.arange(len(new)), "right")
-            raw, at = ids.tobytes(), 0
-            for w, end in zip(new, (4 * ends).tolist()):
-                self.words[w], at = raw[at:end], end
-        self.runs.update((r, b"".join(map(self.words.__getitem__, ws)))
-                         for r, ws in zip(runs, cut))
-
-    def __call__(self, text: str) -> bytes:
-        if not _certain(text):
-            return self._whole(text)
-        if len(self.runs) > _MEMORY:
-            self.runs.clear()
-        if len(self.words) > _MEMORY:
-            self.words.clear()
-        runs, get = text.split(), self.runs.get
-        parts = list(map(get, runs))
-        if None in parts:
-            self._learn(list({r for r, p in zip(runs, parts) if p is None}))
-            parts = map(self.runs.__getitem__, runs)
-        return b"".join(parts)
+        ids = b"".join
+        parts = iter(self.words.find(list(chain.from_iterable(cut)), self._of_words))
+        return [ids(islice(parts, len(ws))) for ws in cut]
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; a run that several texts hold is looked up once."""
+        cut = [t.split() if self.by_words and _certain(t) else None for t in texts]
+        local = dict.fromkeys(chain.from_iterable(c for c in cut if c))
+        runs = list(local)
+        local.update(zip(runs, self.runs.find(runs, self._of_runs)))
+        get = local.__getitem__
+        return [self._whole(t) if c is None else b"".join(map(get, c)) for t, c in zip(texts, cut)]
+
+
+#: Texts are encoded together up to so many characters.
+SLICE = 1 << 20
+
+
+def _slices(batch: pd.DataFrame, size: int):
+    """Parts of a batch of about ``size`` characters of text."""
+    part = batch["text"].str.len().cumsum() // size
+    for _, rows in batch.groupby(part, sort=False):
+        yield rows
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """One encoder for each Python worker, kept between its tasks."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -108,19 +167,17 @@ def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray
 def pieces(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = 4096) -> DataFrame:
     """(doc_id, start, length, doc_tokens, ids) and ``_group_key``."""
     def cut(batches):
-        encode = Encoder(tokenizer)
+        encode = encoder(tokenizer)
         end = np.array([end_id], "<u4").tobytes()
         for b in batches:
-            rows = []
-            for doc_id, key, text in zip(b["doc_id"], b["_group_key"], b["text"]):
-                ids = encode(text) + end
-                n = len(ids) // 4
-                rows += [(doc_id, key, s, min(capacity, n - s), n, ids[4 * s:4 * (s + capacity)])
-                         for s in range(0, n, capacity)]
-                if len(rows) >= 2000:
-                    yield _frame(rows)
-                    rows = []
-            yield _frame(rows)
+            for b in _slices(b, SLICE):
+                rows = []
+                for doc_id, key, ids in zip(b["doc_id"], b["_group_key"], encode(list(b["text"]))):
+                    ids += end
+                    n = len(ids) // 4
+                    rows += [(doc_id, key, s, min(capacity, n - s), n, ids[4 * s:4 * (s + capacity)])
+                             for s in range(0, n, capacity)]
+                yield _frame(rows)
 
     def _frame(rows):
         out = pd.DataFrame(rows, columns=["doc_id", "_group_key", "start", "length", "doc_tokens",
