@@ -136,7 +136,8 @@ def write_archives(rows: DataFrame, path: str, end: str) -> None:
     """Binary rows as gzip files under ``path``, each followed by ``end``. A
     cast to string keeps the bytes, and the text writer writes them raw."""
     rows.select(F.col("value").cast("string").alias("value")).write.option(
-        "lineSep", end).option("compression", "gzip").text(path)
+        "lineSep", end).option("compression", "gzip").option(
+        "zlib.compress.level", "BEST_SPEED").text(path)
 
 
 def _open(content: bytes):
