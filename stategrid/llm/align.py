@@ -17,7 +17,7 @@ A unit is the text from one single space between two visible characters to the
 next. Neither tokenizer joins characters over such a space (the first one's
 pattern starts a word there; of the second one ``Aligner`` checks the
 vocabulary, and takes whole texts as units otherwise), so the tokens of a text
-are those of its units, which a worker remembers within ``MEMORY`` bytes. A
+are those of its units, and a unit that a slice of texts repeats is encoded once. A
 byte range that ends inside a unit of over ``LONG_UNIT`` bytes is moved to its
 end, so that no unit is read by many tasks.
 
@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import reduce
@@ -39,6 +40,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,7 +49,8 @@ from stategrid.session import materialize
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 CHUNK, LONG_UNIT, FAN = 32 << 10, 4 << 10, 8
-MEMORY, SLICE = 96 << 20, 8 << 20
+#: Bytes of text that are read together, and units that are encoded as one text.
+SLICE, TOGETHER = 8 << 20, 4000
 #: Pair counts up to so many rows (about 64 bytes each) are broadcast; more are joined by shuffles.
 BROADCAST_PAIRS = 1_000_000
 
@@ -120,6 +123,18 @@ def _byte_decoder() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class Learnt(NamedTuple):
+    """Of units, in order: groups as text, (failed, n_a, n_b, links), links."""
+    whole: list[str]
+    sums: np.ndarray
+    links: np.ndarray
+
+
+def _concat(parts: list[Learnt]) -> Learnt:
+    return Learnt([w for x in parts for w in x.whole], *(np.concatenate([x[k] for x in parts])
+                                                         for k in (1, 2)))
+
+
 class Aligner:
     """Tokens of units and the fragments of texts, for one pair of tokenizers."""
 
@@ -137,20 +152,9 @@ class Aligner:
         names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i)
                         else p.replace("▁", " ").encode() for i, p in enumerate(names)]
+        self.a_len = np.array([len(t) for t in self.a_bytes])
+        self.b_len = np.array([len(t) for t in self.b_bytes])
         self.units = not any(re.search("[^▁]▁", p) for p in names)
-        self.forget()
-
-    def forget(self) -> None:
-        """Start with no unit remembered."""
-        self.index: dict[str, int] = {}
-        self.first: list[tuple[str, str, str]] = []         # first group's ids, the other groups
-        self.whole: list[str] = []                          # all groups
-        self.sums = np.zeros((0, 4), np.int64)              # failures, n_a, n_b, ends
-        self.pair_no: dict[int, int] = {}                   # pairs are numbered as they appear
-        self.pairs: list[int] = []
-        self.links = np.zeros(0, np.int64)                  # pair numbers of unit after unit
-        self.starts = np.zeros(1, np.int64)
-        self.size = 0
 
     def split(self, text: str) -> list[str]:
         """The units of a text, each without the space before it."""
@@ -166,81 +170,120 @@ class Aligner:
             yield (a, list(accumulate(map(len, ba))), b, list(accumulate(map(len, bb))),
                    b"".join(ba) == whole and b"".join(bb) == whole)
 
-    def _numbers(self, pairs: list[int]) -> list[int]:
-        out = []
-        for p in pairs:
-            n = self.pair_no.setdefault(p, len(self.pairs))
-            if n == len(self.pairs):
-                self.pairs.append(p)
-            out.append(n)
-        return out
-
-    def learn(self, units: list[str]) -> None:
-        sums, flat, lens = [], [], []
-        for u, t in zip(units, self.tokens(units)):
+    def _joined(self, units: list[str]) -> Learnt | None:
+        """What is known of units that start and end visibly, encoded as one
+        text; None if its tokens do not give back the bytes or its units."""
+        text = " ".join(units)
+        whole = (" " + text).encode()
+        la, lb = self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, \
+            self.b.encode(text)
+        a, b = np.array(la), np.array(lb)
+        ends = np.cumsum([len(u.encode()) + 1 for u in units])
+        if not (self.a_len[a].all() and self.b_len[b].all()
+                and b"".join(map(self.a_bytes.__getitem__, la)) == whole
+                and b"".join(map(self.b_bytes.__getitem__, lb)) == whole):
+            return None
+        a_ends, b_ends, mark = np.cumsum(self.a_len[a]), np.cumsum(self.b_len[b]), \
+            np.zeros((2, len(whole) + 1), bool)
+        mark[0, a_ends] = mark[1, b_ends] = True
+        mark = mark[0] & mark[1]
+        common = np.flatnonzero(mark)
+        if not mark[ends].all():
+            return None
+        ia, ib = np.searchsorted(a_ends, common) + 1, np.searchsorted(b_ends, common) + 1
+        sa, sb = list(map(str, la)), list(map(str, lb))
+        cut_a, cut_b = [0, *ia.tolist()], [0, *ib.tolist()]
+        text = [f"{sa[i]}|{sb[k]}" if j - i == 1 == m - k else
+                f"{','.join(sa[i:j])}|{','.join(sb[k:m])}"
+                for i, j, k, m in zip(cut_a, cut_a[1:], cut_b, cut_b[1:])]
+        at = np.searchsorted(common, ends) + 1              # the groups of each unit
+        of = [0, *at.tolist()]
+        sums = np.diff(np.stack([np.zeros_like(at), ia[at - 1], ib[at - 1], at], axis=1), axis=0,
+                       prepend=0)
+        return Learnt([";".join(text[i:j]) for i, j in zip(of, of[1:])], sums,
+                      (a[ia - 1] << 32) + b[ib - 1])
+
+    def _each(self, units: list[str]) -> Learnt:
+        """The same of any units, one by one."""
+        whole, sums, found = [], [], []
+        for t in self.tokens(units):
             f = of_tokens(*t)
-            found = self._numbers(links(*t[:4]))
-            self.index[u] = len(self.whole)
-            self.first.append((f.head_a, f.head_b, f.body))
-            self.whole.append(groups(f))
-            sums.append((not f.ok, f.n_a, f.n_b, f.ends))
-            flat += found
-            lens.append(len(found))
-            self.size += 700 + 2 * len(u) + 2 * len(self.whole[-1]) + 40 * len(found)
-        self.sums = np.concatenate([self.sums, np.array(sums, np.int64)])
-        self.links = np.concatenate([self.links, np.array(flat, np.int64)])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lens)])
+            found += (own := links(*t[:4]) if t[4] else [])
+            whole.append(groups(f))
+            sums.append((not f.ok, f.n_a, f.n_b, len(own)))
+        return Learnt(whole, np.array(sums, np.int64).reshape(-1, 4), np.array(found, np.int64))
+
+    def _apart(self, units: list[str], odd: set[str]) -> Learnt:
+        order = sorted(range(len(units)), key=lambda i: units[i] in odd)
+        n = len(units) - sum(u in odd for u in units)
+        parts = [self.learn([units[i] for i in order[:n]])] if n else []
+        got = _concat([*parts, self._each([units[i] for i in order[n:]])])
+        at = np.argsort(order)
+        lens = got.sums[:, 3]
+        starts = np.cumsum(lens) - lens
+        links = [got.links[starts[i]:starts[i] + lens[i]] for i in at]
+        return Learnt([got.whole[i] for i in at], got.sums[at], np.concatenate(links))
+
+    def learn(self, units: list[str]) -> Learnt:
+        """Of each unit its groups, (failed, n_a, n_b, links) and links."""
+        out = []
+        for i in range(0, len(units), TOGETHER):
+            some = units[i:i + TOGETHER]
+            odd = {u for u in some if not u or u[0].isspace() or u[-1].isspace()}
+            if odd and self.units:      # the visible ones together, the others one by one
+                out.append(self._apart(some, odd))
+            else:
+                out.append(self.units and not odd and self._joined(some) or self._each(some))
+        return _concat(out)
 
     def read(self, rows: list[tuple]) -> tuple[list[Fragment], np.ndarray, np.ndarray, np.ndarray]:
-        """rows: (units, lo, hi), for the tokens that end after byte ``lo`` of
+        """rows: (text, lo, hi), for the tokens that end after byte ``lo`` of
         the first unit and up to ``hi`` of the last one (None: all). Gives
         their fragments, and as flat arrays offsets, pairs and counts of the
-        links of each row, different pairs in different entries."""
-        if self.size > MEMORY:
-            self.forget()
-        mid, edges = [], []
-        for units, lo, hi in rows:
-            i, j = int(lo > 0), len(units) - (hi is not None)
-            mid.append(units[i:j] if i < j else [])
-            n = len(units) - 1
+        links of each row, different pairs in different entries. A unit that
+        occurs in several places is encoded once."""
+        index: dict[str, int] = {}
+        ids, edges = [], []
+        for text, lo, hi in rows:
+            units = self.split(text)
+            i, j, n = int(lo > 0), len(units) - (hi is not None), len(units) - 1
+            ids.append(array("q", [index.setdefault(u, len(index)) for u in units[i:j]]))
             cut = ([(0, lo, hi if n == 0 else None)] if lo or (n == 0 and hi is not None) else []) \
                 + ([(n, 0, hi)] if n and hi is not None else [])
             edges.append([(at, *self._part(units[at], a, b)) for at, a, b in cut])
-        new = {u for units in mid for u in units if u not in self.index}
-        if new:
-            self.learn(sorted(new))
-        get = self.index.__getitem__
-        ids = [list(map(get, units)) for units in mid]
+        known = self.learn(list(index)) if index else Learnt(
+            [], np.zeros((0, 4), np.int64), np.zeros(0, np.int64))
         ends = np.cumsum([0, *map(len, ids)])
         flat = np.fromiter(chain.from_iterable(ids), np.int64, ends[-1])
-        sums = np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(self.sums[flat], axis=0)])
+        sums = np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(known.sums[flat], axis=0)])
         sums = (sums[ends[1:]] - sums[ends[:-1]]).tolist()
         out = []
         for own, (bad, *n), cut in zip(ids, sums, edges):
             f = Fragment()
             if own:             # a unit ends in a common end, so nothing stays open after it
-                head_a, head_b, body = self.first[own[0]]
-                f = Fragment(not bad, *n, head_a, head_b, _join(
-                    ";", body, ";".join(map(self.whole.__getitem__, own[1:])))) if not bad \
-                    else Fragment(False, *n)
+                first, _, rest = ";".join(map(known.whole.__getitem__, own)).partition(";")
+                f = Fragment(False, *n) if bad else Fragment(True, *n, *first.split("|"), rest)
             for at, edge, _ in cut:
                 f = compose(f, edge) if at else compose(edge, f)
             out.append(f)
-        row = np.repeat(np.arange(len(rows)), np.diff(ends))
-        lens = self.starts[flat + 1] - self.starts[flat]
-        at = np.repeat(self.starts[flat] - np.cumsum(lens) + lens, lens) + np.arange(lens.sum())
-        more = [(r << 32) + n for r, cut in enumerate(edges) for *_, ns in cut for n in ns]
-        key, count = np.unique(np.concatenate([
-            (np.repeat(row, lens) << 32) + self.links[at], np.array(more, np.int64)]),
-            return_counts=True)
+        lens = known.sums[:, 3]
+        starts, lens = (np.cumsum(lens) - lens)[flat], lens[flat]
+        at = np.repeat(starts - np.cumsum(lens) + lens, lens) + np.arange(lens.sum())
+        row = np.repeat(np.repeat(np.arange(len(rows)), np.diff(ends)), lens)
+        more = [(r, p) for r, cut in enumerate(edges) for *_, ps in cut for p in ps]
+        row = np.concatenate([row, np.array([r for r, _ in more], np.int64)])
+        pairs, number = np.unique(np.concatenate(
+            [known.links, np.array([p for _, p in more], np.int64)]), return_inverse=True)
+        number = np.concatenate([number[:len(known.links)][at], number[len(known.links):]])
+        key, count = np.unique((row << 32) + number, return_counts=True)
         offsets = np.searchsorted(key >> 32, np.arange(len(rows) + 1))
-        return out, offsets, np.array(self.pairs, np.int64)[key & 0xFFFFFFFF], count
+        return out, offsets, pairs[key & 0xFFFFFFFF], count
 
     def _part(self, unit: str, lo: int, hi: int | None) -> tuple[Fragment, list[int]]:
         a, a_ends, b, b_ends, ok = next(self.tokens([unit]))
         hi = max([*a_ends, *b_ends]) if hi is None else hi
         own = (*_within(a, a_ends, lo, hi), *_within(b, b_ends, lo, hi))
-        return of_tokens(*own, ok), self._numbers(links(*own))
+        return of_tokens(*own, ok), links(*own)
 
     def chunks(self, text: str, size: int = CHUNK) -> Iterator[tuple[int, int, int | None, str]]:
         """(chunk, lo, hi, piece): byte ranges of about ``size`` of space+text
@@ -285,9 +328,9 @@ ALIGNED = "n_a long, n_b long, n_groups long, groups string"
 
 
 def _slices(batches, size_of):
-    """Parts of the Arrow batches, of about SLICE characters each."""
+    """Parts of the Arrow batches, of about SLICE bytes each."""
     for b in batches:
-        lens = [len(t) for t in b[size_of].to_pylist()]
+        lens = pc.binary_length(b[size_of]).to_pylist()
         at, held = 0, 0
         for i, n in enumerate(lens):
             held += n
@@ -308,7 +351,7 @@ def _short(docs: DataFrame, bpe: str, pieces: str) -> DataFrame:
     def run(batches):
         own = aligner(bpe, pieces)
         for b in _slices(batches, "text"):
-            frags, *found = own.read([(own.split(t), 0, None) for t in b["text"].to_pylist()])
+            frags, *found = own.read([(t, 0, None) for t in b["text"].to_pylist()])
             kept = [(f.n_a, f.n_b, f.ends, groups(f)) if f.ok else (0, 0, 0, "") for f in frags]
             cols = [pa.array(c, t) for c, t in zip(zip(*kept), (pa.int64(),) * 3 + (pa.string(),))]
             yield pa.RecordBatch.from_arrays(
@@ -341,8 +384,8 @@ def _fragments(texts: DataFrame, bpe: str, pieces: str, chunk: int) -> DataFrame
     def run(batches):
         own = aligner(bpe, pieces)
         for b in _slices(batches, "piece"):
-            frags, *found = own.read([(own.split(t), lo, hi) for t, lo, hi in zip(
-                *(b[c].to_pylist() for c in ("piece", "lo", "hi")))])
+            frags, *found = own.read(list(zip(*(b[c].to_pylist() for c in (
+                "piece", "lo", "hi")))))
             cols = [pa.array(c, t) for c, t in zip(
                 zip(*frags), (pa.bool_(),) + (pa.int64(),) * 3 + (pa.string(),) * 5)]
             yield pa.RecordBatch.from_arrays(

@@ -114,19 +114,20 @@ def test_chunks_cut_inside_tokens_and_spare_long_units():
         cuts = list(own.chunks(text, size))
         assert any(lo for _, lo, _, _ in cuts) and [c[0] for c in cuts] == list(range(len(cuts)))
         assert sum("x" * 9000 in piece for *_, piece in cuts) == 1
-        frags, *_ = own.read([(own.split(p), lo, hi) for _, lo, hi, p in cuts])
+        frags, *_ = own.read([(p, lo, hi) for _, lo, hi, p in cuts])
         assert align.groups(reduce(align.compose, frags)) == want
         open_ends += sum(bool(f.tail_a or f.tail_b) for f in frags)
     assert open_ends > 10
 
 
-def test_forgetting_keeps_results(monkeypatch):
-    monkeypatch.setattr(align, "MEMORY", 1)
+def test_units_together_and_one_by_one():
     own = align.Aligner(BPE, PIECES)
-    first = own.read([(own.split("a few words"), 0, None)])
-    own.read([(own.split("other words than those"), 0, None)])
-    again = own.read([(own.split("a few words"), 0, None)])
-    assert first[0] == again[0] and first[2].tolist() == again[2].tolist()
+    units = "some units, don't they; ١٢ ﬁ <s> 日本 a\tb it's".split(" ")
+    one, other = own._joined(units), own._each(units)
+    assert one.whole == other.whole and one.links.tolist() == other.links.tolist()
+    assert one.sums.tolist() == other.sums.tolist()
+    assert own._joined(["x", "a▁b"]) is None            # its bytes do not come back
+    assert own._each(["x", "a▁b"]).sums[:, 0].tolist() == [0, 1]
 
 
 # --- 12: filter audit
