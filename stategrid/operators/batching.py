@@ -6,44 +6,47 @@ A batch of a key opens at its first row and closes when it holds
 row order (``batch_no``); ``batch_start`` is the time of the batch's first
 row.
 
-* count only (``batch_by_count``): ``batch_no = (position - 1) div max_size``;
-  the position is a two-level running index (``plans.prefix``), so a hot key
-  is spread over its time buckets.
-* wait (``batch_by_wait``, ``batch_rows``): the cut points form a chain (each
-  batch's end depends on where it opened). A gap >= ``max_wait`` always starts
-  a new batch, so rows are first split into *segments* at such gaps (two-level
-  lag + running sum, all Spark). A segment shorter than the wait is cut by
-  position in Spark. Longer segments are walked in ``applyInPandas``
-  (``numpy.searchsorted``, one step per batch): in one task when the segment
-  holds at most ``max_segment_rows`` rows, else per (key, segment, day), each
-  day from the exit state of the day before, in rounds until no entry state
-  changes - so no group, however busy its key, is larger than that bound or
-  one day of one key.
+The rows are range-partitioned and sorted once by (key, order), so that any
+stretch of a busy key is spread over tasks, and written with an id that counts
+up in that order. Ids make *chunks*: at most ``CHUNK_ROWS`` neighbouring rows,
+whatever keys they belong to. All later work is per chunk or on a few rows per
+chunk:
+
+* count only (``batch_by_count``): the position of a row in its key is its id
+  minus the key's first id in the partition, plus the rows of the key in the
+  partitions before (a prefix sum over one row per key and partition).
+* size or wait (``batch_rows``, ``batch_by_wait``): where a batch ends depends
+  on where it opened, so a key's cuts are one chain. For a chunk, that chain is
+  a function *open batch on entry -> open batch on exit, batches begun*: it
+  depends only on the first row that opens a batch, which lies within one batch
+  of the chunk's start. ``tabulate`` gets the chain's end from every such row by
+  pointer jumping and writes one entry for each different end - a handful of
+  rows, at most the rows of a batch. ``fold`` applies the functions of a key in
+  order (one streaming pass over those entries) and gives each chunk its entry
+  state; ``walk`` cuts each chunk from it. No group holds more than a chunk, and
+  no step repeats until something converges.
 * no key: all rows form one stream (constant key '').
 * a row whose key is NULL cannot be routed: ``split_by_key`` returns it as an
-  error row, the other rows go on.
+  error row, the other rows go on. Here NULL is a key of its own.
+* a NULL time counts as 1970-01-01.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from stategrid.operators.series import micros
-from stategrid.plans.prefix import index_across, lag_across, running_sum
 from stategrid.session import materialize
 
 DEFAULT_MAX_SIZE = 100
 DEFAULT_MAX_WAIT = "60s"
-# A segment up to this many rows is walked in one task; larger ones by day.
-MAX_SEGMENT_ROWS = 1_000_000
-
-
-def _day(ts: str) -> Column:
-    return F.date_trunc("day", F.col(ts).cast("timestamp"))
+CHUNK_ROWS = 1 << 16
+_FAR = 1 << 62
 
 
 def split_by_key(df: DataFrame, key: Column | str) -> tuple[DataFrame, DataFrame]:
@@ -54,211 +57,186 @@ def split_by_key(df: DataFrame, key: Column | str) -> tuple[DataFrame, DataFrame
         staged.where(F.col("_key").isNull()).drop("_key").withColumn("reason", F.lit("no_key"))
 
 
+def _in_order(df: DataFrame, key: str | None, order: Sequence[str], name: str) -> DataFrame:
+    """The rows with ``_k`` (the key) and ``_id``, written in (key, order):
+    ids count up along a partition, and partitions follow each other."""
+    src = df.withColumn("_k", F.col(key).cast("string") if key else F.lit(""))
+    by = ["_k", *order]
+    return materialize(src.repartitionByRange(*by).sortWithinPartitions(*by)
+                       .withColumn("_id", F.monotonically_increasing_id()), name)
+
+
 def batch_by_count(df: DataFrame, key: str | None, order: Sequence[str],
-                   max_size: int = DEFAULT_MAX_SIZE, bucket: Column | None = None) -> DataFrame:
+                   max_size: int = DEFAULT_MAX_SIZE) -> DataFrame:
     """``batch_no`` = (position of the row in its key - 1) div max_size."""
     if max_size < 1:
         raise ValueError("max_size must be >= 1")
-    k = key or "_all"
-    src = df if key else df.withColumn("_all", F.lit(""))
-    bucket = bucket if bucket is not None else _day(order[0])
-    idx = index_across(src, [k], order, bucket, "_pos")
-    out = idx.withColumn("batch_no", F.floor((F.col("_pos") - 1) / F.lit(max_size)).cast("long"))
-    out = out.drop("_pos")
-    return out if key else out.drop("_all")
-
-
-def _cutter(max_size: int | None, wait_us: int | None):
-    def cut(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_rn", kind="stable")
-        t = pdf["_us"].to_numpy(np.int64)
-        n = len(t)
-        local = np.empty(n, dtype=np.int64)
-        start = np.empty(n, dtype=np.int64)
-        i, b = 0, 0
-        while i < n:
-            j = n
-            if wait_us is not None:
-                j = int(np.searchsorted(t, t[i] + wait_us, side="left"))
-            if max_size is not None:
-                j = min(j, i + max_size)
-            local[i:j] = b
-            start[i:j] = t[i]
-            b += 1
-            i = j
-        return pd.DataFrame({"_k": pdf["_k"].to_numpy(), "_seg": pdf["_seg"].to_numpy(),
-                             "_rn": pdf["_rn"].to_numpy(), "_local": local,
-                             "_start_us": start})
-    return cut
-
-
-_CUT_SCHEMA = T.StructType([
-    T.StructField("_k", T.StringType()), T.StructField("_seg", T.LongType()),
-    T.StructField("_rn", T.LongType()), T.StructField("_local", T.LongType()),
-    T.StructField("_start_us", T.LongType())])
-
-
-CHUNK_US = 86_400 * 1_000_000          # walk long segments one day at a time
-
-_CHUNK_SCHEMA = T.StructType([
-    T.StructField("_k", T.StringType()), T.StructField("_seg", T.LongType()),
-    T.StructField("_chunk", T.LongType()), T.StructField("_rn", T.LongType()),
-    T.StructField("_local", T.LongType()), T.StructField("_start_us", T.LongType()),
-    T.StructField("_exit_a", T.LongType()), T.StructField("_exit_n", T.LongType()),
-    T.StructField("_nb", T.LongType())])
-
-
-def _chunk_walker(max_size: int | None, wait_us: int | None):
-    """Walk one day of a segment from an entry state (open batch anchor and
-    its row count; anchor -1 = nothing open). Rows still inside the open
-    batch get ``_local = -1``; new batches are numbered from 0. Every row
-    also carries the chunk's exit state and its number of new batches."""
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_rn", kind="stable")
-        t = pdf["_us"].to_numpy(np.int64)
-        n = len(t)
-        a0, c0 = int(pdf["_a0"].iloc[0]), int(pdf["_c0"].iloc[0])
-        local = np.full(n, -1, dtype=np.int64)
-        start = np.full(n, a0, dtype=np.int64)
-        i = 0
-        if a0 >= 0:
-            j = int(np.searchsorted(t, a0 + wait_us, side="left")) if wait_us is not None else n
-            if max_size is not None:
-                j = min(j, max(max_size - c0, 0))
-            i = j
-        exit_a, exit_n, b = a0, c0 + i, 0
-        while i < n:
-            j = n
-            if wait_us is not None:
-                j = int(np.searchsorted(t, t[i] + wait_us, side="left"))
-            if max_size is not None:
-                j = min(j, i + max_size)
-            local[i:j] = b
-            start[i:j] = t[i]
-            exit_a, exit_n = int(t[i]), j - i
-            b += 1
-            i = j
-        return pd.DataFrame({"_k": pdf["_k"].to_numpy(), "_seg": pdf["_seg"].to_numpy(),
-                             "_chunk": pdf["_chunk"].to_numpy(), "_rn": pdf["_rn"].to_numpy(),
-                             "_local": local, "_start_us": start, "_exit_a": exit_a,
-                             "_exit_n": exit_n, "_nb": b})
-    return walk
-
-
-def _walk_long_segments(rows: DataFrame, max_size: int | None, wait_us: int | None) -> DataFrame:
-    """Exact cuts of segments that span the wait, in parallel by day.
-
-    Round 1 walks every day from "nothing open". Each round then gives every
-    day the exit state of the previous day of its segment and walks again;
-    when no day's entry state changes the cuts are those of one sequential
-    walk. Chains from different entries merge at the first shared batch
-    start, so few rounds are needed; each round is one distributed pass.
-    Returns ``_k, _seg, _rn, _local`` (index in the segment) and ``_start_us``.
-    """
-    rows = rows.withColumn("_chunk", F.floor(F.col("_us") / F.lit(CHUNK_US)).cast("long"))
-    keys = ["_k", "_seg", "_chunk"]
-    state = rows.select(*keys).distinct().select(
-        *keys, F.lit(-1).cast("long").alias("_a0"), F.lit(0).cast("long").alias("_c0"))
-    state = materialize(state, "batch-chunk-state")
-    w_chunks = Window.partitionBy("_k", "_seg").orderBy("_chunk")
-    walker = _chunk_walker(max_size, wait_us)
-    todo = state                       # chunks to (re)walk this round
-    walked = None
-    while True:
-        fresh = (rows.join(todo, keys)
-                     .groupBy(*keys).applyInPandas(walker, _CHUNK_SCHEMA))
-        if walked is not None:         # keep the chunks whose entry did not change
-            fresh = walked.join(todo.select(*keys), keys, "left_anti").unionByName(fresh)
-        walked = materialize(fresh, "batch-chunk-walk")
-        exits = walked.groupBy(*keys).agg(F.first("_exit_a").alias("_exit_a"),
-                                          F.first("_exit_n").alias("_exit_n"),
-                                          F.first("_nb").alias("_nb"))
-        new_state = exits.select(
-            *keys, F.coalesce(F.lag("_exit_a").over(w_chunks), F.lit(-1)).alias("_a0"),
-            F.coalesce(F.lag("_exit_n").over(w_chunks), F.lit(0)).alias("_c0"))
-        todo = materialize(
-            new_state.join(state.withColumnsRenamed({"_a0": "_pa", "_c0": "_pc"}), keys)
-                     .where((F.col("_a0") != F.col("_pa")) | (F.col("_c0") != F.col("_pc")))
-                     .select(*keys, "_a0", "_c0"), "batch-chunk-todo")
-        if todo.isEmpty():
-            break
-        state = materialize(new_state, "batch-chunk-state")
-    # Number batches inside the segment: new batches of earlier days first.
-    offs = exits.select(*keys, F.coalesce(F.sum("_nb").over(
-        w_chunks.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    local = F.when(F.col("_local") >= 0, F.col("_off") + F.col("_local")) \
-             .otherwise(F.col("_off") - 1)
-    return walked.join(offs, keys).select("_k", "_seg", "_rn", local.alias("_local"),
-                                          "_start_us")
+    rows = _in_order(df, key, order, "batch-positions").withColumn(
+        "_part", F.shiftright("_id", 33))
+    before = Window.partitionBy("_k").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy("_k", "_part").agg(F.min("_id").alias("_first"),
+                                             F.count(F.lit(1)).alias("_n")).select(
+        F.col("_k").alias("_sk"), F.col("_part").alias("_sp"),
+        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    on = F.col("_k").eqNullSafe(F.col("_sk")) & (F.col("_part") == F.col("_sp"))
+    return (rows.join(starts, on)
+            .withColumn("batch_no", F.floor((F.col("_id") + F.col("_shift")) / F.lit(max_size))
+                        .cast("long"))
+            .drop("_k", "_id", "_part", "_sk", "_sp", "_shift"))
+
+
+# -- chunks as functions ---------------------------------------------------------------
+
+def _runs(keys: np.ndarray) -> np.ndarray:
+    """The first row of each key in a chunk."""
+    codes = pd.factorize(keys, use_na_sentinel=False)[0]
+    return np.concatenate(([0], np.flatnonzero(np.diff(codes)) + 1))
+
+
+def next_starts(us: np.ndarray, runs: np.ndarray, size: int | None, wait: int | None) -> np.ndarray:
+    """For each row: the row that opens the next batch if this one opens one;
+    the end of its key's run at the latest. Gaps count up to the wait and keys
+    lie one wait apart, so one search serves all keys."""
+    n, far = len(us), wait or 1
+    gap = np.minimum(np.diff(us, prepend=us[:1]), far) if wait else np.zeros(n, np.int64)
+    gap[runs] = far
+    t = np.cumsum(gap)
+    nxt = np.searchsorted(t, t + far, side="left")
+    return nxt if size is None else np.minimum(nxt, np.arange(n) + size)
+
+
+def tabulate(us: np.ndarray, runs: np.ndarray, size: int | None, wait: int | None) -> list[tuple]:
+    """(row, until_row, until_us, exit_us, exit_rows, begun) of the first key's
+    function, by entry: it applies if the first opening row is at most
+    ``until_row``. ``exit_us`` is None if no batch begins. The last entry,
+    with row -1, is what the last key is left with, if it is another one."""
+    nxt = next_starts(us, runs, size, wait)
+    n = int(runs[1]) if len(runs) > 1 else len(us)
+    jump = np.append(np.minimum(nxt[:n], n), n)
+    last, begun = np.arange(n + 1), np.append(np.ones(n, np.int64), 0)
+    while (on := jump < n).any():
+        last = np.where(on, last[jump], last)
+        begun, jump = begun + begun[jump], jump[jump]
+    first = np.arange(min(int(nxt[0]), n - 1) + 1)      # where the first batch can begin
+    ends = np.append(np.flatnonzero(np.diff(last[first]) | np.diff(begun[first])), first[-1])
+    out = [(i, int(s), int(us[s]), int(us[last[s]]), n - int(last[s]), int(begun[s]))
+           for i, s in enumerate(ends)]
+    if nxt[0] >= n:
+        out.append((len(out), _FAR, _FAR, None, n, 0))
+    if len(runs) > 1:
+        i, b = int(runs[-1]), 1
+        while nxt[i] < len(us):
+            i, b = int(nxt[i]), b + 1
+        out.append((-1, _FAR, _FAR, int(us[i]), len(us) - i, b))
+    return out
+
+
+def cut(us: np.ndarray, runs: np.ndarray, size: int | None, wait: int | None,
+        entry: tuple[int, int, int] | None) -> tuple[np.ndarray, np.ndarray]:
+    """(batch number, batch start) of each row of a chunk; ``entry``: start,
+    rows and number of batches of the open batch of the first key."""
+    n, nxt = len(us), next_starts(us, runs, size, wait).tolist()
+    end = int(runs[1]) if len(runs) > 1 else n
+    i, start, before = 0, 0, 0
+    if entry is not None:
+        start, held, before = entry
+        i = end if wait is None else int(np.searchsorted(us[:end], start + wait))
+        i = i if size is None else min(i, size - held)
+    opens = np.zeros(n, bool)
+    while i < n:
+        opens[i] = True
+        i = nxt[i]
+    count = np.cumsum(opens)
+    base = np.repeat(count[runs], np.diff(np.append(runs, n)))
+    base[:end] = 1 - before
+    at = np.flatnonzero(opens)
+    starts = np.where(count > 0, us[at[count - 1]] if len(at) else start, start)
+    return count - base, starts
+
+
+_TABLE = "_k string, _chunk long, row long, until_row long, until_us long, exit_us long, " \
+         "exit_rows long, begun long"
+_ENTRY = "_chunk long, _entry_us long, _entry_rows long, _entry_no long"
+
+
+def _tabulate(size: int | None, wait: int | None):
+    def run(chunk: pd.DataFrame) -> pd.DataFrame:
+        chunk = chunk.sort_values("_id")
+        keys = chunk["_k"].to_numpy()
+        rows = tabulate(chunk["_us"].to_numpy(np.int64), _runs(keys), size, wait)
+        out = pd.DataFrame(rows, columns=["row", "until_row", "until_us", "exit_us", "exit_rows",
+                                          "begun"]).astype({"exit_us": "Int64"})
+        out.insert(0, "_k", [keys[-1] if r[0] < 0 else keys[0] for r in rows])
+        out.insert(1, "_chunk", chunk["_chunk"].iloc[0])
+        return out
+    return run
+
+
+def _fold(size: int | None, wait: int | None):
+    """The entry state of every chunk whose first key began before it, from the
+    functions of all chunks in (key, chunk, row) order."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, chunk, state, applied = None, None, None, True
+        for b in batches:
+            out = []
+            cols = [b["_k"].tolist(), *(b[c].tolist() for c in (
+                "_chunk", "until_row", "until_us", "exit_us", "exit_rows", "begun"))]
+            for k, c, until_row, until_us, exit_us, exit_rows, begun in zip(*cols):
+                if chunk is None or k != key:
+                    key, state, chunk = k, None, None
+                if c != chunk:
+                    chunk, applied = c, False
+                    if state is not None:
+                        out.append((c, *state))
+                if applied or not (
+                        state is None or (size is not None and until_row >= size - state[1])
+                        or until_us >= (_FAR if wait is None else state[0] + wait)):
+                    continue
+                applied = True
+                if pd.isna(exit_us):
+                    state = (state[0], state[1] + exit_rows, state[2])
+                else:
+                    state = (int(exit_us), exit_rows, (state[2] if state else 0) + begun)
+            yield pd.DataFrame(out, columns=["_chunk", "_entry_us", "_entry_rows", "_entry_no"])
+    return run
+
+
+def _walk(size: int | None, wait: int | None):
+    def run(chunk: pa.Table) -> pa.Table:
+        chunk = chunk.sort_by("_id")
+        entry = [chunk[c][0].as_py() for c in ("_entry_us", "_entry_rows", "_entry_no")]
+        no, start = cut(chunk["_us"].to_numpy(), _runs(chunk["_k"].to_pandas().to_numpy()), size,
+                        wait, None if entry[0] is None else tuple(entry))
+        return chunk.append_column("batch_no", pa.array(no, pa.int64())).append_column(
+            "_start_us", pa.array(start, pa.int64()))
+    return run
 
 
 def batch_rows(df: DataFrame, key: str | None, ts: str, order: Sequence[str] | None = None,
                max_size: int | None = DEFAULT_MAX_SIZE, max_wait=DEFAULT_MAX_WAIT,
-               max_segment_rows: int = MAX_SEGMENT_ROWS) -> DataFrame:
+               chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Batches closed by size or by wait, whichever comes first.
 
-    ``order`` (default: ``ts``) must order the rows of a key totally; rows are
-    matched back to their batch by (key, segment, position), so a recomputed
-    partition gets the same numbers. Adds ``batch_no`` (per key, from 0) and
-    ``batch_start``.
+    ``order`` (default: ``ts``) orders the rows of equal time in a key. Adds
+    ``batch_no`` (per key, from 0) and ``batch_start``.
     """
     if max_size is not None and max_size < 1:
         raise ValueError("max_size must be >= 1")
-    wait_us = micros(max_wait) if max_wait is not None else None
-    order = list(order or [ts])
-    src = (df.withColumn("_k", F.col(key).cast("string") if key else F.lit(""))
-             .withColumn("_us", F.unix_micros(F.col(ts).cast("timestamp")))
-             .withColumn("_ord", F.struct(*[F.col(c) for c in order])))
-    if wait_us is not None:
-        # Segment = maximal run without a gap >= max_wait (two-level lag).
-        lagged = lag_across(src, ["_k"], ["_us", "_ord"], F.col("_us"), _day(ts), "_prev_us")
-        flag = (F.col("_prev_us").isNull()
-                | (F.col("_us") - F.col("_prev_us") >= F.lit(wait_us))).cast("long")
-        seg = running_sum(lagged, ["_k"], ["_us", "_ord"], flag, _day(ts), "_seg") \
-            .drop("_prev_us")
-    else:
-        seg = batch_by_count(src, "_k", ["_us", "_ord"], max_size, _day(ts)) \
-            .withColumnRenamed("batch_no", "_seg")
-    # Written once before it is read by the numbering and its summaries.
-    seg = materialize(seg, "batch-rows")
-    # Position by day, span and size from partial aggregates: no window covers a segment.
-    stats = seg.groupBy("_k", "_seg").agg(
-        F.min("_us").alias("_first_us"), (F.max("_us") - F.min("_us")).alias("_span"),
-        F.count(F.lit(1)).alias("_rows"))
-    seg = index_across(seg, ["_k", "_seg"], ["_us", "_ord"], _day(ts), "_rn").join(
-        stats, ["_k", "_seg"])
-    # The segmented rows feed the fast path, the walk and the final join;
-    # written once so that the plan above is not re-run for each branch.
-    seg = materialize(seg, "batch-segments")
-    # Fast path in Spark: a segment shorter than max_wait is never cut by
-    # time, only by size, so its cuts are positions. Only segments spanning
-    # max_wait or more need the sequential walk in pandas.
-    walk = F.lit(False) if wait_us is None else F.col("_span") >= F.lit(wait_us)
-    local = F.floor((F.col("_rn") - 1) / F.lit(max_size)).cast("long") if max_size \
-        else F.lit(0).cast("long")
-    first = F.min("_us").over(Window.partitionBy("_k", "_seg", "_local")) if max_size \
-        else F.col("_first_us")
-    simple = (seg.where(~walk).select("_k", "_seg", "_rn", "_us", "_first_us", local.alias("_local"))
-                 .withColumn("_start_us", first).drop("_us", "_first_us"))
-    big = F.col("_rows") > F.lit(max_segment_rows)
-    one_task = (seg.where(walk & ~big).select("_k", "_seg", "_rn", "_us")
-                   .groupBy("_k", "_seg").applyInPandas(_cutter(max_size, wait_us), _CUT_SCHEMA))
-    big_rows = seg.where(walk & big).select("_k", "_seg", "_rn", "_us")
-    walked = one_task if big_rows.isEmpty() else \
-        one_task.unionByName(_walk_long_segments(big_rows, max_size, wait_us))
-    # Narrow (5 columns); read twice below, so written once.
-    cuts = materialize(simple.unionByName(walked), "batch-cuts")
-    # Global batch number per key: batches of earlier segments + local number.
-    per_seg = cuts.groupBy("_k", "_seg").agg((F.max("_local") + 1).alias("_nb"),
-                                              F.min("_start_us").alias("_seg_us"))
-    offs = running_sum(per_seg, ["_k"], ["_seg"], F.col("_nb"),
-                       F.date_trunc("day", F.timestamp_micros(F.col("_seg_us"))), "_cum")
-    offs = offs.select("_k", "_seg", (F.col("_cum") - F.col("_nb")).alias("_off"))
-    numbered = cuts.join(offs, ["_k", "_seg"]).select(
-        "_k", "_seg", "_rn", (F.col("_off") + F.col("_local")).alias("batch_no"),
-        F.timestamp_micros("_start_us").alias("batch_start"))
-    return (seg.join(numbered, ["_k", "_seg", "_rn"])
-               .drop("_k", "_seg", "_rn", "_us", "_ord", "_first_us", "_span", "_rows"))
+    wait = micros(max_wait) if max_wait is not None else None
+    src = df.withColumn("_us", F.coalesce(F.unix_micros(F.col(ts).cast("timestamp")), F.lit(0)))
+    rows = _in_order(src, key, ["_us", *[c for c in order or [] if c != ts]], "batch-rows")
+    rows = rows.withColumn("_chunk", F.col("_id") - F.pmod(
+        F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)), F.lit(chunk_rows)))
+    functions = rows.select("_k", "_us", "_id", "_chunk").groupBy("_chunk").applyInPandas(
+        _tabulate(max_size, wait), _TABLE)
+    entries = functions.repartition("_k").sortWithinPartitions("_k", "_chunk", "row").mapInPandas(
+        _fold(max_size, wait), _ENTRY)
+    whole = rows.join(entries, "_chunk", "left")
+    schema = T.StructType([*whole.schema.fields, T.StructField("batch_no", T.LongType()),
+                           T.StructField("_start_us", T.LongType())])
+    out = whole.groupBy("_chunk").applyInArrow(_walk(max_size, wait), schema)
+    return out.withColumn("batch_start", F.timestamp_micros("_start_us")).drop(
+        "_k", "_us", "_id", "_chunk", "_entry_us", "_entry_rows", "_entry_no", "_start_us")
 
 
 def batch_by_wait(df: DataFrame, key: str | None, ts: str, max_wait=DEFAULT_MAX_WAIT,

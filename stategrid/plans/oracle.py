@@ -393,3 +393,22 @@ WITH RECURSIVE opens(event_type, t, k) AS (
 SELECT e.event_id, e.event_type, CAST(o.k AS BIGINT) AS batch_no, o.t AS batch_start
 FROM events e ASOF JOIN (SELECT * FROM opens WHERE t IS NOT NULL) o
   ON e.event_type = o.event_type AND e.ts >= o.t"""
+
+# Size or wait: each row's next opening row is the nearer of 20 rows on and the
+# first row 2 h on; the batches are the chain of those from each first row.
+ORACLE["batch_rows"] = """
+WITH RECURSIVE r AS (
+  SELECT event_id, event_type, ts,
+         row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS pos FROM events),
+firsts AS (SELECT event_type, ts, min(pos) AS pos FROM r GROUP BY event_type, ts),
+n AS (
+  SELECT r.event_type, r.pos, r.ts, least(r.pos + 20, coalesce(x.pos, r.pos + 20)) AS nxt
+  FROM r ASOF LEFT JOIN firsts x
+    ON r.event_type = x.event_type AND r.ts + INTERVAL 2 HOUR <= x.ts),
+opens(event_type, pos, t, nxt, k) AS (
+  SELECT event_type, pos, ts, nxt, 0 FROM n WHERE pos = 1
+  UNION ALL
+  SELECT n.event_type, n.pos, n.ts, n.nxt, o.k + 1
+  FROM opens o JOIN n ON n.event_type = o.event_type AND n.pos = o.nxt)
+SELECT r.event_id, r.event_type, CAST(o.k AS BIGINT) AS batch_no, o.t AS batch_start
+FROM r ASOF JOIN opens o ON r.event_type = o.event_type AND r.pos >= o.pos"""
