@@ -20,6 +20,8 @@ from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -64,7 +66,7 @@ class Memory:
         if self.held > _MEMORY:
             self.old, self.young, self.held = self.young, {}, 0
         self.young.update(got)
-        self.held += sum(200 + 2 * len(k) + len(i) for k, i in got.items())
+        self.held += 240 * len(got) + 2 * len("".join(got))
         return [got[k] if p is None else p for k, p in zip(keys, parts)]
 
 
@@ -107,27 +109,23 @@ class Encoder:
         cut = [_WORDS.findall(r.lower()) for r in runs]
         ids = b"".join
         parts = iter(self.words.find(list(chain.from_iterable(cut)), self._of_words))
-        return [ids(islice(parts, len(ws))) for ws in cut]
+        return [next(parts) if len(ws) == 1 else ids(islice(parts, len(ws))) for ws in cut]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of each text; a run that several texts hold is looked up once."""
-        cut = [t.split() if self.by_words and _certain(t) else None for t in texts]
-        local = dict.fromkeys(chain.from_iterable(c for c in cut if c))
-        runs = list(local)
-        local.update(zip(runs, self.runs.find(runs, self._of_runs)))
-        get = local.__getitem__
-        return [self._whole(t) if c is None else b"".join(map(get, c)) for t, c in zip(texts, cut)]
-
-
-#: Texts are encoded together up to so many characters.
-SLICE = 1 << 20
-
-
-def _slices(batch: pd.DataFrame, size: int):
-    """Parts of a batch of about ``size`` characters of text."""
-    part = batch["text"].str.len().cumsum() // size
-    for _, rows in batch.groupby(part, sort=False):
-        yield rows
+        sure = [self.by_words and _certain(t) for t in texts]
+        cut = pc.utf8_split_whitespace(pa.array([t for t, s in zip(texts, sure) if s], pa.string()))
+        runs = cut.flatten().dictionary_encode()
+        known = self.runs.find(runs.dictionary.to_pylist(), self._of_runs)
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        ids = np.frombuffer(b"".join(known), "<u4")
+        of = runs.indices.to_numpy()
+        starts, sizes = (np.cumsum(sizes) - sizes)[of], sizes[of]
+        ends = np.cumsum(sizes)
+        ids = ids[np.repeat(starts - ends + sizes, sizes) + np.arange(sizes.sum())]
+        edges = np.append(0, ends)[cut.offsets.to_numpy() - cut.offsets[0].as_py()].tolist()
+        found = (ids[i:j].tobytes() for i, j in zip(edges, edges[1:]))
+        return [next(found) if s else self._whole(t) for t, s in zip(texts, sure)]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -140,6 +138,17 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+#: Texts are encoded together up to so many characters.
+SLICE = 4 << 20
+
+
+def _slices(batch: pd.DataFrame, size: int):
+    """Parts of a batch of about ``size`` characters of text."""
+    part = batch["text"].str.len().cumsum() // size
+    for _, rows in batch.groupby(part, sort=False):
+        yield rows
+
+
 def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     """(bin, offset) of each length; the longest first, each into the first
     bin with room. The tree's inner nodes hold the largest room below."""
