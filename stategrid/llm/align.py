@@ -34,7 +34,7 @@ from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import reduce
-from itertools import accumulate, chain
+from itertools import accumulate, chain, islice
 from typing import NamedTuple
 
 import numpy as np
@@ -49,8 +49,9 @@ from stategrid.session import materialize
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 CHUNK, LONG_UNIT, FAN = 32 << 10, 4 << 10, 8
-#: Bytes of text that are read together, and units that are encoded as one text.
-SLICE, TOGETHER = 8 << 20, 4000
+#: Bytes of text that are read together, units that are encoded as one text, and units that are
+#: put together in one go.
+SLICE, TOGETHER, BLOCK = 8 << 20, 4000, 150_000
 #: Pair counts up to so many rows (about 64 bytes each) are broadcast; more are joined by shuffles.
 BROADCAST_PAIRS = 1_000_000
 
@@ -253,12 +254,30 @@ class Aligner:
             edges.append([(at, *self._part(units[at], a, b)) for at, a, b in cut])
         known = self.learn(list(index)) if index else Learnt(
             [], np.zeros((0, 4), np.int64), np.zeros(0, np.int64))
+        pairs, number = np.unique(np.concatenate([known.links, np.array(
+            [p for cut in edges for *_, ps in cut for p in ps], np.int64)]), return_inverse=True)
+        of_edges = iter(number[len(known.links):].tolist())
+        out, sizes, found, counts, at = [], [0], [], [], 0
+        while at < len(rows):               # some rows at a time, for short arrays
+            units, upto = 0, at
+            while upto < len(rows) and (units < BLOCK or upto == at):
+                units, upto = units + len(ids[upto]), upto + 1
+            key, count = self._links(known, number, ids[at:upto], [
+                [n for *_, ps in cut for n in islice(of_edges, len(ps))] for cut in edges[at:upto]])
+            out += self._fragments(known, ids[at:upto], edges[at:upto])
+            sizes += np.bincount(key >> 32, minlength=upto - at).tolist()
+            found.append(pairs[key & 0xFFFFFFFF])
+            counts.append(count)
+            at = upto
+        none = [np.zeros(0, np.int64)]
+        return out, np.cumsum(sizes), np.concatenate(none + found), np.concatenate(none + counts)
+
+    def _fragments(self, known: Learnt, ids: list, edges: list) -> list[Fragment]:
         ends = np.cumsum([0, *map(len, ids)])
         flat = np.fromiter(chain.from_iterable(ids), np.int64, ends[-1])
-        sums = np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(known.sums[flat], axis=0)])
-        sums = (sums[ends[1:]] - sums[ends[:-1]]).tolist()
+        sums = np.stack([np.diff(np.append(0, np.cumsum(c[flat]))[ends]) for c in known.sums.T], 1)
         out = []
-        for own, (bad, *n), cut in zip(ids, sums, edges):
+        for own, (bad, *n), cut in zip(ids, sums.tolist(), edges):
             f = Fragment()
             if own:             # a unit ends in a common end, so nothing stays open after it
                 first, _, rest = ";".join(map(known.whole.__getitem__, own)).partition(";")
@@ -266,18 +285,17 @@ class Aligner:
             for at, edge, _ in cut:
                 f = compose(f, edge) if at else compose(edge, f)
             out.append(f)
+        return out
+
+    def _links(self, known: Learnt, number: np.ndarray, ids: list, more: list) -> tuple:
+        """(row * 2^32 + pair number, count) of the links of some rows."""
+        flat = np.fromiter(chain.from_iterable(ids), np.int64, sum(map(len, ids)))
         lens = known.sums[:, 3]
         starts, lens = (np.cumsum(lens) - lens)[flat], lens[flat]
         at = np.repeat(starts - np.cumsum(lens) + lens, lens) + np.arange(lens.sum())
-        row = np.repeat(np.repeat(np.arange(len(rows)), np.diff(ends)), lens)
-        more = [(r, p) for r, cut in enumerate(edges) for *_, ps in cut for p in ps]
-        row = np.concatenate([row, np.array([r for r, _ in more], np.int64)])
-        pairs, number = np.unique(np.concatenate(
-            [known.links, np.array([p for _, p in more], np.int64)]), return_inverse=True)
-        number = np.concatenate([number[:len(known.links)][at], number[len(known.links):]])
-        key, count = np.unique((row << 32) + number, return_counts=True)
-        offsets = np.searchsorted(key >> 32, np.arange(len(rows) + 1))
-        return out, offsets, pairs[key & 0xFFFFFFFF], count
+        row = np.repeat(np.repeat(np.arange(len(ids)), [len(i) for i in ids]), lens)
+        edge = np.array([(r << 32) + n for r, ns in enumerate(more) for n in ns], np.int64)
+        return np.unique(np.concatenate([(row << 32) + number[at], edge]), return_counts=True)
 
     def _part(self, unit: str, lo: int, hi: int | None) -> tuple[Fragment, list[int]]:
         a, a_ends, b, b_ends, ok = next(self.tokens([unit]))
