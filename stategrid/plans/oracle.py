@@ -412,3 +412,7 @@ opens(event_type, pos, t, nxt, k) AS (
   FROM opens o JOIN n ON n.event_type = o.event_type AND n.pos = o.nxt)
 SELECT r.event_id, r.event_type, CAST(o.k AS BIGINT) AS batch_no, o.t AS batch_start
 FROM r ASOF JOIN opens o ON r.event_type = o.event_type AND r.pos >= o.pos"""
+
+
+#: A stream in which nothing is late gives the same batches.
+ORACLE["batch_stream"] = ORACLE["batch_rows"]

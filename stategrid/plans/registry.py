@@ -396,6 +396,36 @@ def q_batch_rows(spark, sf_dir):
     return for_driver(b.select("event_id", "event_type", "batch_no", "batch_start"))
 
 
+STREAM_PARTS, STREAM_JITTER = 4, 86_400
+
+
+@register("batch_stream")
+def q_batch_stream(spark, sf_dir):
+    """``batch_rows`` as a drained stream: the events arrive in four micro-batches,
+    each out of order and up to a day early; rows of the stream and of its drain."""
+    from stategrid.session import scratch_folder
+    from stategrid.streaming.batcher import OUTPUT, batch_stream, drain
+    ev = events(spark, sf_dir)
+    at = F.unix_seconds(F.col("ts").cast("timestamp"))
+    first, last = ev.agg(F.min(at), F.max(at)).first()
+    width = ((last or 0) - (first or 0) + STREAM_JITTER) // STREAM_PARTS + 1
+    early = F.pmod(F.xxhash64("event_id"), F.lit(STREAM_JITTER))
+    part = F.floor((at - F.lit(first or 0) + F.lit(STREAM_JITTER) - early) / F.lit(width))
+    src, out, ckpt = (scratch_folder(spark, n) for n in ("events", "batched", "batch-state"))
+    rows = ev.select("event_id", "event_type", "ts")
+    for i in range(STREAM_PARTS):
+        rows.where(part == i).write.parquet(f"{src}/p{i}")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
+    q = batch_stream(stream, "event_type", "ts", "event_id", lateness="2d", max_size=20,
+                     max_wait=BATCH_WAIT).writeStream.format("parquet").option(
+        "path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+    q.awaitTermination()
+    whole = spark.read.schema(OUTPUT).parquet(out).unionByName(
+        drain(spark, ckpt, max_size=20, max_wait=BATCH_WAIT))
+    return for_driver(whole.where("kind = 'row'").select(
+        F.col("seq").alias("event_id"), F.col("key").alias("event_type"), "batch_no", "batch_start"))
+
+
 # -- the pipeline's own metrics, alerts and panels ----------------------------------
 
 from stategrid.plans import alerts as al  # noqa: E402

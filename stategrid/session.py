@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -63,12 +64,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), name)
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder's path under the shared checkpoint dir."""
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
 def materialize(df, name: str):
     """Write ``df`` as a Parquet table under the shared checkpoint folder and
     read it back: cuts the lineage (a lost executor re-reads the table
     instead of recomputing the plan), and later narrow reads prune columns.
     Used where one intermediate feeds several branches of a plan."""
-    import uuid
     spark = df.sparkSession
     path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)

@@ -1,16 +1,21 @@
 """Count-or-wait batching on a stream (stateful, per key).
 
-State per key: the open batch (anchor time, rows so far, batch number).
-Each micro-batch's rows of a key are walked in event-time order: a row opens
-a new batch when none is open, when the open one is full, or when the row is
-at or after ``anchor + max_wait``. Every row is emitted at once with its
-batch (``kind = 'row'``); an event-time timeout at ``anchor + max_wait``
-emits the batch's close record (``kind = 'close'`` with its size) once the
-watermark passes it, and a size cut emits the close record immediately.
-
-Rows of a key must arrive in event-time order across micro-batches (inside a
-micro-batch they are sorted); a row older than the open batch's anchor joins
-the open batch.
+Rows of a key may arrive in any order within ``lateness`` of the newest one.
+State per key: an ordered buffer of rows that may still get predecessors, and
+the open batch with the time up to which the key is *sealed*. A row is sealed once the key's newest time is more than ``lateness``
+past it; sealed rows are cut in (time, seq) order with the cut of the batch
+operator and given out once, with their batch (``kind = 'row'``). A batch's
+``close`` record (with its size) follows when a later batch opens, when it is
+full, or when the sealed time reaches its start plus ``max_wait``.
+
+Nothing is lost: a row older than the sealed time of its key comes out as
+``late`` (the error output) and changes no batch. The watermark is kept per key
+in the state because Spark's own leaves late rows out before they can be seen.
+
+Open batches end in two ways. A processing-time timer ``idle`` after a key's
+last row seals and closes all it holds. When the input has ended, ``drain``
+reads what the stopped query's state still holds and gives out the same records
+for it, so that the two outputs together hold every row exactly once.
 """
 
 from __future__ import annotations
@@ -19,9 +24,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from stategrid.operators.batching import cut
 from stategrid.operators.series import micros
 
 OUTPUT = T.StructType([
@@ -33,74 +39,113 @@ OUTPUT = T.StructType([
     T.StructField("batch_start", T.TimestampType()),
     T.StructField("size", T.LongType()),
 ])
-STATE = T.StructType([
-    T.StructField("anchor_us", T.LongType()),
-    T.StructField("count", T.LongType()),
-    T.StructField("batch_no", T.LongType()),
-])
+#: The open batch (held 0: none open), batches so far, the key's sealed and newest times, and the
+#: ordered buffer.
+STATE = T.StructType([T.StructField(n, T.LongType()) for n in (
+    "anchor", "held", "batch_no", "sealed", "newest")]
+    + [T.StructField(n, T.ArrayType(T.LongType())) for n in ("us", "seq")])
+_NEVER = -(1 << 62)
+
+
+def _records(key, kind: str, seq, us, no, start, size) -> pd.DataFrame:
+    n = len(no)
+    time = lambda x: pd.to_datetime(pd.Series(x, dtype="Int64"), unit="us")
+    return pd.DataFrame({"key": [key] * n, "kind": kind, "seq": pd.Series(seq, dtype="Int64"),
+                         "ts": time(us), "batch_no": pd.Series(no, dtype="Int64"),
+                         "batch_start": time(start), "size": pd.Series(size, dtype="Int64")})
 
 
-def _processor(max_size: int | None, wait_us: int | None):
-    def close_row(key, anchor, count, batch_no):
-        return {"key": key, "kind": "close", "seq": None, "ts": None, "batch_no": batch_no,
-                "batch_start": pd.Timestamp(anchor, unit="us"), "size": count}
+def seal(key, us: np.ndarray, seq: np.ndarray, state: tuple, size: int | None, wait: int | None,
+         upto: int) -> tuple[list[pd.DataFrame], tuple]:
+    """The records of rows that are sealed, in order, and the open batch then;
+    ``upto``: the key's sealed time."""
+    anchor, held, no = state
+    none = [None]
+    out = []
+    if len(us):
+        nos, starts = cut(us, np.array([0]), size, wait, (anchor, held, no + 1) if held else None)
+        if not held:
+            nos = nos + no + 1
+        out.append(_records(key, "row", seq, us, nos, starts, none * len(us)))
+        ids, first, count = np.unique(nos, return_index=True, return_counts=True)
+        count[0] += held if held and ids[0] == no else 0
+        done = [(int(i), int(starts[f]), int(c)) for i, f, c in zip(ids, first, count)]
+        if held and ids[0] != no:
+            done.insert(0, (no, anchor, held))
+        *done, (no, anchor, held) = done
+    else:
+        done = []
+    if held and (held == size or (wait is not None and upto >= anchor + wait)):
+        done.append((no, anchor, held))
+        held = 0
+    if done:
+        n = len(done)
+        i, a, c = zip(*done)
+        out.append(_records(key, "close", none * n, none * n, i, a, c))
+    return out, (anchor, held, no)
 
-    def fn(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        k = key[0]
+
+def _processor(size: int | None, wait: int | None, lateness: int, idle_ms: int | None):
+    def fn(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        at, sealed, newest, old_us, old_seq = (0, 0, -1), _NEVER, _NEVER, [], []
+        if state.exists:
+            *at, sealed, newest, old_us, old_seq = state.get
+        us, seq = np.array(old_us, np.int64), np.array(old_seq, np.int64)
         if state.hasTimedOut:
-            anchor, count, batch_no = state.get
-            state.update((-1, 0, batch_no))      # nothing open; numbering goes on
-            if anchor >= 0:
-                yield pd.DataFrame([close_row(k, anchor, count, batch_no)])
-            return
-        anchor, count, batch_no = state.get if state.exists else (-1, 0, -1)
-        anchor = None if anchor < 0 else anchor
-        parts = [p for p in pdfs if len(p)]
-        if not parts:
-            return
-        pdf = pd.concat(parts).sort_values(["_us", "seq"], kind="stable")
-        us = pdf["_us"].to_numpy(np.int64)
-        out_batch = np.empty(len(us), dtype=np.int64)
-        out_start = np.empty(len(us), dtype=np.int64)
-        closes = []
-        for i, t in enumerate(us):
-            new = anchor is None or (max_size is not None and count >= max_size) \
-                or (wait_us is not None and t >= anchor + wait_us)
-            if new:
-                if anchor is not None:
-                    closes.append(close_row(k, anchor, count, batch_no))
-                anchor, count, batch_no = int(t), 0, batch_no + 1
-            count += 1
-            out_batch[i], out_start[i] = batch_no, anchor
-        if max_size is not None and count >= max_size:
-            closes.append(close_row(k, anchor, count, batch_no))
-            state.update((-1, 0, batch_no))
+            sealed = newest + max(1, wait or 0)
         else:
-            state.update((anchor, count, batch_no))
-            if wait_us is not None:
-                state.setTimeoutTimestamp((anchor + wait_us) // 1000)
-        rows = pd.DataFrame({
-            "key": k, "kind": "row", "seq": pdf["seq"].to_numpy(),
-            "ts": pd.to_datetime(us, unit="us"), "batch_no": out_batch,
-            "batch_start": pd.to_datetime(out_start, unit="us"), "size": None})
-        if closes:
-            rows = pd.concat([rows, pd.DataFrame(closes)], ignore_index=True)
-        yield rows
+            new = pd.concat(list(parts))
+            new_us, new_seq = new["us"].to_numpy(np.int64), new["seq"].to_numpy(np.int64)
+            late = new_us < sealed
+            if late.any():
+                none = [None] * int(late.sum())
+                yield _records(key[0], "late", new_seq[late], new_us[late], none, none, none)
+            us, seq = np.append(us, new_us[~late]), np.append(seq, new_seq[~late])
+            newest = max(newest, int(us.max()) if len(us) else _NEVER)
+            sealed = max(sealed, newest - lateness)
+        order = np.lexsort((seq, us))
+        us, seq = us[order], seq[order]
+        n = int(np.searchsorted(us, sealed))
+        out, at = seal(key[0], us[:n], seq[:n], tuple(at), size, wait, sealed)
+        state.update((*map(int, at), int(sealed), int(newest), us[n:].tolist(), seq[n:].tolist()))
+        if idle_ms is not None and not state.hasTimedOut:
+            state.setTimeoutDuration(idle_ms)
+        yield from out
     return fn
 
 
-def batch_stream(sdf: DataFrame, key: str | None, ts: str, seq: str, *, watermark: str,
-                 max_size: int | None = 100, max_wait="60s") -> DataFrame:
-    """Stream of row assignments and batch close records (schema ``OUTPUT``).
-
-    ``seq`` identifies a row (and breaks ties of equal ``ts``); the watermark
-    delay bounds how late a row may be (Spark leaves out later ones, so there
-    is no default: the caller states the bound), and closes open batches."""
-    wait_us = micros(max_wait) if max_wait is not None else None
-    src = (sdf.withWatermark(ts, watermark)
-              .select(F.col(key).cast("string").alias("_key") if key else F.lit("").alias("_key"),
-                      F.col(seq).cast("long").alias("seq"),
-                      F.unix_micros(F.col(ts).cast("timestamp")).alias("_us"), F.col(ts)))
-    return src.groupBy("_key").applyInPandasWithState(
-        _processor(max_size, wait_us), OUTPUT, STATE, "append",
-        GroupStateTimeout.EventTimeTimeout)
+def batch_stream(sdf: DataFrame, key: str | None, ts: str, seq: str, *, lateness: str,
+                 max_size: int | None = 100, max_wait="60s", idle: str | None = None) -> DataFrame:
+    """Stream of rows with their batch, close records and late rows (schema
+    ``OUTPUT``). ``seq`` identifies a row and orders rows of equal time. There
+    is no default for ``lateness``: the caller states how far rows of a key may
+    be out of order. ``idle`` closes keys that get no rows for so long."""
+    wait = micros(max_wait) if max_wait is not None else None
+    src = sdf.select(F.col(key).cast("string").alias("batch_key") if key else F.lit("").alias("batch_key"),
+                     F.col(seq).cast("long").alias("seq"),
+                     F.coalesce(F.unix_micros(F.col(ts).cast("timestamp")), F.lit(0)).alias("us"))
+    return src.groupBy("batch_key").applyInPandasWithState(
+        _processor(max_size, wait, micros(lateness), micros(idle) // 1000 if idle else None),
+        OUTPUT, STATE, "append",
+        GroupStateTimeout.ProcessingTimeTimeout if idle else GroupStateTimeout.NoTimeout)
+
+
+def drain(spark: SparkSession, checkpoint: str, *, max_size: int | None = 100,
+          max_wait="60s") -> DataFrame:
+    """What a stopped query's state still holds, sealed and closed (schema
+    ``OUTPUT``): the flush at the end of the input."""
+    wait = micros(max_wait) if max_wait is not None else None
+
+    held = spark.read.format("statestore").load(checkpoint).select(
+        F.col("key.batch_key").alias("batch_key"), "value.groupState.*")
+
+    def flush(key: tuple, opened: pd.DataFrame) -> pd.DataFrame:
+        k = None if pd.isna(key[0]) else key[0]
+        anchor, held, no, _, _, us, seq = opened[STATE.names].iloc[0]
+        out, (anchor, held, no) = seal(k, np.array(us, np.int64), np.array(seq, np.int64),
+                                       (int(anchor), int(held), int(no)), max_size, wait, _NEVER)
+        if held:
+            out.append(_records(k, "close", [None], [None], [no], [anchor], [held]))
+        return pd.concat(out) if out else pd.DataFrame(columns=OUTPUT.names)
+
+    return held.groupBy("batch_key").applyInPandas(flush, OUTPUT)

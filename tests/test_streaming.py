@@ -1,5 +1,6 @@
 """Streams give the same results as the batch operators."""
 
+import collections
 import os
 
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from stategrid.operators.batching import batch_rows
 from stategrid.operators.states import state_changes
 from stategrid.sinks.store import read_group
 from stategrid.sources import fixture
-from stategrid.streaming.batcher import batch_stream
+from stategrid.streaming.batcher import batch_stream, drain
 from stategrid.streaming.pipeline import stream_changes
 
 from conftest import SF
@@ -38,31 +39,60 @@ def test_stream_changes_equals_batch(spark, tmp_dir):
     assert {r.batch for r in rej.select("batch").distinct().collect()} == {0, 1}
 
 
-def test_batch_stream_equals_batch(spark, tmp_dir):
-    events = spark.read.parquet(os.path.join(SF["0.001"], "events.parquet")) \
-        .withColumn("ts", F.col("ts").cast("timestamp"))
-    src = f"{tmp_dir}/ev"
-    mid = events.selectExpr("percentile_approx(unix_micros(ts), 0.5)").first()[0]
-    events.where(F.unix_micros("ts") <= mid).coalesce(1).write.parquet(f"{src}/p1")
-    events.where(F.unix_micros("ts") > mid).coalesce(1).write.parquet(f"{src}/p2")
-    stream = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+def run_batcher(spark, tmp_dir, parts, lateness, size, wait):
+    """The records of a stream over ``parts`` (one micro-batch each) and of its drain."""
+    src, n = f"{tmp_dir}/ev", len(parts)
+    for i, p in enumerate(parts):
+        p.coalesce(1).write.parquet(f"{src}/p{i}")
+        os.utime(next(os.path.join(f"{src}/p{i}", f) for f in os.listdir(f"{src}/p{i}")
+                      if f.endswith(".parquet")), (1_700_000_000 + i,) * 2)
+    stream = (spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", 1)
               .parquet(f"{src}/*"))
-    out = batch_stream(stream, "event_type", "ts", "event_id", max_size=20, max_wait="2h",
-                       watermark="0 seconds")
-    q = (out.writeStream.format("memory").queryName("batched").outputMode("append")
+    out = batch_stream(stream, "event_type", "ts", "event_id", max_size=size, max_wait=wait,
+                       lateness=lateness)
+    q = (out.writeStream.format("parquet").option("path", f"{tmp_dir}/out").outputMode("append")
          .option("checkpointLocation", f"{tmp_dir}/ck2").trigger(availableNow=True).start())
     q.awaitTermination(300)
-    got = {(r.key, r.seq): r.batch_no for r in
-           spark.sql("SELECT * FROM batched WHERE kind = 'row'").collect()}
-    exp = {(r.event_type, r.event_id): r.batch_no for r in
-           batch_rows(events, "event_type", "ts", ["ts", "event_id"], 20, "2h").collect()}
-    assert got == exp
-    closes = spark.sql("SELECT key, batch_no, size FROM batched WHERE kind = 'close'").collect()
-    sizes = {}
-    for (k, _), b in exp.items():
-        sizes[(k, b)] = sizes.get((k, b), 0) + 1
-    for r in closes:
-        assert sizes[(r.key, r.batch_no)] == r.size
+    assert q.exception() is None and q.lastProgress["batchId"] >= n - 1
+    return (spark.read.parquet(f"{tmp_dir}/out").collect()
+            + drain(spark, f"{tmp_dir}/ck2", max_size=size, max_wait=wait).collect())
+
+
+def check_batches(got, events, size, wait):
+    """Rows equal ``batch_rows`` of the rows that were not late; one close a batch."""
+    late = {r.seq for r in got if r.kind == "late"}
+    on_time = events.where(~F.col("event_id").isin(*late)) if late else events
+    exp = {(r.event_type, r.event_id): (r.batch_no, r.batch_start) for r in
+           batch_rows(on_time, "event_type", "ts", ["ts", "event_id"], size, wait).collect()}
+    rows = [r for r in got if r.kind == "row"]
+    assert {(r.key, r.seq): (r.batch_no, r.batch_start) for r in rows} == exp
+    assert len(rows) == len(exp) and len(rows) + len(late) == events.count()
+    sizes = collections.Counter((k, b) for (k, _), (b, _) in exp.items())
+    assert collections.Counter({(r.key, r.batch_no): r.size for r in got if r.kind == "close"}) == sizes
+    assert sum(r.kind == "close" for r in got) == len(sizes)
+    return late
+
+
+def test_shuffled_micro_batches_equal_batch_rows(spark, tmp_dir):
+    """Any order of arrival within the lateness: every row once, no late ones."""
+    events = spark.read.parquet(os.path.join(SF["0.001"], "events.parquet")) \
+        .withColumn("ts", F.col("ts").cast("timestamp"))
+    parts = [events.where(F.pmod(F.xxhash64("event_id"), F.lit(3)) == i) for i in range(3)]
+    got = run_batcher(spark, tmp_dir, parts, "60d", 7, "2h")
+    assert not check_batches(got, events, 7, "2h")
+
+
+def test_late_rows_come_out_as_errors(spark, tmp_dir):
+    """No lateness allowed: what a key has passed is late, the rest is batched."""
+    events = spark.read.parquet(os.path.join(SF["0.001"], "events.parquet")) \
+        .withColumn("ts", F.col("ts").cast("timestamp"))
+    mid = events.selectExpr("percentile_approx(unix_micros(ts), 0.5)").first()[0]
+    early = F.unix_micros("ts") <= mid
+    held = early & (F.pmod(F.xxhash64("event_id"), F.lit(10)) == 0)
+    parts = [events.where(early & ~held), events.where(~early), events.where(held)]
+    got = run_batcher(spark, tmp_dir, parts, "0s", 20, "2h")
+    late = check_batches(got, events, 20, "2h")
+    assert late == {r.event_id for r in events.where(held).collect()}
 
 
 def test_dump_events_console_stream(spark, tmp_dir):
