@@ -155,3 +155,12 @@ def month_of(ts) -> Column:
 def attribute(json_text, path: str, type_: str = "string") -> Column:
     """Typed value at a JSON path of an attributes / context text column."""
     return F.try_variant_get(F.try_parse_json(_c(json_text)), path, type_)
+
+
+def read_loose_json(c: Column, schema: str) -> Column:
+    """JSON objects read leniently by ``schema`` (DDL): fields it lacks are
+    skipped; bools, numbers, arrays and objects read into string fields are
+    their JSON text; a value that does not fit its field is NULL there alone.
+    Text that is no JSON object is NULL."""
+    parsed = F.from_json(c, schema, {"mode": "PERMISSIVE"})
+    return F.when(F.try_parse_json(c).isNotNull() & F.ltrim(c).startswith("{"), parsed)

@@ -416,3 +416,12 @@ FROM r ASOF JOIN opens o ON r.event_type = o.event_type AND r.pos >= o.pos"""
 
 #: A stream in which nothing is late gives the same batches.
 ORACLE["batch_stream"] = ORACLE["batch_rows"]
+
+ORACLE["read_loose_json"] = """
+SELECT event_id,
+       CASE WHEN event_id % 7 = 0 THEN NULL ELSE CASE event_id % 5
+         WHEN 0 THEN CAST(event_id AS VARCHAR) WHEN 1 THEN 'true'
+         WHEN 2 THEN '[' || event_id || ',2]' WHEN 3 THEN 't' || event_id END END AS loose,
+       CASE WHEN event_id % 7 = 0 OR event_id % 5 = 3 THEN NULL ELSE CAST(event_id AS BIGINT) END
+         AS number
+FROM events"""
