@@ -425,3 +425,17 @@ SELECT event_id,
        CASE WHEN event_id % 7 = 0 OR event_id % 5 = 3 THEN NULL ELSE CAST(event_id AS BIGINT) END
          AS number
 FROM events"""
+
+# Every known domain, with or without rows.
+ORACLE["store_read_back"] = with_frames(
+    "SELECT d.domain, count(c.seq) AS rows, count(DISTINCT c.entity_id) AS entities, "
+    "min(CASE c.type_group WHEN 'bool' THEN CAST(c.state_bool AS VARCHAR) "
+    "WHEN 'string' THEN c.state_text WHEN 'bigint' THEN CAST(c.state_long AS VARCHAR) END) "
+    "AS least_state, max(c.last_updated) AS last_updated "
+    "FROM (SELECT unnest([" + ", ".join(f"'{d}'" for d in [*DOMAIN_TYPES, "lock"]) + "]) AS domain) d "
+    "LEFT JOIN chg c ON c.domain = d.domain GROUP BY d.domain")
+
+ORACLE["stream_counters"] = with_frames("""
+SELECT 'events_received_total' AS metric, count(*) AS value FROM rs
+UNION ALL SELECT 'events_filtered_total', count(*) FILTER (WHERE reason = 'event_type') FROM rs
+UNION ALL SELECT 'events_processed_total', count(*) FILTER (WHERE reason IS NULL) FROM rs""")

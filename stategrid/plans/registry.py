@@ -443,6 +443,58 @@ def q_batch_stream(spark, sf_dir):
         F.col("seq").alias("event_id"), F.col("key").alias("event_type"), "batch_no", "batch_start"))
 
 
+# -- the whole pipeline as a stream, its tables and its metrics ----------------------
+
+INGEST_FILES = 2
+STREAM_STEP = "30s"
+
+
+def ingested(spark, sf_dir):
+    """The store's root after a drained ``stream_changes`` over the frames, and
+    its database. The frames arrive in ``INGEST_FILES`` folders of text files."""
+    from stategrid.session import scratch_folder
+    from stategrid.streaming.pipeline import stream_changes
+    text = fixture.event_frame_text(table(spark, sf_dir, "events"))
+    src, root, ckpt = (scratch_folder(spark, n) for n in ("frames", "store", "ingest-state"))
+    for i in range(INGEST_FILES):
+        text.where(F.pmod("seq", F.lit(INGEST_FILES)) == i).select("raw").write.text(f"{src}/p{i}")
+    q = stream_changes(spark, f"{src}/*", root, ckpt)
+    q.awaitTermination()
+    return root, "home"
+
+
+@register("store_read_back")
+def q_store_read_back(spark, sf_dir):
+    """Every domain's view over the store a stream has written, and of the known
+    domains those without a row too: rows, entities, least state (as text, where it
+    prints alike everywhere) and latest time."""
+    from stategrid.schema import DOMAIN_TYPES
+    from stategrid.sinks.store import ensure_table
+    root, database = ingested(spark, sf_dir)
+    out = None
+    for domain in [*DOMAIN_TYPES, "lock"]:                  # the schema's domains, one beyond
+        view = spark.table(ensure_table(spark, database, domain, root))
+        one = view.agg(
+            F.count("*").alias("rows"), F.countDistinct("entity_id").alias("entities"),
+            F.min(F.col("state").cast("string")).alias("least_state"),
+            F.max("last_updated").alias("last_updated")).select(
+                F.lit(domain).alias("domain"), "rows", "entities",
+                F.when(~F.lit(dict(view.dtypes)["state"]).isin("double", "timestamp"),
+                       F.col("least_state")).alias("least_state"), "last_updated")
+        out = one if out is None else out.unionByName(one)
+    return for_driver(out)
+
+
+@register("stream_counters")
+def q_stream_counters(spark, sf_dir):
+    """Final values of the event counters that a drained stream exports."""
+    from stategrid.streaming.metrics import metric_samples, read_observations
+    root, _ = ingested(spark, sf_dir)
+    last = (metric_samples(read_observations(spark, root), STREAM_STEP, prefix="")
+            .groupBy("metric").agg(F.max("value").cast("long").alias("value")))
+    return last.where(F.col("metric").startswith("events_")).select("metric", "value")
+
+
 # -- the pipeline's own metrics, alerts and panels ----------------------------------
 
 from stategrid.plans import alerts as al  # noqa: E402

@@ -3,23 +3,25 @@
 The state column has one of five Spark types, so instead of one table per
 domain (one insert per domain) there is one dataset per *type group*
 (bool, string, double, bigint, timestamp) under ``<root>/<group>``, each
-``partitionBy("domain", "month")``; a per-domain view filters its dataset
-(the filter prunes to the domain's directories). A micro-batch is written
-with at most five writes, never a loop over domains.
+``partitionBy("domain", "month", "batch")`` with a catalog table of fixed
+columns, which exists before the first row (``ensure_table``); a per-domain
+view filters its dataset (the filter prunes to the domain's directories). A
+micro-batch is written with at most five writes, never a loop over domains.
 
-Idempotence: with a ``batch_id`` the rows also carry ``batch`` as the last
-partition column and the write uses dynamic partition overwrite, so replaying
-a batch replaces exactly what it wrote before.
+Idempotence: with a ``batch_id`` the write uses dynamic partition overwrite,
+so replaying a batch replaces exactly what it wrote before.
 """
 
 from __future__ import annotations
 
 import re
+import time
+import zlib
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stategrid.functions.values import format_rfc3339
-from stategrid.schema import DOMAIN_PATTERN, TYPE_GROUPS, domains_of_group
+from stategrid.schema import DOMAIN_PATTERN, GROUP_SPARK_TYPE, TYPE_GROUPS, domains_of_group
 
 _GROUP_STATE = {
     "bool": ("state_bool", "old_state_bool"),
@@ -33,6 +35,11 @@ STORED_COLUMNS = ["entity_id", "state", "old_state", "attributes", "context",
                   "last_changed", "last_updated", "last_reported", "seq", "received_at"]
 
 
+#: Partition columns of every dataset, and the batch of rows written outside a stream.
+PARTITIONS = ["domain", "month", "batch"]
+NO_BATCH = -1
+
+
 def with_month(df: DataFrame, ts: str = "last_updated") -> DataFrame:
     """Partition value YYYYMM of ``ts`` (UTC)."""
     c = F.col(ts)
@@ -63,32 +70,36 @@ def group_rows(changes: DataFrame, group: str) -> DataFrame:
 
 
 def write_changes(changes: DataFrame, root: str, batch_id: int | None = None,
-                  partitions: int | None = None, max_records_per_file: int = 5_000_000) -> None:
+                  partitions: int | None = None,
+                  max_records_per_file: int = 5_000_000) -> list[tuple[str, int, float]]:
     """Append stored changes to the type-group datasets under ``root``.
 
     Empty input writes nothing. The input is persisted once for the five
-    filtered writes.
-    """
+    filtered writes. Returns a (group, rows, seconds) for every write. Rows
+    written without a ``batch_id`` are in batch ``NO_BATCH``."""
     df = changes
     if "received_at" not in df.columns:
         df = df.withColumn("received_at", F.date_trunc("millisecond", F.current_timestamp()))
-    if batch_id is not None:
-        df = df.withColumn("batch", F.lit(int(batch_id)).cast("long"))
+    if batch_id is not None or "batch" not in df.columns:
+        df = df.withColumn("batch", F.lit(NO_BATCH if batch_id is None else int(batch_id)).cast("long"))
     df = cluster_changes(df, partitions).persist()
+    written = []
     try:
-        present = {r[0] for r in df.select("type_group").distinct().collect()}  # <= 5 values
-        parts = ["domain", "month"] + (["batch"] if batch_id is not None else [])
+        rows = dict(df.groupBy("type_group").count().collect())   # <= 5 groups
         for g in TYPE_GROUPS:
-            if g not in present:
+            if g not in rows:
                 continue
-            w = (group_rows(df, g).write.partitionBy(*parts)
+            w = (group_rows(df, g).write.partitionBy(*PARTITIONS)
                  .option("maxRecordsPerFile", max_records_per_file))
+            start = time.monotonic()
             if batch_id is not None:
                 w.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(f"{root}/{g}")
             else:
                 w.mode("append").parquet(f"{root}/{g}")
+            written.append((g, rows[g], time.monotonic() - start))
     finally:
         df.unpersist()
+    return written
 
 
 def read_group(spark: SparkSession, root: str, group: str, months: list[int] | None = None) -> DataFrame:
@@ -99,22 +110,58 @@ def read_group(spark: SparkSession, root: str, group: str, months: list[int] | N
     return df
 
 
+def group_ddl(group: str) -> str:
+    """The fixed columns of a type-group dataset, partition columns last."""
+    state = GROUP_SPARK_TYPE[group].simpleString()
+    return (f"entity_id string, state {state}, old_state {state}, attributes string, "
+            "context string, last_changed timestamp, last_updated timestamp, "
+            "last_reported timestamp, seq bigint, received_at timestamp, "
+            "domain string, month int, batch bigint")
+
+
+def ensure_group_table(spark: SparkSession, database: str, group: str, root: str) -> tuple[str, bool]:
+    """Create (if absent) the catalog table over a type-group dataset, whether
+    it has data yet or not. Returns its name and whether it was created.
+
+    Columns are fixed by ``group_ddl``; partitions are found by listing at
+    read time, not kept in the catalog, so rows that a stream writes by path
+    need no registration (a session that has read the table calls this again,
+    or ``REFRESH TABLE``, to see them). Tables of several roots in one
+    database differ in the suffix."""
+    if not re.fullmatch(r"[a-z0-9_]+", database) or group not in TYPE_GROUPS:
+        raise ValueError(f"bad name {database}.{group}")
+    db = f"{database}__store"
+    name = f"{db}.{group}_{zlib.crc32(root.encode()):08x}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    created = not spark.catalog.tableExists(name)
+    if created:
+        key = "spark.sql.hive.manageFilesourcePartitions"
+        before = spark.conf.get(key)
+        spark.conf.set(key, "false")
+        try:
+            path = f"{root}/{group}".replace("\\", "\\\\").replace("'", "\\'")
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({group_ddl(group)}) USING parquet "
+                      f"PARTITIONED BY ({', '.join(PARTITIONS)}) LOCATION '{path}'")
+        finally:
+            spark.conf.set(key, before)
+    spark.catalog.refreshTable(name)
+    return name, created
+
+
 def ensure_table(spark: SparkSession, database: str, domain: str, root: str) -> str:
-    """Create (if absent) the database and a view named after the domain over
-    its type-group dataset (read by path, so partitions - including replayed
-    batches - are discovered at read time). Returns the view name.
+    """Create (if absent) the table of a domain's type group and a view of the
+    domain's rows, before or after any are written. Returns the view's name,
+    which stands for the latest ``root`` it was made for.
 
     Names are checked (no SQL pasted from data)."""
     if not re.fullmatch(DOMAIN_PATTERN.strip("^$"), domain) or not re.fullmatch(r"[a-z0-9_]+", database):
         raise ValueError(f"bad name {database}.{domain}")
     group = next((g for g in TYPE_GROUPS if domain in domains_of_group(g)), "string")
-    view = f"{database}.{domain}"
+    table, _ = ensure_group_table(spark, database, group, root)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    if not spark.catalog.tableExists(view):
-        path = f"{root}/{group}".replace("`", "")
-        spark.sql(f"CREATE VIEW IF NOT EXISTS {view} AS "
-                  f"SELECT * FROM parquet.`{path}` WHERE domain = '{domain}'")
-    return view
+    spark.sql(f"CREATE OR REPLACE VIEW {database}.{domain} AS "
+              f"SELECT * FROM {table} WHERE domain = '{domain}'")
+    return f"{database}.{domain}"
 
 
 def to_json_rows(changes: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from stategrid.operators.states import state_changes, wire_changes
@@ -70,3 +71,23 @@ def test_partition_pruning_on_month(spark, tmp_dir):
     df = read_group(spark, root, "string", months=[202303]).where(F.col("domain") == "light")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "month" in plan
+
+
+def test_tables_before_data(spark, tmp_dir):
+    root = f"{tmp_dir}/it's"
+    for domain in ("light", "switch", "counter"):
+        assert spark.table(ensure_table(spark, "home", domain, root)).count() == 0
+    write_changes(changes(spark, [frame(state("light.a", "on"), state("light.a", "off")),
+                                  frame(state("counter.c", "5"), state("counter.c", "4"))]), root)
+    write_changes(changes(spark, [frame(state("light.b", "on"), state("light.b", "off"))]), root,
+                  batch_id=3)
+    lights = spark.table(ensure_table(spark, "home", "light", root))
+    assert sorted((r.entity_id, r.month, r.batch) for r in lights.collect()) == [
+        ("light.a", 202303, -1), ("light.b", 202303, 3)]
+    counter = spark.table(ensure_table(spark, "home", "counter", root)).first()
+    assert counter.state == 5 and counter.old_state == 4
+    assert spark.table(ensure_table(spark, "home", "switch", root)).count() == 0
+    assert spark.table(ensure_table(spark, "home", "light", f"{tmp_dir}/other")).count() == 0
+    for database, domain in (("home", "a-b"), ("ho me", "light")):
+        with pytest.raises(ValueError):
+            ensure_table(spark, database, domain, root)

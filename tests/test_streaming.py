@@ -1,18 +1,24 @@
 """Streams give the same results as the batch operators."""
 
 import collections
+import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from stategrid.operators.batching import batch_rows
-from stategrid.operators.states import state_changes
+from stategrid.operators.counters import ingest_counters
+from stategrid.operators.states import state_changes, with_reason
+from stategrid.plans import alerts as al
 from stategrid.sinks.store import read_group
 from stategrid.sources import fixture
 from stategrid.streaming.batcher import batch_stream, drain
-from stategrid.streaming.pipeline import stream_changes
+from stategrid.streaming import metrics
+from stategrid.streaming.pipeline import process_batch, stream_changes
 
 from conftest import SF
+from frames import frame, state
 
 
 def test_stream_changes_equals_batch(spark, tmp_dir):
@@ -105,3 +111,76 @@ def test_dump_events_console_stream(spark, tmp_dir):
     q.awaitTermination(120)
     assert q.exception() is None
     assert q.lastProgress["numInputRows"] == 2
+
+
+def test_stream_metrics(spark, tmp_dir):
+    """Samples of a drained stream equal the counters of the same frames; batch
+    and insert durations of the run reach the quantiles the rules read."""
+    events = spark.read.parquet(os.path.join(SF["0.001"], "events.parquet"))
+    text = fixture.event_frame_text(events)
+    src, out = f"{tmp_dir}/in", f"{tmp_dir}/out"
+    text.where("seq % 2 = 0").select("raw").coalesce(1).write.text(f"{src}/a")
+    text.where("seq % 2 = 1").select("raw").coalesce(1).write.text(f"{src}/b")
+    for i, part in enumerate("ab"):
+        for f in os.listdir(f"{src}/{part}"):
+            os.utime(f"{src}/{part}/{f}", (1_700_000_000 + i,) * 2)
+    heard = metrics.BatchDurations(spark, out)
+    spark.streams.addListener(heard)
+    try:
+        q = stream_changes(spark, f"{src}/*", out, f"{tmp_dir}/ckpt", max_files_per_trigger=1,
+                           durations=heard)
+        q.awaitTermination(300)
+        assert q.exception() is None and heard.wait()
+    finally:
+        spark.streams.removeListener(heard)
+    process_batch(text.where("seq % 2 = 0").select("raw"), 0, out)      # a replay counts once
+    seen = metrics.read_observations(spark, out).persist()
+    samples = metrics.metric_samples(seen, "1s").persist()
+    last = {(r.metric, tuple(sorted(r.labels.items()))): r.v for r in samples.groupBy(
+        "metric", F.map_entries("labels").alias("e")).agg(F.max("value").alias("v"))
+        .select("metric", F.map_from_entries("e").alias("labels"), "v").collect()}
+    counts = {r.counter: r.value for r in
+              ingest_counters(with_reason(fixture.event_frames(events))).collect()}
+    for c in ("received", "filtered", "processed"):
+        assert last[(f"ingest_events_{c}_total", ())] == counts[c]
+    assert last[("ingest_database_operations_total",
+                 (("operation", "create_table"), ("status", "success")))] == 5
+    assert last[("ingest_batch_processing_duration_seconds_count", ())] == 2
+    assert last[("ingest_batch_size_sum", ())] == counts["processed"]
+    inserts = last[("ingest_database_operations_total",
+                    (("operation", "insert"), ("status", "success")))]
+    assert inserts == last[("ingest_batches_processed_total", ())] == last[
+        ("ingest_store_query_duration_seconds_count", (("query_type", "insert"),))]
+    slow = al.quantile_of_rates(samples, al.M_BATCH_DURATION, 0.95, "5m", "1s").collect()
+    assert slow and all(r.value is None or 0 < r.value <= 10 for r in slow)
+    assert any(r.value for r in slow)
+
+
+def test_failed_insert_is_counted(spark, tmp_dir):
+    out = f"{tmp_dir}/out"
+    raws = [frame(state("light.a", "on"), state("light.a", "off"))]
+    df = spark.createDataFrame([(r,) for r in raws], "raw string")
+    os.makedirs(out)
+    open(f"{out}/string", "w").close()               # a file where the dataset should be
+    with pytest.raises(Exception):
+        process_batch(df, 0, out)
+    got = metrics.read_observations(spark, out).collect()
+    assert [(r.metric, r.operation, r.status, r.value) for r in got] == [
+        ("database_operations_total", "insert", "error", 1.0)]
+
+
+def test_metric_samples_small(spark):
+    empty = spark.createDataFrame([], metrics.OBSERVATION)
+    assert metrics.metric_samples(empty).count() == 0
+    t = dt.datetime(2024, 1, 1, 0, 0, 10)
+    rows = [(t, "counter", "x_total", None, "", "", 2.0), (t, "counter", "x_total", "", "", "", None),
+            (t + dt.timedelta(seconds=60), "counter", "x_total", "", "", "", 3.0),
+            (None, "counter", "x_total", "", "", "", 9.0),
+            (t, "histogram", "batch_size", "", "", "", 110.0)]
+    got = metrics.metric_samples(spark.createDataFrame(rows, metrics.OBSERVATION), "30s").collect()
+    x = sorted((r.ts, r.value) for r in got if r.metric == "ingest_x_total")
+    start = dt.datetime(2024, 1, 1)
+    assert x == [(start + dt.timedelta(seconds=30 * i), v) for i, v in enumerate([0, 2, 2, 5])]
+    top = {r.labels["le"]: r.value for r in got if r.metric == "ingest_batch_size_bucket"
+           and r.ts == start + dt.timedelta(seconds=90)}
+    assert top["10"] == 0 and top["110"] == 1 and top["+Inf"] == 1 and len(top) == 11
