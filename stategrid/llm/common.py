@@ -37,6 +37,20 @@ def let(value: Column, body):
     return F.transform(F.array(value), body).getItem(0)
 
 
+def set_aside(docs: DataFrame, keep: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
+    """``docs`` with all columns but ``keep`` in one struct ``rest``: whatever
+    they are called, they meet no column of an operator. An input column
+    ``rest`` is in the struct as well."""
+    others = [F.col("`" + c.replace("`", "``") + "`").alias(c) for c in docs.columns if c not in keep]
+    return docs.select(*[c for c in docs.columns if c in keep],
+                       F.struct(*(others or [F.lit(0).alias("none")])).alias("rest"))
+
+
+def put_back(columns: list[str], keep: tuple[str, ...] = ("doc_id", "text")) -> list[Column]:
+    """Columns as they were before ``set_aside``."""
+    return [F.col(c) if c in keep else F.col("rest").getField(c).alias(c) for c in columns]
+
+
 def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -1,8 +1,9 @@
 """Benchmark decontamination by template canonicalisation.
 
 Texts become sequences of template tokens: numbers, units after a number and
-names (capitalised words inside a sentence) are replaced by typed
-placeholders, other words that begin with a capital or a letter beyond ASCII
+names (capitalised words inside a sentence, each word of a name by itself, also
+with capitals inside or after an opening quote or bracket) are replaced by
+typed placeholders; a number keeps its thousands and decimals. Other words that begin with a capital or a letter beyond ASCII
 are lower-cased, punctuation goes. Windows of
 ``window`` template tokens are hash-joined with the windows of the benchmark
 items that hold at least ``literals`` literal tokens. A second form of items
@@ -16,7 +17,8 @@ changed may be parameters of their own. A document leaks an item if the
 windows left cover at least ``least`` of the item's windows.
 
 Rules: null texts are empty. An item shorter than ``window`` is
-one window of all its tokens. Items without words and numbers never match. Rows
+one window of all its tokens. Items of fewer than ``shortest`` words and numbers
+(one word tells no question from a text that uses it) never match. Rows
 that repeat an item_id are windows of one item. A row is a document; leaks are
 told by doc_id, so rows that share an id share the verdict. Empty tables give
 an empty result.
@@ -39,8 +41,9 @@ UNITS = ["mm", "cm", "m", "km", "in", "ft", "yd", "mi", "mg", "g", "kg", "t", "o
          "w", "kw", "v", "a", "hz", "khz", "mhz", "ghz", "b", "kb", "mb", "gb", "tb"]
 #: Placeholders begin with this character; n number, u unit, p name.
 MARK = "\x01"
-_NAME = r"([^.!?:\s]\s)(\p{Lu}\p{Ll}+)(?!\p{L})"
-_UNIT = r"([0-9]*)\s*((?i:" + "|".join(sorted(UNITS, key=lambda x: (-len(x), x))) + r"))(?!\p{L})"
+_NAME = r"(?<=[^.!?:\s]\s[\"'“‘«(\[]{0,2})(\p{Lu}\p{Ll}+(?:\p{Lu}\p{Ll}+)*)(?!\p{L})"
+_NUMBER = r"[0-9]+(?:,[0-9]{3}(?![0-9])|\.[0-9]+)*"
+_UNIT = rf"([0-9{MARK}]*)\s*((?i:" + "|".join(sorted(UNITS, key=lambda x: (-len(x), x))) + r"))(?!\p{L})"
 _CUT = r"[^\p{L}\p{M}\p{N}\x01]+"
 #: Windows of the benchmark up to which they are broadcast (64 MB at most); beyond, a shuffled join.
 MAX_BROADCAST = 1_000_000
@@ -52,10 +55,15 @@ def tokens(text: Column, values: bool, names: bool = True) -> Column:
     ``names`` the text is folded to lower case and names are words."""
     c = F.replace(F.coalesce(text, F.lit("")), F.lit(MARK), F.lit(" "))
     if names:
-        c = F.regexp_replace(c, _NAME, f"$1{MARK}p" + ("$2" if values else ""))
+        c = F.regexp_replace(c, _NAME, f"{MARK}p" + ("$1" if values else ""))
     else:
         c = F.replace(F.lower(c), F.lit("ß"), F.lit("ss"))      # as it stands in capitals
-    c = F.regexp_replace(c, "([0-9]+)", f" {MARK}n" + ("$1" if values else ""))
+    if values:              # the value is one token: thousands together, a mark for the point
+        c = F.regexp_replace(c, r"(?<=[0-9]),(?=[0-9]{3}(?![0-9]))", "")
+        c = F.regexp_replace(c, r"(?<=[0-9])\.(?=[0-9])", MARK)
+        c = F.regexp_replace(c, f"([0-9]+(?:{MARK}[0-9]+)*)", f" {MARK}n$1")
+    else:
+        c = F.regexp_replace(c, _NUMBER, f" {MARK}n")
     c = F.regexp_replace(c, f"{MARK}n" + _UNIT, f"{MARK}n$1 {MARK}u" + ("$2" if values else ""))
     return F.array_remove(F.split(c, _CUT, -1), "")
 
@@ -134,16 +142,16 @@ def consistent(ats: Column, slots: Column, size: Column) -> Column:
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, literals: int = 4,
-          least: float = 0.5) -> DataFrame:
+          least: float = 0.5, shortest: int = 2) -> DataFrame:
     """(doc_id, item_id, n_windows, n_matched): the documents that hold an
     item, a row for each such document id and item."""
-    return (leaking_rows(docs, benchmark, window, literals, least).groupBy("doc_id", "item_id")
+    return (leaking_rows(docs, benchmark, window, literals, least, shortest).groupBy("doc_id", "item_id")
             .agg(F.max("n_windows").cast("long").alias("n_windows"),
                  F.max("n_matched").cast("long").alias("n_matched")))
 
 
 def leaking_rows(docs: DataFrame, benchmark: DataFrame, window: int = 8, literals: int = 4,
-                 least: float = 0.5) -> DataFrame:
+                 least: float = 0.5, shortest: int = 2) -> DataFrame:
     """(doc_id, t1, t2, item_id, item_row, n_windows, n_matched): the different
     rows, told by id and 128-bit text key, that hold an item."""
     own_items = benchmark.where(F.col("item_id").isNotNull()).select(
@@ -165,7 +173,7 @@ def leaking_rows(docs: DataFrame, benchmark: DataFrame, window: int = 8, literal
     items = materialize(both.select(
         "item_id", F.xxhash64("item_id", "text", "x.kind").alias("item_row"), "x.own_form", "x.tpl",
         "x.item_values", F.least(F.lit(window), F.size("x.tpl")).alias("size"))
-        .where(F.col("size") >= 1), "items")
+        .where((F.col("size") >= 1) & (F.size("tpl") >= shortest)), "items")
     own_sizes = sorted(r["size"] for r in items.select("size").distinct().collect())  # at most ``window``
     # windows with too few literals match as they are, with their values
     part = F.slice("tpl", F.col("item_at") + 1, F.col("size"))

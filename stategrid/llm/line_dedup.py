@@ -12,7 +12,9 @@ to drop per document.
 Rules: a row is a document. Null and empty texts are one empty line. Rows
 with a null id rank below every id; rows that share the largest id all keep
 the line. A line repeated inside a document counts once and is dropped or
-kept as a whole. An empty table gives an empty result.
+kept as a whole. An empty table gives an empty result. Further columns pass
+through under any name; those called like a result (``_n_lines``,
+``_n_dropped``, ``_kept``) give way to it.
 """
 
 from __future__ import annotations
@@ -23,10 +25,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stategrid.llm.common import LOWER, UPPER, WHITE, key128
+from stategrid.llm.common import LOWER, UPPER, WHITE, key128, put_back, set_aside
 from stategrid.session import scratch_path
 
 H = ["h1", "h2"]
+RESULTS = ["_n_lines", "_n_dropped", "_kept"]
 
 
 def line_key(line: Column) -> Column:
@@ -87,6 +90,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5,
     stays). Lines whose key has ``min_chars`` code points and occurs in
     ``min_docs`` documents stay only in the largest doc_id."""
     spark = docs.sparkSession
+    through = [c for c in docs.columns if c not in RESULTS]
+    docs = set_aside(docs.select(*["`" + c.replace("`", "``") + "`" for c in through]))
     key = F.array_distinct(F.filter(F.transform(lines_of(F.col("text")), line_key),
                                     lambda k: F.length(k) >= min_chars))
     h1, h2 = key128(F.col("_key"))
@@ -121,4 +126,4 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5,
             .withColumn("_n_lines", F.size("_lines").cast("long"))
             .withColumn("_n_dropped", (F.size("_lines") - F.size("_stay")).cast("long"))
             .withColumn("_kept", F.array_join("_stay", "\n"))
-            .drop("_id", "_drop", "_lines", "_stay"))
+            .select(*put_back(through), *RESULTS))

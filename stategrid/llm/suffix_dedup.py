@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stategrid.llm.common import key128
+from stategrid.llm.common import key128, put_back, set_aside
 from stategrid.llm.suffix_array import common_prefixes, suffix_array
 from stategrid.session import materialize
 
@@ -279,13 +279,16 @@ def changed_texts(docs: DataFrame, length: int = 200, hot: int = HOT,
 
 
 def remove_repeats(docs: DataFrame, length: int = 200, hot: int = HOT) -> DataFrame:
-    """``docs`` with ``_spans`` (removed runs) and ``_kept`` (bytes that stay)."""
+    """``docs`` with ``_spans`` (removed runs) and ``_kept`` (bytes that stay);
+    input columns of these two names give way, others may have any name."""
     t1, t2 = key128(F.coalesce("text", F.lit("")))
+    through = [c for c in docs.columns if c not in ("_spans", "_kept")]
+    docs = set_aside(docs.select(*["`" + c.replace("`", "``") + "`" for c in through]))
     changed = changed_texts(docs, length, hot).select(
         F.col("t1").alias("_c1"), F.col("t2").alias("_c2"), F.col("spans").alias("_spans"),
         F.col("kept").alias("_kept"))
     return (docs.withColumns({"_t1": t1, "_t2": t2})
             .join(changed, (F.col("_t1") == F.col("_c1")) & (F.col("_t2") == F.col("_c2")), "left")
-            .withColumn("_kept", F.coalesce("_kept", F.coalesce("text", F.lit("")).cast("binary")))
-            .withColumn("_spans", F.coalesce("_spans", F.array()))
-            .drop("_t1", "_t2", "_c1", "_c2"))
+            .select(*put_back(through),
+                    F.coalesce("_spans", F.array()).alias("_spans"),
+                    F.coalesce("_kept", F.coalesce("text", F.lit("")).cast("binary")).alias("_kept")))

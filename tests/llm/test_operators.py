@@ -251,6 +251,69 @@ def test_decontaminate_conflicting_slots(spark):
     assert leaked(spark, [(1, boxes), (2, long)], rows) == {(1, 1), (2, 2), (3, 1), (4, 2)}
 
 
+def test_decontaminate_names_and_numbers(spark):
+    item = ("Last week the old teacher Alice Smith told Ian McDonald that 1,200 pupils had walked "
+            "3.5 km to the school where Alice Smith had taught them all")
+    changed = (item.replace("Alice Smith", "Boris Brown").replace("McDonald", "Green")
+               .replace("1,200", "950").replace("3.5", "12"))
+    quoted = item.replace("Alice Smith", '"Alice" (Smith').replace("Ian", "'Ian")
+    torn = item.replace("Alice Smith told", "Boris Brown told")       # one name, two people
+    rows = [(1, "So: " + item), (2, changed), (3, quoted), (4, changed.replace("950", "23,456.75")),
+            (50, "She said Hello to everyone in the room and left"), (51, "The price rose by 3.5 km")]
+    got = leaked(spark, [(1, item), (2, "Hello"), (3, "42")], rows + [(60, torn)])
+    assert got - {(60, 1)} == {(1, 1), (2, 1), (3, 1), (4, 1)}
+    tk = lambda t, v: spark.range(1).select(decontaminate.tokens(
+        F.lit(t), v).alias("t")).first().t
+    for t in ("a 1,200.5 b 12,34 c 1.2.3 d 5,000kg e 7. f .8", "x Alice 3,000 km, (Bob 4.5%) 1,2345"):
+        assert [w[:2] if w[0] == "\x01" else w for w in tk(t, True)] == tk(t, False)
+    assert tk("a 1,200.5 x 12,34", True) == ["a", "\x01n1200\x015", "x", "\x01n12", "\x01n34"]
+
+
+def test_decontaminate_shortest(spark):
+    rows, items = [(1, "say Hello there")], [(1, "Hello")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert leaked(spark, items, rows) == set()
+    assert decontaminate.leaks(docs(spark, rows), bench, shortest=1).count() == 1
+
+
+CLASH = ["_id", "_t1", "_t2", "_k1", "_kept", "_toxic", "_lines", "_drop", "_n_lines", "_rows", "_spans",
+         "_c1", "rest", "a.b", "h1", "item_id"]
+
+
+def clashing(spark, rows):
+    """rows (doc_id, text) with columns of the names that operators use inside."""
+    return spark.createDataFrame(
+        [(i, t, *[f"{c} {n}" for c in CLASH]) for n, (i, t) in enumerate(rows)],
+        "doc_id long, text string, " + ", ".join(f"`{c}` string" for c in CLASH))
+
+
+def test_clashing_columns(spark):
+    line = "A line of more than forty characters to be found again and again"
+    rows = [(i, f"own {i}\n{line}") for i in range(6)] + [(7, None)]
+    df = clashing(spark, rows)
+    value = lambda r, n, cols: all(r[c] == f"{c} {n}" for c in cols)
+    out = line_dedup.dedup_lines(df).collect()
+    for r in out:
+        n = 6 if r.doc_id == 7 else r.doc_id
+        assert value(r, n, [c for c in CLASH if c not in line_dedup.RESULTS])
+        assert r["_n_dropped"] == (1 if n < 5 else 0)
+    cut = suffix_dedup.remove_repeats(df).collect()
+    assert len(cut) == 7 and all(
+        value(r, 6 if r.doc_id == 7 else r.doc_id, [c for c in CLASH if c not in ("_kept", "_spans")])
+        for r in cut)
+
+
+def test_pipeline_clashing_columns(spark):
+    import corpus_pipeline as P
+    rows = [(i, f"some words of document number {i} {'abcdefgh'[i] * 9} and so on") for i in range(4)]
+    df = clashing(spark, rows + [(5, rows[0][1])])
+    for _, stage in P.STAGES[:-1]:
+        df2 = stage(spark, df, SF)
+        assert df2.columns == df.columns
+        got = {r.doc_id: r for r in df2.collect()}
+        assert all(r[c] == f"{c} {min(i, 4)}" for i, r in got.items() for c in CLASH)
+
+
 def test_decontaminate_brute_force(spark, duck, texts):
     items = duck.execute("SELECT item_id, text FROM benchmark").fetchall()
     want = {(i, k) for i, t in texts.items() for k, x in items if x in t}
