@@ -3,20 +3,35 @@ decontamination, packing.
 
 Each stage is ``(spark, docs, sf_dir) -> DataFrame`` and works on all that its
 predecessor kept. All but the last return the columns of ``docs``; ``n_chars``
-follows the text. Rows without text stay as they are (nothing in them is
+follows the text, other columns pass through under any name. Rows without text stay as they are (nothing in them is
 toxic, repeated or leaked); rows with a null doc_id are kept like others.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stategrid.llm import decontaminate, line_dedup, packing, simhash, toxicity
-from stategrid.llm.common import key128, read
+from stategrid.llm.common import key128, put_back, read, set_aside
 from stategrid.session import materialize
 
 
+KEPT = ("doc_id", "text", "n_chars")
+
+
+def any_columns(stage):
+    """The stage with columns beyond ``KEPT`` set aside, so that their names
+    meet none of its own; the result has the columns of ``docs``."""
+    @functools.wraps(stage)
+    def whole(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return stage(spark, set_aside(docs, KEPT), sf_dir).select(*put_back(docs.columns, KEPT))
+    return whole
+
+
+@any_columns
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that score 0.5 or more."""
     model = toxicity.train(docs, read(spark, sf_dir, "labels"))
@@ -24,6 +39,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
             .where(F.col("_toxic") < 0.5).drop("_toxic"))
 
 
+@any_columns
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of 40 or more code points that 5 documents hold stay in the
     largest doc_id only."""
@@ -49,6 +65,7 @@ def same_row() -> Column:
             & (F.col("_t1") == F.col("_k1")) & (F.col("_t2") == F.col("_k2")))
 
 
+@any_columns
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents that SimHash links one row stays: the
     smallest doc_id (a null one if none there has an id), of different texts
@@ -63,6 +80,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return out.select(*docs.columns)
 
 
+@any_columns
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the rows that hold a benchmark item."""
     leaks = materialize(decontaminate.leaking_rows(docs, read(spark, sf_dir, "benchmark")).select(
