@@ -41,7 +41,7 @@ UNITS = ["mm", "cm", "m", "km", "in", "ft", "yd", "mi", "mg", "g", "kg", "t", "o
          "w", "kw", "v", "a", "hz", "khz", "mhz", "ghz", "b", "kb", "mb", "gb", "tb"]
 #: Placeholders begin with this character; n number, u unit, p name.
 MARK = "\x01"
-_NAME = r"(?<=[^.!?:\s]\s[\"'“‘«(\[]{0,2})(\p{Lu}\p{Ll}+(?:\p{Lu}\p{Ll}+)*)(?!\p{L})"
+_NAME = r"(?=\p{Lu})(?<=[^.!?:\s]\s[\"'“‘«(\[]{0,2})(\p{Lu}\p{Ll}+(?:\p{Lu}\p{Ll}+)*)(?!\p{L})"
 _NUMBER = r"[0-9]+(?:,[0-9]{3}(?![0-9])|\.[0-9]+)*"
 _UNIT = rf"([0-9{MARK}]*)\s*((?i:" + "|".join(sorted(UNITS, key=lambda x: (-len(x), x))) + r"))(?!\p{L})"
 _CUT = r"[^\p{L}\p{M}\p{N}\x01]+"
