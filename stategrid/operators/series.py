@@ -11,17 +11,14 @@ Scale notes:
 * raw rows are first reduced to one row per (series, step bucket) - a hash
   aggregate with partial aggregation - so everything after that is sized by
   series x steps, not by rows;
-* a trailing window is a slide: each bucket row is repeated onto the
-  ``w / step`` steps it belongs to (``explode(sequence)``) and summed by
+* a trailing window over events is a slide: each bucket row is repeated onto
+  the ``w / step`` steps it belongs to (``explode(sequence)``) and summed by
   (series, step). This spreads a hot series over its steps instead of putting
   it into one task as ``rangeBetween`` over a series partition would, and
   needs no cross join with a step grid;
-* ``rate`` on counter samples needs the previous sample of a series (``lag``
-  per series). A series holds one sample per scrape, so its length is bounded
-  by time range / scrape interval, not by data volume.
-
-No edge extrapolation is done (the usual evaluator extrapolates to the window
-edges); a rate is the plain increase inside the window divided by its length.
+* ``rate`` and ``increase`` on counter samples are differences between the
+  first and the last sample of a window, found in chunks of time
+  (``_window_ends``), so a long series is spread over its chunks.
 """
 
 from __future__ import annotations
@@ -140,37 +137,114 @@ def counter_samples(df: DataFrame, ts: str, by: Sequence[str], step,
     return out.select(*(["metric"] if metric is not None else []), *by, _t(), "value")
 
 
+def _window_ends(samples: DataFrame, by: Sequence[str], window, step,
+                 ts: str, value: str) -> DataFrame:
+    """Per series and step whose window (t - w, t] holds two samples or more:
+    ``by..., t_sec, pairs, first_us, last_us, first, inc``, where ``inc`` is the
+    last value less the first plus what each reset inside the window lost.
+
+    Time is cut into chunks of many windows; a sample goes to the chunks of the
+    steps that see it (two at most, if a chunk is longer than a window), so a
+    chunk knows all it needs and no series lies in one task. There a sample is
+    the last one of the steps up to its successor and the first one of the
+    steps that its predecessor has left: about two rows a sample, however many
+    steps a window holds. Grouping by (series, chunk, step) reuses the shuffle
+    by (series, chunk). Samples without a time or a value are none; of several
+    at one time the largest counts."""
+    w, s = seconds(window), seconds(step)
+    if w <= 0 or s <= 0:
+        raise ValueError("window and step must be positive")
+    chunk = s * max(-(-10 * w // s), -(-86_400 // s))
+    us, lo, hi = F.col("_us"), F.col("_lo"), F.col("_hi")
+
+    def grid_from(c: Column) -> Column:
+        """First step (seconds) at or after a time in microseconds."""
+        up = c + F.lit(s * 1_000_000 - 1)
+        return ((up - F.pmod(up, F.lit(s * 1_000_000))) / F.lit(1_000_000)).cast("long")
+
+    def grid_before(c: Column) -> Column:
+        """Last step before a time in microseconds."""
+        return grid_from(c) - F.lit(s)
+
+    def chunk_of(c: Column) -> Column:
+        return F.floor(c / F.lit(chunk)).cast("long")
+
+    seen = (samples.select(*by, F.unix_micros(_c(ts).cast("timestamp")).alias("_us"),
+                           F.col(value).cast("double").alias("_v"))
+            .where(us.isNotNull() & F.col("_v").isNotNull())
+            .select("*", grid_from(us).alias("_lo"),
+                    grid_before(us + F.lit(w * 1_000_000)).alias("_hi"))
+            .where(lo <= hi)
+            .withColumn("_chunk", F.explode(F.sequence(chunk_of(lo), chunk_of(hi)))))
+    order = Window.partitionBy(*by, "_chunk").orderBy("_us", "_v")
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    prev_v, start = F.col("_pv"), F.col("_chunk") * F.lit(chunk)
+    placed = (seen.withColumn("_nus", F.lead("_us").over(order))
+              .where(F.col("_nus").isNull() | (F.col("_nus") > us))
+              .select("*", F.lag("_us").over(order).alias("_pus"), F.lag("_v").over(order).alias("_pv"))
+              .select("*", F.row_number().over(order).alias("_i"),
+                      F.sum(F.when(F.col("_v") < prev_v, prev_v).otherwise(F.lit(0.0)))
+                      .over(upto).alias("_lost"))
+              .withColumn("_lo", F.greatest(lo, start))
+              .withColumn("_hi", F.least(hi, start + F.lit(chunk - s))))
+
+    def steps(a: Column, b: Column, last: bool) -> Column:
+        role = F.transform(F.sequence(a, b, F.lit(s)), lambda t: F.struct(
+            t.alias("t_sec"), F.lit(last).alias("_last")))
+        return F.when(a <= b, role).otherwise(F.array().cast("array<struct<t_sec:bigint,_last:boolean>>"))
+
+    last_to = F.least(hi, F.coalesce(grid_before(F.col("_nus")), hi))
+    first_from = F.greatest(lo, F.coalesce(grid_from(F.col("_pus") + F.lit(w * 1_000_000)), lo))
+    roles = placed.select(*by, "_chunk", F.struct("_i", "_us", "_v", "_lost").alias("_s"),
+                          F.inline(F.concat(steps(lo, last_to, True), steps(first_from, hi, False))))
+    ends = roles.groupBy(*by, "_chunk", "t_sec").agg(
+        F.max(F.when(F.col("_last"), F.col("_s"))).alias("_e"),
+        F.max(F.when(~F.col("_last"), F.col("_s"))).alias("_b"))
+    e, f = F.col("_e"), F.col("_b")
+    return ends.where(e["_i"] > f["_i"]).select(
+        *by, "t_sec", (e["_i"] - f["_i"]).alias("pairs"), f["_us"].alias("first_us"),
+        e["_us"].alias("last_us"), f["_v"].alias("first"),
+        (e["_v"] - f["_v"] + (e["_lost"] - f["_lost"])).alias("inc"))
+
+
+#: Fixed value: a window's edge further from its nearest sample than this many
+#: mean distances is taken as an end of the series.
+EDGE_DISTANCES = 1.1
+
+
 def increase_samples(samples: DataFrame, by: Sequence[str], window, step,
-                     ts: str = "t", value: str = "value") -> DataFrame:
+                     ts: str = "t", value: str = "value", extrapolate: bool = False) -> DataFrame:
     """Counter increase over (t - w, t] from samples: sum of deltas between
     consecutive samples inside the window; a drop is a reset (the new value
-    counts from 0). Steps need two samples in the window."""
-    w_s, s = seconds(window), seconds(step)
-    w_prev = Window.partitionBy(*by).orderBy("_us")
-    pairs = (samples.select(*by, F.unix_micros(_c(ts).cast("timestamp")).alias("_us"),
-                            F.col(value).alias("_v"))
-                    .select("*", F.lag("_us").over(w_prev).alias("_pus"),
-                            F.lag("_v").over(w_prev).alias("_pv"))
-                    .where(F.col("_pus").isNotNull())
-                    .withColumn("_d", F.when(F.col("_v") >= F.col("_pv"), F.col("_v") - F.col("_pv"))
-                                       .otherwise(F.col("_v"))))
-    # The pair (prev, cur) is inside the window at t when prev > t - w and
-    # cur <= t: t in [cur, prev + w), on the grid.
-    s_us, w_us = s * 1_000_000, w_s * 1_000_000
-    first = F.col("_us") + F.lit(s_us - 1)
-    first = (first - F.pmod(first, F.lit(s_us))) / F.lit(1_000_000)
-    last = F.col("_pus") + F.lit(w_us - 1)            # last micro inside the window end
-    last = (last - F.pmod(last, F.lit(s_us))) / F.lit(1_000_000)
-    spread = (pairs.select(*by, "_d", first.cast("long").alias("_lo"), last.cast("long").alias("_hi"))
-                   .where(F.col("_lo") <= F.col("_hi"))
-                   .withColumn("t_sec", F.explode(F.sequence("_lo", "_hi", F.lit(s)))))
-    return (spread.groupBy(*by, "t_sec").agg(F.sum("_d").alias("value"))
-                  .select(*by, _t(), "value"))
+    counts from 0). Steps need two samples in the window.
+
+    With ``extrapolate`` the increase is stretched from the samples' span to
+    the window's edges, as the rules' evaluator does: to an edge nearer than
+    ``EDGE_DISTANCES`` mean sample distances in full, else by half a distance;
+    at the start never beyond the time at which the counter would have been 0."""
+    ends = _window_ends(samples, by, window, step, ts, value)
+    if not extrapolate:
+        return ends.select(*by, _t(), F.col("inc").alias("value"))
+    w_us = float(seconds(window) * 1_000_000)
+    first, last, inc = F.col("first_us"), F.col("last_us"), F.col("inc")
+    end = F.col("t_sec") * F.lit(1_000_000)
+    span = (last - first).cast("double")
+    mean = span / F.col("pairs")
+
+    def reach(gap: Column) -> Column:
+        return F.when(gap >= mean * F.lit(EDGE_DISTANCES), mean / F.lit(2.0)).otherwise(gap)
+
+    before = reach((first - end).cast("double") + F.lit(w_us))
+    zero = F.when((inc > 0) & (F.col("first") >= 0), span * (F.col("first") / inc))
+    before = F.when(zero < before, zero).otherwise(before)
+    after = reach((end - last).cast("double"))
+    return ends.select(*by, _t(), (inc * ((span + before + after) / span)).alias("value"))
 
 
 def rate_samples(samples: DataFrame, by: Sequence[str], window, step,
-                 ts: str = "t", value: str = "value") -> DataFrame:
-    inc = increase_samples(samples, by, window, step, ts, value)
+                 ts: str = "t", value: str = "value", extrapolate: bool = False) -> DataFrame:
+    """``increase_samples`` per second of the window."""
+    inc = increase_samples(samples, by, window, step, ts, value, extrapolate)
     return inc.withColumn("value", F.col("value") / F.lit(float(seconds(window))))
 
 

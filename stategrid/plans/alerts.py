@@ -135,7 +135,7 @@ def instant(samples: DataFrame, metric: str, step, lookback="5m", **labels) -> D
 
 def rate(samples: DataFrame, metric: str, window, step, **labels) -> DataFrame:
     s = _sel(samples, metric, **labels)
-    r = ts.rate_samples(s.select("sk", "ts", "value"), ["sk"], window, step, ts="ts")
+    r = ts.rate_samples(s.select("sk", "ts", "value"), ["sk"], window, step, ts="ts", extrapolate=True)
     keys = s.select("sk", "labels").dropDuplicates(["sk"])
     return r.join(keys, "sk")
 
@@ -285,7 +285,8 @@ def _by_label(df: DataFrame, label: str, value: Column) -> DataFrame:
 
 def _increase(samples: DataFrame, metric: str, window, step) -> DataFrame:
     s = _sel(samples, metric)
-    return ts.increase_samples(s.select("sk", "ts", "value"), ["sk"], window, step, ts="ts")
+    return ts.increase_samples(s.select("sk", "ts", "value"), ["sk"], window, step, ts="ts",
+                               extrapolate=True)
 
 
 __all__ = ["pipeline_metrics", "alert_rules", "panels", "instant", "rate", "RULES"]

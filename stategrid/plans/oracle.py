@@ -261,6 +261,40 @@ SELECT 'events_total' AS metric, {_tstamp('t_sec')} AS t, max(value) AS value FR
 ORACLE["select_series"] = "WITH " + SAMPLES_CTE.strip() + f"""
 SELECT {_tstamp('t_sec')} AS t, value FROM samp WHERE event_type = 'click'"""
 
+
+
+def _extrapolated(samp: str, per_second: bool) -> str:
+    """Per step, the samples of its window by a plain join; resets by looking at
+    each sample's predecessor of the same window; then the stretch to the edges."""
+    return f"""
+sm AS (SELECT event_type, us, max(value) AS v FROM ({samp}) WHERE value IS NOT NULL GROUP BY ALL),
+pv AS (SELECT *, lag(us) OVER w AS pus, lag(v) OVER w AS pvl FROM sm
+       WINDOW w AS (PARTITION BY event_type ORDER BY us)),
+st AS (SELECT event_type, us, v, pus, pvl,
+         (((us + {H * 1000000 - 1}) // {H * 1000000}) + k) * {H * 1000000} AS t
+       FROM pv, range(0, 6) r(k)),
+wn AS (SELECT event_type, t, count(*) AS n, min(us) AS f_us, max(us) AS l_us,
+         arg_min(v, us) AS f_v, arg_max(v, us) AS l_v,
+         coalesce(sum(pvl) FILTER (WHERE pus > t - {W6 * 1000000} AND v < pvl), 0.0) AS lost
+       FROM st WHERE us > t - {W6 * 1000000} GROUP BY ALL HAVING count(*) > 1),
+ic AS (SELECT *, l_v - f_v + lost AS inc, CAST(l_us - f_us AS DOUBLE) AS span,
+         (l_us - f_us) / (n - 1) AS gap,
+         CAST(f_us - (t - {W6 * 1000000}) AS DOUBLE) AS at_start, CAST(t - l_us AS DOUBLE) AS at_end
+       FROM wn),
+ed AS (SELECT *, CASE WHEN at_start >= gap * CAST(1.1 AS DOUBLE) THEN gap / 2 ELSE at_start END AS s0,
+         CASE WHEN at_end >= gap * CAST(1.1 AS DOUBLE) THEN gap / 2 ELSE at_end END AS e0 FROM ic)
+SELECT event_type, make_timestamp(t) AS t,
+  inc * ((span + CASE WHEN inc > 0 AND f_v >= 0 AND span * (f_v / inc) < s0
+                      THEN span * (f_v / inc) ELSE s0 END + e0) / span)
+  {f'/ {float(W6)}' if per_second else ''} AS value
+FROM ed"""
+
+
+ORACLE["rate_extrapolated"] = "WITH " + SAMPLES_CTE.strip() + "," + _extrapolated(
+    "SELECT event_type, t_sec * 1000000 AS us, value FROM samp", True)
+ORACLE["increase_extrapolated"] = "WITH " + _extrapolated(
+    "SELECT event_type, epoch_us(ts) AS us, floor(value) AS value FROM events", False).strip()
+
 _BOUNDS = [10.0 + 100.0 * i for i in range(10)]
 
 

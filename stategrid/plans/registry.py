@@ -245,6 +245,26 @@ def q_increase(spark, sf_dir):
     return for_driver(ts.increase_samples(s, ["event_type"], WINDOW, STEP))
 
 
+@register("rate_extrapolated")
+def q_rate_extrapolated(spark, sf_dir):
+    """As the rules' evaluator has it: stretched to the window's edges."""
+    s = event_counter_samples(spark, sf_dir)
+    return for_driver(ts.rate_samples(s, ["event_type"], WINDOW, STEP, extrapolate=True))
+
+
+def last_values(spark, sf_dir):
+    """Irregular samples: each event's value in whole units stands for a counter of its
+    type, scraped at the event's time; a smaller value than the one before is a reset."""
+    return events(spark, sf_dir).select("event_type", F.col("ts").alias("t"),
+                                        F.floor("value").cast("double").alias("value"))
+
+
+@register("increase_extrapolated")
+def q_increase_extrapolated(spark, sf_dir):
+    return for_driver(ts.increase_samples(last_values(spark, sf_dir), ["event_type"], WINDOW, STEP,
+                                          extrapolate=True))
+
+
 @register("histogram")
 def q_histogram(spark, sf_dir):
     return ts.histogram(events(spark, sf_dir), "value", VALUE_BOUNDS)

@@ -56,10 +56,10 @@ def test_panels_rates_and_quantiles(spark):
     p = al.panels(samples(spark, rows), "1m")
     at10 = {(r.panel, r.series): r.value for r in
             p.where(F.col("t") == T0 + dt.timedelta(minutes=10)).collect()}
-    assert abs(at10[("Event Rates", "Receive Rate")] - 0.8) < 1e-9      # 4 deltas of 60 / 300 s
-    assert abs(at10[("Event Rates", "Process Rate")] - 0.4) < 1e-9
+    assert abs(at10[("Event Rates", "Receive Rate")] - 1.0) < 1e-9      # 4 deltas of 60, stretched to 300 s
+    assert abs(at10[("Event Rates", "Process Rate")] - 0.5) < 1e-9
     assert abs(at10[("Batch Size", "Batch Size (p50)")] - 10.0) < 1e-9
-    assert abs(at10[("Batch Size", "Batch Size (p95)")] - 100.0) < 1e-9   # 10 + 100 * (380-200)/200
+    assert abs(at10[("Batch Size", "Batch Size (p95)")] - 100.0) < 1e-9   # 10 + 100 * (95-50)/50
 
 
 def test_both_connections_down_fire_once_per_step(spark):
@@ -89,3 +89,13 @@ def test_panels_join_instances_in_quantiles_and_keep_series(spark):
     assert sorted(got[("Connection Status", "Source Connection")].values()) == [0.0, 1.0]
     assert len(got[("Event Processing Rate", "Events Received")]) == 2
     assert list(got[("Event Rates", "Receive Rate")]) == ["[]"]
+
+
+def test_retry_rule_sees_the_rate_to_the_windows_edges(spark):
+    """1.05 retries a second, scraped every 30 s: the span of the samples alone gives
+    0.945, which would never reach the rule's threshold of 1."""
+    rows = [(m / 2, al.M_RETRY, {}, 1000 + 31.5 * m) for m in range(0, 60)]
+    out = al.alert_rules(samples(spark, rows), "30s").where(F.col("alertname") == "HighRetryRate")
+    states = {r.t: r.state for r in out.collect()}
+    assert states[T0 + dt.timedelta(minutes=10)] == "pending"
+    assert states[T0 + dt.timedelta(minutes=28)] == "firing"

@@ -1,6 +1,7 @@
 """Time-series edge cases on literal samples."""
 
 import datetime as dt
+import random
 
 import pytest
 
@@ -33,6 +34,56 @@ def test_rate_needs_two_samples(spark):
     assert ts.rate_samples(df, ["series"], "5m", "1m").count() == 0
 
 
+def by_the_book(rows, window, step):
+    """The stretched increase step by step, from all samples of each window."""
+    out = {}
+    for s in {r[0] for r in rows}:
+        mine = {}
+        for _, sec, v in (r for r in rows if r[0] == s and r[2] is not None):
+            mine[sec] = max(v, mine.get(sec, v))
+        mine = sorted(mine.items())
+        for t in range(0, 3 * 86_400, step):
+            win = [(a, v) for a, v in mine if t - window < a <= t]
+            if len(win) < 2:
+                continue
+            inc = sum(v - u if v >= u else v for (_, u), (_, v) in zip(win, win[1:]))
+            span = win[-1][0] - win[0][0]
+            mean = span / (len(win) - 1)
+            gaps = [win[0][0] - (t - window), t - win[-1][0]]
+            start, end = (mean / 2 if g >= 1.1 * mean else g for g in gaps)
+            if inc > 0 and win[0][1] >= 0:
+                start = min(start, span * win[0][1] / inc)
+            out[s, t] = (inc, inc * (span + start + end) / span)
+    return out
+
+
+@pytest.mark.parametrize("window,step", [(300, 60), (300, 30), (3600, 3600), (5400, 60)])
+def test_windows_of_samples_by_the_book(spark, window, step):
+    """Regular and irregular scrapes, resets, gaps, repeated times, absent values and
+    windows across the chunks' borders at midnight."""
+    rnd = random.Random(7)
+    rows = [("even", 86_000 + 30 * i, float(i % 17)) for i in range(60)]
+    rows += [("odd", rnd.randrange(80_000, 180_000), float(rnd.randrange(50))) for _ in range(250)]
+    rows += [r for r in rows[60:70]] + [("odd", rows[80][1], 99.0), ("odd", 90_000, None), ("one", 500, 3.0)]
+    df = spark.createDataFrame([(s, T0 + dt.timedelta(seconds=x), v) for s, x, v in rows],
+                               "series string, t timestamp, value double")
+    want = by_the_book(rows, window, step)
+    assert want
+    for extrapolate in (False, True):
+        got = {(r.series, int((r.t - T0).total_seconds())): r.value for r in ts.increase_samples(
+            df, ["series"], f"{window}s", f"{step}s", extrapolate=extrapolate).collect()}
+        assert got.keys() == want.keys()
+        for k, v in got.items():
+            assert v == pytest.approx(want[k][extrapolate], abs=1e-9)
+
+
+def test_windows_of_samples_shuffle_once(spark):
+    df = samples(spark, [("a", m, m) for m in range(10)]).repartition(3)
+    plan = ts.rate_samples(df, ["series"], "5m", "1m", extrapolate=True) \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_missing_steps_reset_alert(spark):
     cond = samples(spark, [("a", m, 1) for m in (0, 1, 2, 3, 5, 6)])
     out = {r.t: r.state for r in ts.alert(cond, "3m", "1m", ["series"]).collect()}
