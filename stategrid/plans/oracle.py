@@ -143,6 +143,38 @@ ORACLE["state_changes"] = with_frames("SELECT * FROM chg")
 ORACLE["state_changes_from_text"] = with_frames(
     "SELECT * REPLACE (CAST(json(attributes) AS VARCHAR) AS attributes) FROM chg")
 ORACLE["rejects"] = with_frames("SELECT event_id AS seq, reason FROM rs WHERE reason IS NOT NULL")
+# Each damage of the fixture, with the rules that come before the one it breaks.
+ORACLE["rejects_all_reasons"] = with_frames("""
+, dm AS (SELECT event_id AS seq, CASE event_id % 13
+    WHEN 1 THEN 'bad_frame'
+    WHEN 2 THEN CASE WHEN removed AND old_raw IS NULL THEN reason ELSE 'bad_frame' END
+    WHEN 9 THEN CASE WHEN removed AND old_raw IS NULL THEN reason ELSE 'bad_frame' END
+    WHEN 3 THEN 'unknown_type' WHEN 4 THEN 'not_event' WHEN 5 THEN 'no_id'
+    WHEN 6 THEN CASE WHEN reason IN ('event_type', 'no_new_state') THEN reason ELSE 'no_entity_id' END
+    WHEN 7 THEN CASE WHEN reason IN ('event_type', 'no_new_state', 'no_old_state', 'skipped_state')
+                     THEN reason ELSE 'bad_domain' END
+    WHEN 8 THEN CASE WHEN reason IN ('event_type', 'no_new_state', 'no_old_state') THEN reason
+                     WHEN split_part(entity, '.', 1) IN ('counter', 'input_number', 'input_datetime')
+                     THEN 'cast_failed' END
+    ELSE reason END AS reason FROM rs)
+SELECT seq, reason FROM dm WHERE reason IS NOT NULL""".replace("\n, dm", ", dm", 1))
+ORACLE["read_states"] = with_frames("""
+, sn AS (SELECT *, event_id // 20 AS n FROM base)
+SELECT n + 1 AS id, CAST(row_number() OVER (PARTITION BY n ORDER BY event_id) - 1 AS INTEGER) AS pos,
+  entity AS entity_id, new_raw AS state, CAST(json(props) AS VARCHAR) AS attributes,
+  date_trunc('millisecond', ts) AS last_updated,
+  CASE WHEN event_id % 2 = 0 THEN date_trunc('millisecond', ts) END AS last_reported,
+  CAST(NULL AS VARCHAR) AS code, CAST(NULL AS VARCHAR) AS message
+FROM sn WHERE n % 7 <> 3
+UNION ALL
+SELECT DISTINCT n + 1, NULL, NULL, NULL, NULL, NULL, NULL, 'busy_' || (n % 3),
+  'snapshot ' || n || ' refused' FROM sn WHERE n % 7 = 3""".replace("\n, sn", ", sn", 1))
+ORACLE["require_supported_event"] = with_frames(
+    "SELECT event_id AS seq, event_id + 1 AS id FROM rs WHERE ha_type = 'state_changed'")
+ORACLE["fill_defaults"] = with_frames("SELECT seq, last_reported, true AS received FROM chg")
+ORACLE["split_by_key"] = with_frames(
+    "SELECT event_id AS seq, CASE WHEN NOT removed THEN split_part(entity, '.', 1) END AS key, "
+    "CASE WHEN removed THEN 'no_key' END AS reason FROM rs")
 ORACLE["select_events"] = with_frames(
     "SELECT event_id AS seq, event_id + 1 AS id, entity AS entity_id FROM rs "
     "WHERE ha_type = 'state_changed'")
@@ -386,6 +418,10 @@ SELECT event_type, {_tstamp('t_sec')} AS t,
   CASE WHEN t_sec - since >= {3 * H} THEN 'firing' ELSE 'pending' END AS state,
   {_tstamp('since')} AS active_since FROM j"""
 
+ORACLE["value_text"] = """
+SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'Disconnected' WHEN 1 THEN 'Connected' END AS text
+FROM events"""
+
 ORACLE["time_range"] = """
 SELECT event_id, ts FROM events
 WHERE epoch_us(ts) > (SELECT max(epoch_us(ts)) FROM events) - 21600000000"""
@@ -414,6 +450,12 @@ ORACLE["batch_counters"] = with_frames("""
 sz AS (SELECT domain, b, count(*) AS n FROM bb GROUP BY ALL)
 SELECT domain, count(*) AS batches, sum(n) AS rows, min(n) AS min_size, max(n) AS max_size
 FROM sz GROUP BY domain""".replace("\n, bb AS", ", bb AS", 1))
+ORACLE["check_destination"] = with_frames("""
+, bb AS (SELECT domain, seq, CAST((row_number() OVER (PARTITION BY domain ORDER BY last_updated, seq) - 1)
+           // 100 AS BIGINT) AS batch_no FROM chg),
+cd AS (SELECT batch_no, count(DISTINCT domain) AS tables,
+         count(*) FILTER (WHERE seq % 1000 = 0) AS foreign_rows FROM bb GROUP BY batch_no)
+SELECT * FROM cd WHERE tables <> 1 OR foreign_rows > 0""".replace("\n, bb", ", bb", 1))
 # Anchored wait batches: each batch opens at the first row at or after the
 # previous open + 2 h (recursive), rows take the latest open at or before them.
 ORACLE["batch_by_wait"] = """
@@ -473,3 +515,23 @@ ORACLE["stream_counters"] = with_frames("""
 SELECT 'events_received_total' AS metric, count(*) AS value FROM rs
 UNION ALL SELECT 'events_filtered_total', count(*) FILTER (WHERE reason = 'event_type') FROM rs
 UNION ALL SELECT 'events_processed_total', count(*) FILTER (WHERE reason IS NULL) FROM rs""")
+
+
+def _rfc(c: str) -> str:
+    return (f"regexp_replace(regexp_replace(strftime({c}, '%Y-%m-%dT%H:%M:%S.%f'), '0+$', ''), "
+            "'\\.$', '') || 'Z'")
+
+
+def _wire(raw: str, text: str) -> str:
+    return (f"CASE WHEN grp = 'bool' THEN CAST(coalesce({raw} IN ('on', 'true'), false) AS VARCHAR) "
+            f"ELSE CAST(to_json({text}) AS VARCHAR) END")
+
+
+ORACLE["json_rows"] = with_frames(
+    "SELECT event_id AS seq, '{\"entity_id\":' || CAST(to_json(entity) AS VARCHAR) || "
+    f"',\"state\":' || {_wire('new_raw', 'new_raw')} || ',\"old_state\":' || {_wire('old_raw', 'old_txt')} "
+    "|| ',\"attributes\":' || props || ',\"context\":' || CAST(json_object('id', CAST(event_id AS "
+    "VARCHAR), 'parent_id', NULL, 'user_id', NULL) AS VARCHAR) "
+    f"|| ',\"last_changed\":\"' || {_rfc('ts')} || '\",\"last_updated\":\"' || {_rfc('ts')} || '\"' "
+    f"|| CASE WHEN event_id % 2 = 0 THEN ',\"last_reported\":\"' || {_rfc('ts')} || '\"' ELSE '' END "
+    "|| '}' AS value FROM rs WHERE reason IS NULL")

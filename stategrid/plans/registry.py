@@ -17,10 +17,10 @@ from stategrid.functions.values import (
     normalize_bool, parse_ts, read_loose_json, state_type,
 )
 from stategrid.operators import states as st
-from stategrid.session import checkpoint_dir, ensure_utc
+from stategrid.session import checkpoint_dir, ensure_utc, scratch_folder
 from stategrid.sources import fixture
 from stategrid.sources.frames import (
-    decode_frames, latest_states, require_frame_id, select_events,
+    decode_frames, latest_states, read_frames, read_states, require_frame_id, select_events,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,6 +77,49 @@ def q_rejects(spark, sf_dir):
     return st.rejects(frames(spark, sf_dir)).select("seq", "reason")
 
 
+@register("rejects_all_reasons")
+def q_rejects_all_reasons(spark, sf_dir):
+    """Rejects of damaged frames: all eleven reasons, through ``decode_frames``."""
+    text = fixture.damaged_frame_text(table(spark, sf_dir, "events"))
+    return st.rejects(decode_frames(text)).select("seq", "reason")
+
+
+@register("read_states")
+def q_read_states(spark, sf_dir):
+    """Snapshot frames written as text files and read back: the states of the
+    frames that succeeded, the codes of those that failed."""
+    path = scratch_folder(spark, "snapshots")
+    fixture.snapshot_frame_text(table(spark, sf_dir, "events")).write.text(path)
+    states, failures = read_states(decode_frames(read_frames(spark, path)))
+    return for_driver(states.select(
+        "id", "pos", "entity_id", "state", "attributes", "last_updated", "last_reported")
+        .unionByName(failures, allowMissingColumns=True))
+
+
+@register("require_supported_event")
+def q_require_supported_event(spark, sf_dir):
+    return st.require_supported_event(frames(spark, sf_dir)).select("seq", "id")
+
+
+@register("fill_defaults")
+def q_fill_defaults(spark, sf_dir):
+    """Absent report times filled; the time of receipt as a whole millisecond that has passed."""
+    c = st.fill_defaults(st.state_changes(frames(spark, sf_dir), absent_ts="null"))
+    at = F.col("received_at")
+    return for_driver(c.select("seq", "last_reported", (
+        (at <= F.current_timestamp()) & (at == F.date_trunc("millisecond", at))).alias("received")))
+
+
+@register("split_by_key")
+def q_split_by_key(spark, sf_dir):
+    """Frames with a domain to route them by, and those without one as errors."""
+    keyed, errors = bt.split_by_key(
+        frames(spark, sf_dir).select("seq", st.new_state().entity_id.alias("entity_id")),
+        entity_domain(F.col("entity_id")))
+    return (keyed.select("seq", F.col("_key").alias("key"))
+            .unionByName(errors.select("seq", "reason"), allowMissingColumns=True))
+
+
 @register("select_events")
 def q_select_events(spark, sf_dir):
     f = require_frame_id(select_events(frames(spark, sf_dir), "state_changed"))
@@ -332,6 +375,11 @@ def q_band(spark, sf_dir):
     return for_driver(share.select("t", "value", ts.band("value").alias("band")))
 
 
+@register("value_text")
+def q_value_text(spark, sf_dir):
+    return events(spark, sf_dir).select("event_id", ts.value_text(F.pmod("event_id", F.lit(3))).alias("text"))
+
+
 @register("time_range")
 def q_time_range(spark, sf_dir):
     return for_driver(ts.time_range(events(spark, sf_dir), "ts", "6h")
@@ -420,6 +468,15 @@ def q_batch_counters(spark, sf_dir):
     return ct.batch_counters(count_batches(spark, sf_dir), ["domain"], "batch_no")
 
 
+@register("check_destination")
+def q_check_destination(spark, sf_dir):
+    """Batches named by their number alone mix domains, and one row in a thousand
+    is of another database: both are reported."""
+    moved = F.when(F.pmod("seq", F.lit(1000)) == 0, "other").otherwise(F.col("database"))
+    batches = count_batches(spark, sf_dir).withColumn("database", moved)
+    return st.check_destination(batches, "home", ["batch_no"])
+
+
 @register("batch_by_wait")
 def q_batch_by_wait(spark, sf_dir):
     b = bt.batch_by_wait(events(spark, sf_dir), "event_type", "ts", BATCH_WAIT, ["ts", "event_id"])
@@ -440,7 +497,6 @@ STREAM_PARTS, STREAM_JITTER = 4, 86_400
 def q_batch_stream(spark, sf_dir):
     """``batch_rows`` as a drained stream: the events arrive in four micro-batches,
     each out of order and up to a day early; rows of the stream and of its drain."""
-    from stategrid.session import scratch_folder
     from stategrid.streaming.batcher import OUTPUT, batch_stream, drain
     ev = events(spark, sf_dir)
     at = F.unix_seconds(F.col("ts").cast("timestamp"))
@@ -472,7 +528,6 @@ STREAM_STEP = "30s"
 def ingested(spark, sf_dir):
     """The store's root after a drained ``stream_changes`` over the frames, and
     its database. The frames arrive in ``INGEST_FILES`` folders of text files."""
-    from stategrid.session import scratch_folder
     from stategrid.streaming.pipeline import stream_changes
     text = fixture.event_frame_text(table(spark, sf_dir, "events"))
     src, root, ckpt = (scratch_folder(spark, n) for n in ("frames", "store", "ingest-state"))

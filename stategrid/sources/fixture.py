@@ -120,6 +120,53 @@ def event_frame_text(events: DataFrame) -> DataFrame:
         ).alias("event"))).alias("raw"))
 
 
+def damaged_frame_text(events: DataFrame) -> DataFrame:
+    """``event_frame_text`` with nine of thirteen frames damaged by event_id, so
+    that every reject reason occurs: cut short (1), a time that is none (2), an
+    unknown type (3), another type (4), id 0 (5), no entity in the data (6), a
+    domain that is no name (7), states that are no numbers (8), states that are
+    no text (9)."""
+    raw = F.col("raw")
+    damage = {
+        1: F.substring(raw, 1, 40),
+        2: F.regexp_replace(raw, r'"last_updated":"[^"]*"', '"last_updated":"yesterday"'),
+        3: F.regexp_replace(raw, r'^\{"type":"event"', '{"type":"surprise"'),
+        4: F.regexp_replace(raw, r'^\{"type":"event"', '{"type":"auth_ok"'),
+        5: F.regexp_replace(raw, r'^\{"type":"event","id":[0-9]+', '{"type":"event","id":0'),
+        6: F.regexp_replace(raw, r'"data":\{"entity_id":"[^"]*"', '"data":{"entity_id":""'),
+        7: F.regexp_replace(raw, r'"entity_id":"[a-z_]+\.', '"entity_id":"Bad-Domain.'),
+        8: F.regexp_replace(raw, r'"state":"[^"]*"', '"state":"12x"'),
+        9: F.regexp_replace(raw, r'"state":"[^"]*"', '"state":7'),
+    }
+    out = raw
+    for k, text in damage.items():
+        out = F.when(F.pmod("seq", F.lit(13)) == k, text).otherwise(out)
+    return event_frame_text(events).select("seq", out.alias("raw"))
+
+
+SNAPSHOT_STATES = 20
+
+
+def snapshot_frame_text(events: DataFrame) -> DataFrame:
+    """Result frames as JSON text (column ``raw``): a snapshot of the states of
+    every ``SNAPSHOT_STATES`` events by id, of which one in seven failed."""
+    ts_text = rfc3339_text(F.col("ts"))
+    state = F.struct(
+        "event_id", F.expr(_ENTITY_SQL).alias("entity_id"), F.expr(_NEW_RAW_SQL).alias("state"),
+        F.parse_json("props").alias("attributes"), ts_text.alias("last_changed"),
+        ts_text.alias("last_updated"), F.when(F.col("event_id") % 2 == 0, ts_text).alias("last_reported"),
+        F.struct(F.col("event_id").cast("string").alias("id")).alias("context"))
+    one = events.select(F.floor(F.col("event_id") / F.lit(SNAPSHOT_STATES)).alias("n"),
+                        "event_id", F.to_json(state).alias("state"))
+    frames = one.groupBy("n").agg(F.array_sort(F.collect_list(F.struct("event_id", "state"))).alias("_s"))
+    head = F.concat(F.lit('{"id":'), (F.col("n") + 1).cast("string"), F.lit(',"type":"result","success":'))
+    whole = F.concat(head, F.lit('true,"result":['),
+                     F.concat_ws(",", F.transform("_s", lambda x: x.state)), F.lit("]}"))
+    failed = F.concat(head, F.lit('false,"error":{"code":"busy_'), (F.col("n") % 3).cast("string"),
+                      F.lit('","message":"snapshot '), F.col("n").cast("string"), F.lit(' refused"}}'))
+    return frames.select(F.when(F.col("n") % 7 == 3, failed).otherwise(whole).alias("raw"))
+
+
 def _json_state(path: str) -> Column:
     s = F.col(path)
     # attributes are JSON text in the frame; embed them as JSON, not as a string.
