@@ -535,3 +535,39 @@ ORACLE["json_rows"] = with_frames(
     f"|| ',\"last_changed\":\"' || {_rfc('ts')} || '\",\"last_updated\":\"' || {_rfc('ts')} || '\"' "
     f"|| CASE WHEN event_id % 2 = 0 THEN ',\"last_reported\":\"' || {_rfc('ts')} || '\"' ELSE '' END "
     "|| '}' AS value FROM rs WHERE reason IS NULL")
+
+
+# -- the pipeline's own metrics -------------------------------------------------------
+# Every counted happening as (time, metric, labels); batches are the chains of events
+# 1 s or 100,000 rows apart per domain. A counter has a sample at every 30 s step from
+# its first to its last happening.
+_SIZES = [10 + 100 * i for i in range(10)]
+_S = 30
+ORACLE["pipeline_metrics"] = with_frames(f"""
+, r AS (SELECT split_part(entity, '.', 1) AS d, date_trunc('millisecond', ts) AS ts, event_id, ts AS fired,
+         row_number() OVER (PARTITION BY split_part(entity, '.', 1) ORDER BY ts, event_id) AS pos
+       FROM rs WHERE ha_type = 'state_changed' AND NOT removed),
+firsts AS (SELECT d, ts, min(pos) AS pos FROM r GROUP BY ALL),
+n AS (SELECT r.d, r.pos, r.ts, least(r.pos + 100000, coalesce(x.pos, r.pos + 100000)) AS nxt
+      FROM r ASOF LEFT JOIN firsts x ON r.d = x.d AND r.ts + INTERVAL 1 SECOND <= x.ts),
+opens(d, pos, t, nxt) AS (
+  SELECT d, pos, ts, nxt FROM n WHERE pos = 1
+  UNION ALL
+  SELECT n.d, n.pos, n.ts, n.nxt FROM opens o JOIN n ON n.d = o.d AND n.pos = o.nxt),
+bt AS (SELECT t, least(nxt, (SELECT max(pos) + 1 FROM r WHERE r.d = opens.d)) - pos AS size FROM opens),
+hp AS (
+  SELECT date_trunc('millisecond', ts) AS t, 'ingest_events_received_total' AS metric, '[]' AS labels FROM rs
+  UNION ALL SELECT date_trunc('millisecond', ts), 'ingest_events_filtered_total', '[]' FROM rs
+    WHERE reason = 'event_type'
+  UNION ALL SELECT date_trunc('millisecond', ts), 'ingest_events_processed_total', '[]' FROM rs
+    WHERE reason IS NULL
+  UNION ALL SELECT t, 'ingest_batches_processed_total', '[]' FROM bt
+  UNION ALL SELECT t, 'ingest_database_operations_total',
+    '[{{"key":"operation","value":"insert"}},{{"key":"status","value":"success"}}]' FROM bt
+  UNION ALL SELECT t, 'ingest_batch_size_bucket', '[{{"key":"le","value":"' || le || '"}}]'
+    FROM bt, (SELECT unnest({_SIZES}) AS b, unnest({[str(b) for b in _SIZES]}) AS le) WHERE size <= b
+  UNION ALL SELECT t, 'ingest_batch_size_bucket', '[{{"key":"le","value":"+Inf"}}]' FROM bt)
+SELECT metric, labels, (max({_step('t', _S)}) - min({_step('t', _S)})) // {_S} + 1 AS samples,
+  {_tstamp(f"min({_step('t', _S)})")} AS first_ts, {_tstamp(f"max({_step('t', _S)})")} AS last_ts,
+  CAST(count(*) AS DOUBLE) AS last_value
+FROM hp GROUP BY metric, labels""".replace("\n, r AS", ", r AS", 1)).replace("WITH base", "WITH RECURSIVE base", 1)

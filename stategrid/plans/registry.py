@@ -574,10 +574,8 @@ def q_stream_counters(spark, sf_dir):
 
 from stategrid.plans import alerts as al  # noqa: E402
 
-# The deployment scrapes every 30 s; the registered queries use 1 min, the
-# coarsest step that still leaves two samples in each 5 min rate window
-# (the fixture spans 30 days, so the step sets the size of every series).
-SCRAPE = "1m"
+# Fixed value: the deployment's scrape interval.
+SCRAPE = "30s"
 
 
 def pipeline_samples(spark, sf_dir):
