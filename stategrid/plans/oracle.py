@@ -295,37 +295,38 @@ SELECT {_tstamp('t_sec')} AS t, value FROM samp WHERE event_type = 'click'"""
 
 
 
-def _extrapolated(samp: str, per_second: bool) -> str:
-    """Per step, the samples of its window by a plain join; resets by looking at
-    each sample's predecessor of the same window; then the stretch to the edges."""
+def _stretched(key: str, samp: str, window: int, step: int, p: str = "") -> str:
+    """CTEs whose last, ``{p}ex``, holds per step the increase ``x`` of the samples
+    (key, us, value): the samples of its window by a plain join, resets by each
+    sample's predecessor in the same window, then the stretch to the edges."""
+    w, s = window * 1_000_000, step * 1_000_000
     return f"""
-sm AS (SELECT event_type, us, max(value) AS v FROM ({samp}) WHERE value IS NOT NULL GROUP BY ALL),
-pv AS (SELECT *, lag(us) OVER w AS pus, lag(v) OVER w AS pvl FROM sm
-       WINDOW w AS (PARTITION BY event_type ORDER BY us)),
-st AS (SELECT event_type, us, v, pus, pvl,
-         (((us + {H * 1000000 - 1}) // {H * 1000000}) + k) * {H * 1000000} AS t
-       FROM pv, range(0, 6) r(k)),
-wn AS (SELECT event_type, t, count(*) AS n, min(us) AS f_us, max(us) AS l_us,
+{p}sm AS (SELECT {key}, us, max(value) AS v FROM ({samp}) WHERE value IS NOT NULL GROUP BY ALL),
+{p}pv AS (SELECT *, lag(us) OVER w AS pus, lag(v) OVER w AS pvl FROM {p}sm
+       WINDOW w AS (PARTITION BY {key} ORDER BY us)),
+{p}st AS (SELECT {key}, us, v, pus, pvl, (((us + {s - 1}) // {s}) + k) * {s} AS t
+       FROM {p}pv, range(0, {window // step}) r(k)),
+{p}wn AS (SELECT {key}, t, count(*) AS n, min(us) AS f_us, max(us) AS l_us,
          arg_min(v, us) AS f_v, arg_max(v, us) AS l_v,
-         coalesce(sum(pvl) FILTER (WHERE pus > t - {W6 * 1000000} AND v < pvl), 0.0) AS lost
-       FROM st WHERE us > t - {W6 * 1000000} GROUP BY ALL HAVING count(*) > 1),
-ic AS (SELECT *, l_v - f_v + lost AS inc, CAST(l_us - f_us AS DOUBLE) AS span,
+         coalesce(sum(pvl) FILTER (WHERE pus > t - {w} AND v < pvl), 0.0) AS lost
+       FROM {p}st WHERE us > t - {w} GROUP BY ALL HAVING count(*) > 1),
+{p}ic AS (SELECT *, l_v - f_v + lost AS inc, CAST(l_us - f_us AS DOUBLE) AS span,
          (l_us - f_us) / (n - 1) AS gap,
-         CAST(f_us - (t - {W6 * 1000000}) AS DOUBLE) AS at_start, CAST(t - l_us AS DOUBLE) AS at_end
-       FROM wn),
-ed AS (SELECT *, CASE WHEN at_start >= gap * CAST(1.1 AS DOUBLE) THEN gap / 2 ELSE at_start END AS s0,
-         CASE WHEN at_end >= gap * CAST(1.1 AS DOUBLE) THEN gap / 2 ELSE at_end END AS e0 FROM ic)
-SELECT event_type, make_timestamp(t) AS t,
-  inc * ((span + CASE WHEN inc > 0 AND f_v >= 0 AND span * (f_v / inc) < s0
-                      THEN span * (f_v / inc) ELSE s0 END + e0) / span)
-  {f'/ {float(W6)}' if per_second else ''} AS value
-FROM ed"""
-
-
-ORACLE["rate_extrapolated"] = "WITH " + SAMPLES_CTE.strip() + "," + _extrapolated(
-    "SELECT event_type, t_sec * 1000000 AS us, value FROM samp", True)
-ORACLE["increase_extrapolated"] = "WITH " + _extrapolated(
-    "SELECT event_type, epoch_us(ts) AS us, floor(value) AS value FROM events", False).strip()
+         CAST(f_us - (t - {w}) AS DOUBLE) AS at_start, CAST(t - l_us AS DOUBLE) AS at_end
+       FROM {p}wn),
+{p}ed AS (SELECT *, CASE WHEN at_start >= gap * CAST(1.1 AS DOUBLE) THEN gap / 2 ELSE at_start END AS s0,
+         CASE WHEN at_end >= gap * CAST(1.1 AS DOUBLE) THEN gap / 2 ELSE at_end END AS e0 FROM {p}ic),
+{p}ex AS (SELECT {key}, t, inc * ((span + CASE WHEN inc > 0 AND f_v >= 0 AND span * (f_v / inc) < s0
+                      THEN span * (f_v / inc) ELSE s0 END + e0) / span) AS x FROM {p}ed)"""
+
+
+ORACLE["rate_extrapolated"] = "WITH " + SAMPLES_CTE.strip() + "," + _stretched(
+    "event_type", "SELECT event_type, t_sec * 1000000 AS us, value FROM samp", W6, H) + f"""
+SELECT event_type, make_timestamp(t) AS t, x / {float(W6)} AS value FROM ex"""
+ORACLE["increase_extrapolated"] = "WITH " + _stretched(
+    "event_type", "SELECT event_type, epoch_us(ts) AS us, floor(value) AS value FROM events",
+    W6, H).strip() + """
+SELECT event_type, make_timestamp(t) AS t, x AS value FROM ex"""
 
 _BOUNDS = [10.0 + 100.0 * i for i in range(10)]
 
@@ -543,7 +544,7 @@ ORACLE["json_rows"] = with_frames(
 # its first to its last happening.
 _SIZES = [10 + 100 * i for i in range(10)]
 _S = 30
-ORACLE["pipeline_metrics"] = with_frames(f"""
+_HAPPENINGS = with_frames(f"""
 , r AS (SELECT split_part(entity, '.', 1) AS d, date_trunc('millisecond', ts) AS ts, event_id, ts AS fired,
          row_number() OVER (PARTITION BY split_part(entity, '.', 1) ORDER BY ts, event_id) AS pos
        FROM rs WHERE ha_type = 'state_changed' AND NOT removed),
@@ -566,8 +567,80 @@ hp AS (
     '[{{"key":"operation","value":"insert"}},{{"key":"status","value":"success"}}]' FROM bt
   UNION ALL SELECT t, 'ingest_batch_size_bucket', '[{{"key":"le","value":"' || le || '"}}]'
     FROM bt, (SELECT unnest({_SIZES}) AS b, unnest({[str(b) for b in _SIZES]}) AS le) WHERE size <= b
-  UNION ALL SELECT t, 'ingest_batch_size_bucket', '[{{"key":"le","value":"+Inf"}}]' FROM bt)
+  UNION ALL SELECT t, 'ingest_batch_size_bucket', '[{{"key":"le","value":"+Inf"}}]' FROM bt)""".replace("\n, r AS", ", r AS", 1)).replace("WITH base", "WITH RECURSIVE base", 1)
+ORACLE["pipeline_metrics"] = _HAPPENINGS + f"""
 SELECT metric, labels, (max({_step('t', _S)}) - min({_step('t', _S)})) // {_S} + 1 AS samples,
   {_tstamp(f"min({_step('t', _S)})")} AS first_ts, {_tstamp(f"max({_step('t', _S)})")} AS last_ts,
   CAST(count(*) AS DOUBLE) AS last_value
-FROM hp GROUP BY metric, labels""".replace("\n, r AS", ", r AS", 1)).replace("WITH base", "WITH RECURSIVE base", 1)
+FROM hp GROUP BY metric, labels"""
+
+# The counters' samples every 30 s, and their rates. Of the rules, two can be active in
+# a run that reads and writes without a fault: no events, and a large filtered share.
+_RATES = _HAPPENINGS + f""",
+pb AS (SELECT metric, labels, {_step('t', _S)} AS t, count(*) AS n FROM hp GROUP BY ALL),
+pg AS (SELECT metric, labels, unnest(range(lo, hi + {_S}, {_S})) AS t
+       FROM (SELECT metric, labels, min(t) AS lo, max(t) AS hi FROM pb GROUP BY ALL)),
+ps AS (SELECT metric || labels AS id, t * 1000000 AS us, CAST(sum(coalesce(n, 0)) OVER (
+         PARTITION BY metric, labels ORDER BY t) AS DOUBLE) AS value
+       FROM pg LEFT JOIN pb USING (metric, labels, t)),""" + _stretched(
+    "id", "SELECT * FROM ps", 300, _S)
+_RATE = {k: f"(SELECT t, x / 300.0 AS v FROM ex WHERE id = 'ingest_events_{k}_total[]')"
+         for k in ("received", "filtered", "processed")}
+
+
+def _alert(name: str, severity: str, hold: int, active: str) -> str:
+    """Rows of a rule, given the steps (t, microseconds) at which it holds true."""
+    s = _S * 1_000_000
+    return f"""SELECT '{name}' AS alertname, '{severity}' AS severity, '[]' AS sk, make_timestamp(t) AS t,
+  CASE WHEN t - since >= {hold * 1_000_000} THEN 'firing' ELSE 'pending' END AS state,
+  make_timestamp(since) AS active_since
+FROM (SELECT t, min(t) OVER (PARTITION BY island) AS since FROM (
+  SELECT t, t // {s} - row_number() OVER (ORDER BY t) AS island FROM ({active})))"""
+
+
+ORACLE["alert_rules"] = _RATES + "," + _stretched(
+    "id", "SELECT * FROM ps WHERE id = 'ingest_events_received_total[]'", 1800, _S, "q") + f"""
+{_alert('NoEventsReceived', 'warning', 1800, 'SELECT t FROM qex WHERE x / 1800.0 = 0')}
+UNION ALL
+{_alert('HighEventFilterRate', 'warning', 900, f"SELECT t FROM {_RATE['filtered']} f JOIN "
+        f"{_RATE['received']} r USING (t) WHERE r.v <> 0 AND f.v / r.v > 0.5")}"""
+
+
+def _panel(panel: str, series: str, rows: str, sk: str = "[]") -> str:
+    return (f"SELECT '{panel}' AS panel, '{series}' AS series, '{sk}' AS sk, make_timestamp(t) AS t, "
+            f"v AS value FROM ({rows})")
+
+
+def _size_quantile(q: float) -> str:
+    """The first bucket that reaches the rank, cut linearly; no batches: NULL."""
+    return f"""
+SELECT t, CASE WHEN any_value(total) > 0 THEN arg_min(CASE WHEN le = 'inf'::DOUBLE THEN finite
+    ELSE ple + (le - ple) * (CASE WHEN c > pc THEN ({q} * total - pc) / (c - pc) ELSE 0.0 END) END, le)
+    FILTER (WHERE c >= {q} * total) END AS v
+FROM (SELECT t, le, c, coalesce(lag(le) OVER w, 0.0) AS ple, coalesce(lag(c) OVER w, 0.0) AS pc,
+        max(c) FILTER (WHERE le = 'inf'::DOUBLE) OVER (PARTITION BY t) AS total,
+        max(le) FILTER (WHERE le <> 'inf'::DOUBLE) OVER (PARTITION BY t) AS finite
+      FROM sz WINDOW w AS (PARTITION BY t ORDER BY le))
+GROUP BY t"""
+
+
+#: Gauges, durations and retries have no samples in this run, so their panels are empty.
+ORACLE["panels"] = _RATES + """,
+sz AS (SELECT t, x / 300.0 AS c, CASE WHEN id LIKE '%"+Inf"%' THEN 'inf'::DOUBLE
+         ELSE CAST(regexp_extract(id, '"value":"([0-9]+)"', 1) AS DOUBLE) END AS le
+       FROM ex WHERE id LIKE 'ingest_batch_size_bucket%')
+""" + "\nUNION ALL ".join([
+    _panel("Event Rates", "Receive Rate", _RATE["received"]),
+    _panel("Event Rates", "Process Rate", f"SELECT t, r.v - f.v AS v FROM {_RATE['received']} r "
+           f"JOIN {_RATE['filtered']} f USING (t)"),
+    _panel("Event Rates", "Filter Rate", _RATE["filtered"]),
+    _panel("Event Processing Rate", "Events Received", _RATE["received"]),
+    _panel("Event Processing Rate", "Events Processed", _RATE["processed"]),
+    _panel("Batch Processing Rate", "Batches Processed",
+           "SELECT t, x / 300.0 AS v FROM ex WHERE id = 'ingest_batches_processed_total[]'"),
+    _panel("Batch Size", "Batch Size (p95)", _size_quantile(0.95)),
+    _panel("Batch Size", "Batch Size (p50)", _size_quantile(0.5)),
+    _panel("Database Operations", "insert - success",
+           "SELECT t, x / 300.0 AS v FROM ex WHERE id LIKE 'ingest_database_operations_total%'",
+           '[{"key":"operation","value":"insert"}]'),
+])
