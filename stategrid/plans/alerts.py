@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from stategrid.functions.values import parse_ts
 from stategrid.operators.counters import is_received
 from stategrid.operators import series as ts
+from stategrid.session import scratch_folder
 
 # ---------------------------------------------------------------------------
 # Metric names, buckets and alert rules of the source system.
@@ -133,11 +134,27 @@ def instant(samples: DataFrame, metric: str, step, lookback="5m", **labels) -> D
     return latest.select("sk", F.timestamp_seconds("t_sec").alias("t"), "_l.labels", "_l.value")
 
 
-def rate(samples: DataFrame, metric: str, window, step, **labels) -> DataFrame:
-    s = _sel(samples, metric, **labels)
-    r = ts.rate_samples(s.select("sk", "ts", "value"), ["sk"], window, step, ts="ts", extrapolate=True)
-    keys = s.select("sk", "labels").dropDuplicates(["sk"])
-    return r.join(keys, "sk")
+_RATE_SCHEMA = "metric string, labels map<string,string>, sk string, t timestamp, value double"
+
+
+def rates(samples: DataFrame, metrics: Sequence[str], window, step) -> DataFrame:
+    """Rates of all series of some counters, ``metric, labels, sk, t, value``:
+    computed once and written by metric, so that each rule or panel reads only
+    its counters' part. The labels are read back from the series' key."""
+    spark = samples.sparkSession
+    s = samples.where(F.col("metric").isin(*metrics)).select(
+        "metric", "ts", "value", series_key(F.col("labels")).alias("sk"))
+    r = ts.rate_samples(s, ["metric", "sk"], window, step, ts="ts", extrapolate=True)
+    path = scratch_folder(spark, "rates")
+    r.select("metric", F.map_from_entries(F.from_json(
+        "sk", "array<struct<key:string,value:string>>")).alias("labels"), "sk", "t", "value") \
+        .write.partitionBy("metric").parquet(path)
+    return spark.read.schema(_RATE_SCHEMA).parquet(path)
+
+
+def rate(table: DataFrame, metric: str, **labels) -> DataFrame:
+    """The rates of one counter's series, from a table of ``rates``."""
+    return ts.select_series(table, metric, **labels).select("sk", "t", "labels", "value")
 
 
 def total(df: DataFrame) -> DataFrame:
@@ -145,19 +162,19 @@ def total(df: DataFrame) -> DataFrame:
     return df.groupBy("t").agg(F.sum("value").alias("value")).withColumn("sk", F.lit("[]"))
 
 
-def quantile_of_rates(samples: DataFrame, metric: str, q: float, window, step, **labels) -> DataFrame:
+def quantile_of_rates(table: DataFrame, metric: str, q: float, **labels) -> DataFrame:
     """histogram_quantile(q, rate(metric_bucket[w])) per series (labels but le)."""
-    r = rate(samples, metric + "_bucket", window, step, **labels)
+    r = rate(table, metric + "_bucket", **labels)
     le = F.when(F.col("labels")["le"] == "+Inf", F.lit(float("inf"))) \
           .otherwise(F.col("labels")["le"].cast("double"))
     h = r.select(series_key(F.col("labels"), ["le"]).alias("sk"), "t", le.alias("le"), "value")
     return ts.bucket_quantile(h, q, ["sk", "t"])
 
 
-def quantile_over_all(samples: DataFrame, metric: str, q: float, window, step, **labels) -> DataFrame:
+def quantile_over_all(table: DataFrame, metric: str, q: float, **labels) -> DataFrame:
     """histogram_quantile(q, sum by (le) (rate(metric_bucket[w]))): one histogram
     per step over all series."""
-    r = rate(samples, metric + "_bucket", window, step, **labels)
+    r = rate(table, metric + "_bucket", **labels)
     h = (r.groupBy("t", F.col("labels")["le"].alias("_le")).agg(F.sum("value").alias("value"))
           .select(F.lit("[]").alias("sk"), "t", "value",
                   F.when(F.col("_le") == "+Inf", F.lit(float("inf")))
@@ -175,6 +192,9 @@ def alert_rules(samples: DataFrame, step="30s", replicas: int = 1,
     """The ten alert rules: ``alertname, severity, sk (series), t, state,
     active_since`` for every step where a rule is pending or firing."""
     r = {name: (sev, hold, thr) for name, sev, hold, thr in RULES}
+    five = rates(samples, [M_FILTERED, M_RECEIVED, M_BATCH_DURATION + "_bucket", M_DB_OPS, M_RETRY,
+                           M_QUERY_DURATION + "_bucket", "container_cpu_usage_seconds_total"],
+                 "5m", step)
     out = []
 
     def add(name: str, cond: DataFrame):
@@ -188,22 +208,23 @@ def alert_rules(samples: DataFrame, step="30s", replicas: int = 1,
     down = ts.vector_or(ts.compare(instant(samples, M_SOURCE_UP, step), "==", 0.0),
                         ts.compare(instant(samples, M_STORE_UP, step), "==", 0.0), ["sk", "t"])
     add("ConnectionDown", down)
-    add("NoEventsReceived", ts.compare(rate(samples, M_RECEIVED, "30m", step), "==", 0.0))
-    share = ts.vector_binary(rate(samples, M_FILTERED, "5m", step).select("sk", "t", "value"),
-                             rate(samples, M_RECEIVED, "5m", step).select("sk", "t", "value"),
+    half_hour = rates(samples, [M_RECEIVED], "30m", step)
+    add("NoEventsReceived", ts.compare(rate(half_hour, M_RECEIVED), "==", 0.0))
+    share = ts.vector_binary(rate(five, M_FILTERED).select("sk", "t", "value"),
+                             rate(five, M_RECEIVED).select("sk", "t", "value"),
                              ["sk", "t"], "/")
     add("HighEventFilterRate", ts.compare(share, ">", r["HighEventFilterRate"][2]))
     add("SlowBatchProcessing", ts.compare(
-        quantile_of_rates(samples, M_BATCH_DURATION, 0.95, "5m", step), ">",
+        quantile_of_rates(five, M_BATCH_DURATION, 0.95), ">",
         r["SlowBatchProcessing"][2]))
     add("DatabaseErrors", ts.compare(
-        rate(samples, M_DB_OPS, "5m", step, status="error"), ">", 0.0))
-    add("HighRetryRate", ts.compare(rate(samples, M_RETRY, "5m", step), ">", 1.0))
+        rate(five, M_DB_OPS, status="error"), ">", 0.0))
+    add("HighRetryRate", ts.compare(rate(five, M_RETRY), ">", 1.0))
     add("SlowDatabaseQueries", ts.compare(
-        quantile_of_rates(samples, M_QUERY_DURATION, 0.95, "5m", step, query_type="insert"),
+        quantile_of_rates(five, M_QUERY_DURATION, 0.95, query_type="insert"),
         ">", 10.0))
     cpu = ts.vector_binary(
-        total(rate(samples, "container_cpu_usage_seconds_total", "5m", step, container=container)),
+        total(rate(five, "container_cpu_usage_seconds_total", container=container)),
         total(instant(samples, "kube_pod_container_resource_limits", step,
                       container=container, resource="cpu")), ["sk", "t"], "/")
     add("HighCPUUsage", ts.compare(cpu, ">", 0.8))
@@ -230,8 +251,11 @@ def panels(samples: DataFrame, step="30s") -> DataFrame:
                          F.concat(F.coalesce(F.col("labels")[fmt_label], F.lit("")), F.lit(suffix))
                          .alias("series"), "sk", "t", F.col("value").cast("double").alias("value"))
 
-    recv = total(rate(samples, M_RECEIVED, "5m", step))
-    filt = total(rate(samples, M_FILTERED, "5m", step))
+    five = rates(samples, [M_RECEIVED, M_FILTERED, M_PROCESSED, M_BATCHES, M_DB_OPS, M_RETRY, M_RETRY_OK,
+                           M_BATCH_DURATION + "_bucket", M_BATCH_SIZE + "_bucket",
+                           M_QUERY_DURATION + "_bucket"], "5m", step)
+    recv = total(rate(five, M_RECEIVED))
+    filt = total(rate(five, M_FILTERED))
     parts = [
         p("Connection Status", "Source Connection",
           max_by_service(instant(samples, M_SOURCE_UP, step))),
@@ -240,27 +264,27 @@ def panels(samples: DataFrame, step="30s") -> DataFrame:
         p("Event Rates", "Receive Rate", recv),
         p("Event Rates", "Process Rate", ts.vector_binary(recv, filt, ["sk", "t"], "-")),
         p("Event Rates", "Filter Rate", filt),
-        p("Event Processing Rate", "Events Received", rate(samples, M_RECEIVED, "5m", step)),
-        p("Event Processing Rate", "Events Processed", rate(samples, M_PROCESSED, "5m", step)),
-        p("Batch Processing Rate", "Batches Processed", rate(samples, M_BATCHES, "5m", step)),
+        p("Event Processing Rate", "Events Received", rate(five, M_RECEIVED)),
+        p("Event Processing Rate", "Events Processed", rate(five, M_PROCESSED)),
+        p("Batch Processing Rate", "Batches Processed", rate(five, M_BATCHES)),
         p("Batch Processing Duration", "Batch Processing (p95)",
-          quantile_over_all(samples, M_BATCH_DURATION, 0.95, "5m", step)),
+          quantile_over_all(five, M_BATCH_DURATION, 0.95)),
         p("Batch Processing Duration", "Batch Processing (p50)",
-          quantile_over_all(samples, M_BATCH_DURATION, 0.50, "5m", step)),
-        p("Batch Size", "Batch Size (p95)", quantile_over_all(samples, M_BATCH_SIZE, 0.95, "5m", step)),
-        p("Batch Size", "Batch Size (p50)", quantile_over_all(samples, M_BATCH_SIZE, 0.50, "5m", step)),
+          quantile_over_all(five, M_BATCH_DURATION, 0.50)),
+        p("Batch Size", "Batch Size (p95)", quantile_over_all(five, M_BATCH_SIZE, 0.95)),
+        p("Batch Size", "Batch Size (p50)", quantile_over_all(five, M_BATCH_SIZE, 0.50)),
         by_label("Database Operations", "operation", " - success",
-                 _by_label(rate(samples, M_DB_OPS, "5m", step, status="success"), "operation", F.sum("value"))),
+                 _by_label(rate(five, M_DB_OPS, status="success"), "operation", F.sum("value"))),
         by_label("Database Operations", "operation", " - error",
-                 _by_label(rate(samples, M_DB_OPS, "5m", step, status="error"), "operation", F.sum("value"))),
+                 _by_label(rate(five, M_DB_OPS, status="error"), "operation", F.sum("value"))),
         p("Database Query Duration", "Insert Queries (p95)",
-          quantile_over_all(samples, M_QUERY_DURATION, 0.95, "5m", step, query_type="insert")),
+          quantile_over_all(five, M_QUERY_DURATION, 0.95, query_type="insert")),
         p("Database Query Duration", "Insert Queries (p50)",
-          quantile_over_all(samples, M_QUERY_DURATION, 0.50, "5m", step, query_type="insert")),
+          quantile_over_all(five, M_QUERY_DURATION, 0.50, query_type="insert")),
         p("Store Query Duration", "Insert Query Duration (p95)",
-          quantile_over_all(samples, M_QUERY_DURATION, 0.95, "5m", step, query_type="insert")),
-        p("Retry Rate", "Retry Attempts", rate(samples, M_RETRY, "5m", step)),
-        p("Retry Rate", "Successful Retries", rate(samples, M_RETRY_OK, "5m", step)),
+          quantile_over_all(five, M_QUERY_DURATION, 0.95, query_type="insert")),
+        p("Retry Rate", "Retry Attempts", rate(five, M_RETRY)),
+        p("Retry Rate", "Successful Retries", rate(five, M_RETRY_OK)),
     ]
     inc_att = total(_increase(samples, M_RETRY, "1h", step))
     inc_ok = total(_increase(samples, M_RETRY_OK, "1h", step))
@@ -289,4 +313,4 @@ def _increase(samples: DataFrame, metric: str, window, step) -> DataFrame:
                                extrapolate=True)
 
 
-__all__ = ["pipeline_metrics", "alert_rules", "panels", "instant", "rate", "RULES"]
+__all__ = ["pipeline_metrics", "alert_rules", "panels", "instant", "rates", "rate", "RULES"]
