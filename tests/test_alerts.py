@@ -99,3 +99,38 @@ def test_retry_rule_sees_the_rate_to_the_windows_edges(spark):
     states = {r.t: r.state for r in out.collect()}
     assert states[T0 + dt.timedelta(minutes=10)] == "pending"
     assert states[T0 + dt.timedelta(minutes=28)] == "firing"
+
+
+def test_errors_durations_and_resources(spark):
+    """The rules on errors, slow batches, slow inserts, CPU and memory, at rates and
+    shares beyond their thresholds; other query types and containers do not count."""
+    rows = []
+    for m in range(0, 41):
+        rows.append((m, al.M_DB_OPS, {"operation": "insert", "status": "error"}, 2 * m))
+        rows.append((m, al.M_DB_OPS, {"operation": "insert", "status": "success"}, 90 * m))
+        for metric, labels, low, high in (
+                (al.M_BATCH_DURATION, {}, "5", "10"),
+                (al.M_QUERY_DURATION, {"query_type": "insert"}, "10", "20"),
+                (al.M_QUERY_DURATION, {"query_type": "select"}, "20", "40")):
+            for le, share in ((low, 0.5), (high, 1.0), ("+Inf", 1.0)):     # half lie above
+                rows.append((m, metric + "_bucket", {"le": le, **labels}, share * 60 * m))
+        rows.append((m, "container_cpu_usage_seconds_total", {"container": "ingest"}, 54 * m))
+        rows.append((m, "container_memory_working_set_bytes", {"container": "ingest"}, 900))
+        for resource, limit in (("cpu", 1), ("memory", 1000)):
+            rows.append((m, "kube_pod_container_resource_limits",
+                         {"container": "ingest", "resource": resource}, limit))
+        rows.append((m, "container_memory_working_set_bytes", {"container": "other"}, 10_000))
+    got = {}
+    for r in al.alert_rules(samples(spark, rows), "1m").collect():
+        got.setdefault((r.alertname, r.sk), {})[r.t] = r.state
+    query = '[{"key":"query_type","value":"insert"}]'
+    errors = '[{"key":"operation","value":"insert"},{"key":"status","value":"error"}]'
+    assert set(got) == {("DatabaseErrors", errors), ("SlowBatchProcessing", "[]"),
+                        ("SlowDatabaseQueries", query), ("HighCPUUsage", "[]"), ("HighMemoryUsage", "[]")}
+    for (name, _), states in got.items():
+        # rates need two samples; the CPU's is 0.9 once the counter's start has left the
+        # window (at minute 4 the counter has risen by 216 in 300 s)
+        begin = {"HighMemoryUsage": 0, "HighCPUUsage": 5}.get(name, 1)
+        assert min(states) == T0 + dt.timedelta(minutes=begin)
+        assert states[T0 + dt.timedelta(minutes=begin + 14)] == "pending"
+        assert states[T0 + dt.timedelta(minutes=begin + 15)] == "firing"
