@@ -31,6 +31,7 @@ def get_session(master: str | None = None, app: str = "stategrid",
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_utc(spark)
+    ensure_small_methods(spark)
     return spark
 
 
@@ -39,6 +40,19 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+#: Fixed value: the bytecode of a method up to which the JVM compiles it.
+METHOD_BYTES = "8000"
+
+
+def ensure_small_methods(spark: SparkSession) -> None:
+    """Plans whose fused code would hold a longer method run operator by
+    operator, in methods that the JVM compiles; a longer one stays interpreted
+    for all rows (the frames' rules with their decoding are 17,596 bytes)."""
+    key = "spark.sql.codegen.hugeMethodLimit"
+    if int(spark.conf.get(key)) > int(METHOD_BYTES):
+        spark.conf.set(key, METHOD_BYTES)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 

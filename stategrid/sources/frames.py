@@ -35,18 +35,16 @@ def read_frames(spark: SparkSession, path: str, streaming: bool = False,
                  .withColumn("seq", F.monotonically_increasing_id()))
 
 
-def _kind(v: Column, path: str) -> Column:
-    """Type name of the JSON value at path; NULL when absent."""
-    return F.schema_of_variant(F.try_variant_get(v, path, "variant"))
+def _kind_in(v: Column, *kinds: str) -> Column:
+    """Absent, JSON null, or a value of one of the types named."""
+    return F.coalesce(F.schema_of_variant(v).isin("NULL", "VOID", *kinds), F.lit(True))
 
 
-def _kind_in(v: Column, path: str, *kinds: str) -> Column:
-    """Absent, JSON null, or a value whose type name starts with one of kinds."""
-    k = _kind(v, path)
-    ok = k.isNull() | k.isin("NULL", "VOID")
-    for kind in kinds:
-        ok = ok | k.startswith(kind)
-    return ok
+def _object_or_none(v: Column, path: str, cast: Column) -> Column:
+    """Absent, JSON null or an object. ``cast``: the value as a struct, which
+    only an object can be; so the value is looked up in the others alone."""
+    at = F.try_variant_get(v, path, "variant")
+    return cast.isNotNull() | at.isNull() | F.is_variant_null(at)
 
 
 def _time_ok(t: Column) -> Column:
@@ -58,11 +56,11 @@ def _state_ok(s: Column) -> Column:
                          & _time_ok(s.last_reported))
 
 
-# Fields whose JSON kind a strict decoder checks (a number is not text).
-_TEXT_PATHS = ("$.type", "$.event.event_type", "$.event.data.entity_id",
-               "$.event.data.old_state.entity_id", "$.event.data.old_state.state",
-               "$.event.data.new_state.entity_id", "$.event.data.new_state.state")
-_OBJECT_PATHS = ("$.event", "$.event.data.old_state", "$.event.data.new_state")
+# The fields whose JSON kind a strict decoder checks (a number is not text), cut out in one pass:
+# all are text but ``id``. Objects are checked by ``_object_or_none``.
+_STATE_KINDS = "struct<entity_id: variant, state: variant>"
+_KINDS = ("struct<type: variant, id: variant, event: struct<event_type: variant, "
+          f"data: struct<entity_id: variant, old_state: {_STATE_KINDS}, new_state: {_STATE_KINDS}>>>")
 
 
 def decode_frames(df: DataFrame, col: str = "raw") -> DataFrame:
@@ -77,21 +75,24 @@ def decode_frames(df: DataFrame, col: str = "raw") -> DataFrame:
     seq = F.col("seq") if "seq" in df.columns else F.monotonically_increasing_id()
     staged = df.select(seq.alias("seq"), F.try_parse_json(F.col(col)).alias("_v"))
     v = F.col("_v")
-    kinds_ok = F.lit(True)
-    for p in _TEXT_PATHS:
-        kinds_ok = kinds_ok & _kind_in(v, p, "STRING")
-    for p in _OBJECT_PATHS:
-        kinds_ok = kinds_ok & _kind_in(v, p, "OBJECT")
-    kinds_ok = kinds_ok & _kind_in(v, "$.id", *_INT_KINDS)
     body = ", ".join(f"{f.name}: {f.dataType.simpleString()}"
                      for f in FRAME.fields if f.name not in ("seq", "valid"))
-    staged = staged.select("seq", v.isNotNull().alias("_parsed"), kinds_ok.alias("_kinds_ok"),
+    staged = staged.select("seq", "_v", F.try_variant_get(v, "$", _KINDS).alias("_k"),
                            F.try_variant_get(v, "$", f"struct<{body}>").alias("_f"))
+    k = F.col("_k")
+    kinds_ok = _kind_in(k.id, *_INT_KINDS)
+    for text in (k.type, k.event.event_type, k.event.data.entity_id,
+                 k.event.data.old_state.entity_id, k.event.data.old_state.state,
+                 k.event.data.new_state.entity_id, k.event.data.new_state.state):
+        kinds_ok = kinds_ok & _kind_in(text, "STRING")
     f = F.col("_f")
     ev = f.event
     event_ok = ev.isNull() | (_time_ok(ev.time_fired) & _state_ok(ev.data.old_state)
                               & _state_ok(ev.data.new_state))
-    valid = F.col("_parsed") & F.col("_kinds_ok") & f.type.isNotNull() & event_ok
+    for path, cast in (("$.event", ev), ("$.event.data.old_state", ev.data.old_state),
+                       ("$.event.data.new_state", ev.data.new_state)):
+        kinds_ok = kinds_ok & _object_or_none(v, path, cast)
+    valid = v.isNotNull() & kinds_ok & f.type.isNotNull() & event_ok
     return staged.select(
         "seq", F.coalesce(valid, F.lit(False)).alias("valid"),
         f.type.alias("type"), f.id.alias("id"), f.success.alias("success"),
