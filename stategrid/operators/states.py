@@ -214,6 +214,11 @@ def to_change(df: DataFrame, database: str = "home", absent_ts: str = "epoch") -
     return df.select(*_record(database, absent_ts))
 
 
+def change_or_null(database: str = "home", absent_ts: str = "epoch") -> Column:
+    """The stored record of frames that carry ``reason``, NULL of a reject."""
+    return F.when(F.col("reason").isNull(), F.struct(*_record(database, absent_ts)))
+
+
 def _rows_where(df: DataFrame, cond: Column, cols: list[Column]) -> DataFrame:
     """Rows of df where cond holds, projected to cols, as a generator.
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stategrid.operators.counters import ingest_counters
-from stategrid.operators.states import to_change, with_reason
+from stategrid.operators.states import change_or_null, with_reason
 from stategrid.schema import TYPE_GROUPS
 from stategrid.sinks.store import ensure_group_table, write_changes
 from stategrid.sources.frames import decode_frames, event_log, read_frames
@@ -28,10 +28,13 @@ def process_batch(frames_text: DataFrame, batch_id: int, out_root: str,
     # Arrival order: (batch, seq); both are stored, so they never collide.
     frames = decode_frames(frames_text.select(
         F.col("raw"), F.monotonically_increasing_id().alias("seq")))
-    staged = with_reason(frames, database).persist()
+    # kept for the writes: the record and what the rejects and counters need, not the frame
+    staged = with_reason(frames, database).select(
+        "seq", "id", "type", F.col("event.event_type").alias("event_type"), "reason",
+        change_or_null(database, absent_ts).alias("change")).persist()
     spark = frames_text.sparkSession
     try:
-        kept = to_change(staged.where(F.col("reason").isNull()), database, absent_ts)
+        kept = staged.where(F.col("reason").isNull()).select("change.*")
         try:
             written = write_changes(kept, out_root, batch_id=batch_id)
         except Exception:
@@ -39,7 +42,7 @@ def process_batch(frames_text: DataFrame, batch_id: int, out_root: str,
                 counted("database_operations_total", 1, "insert", "error")])
             raise
         rej = staged.where(F.col("reason").isNotNull()).select(
-            "seq", "id", "type", F.col("event.event_type").alias("event_type"), "reason",
+            "seq", "id", "type", "event_type", "reason",
             F.lit(int(batch_id)).cast("long").alias("batch"))
         (rej.write.partitionBy("batch").mode("overwrite")
             .option("partitionOverwriteMode", "dynamic").parquet(f"{out_root}/_rejects"))
