@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +27,14 @@ def scratch(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+def release_memory() -> None:
+    """Gives back what a Python worker has freed but still holds: Spark keeps
+    workers for later tasks, and theirs is an executor's memory."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):     # of glibc
+        trim(0)
+
+
 def key128(c: Column) -> tuple[Column, Column]:
     """Two independent 64-bit hashes of one value: together a 128-bit key, so
     that distinct values of even 10^12 rows do not meet by chance."""

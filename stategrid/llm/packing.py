@@ -25,6 +25,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stategrid.llm.common import release_memory
+
 #: Words as the tokenizer's pattern cuts them, for texts in which Python's classes agree with it.
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 _UNSURE = re.compile("[^\t\n\r\x20-\x7e¡-©«¬®-±´¶-¸"
@@ -35,7 +37,9 @@ _SAFE = bytes(b for b in range(256) if not _UNSURE.search(chr(b)))
 #: replaces, and the pattern of its words); texts of any other tokenizer are encoded whole.
 _RULES = ("Lowercase", "\\s+", r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 #: Estimated bytes of a generation of what an encoder remembers.
-_MEMORY = 80 << 20
+_MEMORY = 64 << 20
+#: Words that go through the tokenizer together.
+CALL = 2000
 
 
 def _certain(text: str) -> bool:
@@ -98,6 +102,11 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _of_words(self, words: list[str]) -> list[bytes]:
+        """The ids of each word, found for ``CALL`` words at a time: the
+        tokenizer's own record of a text is many times as large as the text."""
+        return [ids for i in range(0, len(words), CALL) for ids in self._of_call(words[i:i + CALL])]
+
+    def _of_call(self, words: list[str]) -> list[bytes]:
         """One call; a word of the joined text is a word of its own."""
         e = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
         of = np.array(e.word_ids, np.int64)
@@ -139,7 +148,7 @@ def encoder(path: str) -> Encoder:
 
 
 #: Texts are encoded together up to so many characters.
-SLICE = 4 << 20
+SLICE = 8 << 20
 
 
 def _slices(batch: pd.DataFrame, size: int):
@@ -187,6 +196,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = 409
                     rows += [(doc_id, key, s, min(capacity, n - s), n, ids[4 * s:4 * (s + capacity)])
                              for s in range(0, n, capacity)]
                 yield _frame(rows)
+            release_memory()
 
     def _frame(rows):
         out = pd.DataFrame(rows, columns=["doc_id", "_group_key", "start", "length", "doc_tokens",
