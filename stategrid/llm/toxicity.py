@@ -25,12 +25,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stategrid.llm.common import release_memory
+
 MAX_TRAIN = 4000
 MAX_FEATURES = 4000
 PREFIXES = (4, 5, 6)
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _WORD = re.compile(r"[^\W\d_]+")
-_MEMORY = 500_000
+_MEMORY = 200_000
 
 
 def word_features(word: str) -> list[str]:
@@ -129,6 +131,8 @@ def train(docs: DataFrame, labels: DataFrame, keep=lambda i: F.lit(True), label:
         rows = rows.sort_values(["y", "text"])
         yield pd.DataFrame(fit_noisy_or(rows["text"].tolist(), rows["y"].astype(int).tolist(),
                                         max_features), columns=["feature", "weight"])
+        del rows
+        release_memory()
     rows = training_rows(docs, labels, label, keep, max_train).repartition(1)
     return {r["feature"]: r["weight"] for r in
             rows.mapInPandas(fit, "feature string, weight double").collect()}
@@ -172,7 +176,9 @@ def score(text: Column, model: dict[str, float]) -> Column:
     @F.pandas_udf("double")
     def of(batches: "pd.Series") -> pd.Series:
         scorer = _scorer(model)
-        return pd.Series([scorer.score(t) for t in batches], dtype="float64")
+        scores = pd.Series([scorer.score(t) for t in batches], dtype="float64")
+        release_memory()
+        return scores
     return of(text)
 
 
