@@ -37,7 +37,7 @@ _SAFE = bytes(b for b in range(256) if not _UNSURE.search(chr(b)))
 #: replaces, and the pattern of its words); texts of any other tokenizer are encoded whole.
 _RULES = ("Lowercase", "\\s+", r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 #: Estimated bytes of a generation of what an encoder remembers.
-_MEMORY = 64 << 20
+_MEMORY = 56 << 20
 #: Words that go through the tokenizer together.
 CALL = 2000
 
@@ -148,7 +148,7 @@ def encoder(path: str) -> Encoder:
 
 
 #: Texts are encoded together up to so many characters.
-SLICE = 8 << 20
+SLICE = 4 << 20
 
 
 def _slices(batch: pd.DataFrame, size: int):
@@ -196,7 +196,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = 409
                     rows += [(doc_id, key, s, min(capacity, n - s), n, ids[4 * s:4 * (s + capacity)])
                              for s in range(0, n, capacity)]
                 yield _frame(rows)
-            release_memory()
+                release_memory()
 
     def _frame(rows):
         out = pd.DataFrame(rows, columns=["doc_id", "_group_key", "start", "length", "doc_tokens",

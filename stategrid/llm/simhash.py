@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stategrid.llm.common import LOWER, UPPER, key128
+from stategrid.llm.common import LOWER, UPPER, key128, release_memory
 from stategrid.llm.graph import components
 from stategrid.session import materialize
 
@@ -61,8 +61,10 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """``docs`` with ``_fp`` (the fingerprint's 64 bits as a signed long)."""
     @F.pandas_udf("long")
     def fp(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.array([fingerprint(t, shingle) for t in texts], np.uint64)
-                         .astype(np.int64))
+        found = pd.Series(np.array([fingerprint(t, shingle) for t in texts], np.uint64)
+                          .astype(np.int64))
+        release_memory()
+        return found
     return docs.withColumn("_fp", fp(F.col("text")))
 
 
