@@ -16,7 +16,7 @@ from __future__ import annotations
 import json
 import os
 import re
-from itertools import chain, islice
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -36,8 +36,10 @@ _SAFE = bytes(b for b in range(256) if not _UNSURE.search(chr(b)))
 #: The rules of tokenizers whose words ``_WORDS`` cuts (the normaliser's type, what it
 #: replaces, and the pattern of its words); texts of any other tokenizer are encoded whole.
 _RULES = ("Lowercase", "\\s+", r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-#: Estimated bytes of a generation of what an encoder remembers.
-_MEMORY = 56 << 20
+#: A letter or digit and what is neither: there the tokenizer's words end as they do at white space.
+_EDGE = r"([\pL\pN])([^\s\pL\pN])"
+#: Strings that an encoder remembers, and bytes of them and their ids.
+KNOWN, KNOWN_BYTES = 400_000, 24 << 20
 #: Words that go through the tokenizer together.
 CALL = 2000
 
@@ -49,44 +51,68 @@ def _certain(text: str) -> bool:
         return not _UNSURE.search(text)
 
 
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places starts[i] to starts[i] + sizes[i], one range after another."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class Memory:
-    """Ids by string, in two generations: when the young one is full it becomes
-    the old one, whose strings come back when they occur again."""
+    """Ids by string, as columns that a whole slice of text is looked up in at
+    once. When there are too many strings, the half that is used most stays."""
 
     def __init__(self):
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.held = 0
-
-    def find(self, keys: list[str], learn) -> list[bytes]:
-        """The ids of ``keys``; ``learn(new)`` gives those of unknown ones."""
-        parts = list(map(self.young.get, keys))
-        if None not in parts:
-            return parts
-        missing = {k for k, p in zip(keys, parts) if p is None}
-        got = {k: self.old[k] for k in missing if k in self.old}
-        new = [k for k in missing if k not in got]
-        got.update(zip(new, learn(new)))
-        if self.held > _MEMORY:
-            self.old, self.young, self.held = self.young, {}, 0
-        self.young.update(got)
-        self.held += 240 * len(got) + 2 * len("".join(got))
-        return [got[k] if p is None else p for k, p in zip(keys, parts)]
+        self._hold(pa.array([], pa.string()), np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+    def _hold(self, strings: pa.Array, ids: np.ndarray, sizes: np.ndarray, uses: np.ndarray) -> None:
+        self.strings, self.ids, self.sizes, self.uses = strings, ids, sizes, uses
+        self.starts = np.cumsum(sizes) - sizes
+
+    def find(self, keys: pa.Array, uses: np.ndarray, learn) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, start, size) of different ``keys``, each used so often;
+        ``learn(new)`` gives the ids of unknown ones."""
+        at = pc.index_in(keys, value_set=self.strings)
+        new = keys.filter(at.is_null())
+        known = len(self.strings)
+        at = at.fill_null(-1).to_numpy().astype(np.int64)
+        at[at < 0] = known + np.arange(len(new))
+        if len(new):
+            got = learn(new.to_pylist())
+            self._hold(pa.concat_arrays([self.strings, new]),
+                       np.concatenate([self.ids, np.frombuffer(b"".join(got), "<u4")]),
+                       np.concatenate([self.sizes, np.fromiter(map(len, got), np.int64, len(got)) // 4]),
+                       np.concatenate([self.uses, np.zeros(len(new), np.int64)]))
+        self.uses[at] += uses
+        found = self.ids, self.starts[at], self.sizes[at]
+        self._forget()
+        return found
+
+    def _forget(self) -> None:
+        held = self.strings.nbytes + 4 * len(self.ids)
+        if len(self.strings) <= KNOWN and held <= KNOWN_BYTES:
+            return
+        order = np.argsort(-self.uses, kind="stable")
+        weight = 4 * self.sizes[order] + pc.binary_length(self.strings).to_numpy()[order] + 4
+        order = order[:KNOWN // 2]
+        stay = np.sort(order[np.cumsum(weight[:len(order)]) <= KNOWN_BYTES // 2])
+        sizes = self.sizes[stay]
+        self._hold(self.strings.take(pa.array(stay)), self.ids[_ranges(self.starts[stay], sizes)], sizes,
+                   self.uses[stay] // 2)
 
 
 class Encoder:
-    """Ids of whole texts. The tokenizer's words never span white space, so the
-    ids of every run of other characters, and of every word in a run, are found
-    once and remembered. Texts with characters whose class or case is not
-    certain here, and all texts if the tokenizer has other rules than
-    ``_RULES``, go through the tokenizer whole."""
+    """Ids of whole texts. The tokenizer's words never span white space nor go
+    from a letter or digit to anything else, so texts are cut there, and the ids
+    of every different part are found once and remembered. Texts with characters
+    whose class or case is not certain here, and all texts if the tokenizer has
+    other rules than ``_RULES``, go through the tokenizer whole."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.by_words = self._rules() == _RULES
-        self.runs, self.words = Memory(), Memory()
+        self.known = Memory()
 
     def _rules(self) -> tuple | None:
         rules = json.loads(self.tokenizer.to_str())
@@ -114,25 +140,24 @@ class Encoder:
         raw = np.array(e.ids, "<u4").tobytes()
         return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
-    def _of_runs(self, runs: list[str]) -> list[bytes]:
-        cut = [_WORDS.findall(r.lower()) for r in runs]
-        ids = b"".join
-        parts = iter(self.words.find(list(chain.from_iterable(cut)), self._of_words))
-        return [next(parts) if len(ws) == 1 else ids(islice(parts, len(ws))) for ws in cut]
+    def _of_parts(self, parts: list[str]) -> list[bytes]:
+        cut = [[p] if p.isalpha() else _WORDS.findall(p) for p in parts]
+        words = dict.fromkeys(chain.from_iterable(cut))
+        words = dict(zip(words, self._of_words(list(words))))
+        return [words[ws[0]] if len(ws) == 1 else b"".join(map(words.get, ws)) for ws in cut]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text; a run that several texts hold is looked up once."""
+        """The ids of each text; a part that several texts hold is looked up once."""
         sure = [self.by_words and _certain(t) for t in texts]
-        cut = pc.utf8_split_whitespace(pa.array([t for t, s in zip(texts, sure) if s], pa.string()))
-        runs = cut.flatten().dictionary_encode()
-        known = self.runs.find(runs.dictionary.to_pylist(), self._of_runs)
-        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
-        ids = np.frombuffer(b"".join(known), "<u4")
-        of = runs.indices.to_numpy()
-        starts, sizes = (np.cumsum(sizes) - sizes)[of], sizes[of]
-        ends = np.cumsum(sizes)
-        ids = ids[np.repeat(starts - ends + sizes, sizes) + np.arange(sizes.sum())]
-        edges = np.append(0, ends)[cut.offsets.to_numpy() - cut.offsets[0].as_py()].tolist()
+        lower = pa.array([t.lower() for t, s in zip(texts, sure) if s], pa.string())
+        cut = pc.ascii_split_whitespace(pc.replace_substring_regex(lower, _EDGE, r"\1 \2"))
+        parts = cut.flatten().dictionary_encode()
+        of = parts.indices.to_numpy()
+        ids, starts, sizes = self.known.find(parts.dictionary, np.bincount(of, minlength=len(
+            parts.dictionary)), self._of_parts)
+        starts, sizes = starts[of], sizes[of]
+        ids = ids[_ranges(starts, sizes)]
+        edges = np.append(0, np.cumsum(sizes))[cut.offsets.to_numpy() - cut.offsets[0].as_py()].tolist()
         found = (ids[i:j].tobytes() for i, j in zip(edges, edges[1:]))
         return [next(found) if s else self._whole(t) for t, s in zip(texts, sure)]
 
@@ -148,7 +173,7 @@ def encoder(path: str) -> Encoder:
 
 
 #: Texts are encoded together up to so many characters.
-SLICE = 4 << 20
+SLICE = 6 << 20
 
 
 def _slices(batch: pd.DataFrame, size: int):
