@@ -120,11 +120,49 @@ def _context_rows(batches):
 _CONTEXT = "h long, left int, weight long, c1 long, c2 long, context binary"
 
 
+def _shared(strings: list[bytes], width: int) -> np.ndarray:
+    """Of each string of at most ``width`` bytes, how many it has in common
+    with the start of any other one: in order, its neighbours have most."""
+    rows = np.array(strings, f"S{width}")
+    order = np.argsort(rows, kind="stable")
+    flat = rows[order].view(np.uint8).reshape(-1, width)
+    differ = flat[1:] != flat[:-1]
+    near = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
+    most = np.zeros(len(strings), np.int64)
+    most[order] = np.maximum(np.append(near, 0), np.append(0, near))
+    return np.minimum(most, np.fromiter(map(len, strings), np.int64, len(strings)))
+
+
 def repeated_parts(contexts: list[bytes], left: np.ndarray, weight: np.ndarray,
                    length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(context, lo, hi): the parts of contexts that repeated strings cover,
-    as distances from the anchor. ``left``: the anchor's place; ``weight``: how
-    often a context occurs."""
+    as distances from the anchor. ``left``: the anchor's place, ``length`` less
+    GRAM at most, with at most ``length`` bytes from there on; ``weight``: how
+    often a context occurs. One that occurs often is covered whole. Every
+    string holds the anchor, so it reaches no further to a side than some other
+    context agrees: what is beyond, and contexts without room for a string, are
+    not sorted."""
+    at = left.tolist()
+    before = np.minimum(_shared([c[:a + GRAM][::-1] for c, a in zip(contexts, at)], length) - GRAM, left)
+    after = _shared([c[a:] for c, a in zip(contexts, at)], length)
+    some = np.flatnonzero((before >= 0) & (before + after >= length))
+    of, lo, hi = _sorted_parts([contexts[i][at[i] - b:at[i] + n] for i, b, n in zip(
+        some.tolist(), before[some].tolist(), after[some].tolist())], before[some], weight[some], length)
+    of, once = some[of], weight[some[of]] == 1
+    sizes = np.fromiter(map(len, contexts), np.int64, len(contexts))
+    whole = np.flatnonzero((weight > 1) & (sizes >= length))
+    of = np.concatenate([of[once], whole])
+    lo = np.concatenate([lo[once], -left[whole]])
+    hi = np.concatenate([hi[once], (sizes - left)[whole]])
+    order = np.argsort(of, kind="stable")
+    return of[order], lo[order], hi[order]
+
+
+def _sorted_parts(contexts: list[bytes], left: np.ndarray, weight: np.ndarray,
+                  length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same, found by the suffix array of the contexts."""
+    if not contexts:
+        return (np.zeros(0, np.int64),) * 3
     sizes = np.fromiter(map(len, contexts), np.int64, len(contexts))
     text = np.frombuffer(b"\xff".join(contexts) + b"\xff\xfe", np.uint8)   # not in UTF-8
     s = text.astype(np.uint16) + 1
