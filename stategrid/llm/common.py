@@ -6,6 +6,7 @@ import ctypes
 import os
 import uuid
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +36,12 @@ def release_memory() -> None:
         trim(0)
 
 
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places starts[i] to starts[i] + sizes[i], one range after another."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
 def key128(c: Column) -> tuple[Column, Column]:
     """Two independent 64-bit hashes of one value: together a 128-bit key, so
     that distinct values of even 10^12 rows do not meet by chance."""

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stategrid.llm.common import release_memory
+from stategrid.llm.common import ranges, release_memory
 
 #: Words as the tokenizer's pattern cuts them, for texts in which Python's classes agree with it.
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
@@ -51,12 +51,6 @@ def _certain(text: str) -> bool:
         return not _UNSURE.search(text)
 
 
-def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Places starts[i] to starts[i] + sizes[i], one range after another."""
-    ends = np.cumsum(sizes)
-    return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
-
-
 class Memory:
     """Ids by string, as columns that a whole slice of text is looked up in at
     once. When there are too many strings, the half that is used most stays."""
@@ -96,7 +90,7 @@ class Memory:
         order = order[:KNOWN // 2]
         stay = np.sort(order[np.cumsum(weight[:len(order)]) <= KNOWN_BYTES // 2])
         sizes = self.sizes[stay]
-        self._hold(self.strings.take(pa.array(stay)), self.ids[_ranges(self.starts[stay], sizes)], sizes,
+        self._hold(self.strings.take(pa.array(stay)), self.ids[ranges(self.starts[stay], sizes)], sizes,
                    self.uses[stay] // 2)
 
 
@@ -156,7 +150,7 @@ class Encoder:
         ids, starts, sizes = self.known.find(parts.dictionary, np.bincount(of, minlength=len(
             parts.dictionary)), self._of_parts)
         starts, sizes = starts[of], sizes[of]
-        ids = ids[_ranges(starts, sizes)]
+        ids = ids[ranges(starts, sizes)]
         edges = np.append(0, np.cumsum(sizes))[cut.offsets.to_numpy() - cut.offsets[0].as_py()].tolist()
         found = (ids[i:j].tobytes() for i, j in zip(edges, edges[1:]))
         return [next(found) if s else self._whole(t) for t, s in zip(texts, sure)]

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stategrid.llm.common import key128, put_back, set_aside
+from stategrid.llm.common import key128, put_back, ranges, set_aside
 from stategrid.llm.suffix_array import common_prefixes, suffix_array
 from stategrid.session import materialize
 
@@ -141,19 +141,26 @@ def repeated_parts(contexts: list[bytes], left: np.ndarray, weight: np.ndarray,
     often a context occurs. One that occurs often is covered whole. Every
     string holds the anchor, so it reaches no further to a side than some other
     context agrees: what is beyond, and contexts without room for a string, are
-    not sorted."""
+    not sorted, and what is then equal is sorted once."""
     at = left.tolist()
     before = np.minimum(_shared([c[:a + GRAM][::-1] for c, a in zip(contexts, at)], length) - GRAM, left)
     after = _shared([c[a:] for c, a in zip(contexts, at)], length)
     some = np.flatnonzero((before >= 0) & (before + after >= length))
-    of, lo, hi = _sorted_parts([contexts[i][at[i] - b:at[i] + n] for i, b, n in zip(
-        some.tolist(), before[some].tolist(), after[some].tolist())], before[some], weight[some], length)
-    of, once = some[of], weight[some[of]] == 1
+    alike: dict[tuple[bytes, int], int] = {}    # what is left of contexts is often the same
+    kind = np.array([alike.setdefault((contexts[i][at[i] - b:at[i] + n], b), len(alike)) for i, b, n in zip(
+        some.tolist(), before[some].tolist(), after[some].tolist())], np.int64)
+    of, lo, hi = _sorted_parts([c for c, _ in alike], np.array([b for _, b in alike], np.int64),
+                               np.bincount(kind, weight[some]).astype(np.int64), length)
+    part = np.full(len(alike), -1)
+    part[of] = np.arange(len(of))               # all strings hold the anchor: one part at most
+    part = part[kind]
+    once = (part >= 0) & (weight[some] == 1)
+    of, lo, hi = some[once], lo[part[once]], hi[part[once]]
     sizes = np.fromiter(map(len, contexts), np.int64, len(contexts))
     whole = np.flatnonzero((weight > 1) & (sizes >= length))
-    of = np.concatenate([of[once], whole])
-    lo = np.concatenate([lo[once], -left[whole]])
-    hi = np.concatenate([hi[once], (sizes - left)[whole]])
+    of = np.concatenate([of, whole])
+    lo = np.concatenate([lo, -left[whole]])
+    hi = np.concatenate([hi, (sizes - left)[whole]])
     order = np.argsort(of, kind="stable")
     return of[order], lo[order], hi[order]
 
@@ -170,21 +177,20 @@ def _sorted_parts(contexts: list[bytes], left: np.ndarray, weight: np.ndarray,
     sa = suffix_array(s, 257)
     agree = common_prefixes(text, sa)[sa] >= length
     start = np.cumsum(sizes + 1) - sizes - 1
-    run = np.cumsum(~agree)
-    owner = np.repeat(np.arange(len(contexts)), sizes + 1)
-    inside = sa < len(owner)
-    of = owner[np.where(inside, sa, 0)]
-    offset = sa - start[of]
-    use = inside & (offset + length <= sizes[of])
-    several = np.bincount(run)[run] > 1
-    use &= several | (weight[of] > 1)
-    run, of, offset = run[use], of[use], offset[use]
+    room = np.zeros(len(s), bool)           # places where a string has room in its context
+    room[ranges(start, np.maximum(sizes - length + 1, 0))] = True
+    use = np.flatnonzero(room[sa])
+    run = np.cumsum(~agree)[use]
+    of = np.repeat(np.arange(len(contexts), dtype=np.int32), sizes + 1)[sa[use]]
+    several = (np.bincount(run)[run] > 1) | (weight[of] > 1)
+    run, of, use = run[several], of[several].astype(np.int64), use[several]
+    offset = sa[use] - start[of]
     key = run.astype(np.int64) * (1 << 20) + (left[of] - offset + (1 << 19))
     _, inverse = np.unique(key, return_inverse=True)
     total = np.bincount(inverse, weight[of]) if len(key) else np.zeros(0)
     hit = total[inverse] > 1
     of, offset = of[hit], offset[hit]
-    order = np.lexsort((offset, of))
+    order = np.argsort((of << 20) + offset)
     of, offset = of[order], offset[order]
     if not len(of):
         return of, offset, offset
